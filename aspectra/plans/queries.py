@@ -11,12 +11,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ASPECTS
+from ..config import ASPECTS, HEAD_MAX_LEN, TAIL_MAX_LEN
+from ..functions import arrays as arr
 from ..functions import text as tx
+from ..functions.json import REVIEW_DDL, parse_envelope, split_dead_letter
 from ..operators import metrics as M
+from ..operators import sampling as S
+from ..sources.envelope import labelled_messages, number_messages, payload_messages, review_messages
 from . import oracle as O
 from .catalog import table
-from .reviews import flagship, parsed_reviews, scored_reviews
+from .reviews import PRED_ORDER, flagship, labelled_predictions, parsed_labelled, parsed_reviews, scored_reviews
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -72,10 +76,185 @@ def q_text_tokens(spark, sf):
         "doc_id", F.size(toks).cast("int").alias("n_tokens"), F.array_join(toks, " ").alias("tokens"))
 
 
-@query("text_clean", f"""
-    SELECT doc_id, regexp_replace(regexp_replace(regexp_replace(lower(text),
-             '[^\\p{{L}}\\p{{N}}_{O.SPACE_RE}]', '', 'g'), '\\p{{Nd}}+', '', 'g'),
-             '^[{O.SPACE_RE}]+|[{O.SPACE_RE}]+$', '', 'g') AS clean
-    FROM documents""")
+@query("text_clean", f"SELECT doc_id, {O.clean_sql()} AS clean FROM documents")
 def q_text_clean(spark, sf):
     return table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("clean"))
+
+
+@query("text_to_ids", f"SELECT * FROM ({O.token_ids_sql(O.tokens_sql(), 64, tail=False)})")
+def q_text_to_ids(spark, sf):
+    docs = table(spark, sf, "documents")
+    vocab = tx.build_vocabulary(docs, "text", size=5000)
+    ids = tx.token_ids(docs, "doc_id", "text", vocab, max_len=HEAD_MAX_LEN, truncate="head")
+    return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
+
+
+@query("text_to_ids_tail", f"SELECT * FROM ({O.token_ids_sql(O.tokens_sql(O.clean_sql()), 100, tail=True)})")
+def q_text_to_ids_tail(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("clean"))
+    vocab = tx.build_vocabulary(docs, "clean", size=5000)
+    ids = tx.token_ids(docs, "doc_id", "clean", vocab, max_len=TAIL_MAX_LEN, truncate="tail")
+    return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
+
+
+# ------------------------------------------------------------ number topic
+
+def _numbers(spark, sf):
+    return number_messages(table(spark, sf, "events"))
+
+
+NUMBER_TOPIC_SQL = """SELECT 'numbers' AS topic, CAST(0 AS INTEGER) AS partition, event_id AS offset,
+    ts AS timestamp, '{"number": ' || CAST(event_id AS VARCHAR) || '}' AS value FROM events"""
+
+
+@query("batch_envelope_scan", NUMBER_TOPIC_SQL)
+def q_batch_envelope_scan(spark, sf):
+    env = _numbers(spark, sf)
+    return env.select("topic", "partition", "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                      F.col("value").cast("string").alias("value"))
+
+
+def _project(env):
+    return env.select("topic", "offset", F.col("value").cast("string").substr(12, 1).alias("rand_number"))
+
+
+def _parity(env):
+    full = F.from_json(F.col("value").cast("string"), "number BIGINT")["number"]
+    return _project(env.withColumn("number", full)).withColumn(
+        "Is_Even", F.expr("try_cast(rand_number AS INT)") % 2 == 0)
+
+
+PROJECT_SQL = f"SELECT topic, \"offset\", substr(value, 12, 1) AS rand_number FROM ({NUMBER_TOPIC_SQL})"
+PARITY_SQL = f"SELECT *, TRY_CAST(rand_number AS INTEGER) % 2 = 0 AS Is_Even FROM ({PROJECT_SQL})"
+
+
+@query("envelope_project", PROJECT_SQL)
+def q_envelope_project(spark, sf):
+    return _project(_numbers(spark, sf))
+
+
+@query("number_parity", PARITY_SQL)
+def q_number_parity(spark, sf):
+    return _parity(_numbers(spark, sf)).select("topic", "offset", "rand_number", "Is_Even")
+
+
+@query("digit_counts", f"SELECT rand_number, count(*) AS count FROM ({PROJECT_SQL}) GROUP BY rand_number")
+def q_digit_counts(spark, sf):
+    return _project(_numbers(spark, sf)).groupBy("rand_number").count()
+
+
+# ------------------------------------------------------------ messages
+
+@query("json_encode_rows", "SELECT doc_id, to_json({'id': doc_id, 'review': text})::VARCHAR AS value FROM documents")
+def q_json_encode_rows(spark, sf):
+    env = review_messages(table(spark, sf, "documents"))
+    return env.select(F.col("offset").alias("doc_id"), F.col("value").cast("string").alias("value"))
+
+
+@query("encode_labelled", f"""
+    SELECT "offset" AS doc_id, to_json({{'review_text': review_text, {', '.join(f"'{a}': {a}" for a in ASPECTS)}}})::VARCHAR AS value
+    FROM ({O.labelled_sql()})""")
+def q_encode_labelled(spark, sf):
+    env = labelled_messages(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return env.select(F.col("offset").alias("doc_id"), F.col("value").cast("string").alias("value"))
+
+
+@query("parse_labelled", f"SELECT * FROM ({O.labelled_sql()})")
+def q_parse_labelled(spark, sf):
+    return parsed_labelled(spark, sf).select("offset", "review_text", *ASPECTS)
+
+
+def _mixed_topic(spark, sf):
+    """Review messages (partition 0) and raw page payloads (partition 1) on one topic."""
+    reviews = review_messages(table(spark, sf, "documents"), topic="reviews")
+    pages = payload_messages(table(spark, sf, "pages"), topic="reviews").withColumn("partition", F.lit(1))
+    return reviews.unionByName(pages)
+
+
+@query("dead_letter", """
+    SELECT 'reviews' AS topic, CAST(1 AS INTEGER) AS partition, page_id AS offset,
+           CASE WHEN html IS NULL THEN 'empty_payload' ELSE 'malformed_json' END AS reason,
+           CAST(coalesce(strlen(html), 0) AS BIGINT) AS payload_bytes
+    FROM pages""")
+def q_dead_letter(spark, sf):
+    _, bad = split_dead_letter(parse_envelope(_mixed_topic(spark, sf), REVIEW_DDL, keep=("topic", "partition", "offset")))
+    return bad.drop("payload")
+
+
+@query("binary_payload_profile", """
+    SELECT page_id AS offset, url AS key, CAST(strlen(html) AS BIGINT) AS n_bytes, md5(html) AS md5 FROM pages""")
+def q_binary_payload_profile(spark, sf):
+    env = payload_messages(table(spark, sf, "pages"))
+    return env.select("offset", F.col("key").cast("string").alias("key"),
+                      F.octet_length("value").cast("bigint").alias("n_bytes"), F.md5("value").alias("md5"))
+
+
+# ------------------------------------------------------------ model outputs
+
+def _decoded(spark, sf):
+    emb = table(spark, sf, "embeddings")
+    probs = emb.select("vec_id", "label", arr.group_flat("embedding").alias("probs"))
+    return probs.select("vec_id", "label", *[arr.argmax(arr.head("probs", i)).alias(f"idx_{a}") for i, a in enumerate(ASPECTS)])
+
+
+def _idx_sql(i: int) -> str:
+    g = f"embedding[{4 * i + 1}:{4 * i + 4}]"
+    return f"CAST(list_position({g}, list_max({g})) - 1 AS INTEGER)"
+
+
+@query("argmax_decode", f"SELECT vec_id, label, {', '.join(f'{_idx_sql(i)} AS idx_{a}' for i, a in enumerate(ASPECTS))} FROM embeddings")
+def q_argmax_decode(spark, sf):
+    return _decoded(spark, sf)
+
+
+@query("labels_decode", f"""SELECT vec_id, label, {', '.join(
+    f"CAST(CASE {_idx_sql(ASPECTS.index(a))} WHEN 0 THEN -1 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE -99 END AS INTEGER) AS pred_{a}"
+    for a in PRED_ORDER)} FROM embeddings""")
+def q_labels_decode(spark, sf):
+    dec = _decoded(spark, sf)
+    dec = dec.withColumns({f"pred_{a}": arr.index_to_label(F.col(f"idx_{a}")) for a in ASPECTS})
+    return dec.drop(*[f"idx_{a}" for a in ASPECTS]).select("vec_id", "label", *[f"pred_{a}" for a in PRED_ORDER])
+
+
+# ------------------------------------------------------------ evaluation
+
+EVAL_PAIRS = [(a, a, f"pred_{a}") for a in ASPECTS]
+
+
+@query("eval_metrics", O.eval_metrics_sql())
+def q_eval_metrics(spark, sf):
+    return M.eval_metrics(labelled_predictions(spark, sf), EVAL_PAIRS)
+
+
+@query("eval_macro", O.eval_macro_sql())
+def q_eval_macro(spark, sf):
+    return M.eval_macro(M.eval_metrics(labelled_predictions(spark, sf), EVAL_PAIRS))
+
+
+# ------------------------------------------------------------ sample / preview / latest
+
+@query("sample_top_n", f"SELECT id, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()}) ORDER BY md5(id) LIMIT 300")
+def q_sample_top_n(spark, sf):
+    return S.sample_rows(scored_reviews(spark, sf), 300, ["id"]).select("id", *ASPECTS)
+
+
+@query("batch_preview", f"""
+    SELECT CAST(id AS BIGINT) AS offset, review, {', '.join(ASPECTS)},
+           to_json({{'review': review, {', '.join(f"'{a}': {a}" for a in ASPECTS)}}})::VARCHAR AS preview_json
+    FROM ({O.lexicon_scored_sql()}) ORDER BY CAST(id AS BIGINT) LIMIT 5""")
+def q_batch_preview(spark, sf):
+    return S.preview(scored_reviews(spark, sf), 5, [F.col("offset")], ["offset", "review", *ASPECTS],
+                     json_cols=["review", *ASPECTS])
+
+
+@query("latest_rows", f"SELECT CAST(id AS BIGINT) AS offset, id, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()}) ORDER BY CAST(id AS BIGINT) DESC LIMIT 10")
+def q_latest_rows(spark, sf):
+    return S.latest_rows(scored_reviews(spark, sf), 10, [F.desc("offset")]).select("offset", "id", *ASPECTS)
+
+
+@query("batch_metrics", """
+    SELECT 'reviews' AS topic, CAST(0 AS INTEGER) AS partition, count(*) AS n_rows,
+           CAST(count(*) FILTER (WHERE text IS NULL) AS BIGINT) AS n_null_text,
+           min(doc_id) AS min_offset, max(doc_id) AS max_offset FROM documents""")
+def q_batch_metrics(spark, sf):
+    return S.batch_counts(parsed_reviews(spark, sf), "review")
