@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 from ..config import ASPECTS, HEAD_MAX_LEN, TAIL_MAX_LEN
 from ..functions import arrays as arr
 from ..functions import text as tx
-from ..functions.json import REVIEW_DDL, parse_envelope, split_dead_letter
+from ..functions.json import NUMBER_DDL, REVIEW_DDL, parse_envelope, split_dead_letter
 from ..operators import metrics as M
 from ..operators import sampling as S
-from ..sources.envelope import labelled_messages, number_messages, payload_messages, review_messages
+from ..operators import series as SR
+from ..operators import trend as TR
+from ..session import fresh_path
+from ..sources import files as FS
+from ..sources.envelope import labelled_messages, number_messages, payload_messages, review_messages, stream_envelope_files
 from . import oracle as O
+from . import streams as ST
 from .catalog import table
 from .reviews import PRED_ORDER, flagship, labelled_predictions, parsed_labelled, parsed_reviews, scored_reviews
 
@@ -258,3 +263,118 @@ def q_latest_rows(spark, sf):
            min(doc_id) AS min_offset, max(doc_id) AS max_offset FROM documents""")
 def q_batch_metrics(spark, sf):
     return S.batch_counts(parsed_reviews(spark, sf), "review")
+
+
+# ------------------------------------------------------------ series
+
+def _series_env(spark, sf):
+    return SR.series_messages(table(spark, sf, "events"), key="event_type", ts="ts", value="value", position="event_id")
+
+
+SERIES_TEXT = "strftime(ts, '%Y-%m-%d %H:%M:%S.%f')"
+
+
+@query("series_to_messages", f"""
+    SELECT event_type AS key, event_id AS "offset", to_json(map([{SERIES_TEXT}], [value]))::VARCHAR AS value FROM events""")
+def q_series_to_messages(spark, sf):
+    env = _series_env(spark, sf)
+    return env.select(F.col("key").cast("string").alias("key"), "offset", F.col("value").cast("string").alias("value"))
+
+
+@query("series_parse", "SELECT event_type AS series, event_id AS \"offset\", ts, value FROM events")
+def q_series_parse(spark, sf):
+    return SR.parse_series(_series_env(spark, sf)).select("series", "offset", "ts", "value")
+
+
+@query("replay_gaps", """
+    SELECT event_type AS series, event_id AS "offset", ts,
+           coalesce(date_diff('microsecond', lag(ts) OVER w, ts) / 1e7, 0.0) AS gap_s,
+           date_diff('microsecond', min(ts) OVER (PARTITION BY event_type), ts) / 1e7 AS offset_s
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""")
+def q_replay_gaps(spark, sf):
+    pts = SR.parse_series(_series_env(spark, sf))
+    out = SR.replay_gaps(pts, key="series", ts="ts", tiebreak="offset", speed=10.0)
+    # gaps are whole microseconds / speed: exact doubles, no rounding needed
+    return out.select("series", "offset", "ts", "gap_s", "offset_s")
+
+
+@query("series_csv_scan", f"SELECT {SERIES_TEXT} AS timestamp, value FROM events")
+def q_series_csv_scan(spark, sf):
+    ev = table(spark, sf, "events").select(SR.ts_text(F.col("ts")).alias("timestamp"), "value")
+    path = FS.write_csv(ev, fresh_path(spark, "series_csv_scan"))
+    return FS.read_series_csv(spark, path)
+
+
+@query("csv_scan_typed", "SELECT doc_id AS id, text AS review, lang FROM documents")
+def q_csv_scan_typed(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    path = FS.write_csv(docs, fresh_path(spark, "csv_scan_typed"))
+    back = FS.require_columns(FS.read_csv(spark, path, "doc_id BIGINT, text STRING, lang STRING"), ["doc_id", "lang"])
+    return back.select(F.col("doc_id").alias("id"), FS.text_column(back).alias("review"), "lang")
+
+
+# ------------------------------------------------------------ streaming
+
+@query("stream_envelope_scan", NUMBER_TOPIC_SQL)
+def q_stream_envelope_scan(spark, sf):
+    path = ST.topic_files(spark, _numbers(spark, sf), "stream_envelope_scan")
+    src = stream_envelope_files(spark, path, max_files_per_trigger=1)
+    proj = src.select("topic", "partition", "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
+                      F.col("value").cast("string").alias("value"))
+    return ST.drain_to_lake(spark, proj, "stream_envelope_scan")
+
+
+@query("stream_two_queries", PARITY_SQL)
+def q_stream_two_queries(spark, sf):
+    numbers, parity = ST.two_queries(spark, _numbers(spark, sf), "stream_two_queries")
+    return numbers.join(parity.select("topic", "offset", "Is_Even"), ["topic", "offset"])
+
+
+@query("stream_score", f"SELECT id, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()})")
+def q_stream_score(spark, sf):
+    path = ST.topic_files(spark, review_messages(table(spark, sf, "documents")), "stream_score")
+    scored = ST.score_stream(stream_envelope_files(spark, path, max_files_per_trigger=2))
+    return ST.drain_to_lake(spark, scored.select("id", *ASPECTS), "stream_score")
+
+
+JDBC_SQL = f"SELECT CAST(id AS BIGINT) AS src_offset, review AS ReviewText, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()})"
+
+
+@query("jdbc_round_trip", JDBC_SQL)
+def q_jdbc_round_trip(spark, sf):
+    back = ST.jdbc_stream(spark, review_messages(table(spark, sf, "documents")), "jdbc_round_trip", replay_batches=False)
+    return back.select("src_offset", F.col("ReviewText").cast("string").alias("ReviewText"), *[F.col(a).cast("string").alias(a) for a in ASPECTS])
+
+
+@query("jdbc_retry_dedup", JDBC_SQL)
+def q_jdbc_retry_dedup(spark, sf):
+    back = ST.jdbc_stream(spark, review_messages(table(spark, sf, "documents")), "jdbc_retry_dedup", replay_batches=True)
+    return back.select("src_offset", F.col("ReviewText").cast("string").alias("ReviewText"), *[F.col(a).cast("string").alias(a) for a in ASPECTS])
+
+
+@query("document_sink", 'SELECT event_id AS number, CAST(0 AS INTEGER) AS partition, event_id AS "offset" FROM events')
+def q_document_sink(spark, sf):
+    docs = ST.document_stream(spark, _numbers(spark, sf), "document_sink", NUMBER_DDL)
+    return docs.select(F.col("number").cast("bigint").alias("number"), F.col("partition").cast("int").alias("partition"),
+                       F.col("offset").cast("bigint").alias("offset"))
+
+
+# ------------------------------------------------------------ event-time windows
+
+@query("events_tumbling", """
+    SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+           event_type, count(*) AS n, round(sum(value), 6) AS total
+    FROM events GROUP BY 1, 2, 3""")
+def q_events_tumbling(spark, sf):
+    return TR.tumbling(table(spark, sf, "events"), "ts", "1 hour", ["event_type"], "value")
+
+
+@query("sentiment_trend", f"""
+    WITH sc AS ({O.lexicon_scored_sql()}),
+    j AS (SELECT time_bucket(INTERVAL 1 HOUR, e.ts) AS window_start, sc.* FROM sc JOIN events e ON CAST(sc.id AS BIGINT) = e.event_id),
+    long AS ({' UNION ALL '.join(f"SELECT window_start, '{a}' AS Aspect, coalesce({a}, 'NONE') AS Sentiment FROM j" for a in ASPECTS)})
+    SELECT window_start, Aspect, Sentiment, count(*) AS Count FROM long GROUP BY 1, 2, 3""")
+def q_sentiment_trend(spark, sf):
+    scored = scored_reviews(spark, sf).withColumn("doc_id", F.col("id").cast("bigint"))
+    ev = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), "ts")
+    return TR.sentiment_over_time(scored.join(ev, "doc_id"), "ts", "1 hour")
