@@ -11,17 +11,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ASPECTS, HEAD_MAX_LEN, TAIL_MAX_LEN
+from ..config import ASPECTS, FOREST_CONTAMINATION, HEAD_MAX_LEN, TAIL_MAX_LEN
 from ..functions import arrays as arr
 from ..functions import text as tx
-from ..functions.json import NUMBER_DDL, REVIEW_DDL, parse_envelope, split_dead_letter
+from ..functions.json import NUMBER_DDL, REVIEW_DDL, TRANSACTION_DDL, parse_envelope, split_dead_letter
+from ..operators import anomaly as AN
 from ..operators import metrics as M
 from ..operators import sampling as S
 from ..operators import series as SR
 from ..operators import trend as TR
 from ..session import fresh_path
 from ..sources import files as FS
-from ..sources.envelope import labelled_messages, number_messages, payload_messages, review_messages, stream_envelope_files
+from ..operators.scoring import CnnScorer, widen
+from ..sources.envelope import (labelled_messages, number_messages, payload_messages, review_messages,
+                                stream_envelope_files, to_envelope)
+from . import fixed_forest as FX
 from . import oracle as O
 from . import streams as ST
 from .catalog import table
@@ -378,3 +382,112 @@ def q_sentiment_trend(spark, sf):
     scored = scored_reviews(spark, sf).withColumn("doc_id", F.col("id").cast("bigint"))
     ev = table(spark, sf, "events").select(F.col("event_id").alias("doc_id"), "ts")
     return TR.sentiment_over_time(scored.join(ev, "doc_id"), "ts", "1 hour")
+
+
+# ------------------------------------------------------------ anomaly detection
+
+def _transactions(spark, sf):
+    """lineitem rows as transaction messages {"id", "data": [[quantity, price]], "current_time"}."""
+    li = table(spark, sf, "lineitem")
+    rec = li.select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
+        F.array(F.array(F.col("l_quantity"), F.col("l_extendedprice"))).alias("data"),
+        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("current_time"))
+    from ..functions.json import encode_json
+    return to_envelope(rec, encode_json("id", "data", "current_time"), "transactions", F.col("id"))
+
+
+def _parsed_transactions(spark, sf):
+    good, _ = split_dead_letter(parse_envelope(_transactions(spark, sf), TRANSACTION_DDL))
+    return good
+
+
+TX_SQL = """SELECT l_orderkey * 8 + l_linenumber AS id, l_quantity AS x, l_extendedprice AS y,
+    strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%f') AS current_time FROM lineitem"""
+
+
+@query("transactions_parse", f"SELECT id, x, y, CAST(1 AS INTEGER) AS n_points, CAST(current_time AS TIMESTAMP) AS event_time FROM ({TX_SQL})")
+def q_transactions_parse(spark, sf):
+    tx_ = _parsed_transactions(spark, sf)
+    return tx_.select("id", F.col("data")[0][0].alias("x"), F.col("data")[0][1].alias("y"),
+                      F.size("data").cast("int").alias("n_points"),
+                      SR.parse_timestamp(F.col("current_time")).alias("event_time"))
+
+
+def _fixed_forest():
+    return AN.Forest(FX.nodes_frame(), FX.PSI)
+
+
+def _scored_transactions(spark, sf):
+    tx_ = _parsed_transactions(spark, sf)
+    return tx_.withColumn("scores", AN.score_points(spark, _fixed_forest(), F.col("data")))
+
+
+SCORES_SQL = f"""
+    WITH p AS (SELECT *, row_number() OVER () AS rid FROM ({TX_SQL})),
+    h AS (SELECT p.rid, avg(l.path_len) AS e_h FROM p JOIN {FX.leaves_values_sql()}
+          ON p.x >= l.x_lo AND p.x < l.x_hi AND p.y >= l.y_lo AND p.y < l.y_hi GROUP BY p.rid)
+    SELECT p.id, p.x, p.y, p.current_time, -pow(2.0, -h.e_h / {AN.c_factor(FX.PSI)!r}) AS score FROM p JOIN h ON p.rid = h.rid"""
+
+
+@query("anomaly_scores", f"SELECT id, round(score, 6) AS score, round(score, 3) AS score_3 FROM ({SCORES_SQL})")
+def q_anomaly_scores(spark, sf):
+    s = F.col("scores")[0]
+    return _scored_transactions(spark, sf).select("id", F.round(s, 6).alias("score"), F.round(s, 3).alias("score_3"))
+
+
+@query("anomaly_threshold", f"SELECT round(quantile_cont(score, {FOREST_CONTAMINATION}), 6) AS threshold, count(*) AS n_train FROM ({SCORES_SQL})")
+def q_anomaly_threshold(spark, sf):
+    scored = _scored_transactions(spark, sf).select(F.col("scores")[0].alias("score"))
+    thr = AN.threshold(scored, "score", FOREST_CONTAMINATION)
+    return scored.agg(F.count(F.lit(1)).alias("n_train")).select(F.round(F.lit(thr), 6).alias("threshold"), "n_train")
+
+
+@query("anomaly_alerts", f"""
+    WITH s AS ({SCORES_SQL}), t AS (SELECT quantile_cont(score, {FOREST_CONTAMINATION}) AS thr FROM s)
+    SELECT id, to_json({{'id': id, 'data': [[x, y]], 'current_time': current_time, 'score': [round(score, 3)]}})::VARCHAR AS value
+    FROM s, t WHERE score < thr""")
+def q_anomaly_alerts(spark, sf):
+    scored = _scored_transactions(spark, sf)
+    thr = AN.threshold(scored.select(F.col("scores")[0].alias("score")), "score", FOREST_CONTAMINATION)
+    flagged = scored.filter(AN.verdict(F.col("scores")[0], thr) == -1)
+    alerts = flagged.withColumn("score", F.transform("scores", lambda v: F.round(v, 3)))
+    from ..functions.json import encode_json
+    return alerts.select("id", encode_json("id", "data", "current_time", "score").alias("value"))
+
+
+def _lineitem_points(spark, sf):
+    """lineitem with a row key (order, line, part, supplier) for per-tree hash sampling."""
+    li = table(spark, sf, "lineitem")
+    return li.withColumn("k", F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
+
+
+@query("forest_fit")
+def q_forest_fit(spark, sf):
+    return AN.fit(_lineitem_points(spark, sf), FX.FEATURES, "k")
+
+
+@query("anomaly_scores_fitted")
+def q_anomaly_scores_fitted(spark, sf):
+    pts = _lineitem_points(spark, sf)
+    nodes = AN.fit(pts, FX.FEATURES, "k").checkpoint()  # cut lineage: the model is reused by every task
+    forest = AN.Forest.from_frame(nodes, 500)
+    scored = pts.select("k", AN.score_points(spark, forest, F.array(F.array(*FX.FEATURES))).alias("s"))
+    return scored.select("k", F.round(F.col("s")[0], 6).alias("score"))
+
+
+@query("transactions_generate")
+def q_transactions_generate(spark, sf):
+    ids = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
+    return AN.synthetic_transactions(ids, "id")
+
+
+# ------------------------------------------------------------ CNN scorer
+
+@query("cnn_probabilities")
+def q_cnn_probabilities(spark, sf):
+    docs = table(spark, sf, "documents")
+    vocab = tx.build_vocabulary(docs, "text", size=5000)
+    scorer = CnnScorer.from_vocabulary_df(spark, vocab, seed=42)
+    out = widen(scorer.score(docs.select("doc_id", "text"), "text"))
+    return out.select("doc_id", *ASPECTS)
