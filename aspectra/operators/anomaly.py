@@ -23,10 +23,11 @@ from __future__ import annotations
 import json
 import math
 import os
-from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -180,22 +181,25 @@ def load(spark: SparkSession, path: str) -> tuple[DataFrame, dict]:
 # ------------------------------------------------------------------ scoring
 
 def score_points(spark: SparkSession, forest: Forest, points: Column) -> Column:
-    """``ARRAY<ARRAY<DOUBLE>>`` (a record's points) -> ``ARRAY<DOUBLE>`` scores."""
+    """``ARRAY<ARRAY<DOUBLE>>`` (a record's points) -> ``ARRAY<DOUBLE>`` scores.
+
+    Arrow-native: the nested lists are flattened to one NumPy matrix per batch
+    without touching rows in Python, scored, and re-wrapped with the original
+    list offsets (one score per point)."""
     bc = spark.sparkContext.broadcast(forest)
 
-    @F.pandas_udf(T.ArrayType(T.DoubleType()))
-    def forest_scores(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def forest_scores(recs: pa.Array) -> pa.Array:
         model = bc.value
-        for recs in batches:
-            sizes = np.array([0 if r is None else len(r) for r in recs])
-            flat = [p for r in recs if r is not None for p in r]
-            x = np.array([list(p) for p in flat], np.float64).reshape(len(flat), -1) if flat else np.zeros((0, 2))
-            s = model.scores(x) if len(x) else np.zeros(0)
-            out, i = [], 0
-            for r, k in zip(recs, sizes):
-                out.append(None if r is None else s[i:i + k].tolist())
-                i += k
-            yield pd.Series(out)
+        pts = recs.flatten()                       # one list per point
+        vals = pts.flatten().to_numpy(zero_copy_only=False)
+        dims = pc.list_value_length(pts).to_numpy(zero_copy_only=False)
+        if len(dims) and (dims != dims[0]).any():
+            raise ValueError("points of different dimension in one batch")
+        d = int(dims[0]) if len(dims) else 1
+        s = model.scores(vals.reshape(-1, d)) if len(vals) else np.zeros(0)
+        off = pc.subtract(recs.offsets, recs.offsets[0])
+        return pa.ListArray.from_arrays(off, pa.array(s, pa.float64()), mask=recs.is_null())
 
     return forest_scores(points)
 
@@ -210,7 +214,15 @@ def threshold(scores: DataFrame, col: str, q: float = FOREST_CONTAMINATION, accu
     provably holds both order statistics needed.
     """
     s = F.col(col)
-    n = scores.filter(s.isNotNull()).count()
+    scores = scores.select(col).filter(s.isNotNull()).persist()  # several passes over one column
+    try:
+        return _threshold(scores, s, q, accuracy)
+    finally:
+        scores.unpersist()
+
+
+def _threshold(scores: DataFrame, s: Column, q: float, accuracy: int) -> float:
+    n = scores.count()
     if n == 0:
         return float("nan")
     h = q * (n - 1)
@@ -230,7 +242,7 @@ def threshold(scores: DataFrame, col: str, q: float = FOREST_CONTAMINATION, accu
             below, inside, lo, hi = 0, n, None, None
             break
         delta *= 4
-    sub = scores.filter(s.isNotNull())
+    sub = scores
     if lo is not None:
         sub = sub.filter((s >= lo) & (s <= hi))
     local = (h - below) / (inside - 1) if inside > 1 else 0.0

@@ -71,24 +71,32 @@ class LexiconScorer(Scorer):
         self.positive = positive or DEFAULT_POSITIVE
         self.negative = negative or DEFAULT_NEGATIVE
 
-    def sentiments(self, toks: Column) -> Column:
-        n_pos = F.size(F.filter(toks, lambda t: _in_list(t, self.positive)))
-        n_neg = F.size(F.filter(toks, lambda t: _in_list(t, self.negative)))
+    def score(self, df: DataFrame, text_col: str) -> DataFrame:
+        # Three projections, so each expensive value is computed once per row:
+        # tokens (one regex pass), then polarity counts and aspect mentions, then
+        # the map. Catalyst does not inline a non-trivial alias referenced many
+        # times. Mentions use arrays_overlap (hash lookup, code-generated).
+        toks = F.col("_toks")
+        step1 = df.withColumn("_toks", tokens(text_col))
+        mentions = {}
+        for a in ASPECTS:
+            words = self.aspect_words.get(a, [])
+            mentions[f"_m_{a}"] = F.arrays_overlap(toks, F.array(*[F.lit(w) for w in words])) if words else F.lit(False)
+        step2 = step1.withColumns({
+            "_npos": F.size(F.filter(toks, _member_of(self.positive))),
+            "_nneg": F.size(F.filter(toks, _member_of(self.negative))),
+            **mentions,
+        })
+        n_pos, n_neg = F.col("_npos"), F.col("_nneg")
         polarity = F.when(n_pos > n_neg, "POS").when(n_neg > n_pos, "NEG").otherwise("NEU")
         out = []
         for a in ASPECTS:
-            words = self.aspect_words.get(a, [])
-            mentioned = F.exists(toks, _member_of(words)) if words else F.lit(False)
+            mentioned = F.col(f"_m_{a}")
             if a == "General":
                 mentioned = mentioned | (n_pos + n_neg > 0)
             out.append(F.when(mentioned, polarity).otherwise("NONE"))
-        return F.when(toks.isNull(), F.lit(None)).otherwise(aspect_map(F.array(*out)))
-
-    def score(self, df: DataFrame, text_col: str) -> DataFrame:
-        # Tokens in their own projection: Catalyst will not inline an expensive
-        # alias that is referenced many times, so the regex runs once per row.
-        with_toks = df.withColumn("_toks", tokens(text_col))
-        return with_toks.withColumn(self.output, self.sentiments(F.col("_toks"))).drop("_toks")
+        result = F.when(toks.isNull(), F.lit(None)).otherwise(aspect_map(F.array(*out)))
+        return step2.withColumn(self.output, result).drop("_toks", "_npos", "_nneg", *mentions)
 
 
 def widen(df: DataFrame, map_col: str = "aspect_sentiments", aspects: list[str] = ASPECTS, drop: bool = True) -> DataFrame:

@@ -8,7 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import pin_utc
+from ..session import pin_utc, spread
+
+# Tables whose rows carry heavy per-row work (text, payloads, scoring).
+HEAVY = {"documents", "pages", "lineitem", "conversations"}
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -20,7 +23,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
     pin_utc(spark)
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread(df) if name in HEAVY else df
 
 
 def register_views(spark: SparkSession, sf_dir: str) -> None:

@@ -58,3 +58,16 @@ def fresh_path(spark: SparkSession, *parts: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, "aspectra", *parts, uuid.uuid4().hex)
+
+
+def spread(df, min_partitions: int | None = None):
+    """Round-robin the rows over the cluster when a scan yields fewer partitions
+    than there are task slots (a single-row-group file, a one-partition topic),
+    before CPU-heavy per-row work. Large inputs already have more partitions
+    than slots, so at scale this adds no shuffle."""
+    if df.isStreaming:
+        return df
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
