@@ -51,7 +51,12 @@ def parse_map(text: Column, ddl: str = SERIES_DDL) -> Column:
 def parse_envelope(env: DataFrame, ddl: str, keep: tuple[str, ...] = ("topic", "partition", "offset", "timestamp")) -> DataFrame:
     """Envelope -> envelope metadata + ``data`` struct (+ the raw text for dead letters)."""
     text = value_text("value")
-    return env.select(*keep, text.alias("raw"), parse_json(text, ddl).alias("data"))
+    # The parse sits in a one-element Generate: a later filter on ``data`` (the
+    # dead-letter split) cannot be pushed below a generator's output, so the JSON
+    # is parsed once, after any repartition, instead of once in the pushed-down
+    # filter and again in the projection.
+    one = F.array(F.struct(text.alias("raw"), parse_json(text, ddl).alias("data")))
+    return env.select(*keep, F.inline(one))
 
 
 def is_dead(parsed: DataFrame) -> Column:
