@@ -222,29 +222,25 @@ def threshold(scores: DataFrame, col: str, q: float = FOREST_CONTAMINATION, accu
 
 
 def _threshold(scores: DataFrame, s: Column, q: float, accuracy: int) -> float:
-    n = scores.count()
+    delta = 2.0 / accuracy
+    first = scores.agg(F.count(F.lit(1)).alias("n"),
+                       F.percentile_approx(s, [max(0.0, q - delta), min(1.0, q + delta)], accuracy).alias("b")).first()
+    n, (lo, hi) = first["n"], first["b"] or (None, None)
     if n == 0:
         return float("nan")
     h = q * (n - 1)
     lo_rank, hi_rank = math.floor(h), math.ceil(h)
-    delta = 2.0 / accuracy
     while True:
-        qs = [max(0.0, q - delta), min(1.0, q + delta)]
-        lo, hi = scores.agg(F.percentile_approx(s, qs, accuracy).alias("b")).first()["b"]
-        row = scores.agg(
-            F.count_if(s < lo).alias("below"),
-            F.count_if((s >= lo) & (s <= hi)).alias("inside"),
-        ).first()
+        row = scores.agg(F.count_if(s < lo).alias("below"), F.count_if((s >= lo) & (s <= hi)).alias("inside")).first()
         below, inside = row["below"], row["inside"]
         if below <= lo_rank and below + inside - 1 >= hi_rank:
             break
-        if qs == [0.0, 1.0]:
+        if delta >= 1.0:
             below, inside, lo, hi = 0, n, None, None
             break
         delta *= 4
-    sub = scores
-    if lo is not None:
-        sub = sub.filter((s >= lo) & (s <= hi))
+        lo, hi = scores.agg(F.percentile_approx(s, [max(0.0, q - delta), min(1.0, q + delta)], accuracy)).first()[0]
+    sub = scores if lo is None else scores.filter((s >= lo) & (s <= hi))
     local = (h - below) / (inside - 1) if inside > 1 else 0.0
     return float(sub.agg(F.percentile(s, F.lit(local)).alias("p")).first()["p"])
 

@@ -47,6 +47,8 @@ def derby_url(spark: SparkSession, name: str) -> str:
 DERBY_PROPS = {"driver": "org.apache.derby.iapi.jdbc.AutoloadedDriver"}
 RESULT_COLUMNS = ["review", *ASPECTS]
 RESULT_RENAME = {"review": "ReviewText"}
+# Short text columns as VARCHAR (the default mapping would make every string a CLOB).
+RESULT_TYPES = ", ".join([f"{a} VARCHAR(8)" for a in ASPECTS] + ["src_topic VARCHAR(256)"])
 
 
 def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches: bool) -> DataFrame:
@@ -55,7 +57,8 @@ def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches:
     between the write and the commit; the idempotent sink must store it once."""
     path = topic_files(spark, env, name)
     url = derby_url(spark, name)
-    sink = jdbc_batch_sink(url, "absa_results", RESULT_COLUMNS, DERBY_PROPS, rename=RESULT_RENAME)
+    sink = jdbc_batch_sink(url, "absa_results", RESULT_COLUMNS, DERBY_PROPS, rename=RESULT_RENAME,
+                           column_types=RESULT_TYPES)
 
     def batch(df, batch_id):
         sink(df, batch_id)

@@ -39,7 +39,8 @@ def jdbc_reader(spark: SparkSession, url: str, table: str, props: dict[str, str]
 
 
 def jdbc_batch_sink(url: str, table: str, columns: list[str], props: dict[str, str] | None = None,
-                    rename: dict[str, str] | None = None, preview_rows: int = 5) -> BatchFn:
+                    rename: dict[str, str] | None = None, preview_rows: int = 5,
+                    column_types: str | None = None) -> BatchFn:
     """``foreachBatch`` writer: append the batch to ``table`` exactly once.
 
     The batch is persisted for its several actions and always unpersisted. Rows
@@ -50,6 +51,7 @@ def jdbc_batch_sink(url: str, table: str, columns: list[str], props: dict[str, s
     """
     props = dict(props or {})
     rename = dict(rename or {})
+    write_props = dict(props, **({"createTableColumnTypes": column_types} if column_types else {}))
 
     def write(batch_df: DataFrame, batch_id: int) -> None:
         batch_df.persist()
@@ -70,7 +72,7 @@ def jdbc_batch_sink(url: str, table: str, columns: list[str], props: dict[str, s
             except Exception as e:  # table not created yet: nothing stored  # noqa: BLE001
                 if "does not exist" not in str(e) and "TABLE_OR_VIEW_NOT_FOUND" not in str(e):
                     raise
-            out.write.jdbc(url, table, mode="append", properties=props)
+            out.write.jdbc(url, table, mode="append", properties=write_props)
         finally:
             batch_df.unpersist()
 
