@@ -32,13 +32,13 @@ def group_flat(flat: Column | str, groups: int = len(ASPECTS), width: int = len(
 
 def index_to_sentiment(idx: Column) -> Column:
     """Class index 0..3 -> NONE/NEG/POS/NEU (null outside the domain)."""
-    return F.element_at(F.array(*[F.lit(s) for s in SENTIMENTS]), idx + 1)
+    return F.try_element_at(F.array(*[F.lit(s) for s in SENTIMENTS]), idx + 1)
 
 
 def index_to_label(idx: Column, default: int = UNKNOWN_LABEL) -> Column:
     """Class index 0..3 -> label -1/0/1/2, anything else -> ``default``."""
     labels = F.create_map(*[x for i, v in enumerate(LABEL_VALUES) for x in (F.lit(i), F.lit(v))])
-    return F.coalesce(F.element_at(labels, idx), F.lit(default)).cast("int")
+    return F.coalesce(F.try_element_at(labels, idx), F.lit(default)).cast("int")
 
 
 def sentiment_to_label(sent: Column) -> Column:

@@ -60,11 +60,19 @@ def parse_envelope(env: DataFrame, ddl: str, keep: tuple[str, ...] = ("topic", "
 
 
 def is_dead(parsed: DataFrame) -> Column:
-    """A message is dead when its payload is missing, not JSON, or not an object."""
+    """A message is dead when its payload is missing, not JSON, or not an object.
+
+    A JSON object whose fields only partly fit the schema (a label ``1.5`` or
+    ``"2"`` for an INT) keeps the fields that fit; the others read as null, as a
+    plain ``from_json`` gives them."""
+    fields = [f.name for f in parsed.schema["data"].dataType.fields if f.name != CORRUPT]
+    nothing_parsed = F.lit(True)
+    for f in fields:
+        nothing_parsed = nothing_parsed & F.col(f"data.{f}").isNull()
     return (
         F.col("raw").isNull()
         | F.col("data").isNull()
-        | F.col(f"data.{CORRUPT}").isNotNull()
+        | (F.col(f"data.{CORRUPT}").isNotNull() & nothing_parsed)
     )
 
 

@@ -62,13 +62,13 @@ def parse_series(env: DataFrame) -> DataFrame:
 
 
 def replay_gaps(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak: str = "offset",
-                speed: float = 10.0, bucket: str = "1 hour") -> DataFrame:
+                speed: float = 10.0, bucket_seconds: int = 3600) -> DataFrame:
     """Adds ``gap_s`` (seconds since the previous point of the series, / speed; 0 for
     the first point) and ``offset_s`` (seconds since the series' first point, / speed).
     Points with a null timestamp get null for both."""
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
-    b = F.window(F.col(ts), bucket).start
-    base = points.withColumn("_us", micros).withColumn("_b", b)
+    base = points.withColumn("_us", micros)
+    base = base.withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_seconds * 1_000_000)))  # null ts -> null bucket
 
     per_bucket = base.filter(F.col("_us").isNotNull()).groupBy(key, "_b").agg(
         F.max("_us").alias("_last_us"), F.min("_us").alias("_first_us"))
