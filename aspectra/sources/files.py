@@ -13,8 +13,7 @@ CSV_OPTIONS = {
     "multiLine": "true",
     "ignoreLeadingWhiteSpace": "false",
     "ignoreTrailingWhiteSpace": "false",
-    "nullValue": "",
-    "emptyValue": '""',
+    "nullValue": "\\N",   # null as \N, so an empty string ("") stays an empty string
 }
 
 

@@ -31,7 +31,8 @@ def foreach_batch(df: DataFrame, fn: BatchFn, checkpoint: str, trigger: str | No
 
 
 def run_available(writer: DataStreamWriter, timeout_s: float = 600.0) -> StreamingQuery:
-    """Run a query with the available-now trigger to completion; raise its error."""
+    """Run a query with the available-now trigger to completion; a failure raises
+    ``StreamingQueryException`` and leaves the failed batch uncommitted."""
     q = with_trigger(writer, "available").start()
     finished = q.awaitTermination(timeout_s)
     if not finished:
@@ -62,7 +63,7 @@ def retrying(start, attempts: int = 5, limit_s: float = 3000.0) -> int:
         try:
             bounded_run(start(), limit_s)
             return i
-        except RuntimeError as e:
+        except Exception as e:  # StreamingQueryException or a sink error  # noqa: BLE001
             log.warning("attempt %s failed: %s", i, e)
             if i == attempts:
                 raise
