@@ -19,6 +19,8 @@ WORD_CLASS = r"\p{L}\p{N}_"
 # space, U+0085, U+00A0, U+1680, U+2000-U+200A, U+2028, U+2029, U+202F, U+205F, U+3000
 SPACE_CLASS = r"\t\n\x{0B}\f\r\x{1C}-\x{1F} \x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
 DIGIT_CLASS = r"\p{Nd}"
+SPACE_CHARS = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680" + "".join(chr(c) for c in range(0x2000, 0x200B)) \
+    + "\u2028\u2029\u202f\u205f\u3000"
 # --- end of fixed values ---
 
 TOKEN_PATTERN = f"([{WORD_CLASS}]+)"
@@ -38,10 +40,12 @@ def tokens(col: Column | str) -> Column:
 
 
 def clean_text(col: Column | str) -> Column:
-    """Lower-case, drop non-word non-space characters, drop digit runs, strip."""
-    t = F.regexp_replace(lower_text(col), f"[^{WORD_CLASS}{SPACE_CLASS}]", "")
-    t = F.regexp_replace(t, f"{DIGIT_CLASS}+", "")
-    return F.regexp_replace(t, f"^[{SPACE_CLASS}]+|[{SPACE_CLASS}]+$", "")
+    """Lower-case, drop non-word non-space characters, drop digit runs, strip.
+
+    Deleting a character never changes how another one is classified, so the
+    two deletions run as one regex pass; the strip is a character-set trim."""
+    t = F.regexp_replace(lower_text(col), f"(?:[^{WORD_CLASS}{SPACE_CLASS}]|{DIGIT_CLASS})+", "")
+    return F.trim(t, F.lit(SPACE_CHARS))
 
 
 def cut(ids: Column, max_len: int, truncate: str = "head") -> Column:

@@ -63,29 +63,35 @@ def confusion_counts(df: DataFrame, pairs: list[tuple[str, str, str]]) -> DataFr
 def eval_metrics(df: DataFrame, pairs: list[tuple[str, str, str]], digits: int = 6) -> DataFrame:
     """Per aspect: n, accuracy and support-weighted F1 (the ``f1`` of Spark's
     multiclass evaluator: sum over true classes k of n_k/N * 2 tp_k / (n_k + m_k)).
-    Aspects without labelled rows are reported with n = 0 and null metrics."""
-    conf = confusion_counts(df, pairs)
-    truth = conf.groupBy("Aspect", "label").agg(
-        F.sum("n").alias("n_k"),
-        F.sum(F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)).alias("tp_k"),
+    Aspects without labelled rows are reported with n = 0 and null metrics.
+
+    Each labelled (label, prediction) pair adds to two class cells: the true
+    class (n_k, tp_k) and the predicted class (m_k). One partial aggregate over
+    (aspect, class) and one over aspect give every metric: two small shuffles,
+    no joins."""
+    rows = F.array(*[
+        F.struct(F.lit(a).alias("Aspect"), F.col(t).cast("double").alias("label"), F.col(p).cast("double").alias("prediction"))
+        for a, t, p in pairs
+    ])
+    long = df.select(F.inline(rows)).na.drop(subset=["label", "prediction"])
+    hit = (F.col("label") == F.col("prediction")).cast("long")
+    cells = F.array(
+        F.struct(F.col("label").alias("k"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("m"), hit.alias("tp")),
+        F.struct(F.col("prediction").alias("k"), F.lit(0).cast("long").alias("n"), F.lit(1).cast("long").alias("m"), F.lit(0).cast("long").alias("tp")),
     )
-    pred = conf.groupBy("Aspect", F.col("prediction").alias("label")).agg(F.sum("n").alias("m_k"))
-    per_class = truth.join(pred, ["Aspect", "label"], "left").fillna(0, subset=["m_k"])
+    spark = df.sparkSession
+    # every aspect appears once with no class, so aspects without labels are kept
+    names = spark.createDataFrame([(a, None, 0, 0, 0) for a, _, _ in pairs], "Aspect STRING, k DOUBLE, n LONG, m LONG, tp LONG")
+    per_class = long.select("Aspect", F.inline(cells)).unionByName(names).groupBy("Aspect", "k").agg(
+        F.sum("n").alias("n_k"), F.sum("m").alias("m_k"), F.sum("tp").alias("tp_k"))
     f1_k = F.when(F.col("tp_k") > 0, 2.0 * F.col("tp_k") / (F.col("n_k") + F.col("m_k"))).otherwise(F.lit(0.0))
     per_aspect = per_class.groupBy("Aspect").agg(
-        F.sum("n_k").alias("n"),
-        F.sum("tp_k").alias("tp"),
-        F.sum(F.col("n_k") * f1_k).alias("wf1"),
-    )
-    spark = df.sparkSession
-    names = spark.createDataFrame([(a, i) for i, (a, _, _) in enumerate(pairs)], "Aspect STRING, ord INT")
-    out = names.join(per_aspect, "Aspect", "left")
-    n = F.coalesce(F.col("n"), F.lit(0)).cast("bigint")
-    return out.select(
+        F.sum("n_k").alias("n"), F.sum("tp_k").alias("tp"), F.sum(F.col("n_k") * f1_k).alias("wf1"))
+    return per_aspect.select(
         "Aspect",
-        n.alias("n"),
-        F.round(F.col("tp") / F.col("n"), digits).alias("accuracy"),
-        F.round(F.col("wf1") / F.col("n"), digits).alias("f1"),
+        F.col("n").cast("bigint").alias("n"),
+        F.round(F.when(F.col("n") > 0, F.col("tp") / F.col("n")), digits).alias("accuracy"),
+        F.round(F.when(F.col("n") > 0, F.col("wf1") / F.col("n")), digits).alias("f1"),
     )
 
 
