@@ -186,14 +186,18 @@ class CnnScorer(Scorer):
         self._bc = spark.sparkContext.broadcast((vocab, weights))
 
     @classmethod
-    def from_vocabulary_df(cls, spark: SparkSession, vocab_df: DataFrame, weights=None, seed: int = 42, **kw) -> CnnScorer:
-        rows = vocab_df.select("token", "id").collect()  # artefact, bounded by its builder's size
+    def from_vocabulary_df(cls, spark: SparkSession, vocab_df: DataFrame, weights=None, seed: int = 42,
+                           max_vocab: int = 1_000_000, **kw) -> CnnScorer:
+        n = vocab_df.count()
+        if n > max_vocab:
+            raise ValueError(f"vocabulary has {n} entries, above the broadcast limit {max_vocab}")
+        rows = vocab_df.select("token", "id").collect()  # bounded artefact (checked above)
         vocab = {r.token: int(r.id) for r in rows}
         vocab.setdefault("<pad>", PAD_ID)
         vocab.setdefault("<unk>", UNK_ID)
         if weights is None:
             weights = random_cnn_weights(max(vocab.values()) + 1, seed)
-        return cls(spark, vocab, weights, **kw)
+        return cls(spark, vocab, weights, max_vocab=max_vocab, **kw)
 
     def probabilities(self, toks: Column) -> Column:
         bc, max_len = self._bc, self.max_len

@@ -65,7 +65,7 @@ def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches:
         if replay_batches:
             sink(df, batch_id)
 
-    scored = with_source_key(score_stream(stream_envelope_files(spark, path, max_files_per_trigger=2)))
+    scored = with_source_key(score_stream(stream_envelope_files(spark, path, max_files_per_trigger=4)))
     runner.run_available(runner.foreach_batch(scored, batch, fresh_path(spark, name, "checkpoint"),
                                               trigger="available", name=f"{name}_{uuid.uuid4().hex[:8]}"))
     return jdbc_reader(spark, url, "absa_results", DERBY_PROPS)

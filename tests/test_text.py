@@ -82,3 +82,15 @@ def test_vocabulary_order(spark):
     df = spark.createDataFrame([("b a a c c",), ("b",)], "t STRING")
     v = {r.token: r.id for r in tx.build_vocabulary(df, "t", size=2).collect()}
     assert v == {"a": 2, "b": 3}  # counts tie at 2: token order decides; 'c' cut by size
+
+
+@pytest.mark.parametrize("table,col", [("documents", "text"), ("conversations", "text"), ("benchmark", "text")])
+def test_parity_on_whole_fixture_texts(spark, table, col):
+    df = spark.read.parquet(f"/root/testdata/sf0.001/{table}.parquet").select(col)
+    rows = df.select(col, tx.tokens(col).alias("k"), tx.clean_text(col).alias("c")).collect()
+    assert rows
+    for r in rows:
+        if r[col] is None:
+            continue
+        assert r.k == py_tokens(r[col])
+        assert r.c == py_clean(r[col])
