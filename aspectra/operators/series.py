@@ -10,6 +10,11 @@ of each bucket takes its predecessor from the previous non-empty bucket, read
 from a small per-bucket aggregate. The offset since the series start is
 ``(ts - min(ts)) / speed`` — the running sum of gaps telescopes — so it needs
 only a grouped minimum.
+
+The per-bucket aggregate reads the input a second time (column pruning gives
+it its own narrower scan); it is a partial aggregate, so its shuffle holds one
+row per (series, bucket) per partition. That second pass is the price of never
+sorting a whole series in one task.
 """
 
 from __future__ import annotations
