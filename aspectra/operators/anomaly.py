@@ -201,7 +201,9 @@ def score_points(spark: SparkSession, forest: Forest, points: Column) -> Column:
         off = pc.subtract(recs.offsets, recs.offsets[0])
         return pa.ListArray.from_arrays(off, pa.array(s, pa.float64()), mask=recs.is_null())
 
-    return forest_scores(points)
+    # Non-deterministic for the optimizer only: a filter on the scores (the
+    # verdict) must not be pushed through the projection and re-run the model.
+    return forest_scores.asNondeterministic()(points)
 
 
 def threshold(scores: DataFrame, col: str, q: float = FOREST_CONTAMINATION, accuracy: int = 100_000) -> float:

@@ -219,7 +219,8 @@ class CnnScorer(Scorer):
                 probs = cnn_forward(ids, weights) if n else np.zeros((0, 1, 1), np.float32)
                 yield pd.Series([p.tolist() if v else None for p, v in zip(probs, valid)])
 
-        return cnn_probs(toks)
+        # Marked non-deterministic so a filter on the output never re-runs the model.
+        return cnn_probs.asNondeterministic()(toks)
 
     def score(self, df: DataFrame, text_col: str, keep_probs: bool = False) -> DataFrame:
         with_toks = df.withColumn("_toks", cut(tokens(text_col), self.max_len, self.truncate))
