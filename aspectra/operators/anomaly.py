@@ -33,6 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..config import FOREST_CONTAMINATION, FOREST_SAMPLE, FOREST_SEED, FOREST_TREES
+from ..functions.timefn import utc_now_iso
 
 EULER_GAMMA = 0.5772156649015329
 NODE_DDL = "tree INT, node INT, feature INT, threshold DOUBLE, left INT, right INT, leaf_len DOUBLE"
@@ -273,4 +274,4 @@ def synthetic_transactions(ids: DataFrame, id_col: str, seed: int = 7, outlier_p
     y = F.when(u <= outlier_p, F.rand(seed + 4) * 8 - 4).otherwise(F.randn(seed + 5) * 0.3 + centre)
     return ids.select(F.col(id_col).cast("bigint").alias("id"),
                       F.array(F.array(F.round(x, 3), F.round(y, 3))).alias("data"),
-                      F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("current_time"))
+                      utc_now_iso().alias("current_time"))

@@ -171,6 +171,37 @@ def load_vocabulary(spark: SparkSession, path: str, max_entries: int = 1_000_000
     return spark.createDataFrame(list(vocab.items()), "token STRING, id INT")
 
 
+_ARTEFACTS: dict[str, tuple[dict[str, int], dict[str, np.ndarray]]] = {}
+
+
+def file_digest(path: str) -> str:
+    import hashlib
+
+    h = hashlib.sha256()
+    with open(path, "rb") as fh:
+        for chunk in iter(lambda: fh.read(1 << 20), b""):
+            h.update(chunk)
+    return h.hexdigest()
+
+
+def load_artefacts(vocab_path: str, weights_path: str) -> tuple[dict[str, int], dict[str, np.ndarray]]:
+    """Vocabulary + weights, loaded once per worker process and cached by file
+    digest. The cache entry is assigned only after both files loaded completely,
+    so a failed load raises every time instead of leaving a half-built model."""
+    key = file_digest(vocab_path) + ":" + file_digest(weights_path)
+    hit = _ARTEFACTS.get(key)
+    if hit is not None:
+        return hit
+    with open(vocab_path, encoding="utf-8") as fh:
+        vocab = {str(k): int(v) for k, v in json.load(fh).items()}
+    weights = load_weights(weights_path)
+    missing = {"embedding", "conv_w", "conv_b", "dense_w", "dense_b", "heads_w", "heads_b"} - set(weights)
+    if missing:
+        raise ValueError(f"weights file lacks {sorted(missing)}")
+    _ARTEFACTS[key] = (vocab, weights)
+    return vocab, weights
+
+
 class CnnScorer(Scorer):
     """CNN inference: JVM tokenises and cuts to ``max_len`` tokens; one Arrow UDF
     maps tokens to ids (broadcast vocabulary) and runs the forward pass; argmax
@@ -185,6 +216,16 @@ class CnnScorer(Scorer):
         self.max_len, self.truncate = max_len, truncate
         self._bc = spark.sparkContext.broadcast((vocab, weights))
 
+    @classmethod
+    def from_files(cls, spark: SparkSession, vocab_path: str, weights_path: str, **kw) -> CnnScorer:
+        """Artefacts on a path every executor can read: only the paths are
+        broadcast; each worker loads (and caches) the files itself."""
+        self = cls.__new__(cls)
+        self.max_len, self.truncate = kw.get("max_len", HEAD_MAX_LEN), kw.get("truncate", "head")
+        load_artefacts(vocab_path, weights_path)  # fail fast on the driver
+        self._bc = spark.sparkContext.broadcast(("paths", vocab_path, weights_path))
+        return self
+
     @classmethod
     def from_vocabulary_df(cls, spark: SparkSession, vocab_df: DataFrame, weights=None, seed: int = 42,
                            max_vocab: int = 1_000_000, **kw) -> CnnScorer:
@@ -204,7 +245,8 @@ class CnnScorer(Scorer):
 
         @F.pandas_udf(T.ArrayType(T.ArrayType(T.FloatType())))
         def cnn_probs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            vocab, weights = bc.value  # loaded once per task
+            value = bc.value
+            vocab, weights = load_artefacts(value[1], value[2]) if value[0] == "paths" else value
             unk, pad_id = vocab.get("<unk>", UNK_ID), vocab.get("<pad>", PAD_ID)
             for toks_batch in batches:
                 n = len(toks_batch)

@@ -75,6 +75,12 @@ def payload_messages(pages: DataFrame, topic: str = "pages") -> DataFrame:
     return to_envelope(pages, F.col("html").cast("binary"), topic, F.col("page_id"), key=F.col("url"))
 
 
+def constant_messages(df: DataFrame, payload: bytes, topic: str = "items", position: str | None = None) -> DataFrame:
+    """The same raw payload once per input row (a hello-world producer)."""
+    pos = F.col(position) if position else F.monotonically_increasing_id()
+    return to_envelope(df, F.lit(bytearray(payload)), topic, pos)
+
+
 # ---------------------------------------------------------------- readers
 
 def kafka_options(servers: str, topic: str, starting: str = "earliest", **extra: str) -> dict[str, str]:

@@ -85,3 +85,68 @@ def test_oracle_small(spark, name):
                 assert x == pytest.approx(y, abs=1e-6)
             else:
                 assert x == y
+
+
+def test_cnn_from_files_and_failed_load(spark, scratch):
+    import json as _json
+
+    from aspectra.operators.scoring import load_artefacts, save_weights
+
+    vocab = {"<pad>": 0, "<unk>": 1, "good": 2, "price": 3}
+    vp, wp = scratch + "/vocab.json", scratch + "/w.npz"
+    with open(vp, "w") as fh:
+        _json.dump(vocab, fh)
+    save_weights(random_cnn_weights(4, seed=5), wp)
+    df = spark.createDataFrame([(1, "good price"), (2, None)], "k INT, t STRING")
+    a = {r.k: r.Price for r in widen(CnnScorer.from_files(spark, vp, wp).score(df, "t")).collect()}
+    b = {r.k: r.Price for r in widen(CnnScorer(spark, vocab, random_cnn_weights(4, seed=5)).score(df, "t")).collect()}
+    assert a == b
+    bad = scratch + "/bad.npz"
+    np.savez(bad, embedding=np.zeros((4, 128), np.float32))
+    for _ in range(2):  # the failure is not cached
+        with pytest.raises(ValueError, match="lacks"):
+            load_artefacts(vp, bad)
+
+
+def test_forest_save_load(spark, scratch):
+    from aspectra.operators import anomaly as AN
+
+    pts = AN.training_points(spark, 200).withColumn("k", F.col("id").cast("string"))
+    nodes = AN.fit(pts, ["x", "y"], "k", trees=4, psi=64)
+    AN.save(nodes, scratch + "/forest", 64, ["x", "y"])
+    back, meta = AN.load(spark, scratch + "/forest")
+    assert meta["psi"] == 64 and back.count() == nodes.count()
+    x = np.array([[2.0, 2.0], [-4.0, 4.0]])
+    assert np.allclose(AN.Forest.from_frame(back, 64).scores(x), AN.Forest.from_frame(nodes, 64).scores(x))
+
+
+def test_constant_payload_and_utc_now(spark):
+    from aspectra.functions.timefn import utc_now_iso
+    from aspectra.sources.envelope import constant_messages
+
+    env = constant_messages(spark.range(100), b"Hello Kafka Python!!!")
+    assert env.select("value").distinct().count() == 1 and env.count() == 100
+    t = spark.range(1).select(utc_now_iso().alias("t")).first().t
+    assert len(t) == 26 and t[10] == "T"
+
+
+def test_bounded_run_and_console(spark, scratch):
+    from aspectra.sources.envelope import review_messages, stream_envelope_files, write_envelope_files
+    from aspectra.streaming import runner
+    from aspectra.streaming.sinks import console_writer
+
+    docs = spark.read.parquet(f"{SF0001}/documents.parquet").limit(3)
+    path = write_envelope_files(review_messages(docs), scratch + "/t")
+    src = stream_envelope_files(spark, path).select("offset")
+    q = console_writer(src, truncate=False, with_arrival=True).option("checkpointLocation", scratch + "/c") \
+        .trigger(processingTime="1 second").start()
+    assert runner.bounded_run(q, 3) is False and not q.isActive   # stopped by the time limit
+    calls = []
+
+    def start():
+        calls.append(1)
+        if len(calls) == 1:
+            raise RuntimeError("first attempt fails")
+        return runner.with_trigger(console_writer(src).option("checkpointLocation", scratch + "/c2"), "available").start()
+
+    assert runner.retrying(start, attempts=3, limit_s=60) == 2
