@@ -88,6 +88,8 @@ def token_ids(
     max_len: int = HEAD_MAX_LEN,
     truncate: str = "head",
     unk_id: int = UNK_ID,
+    oov: str = "unk",
+    known: list[str] | None = None,
 ) -> DataFrame:
     """(key, ids) with ids = vocabulary ids of the tokens, cut then padded to ``max_len``.
 
@@ -96,9 +98,20 @@ def token_ids(
     size is bounded when it is built (``build_vocabulary``'s ``size``) or loaded
     (``load_vocabulary`` checks the entry count).
     Null text gives null ids.
+
+    ``oov="drop"`` removes tokens outside the vocabulary *before* the cut (a
+    Keras-style tokenizer without an OOV token); ``known`` is then the
+    vocabulary's token list (bounded), tested as a hash-set membership.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    kept = df.select(*keys, cut(tokens(text_col), max_len, truncate).alias("toks"))
+    toks = tokens(text_col)
+    if oov == "drop":
+        if known is None:
+            raise ValueError("oov='drop' needs the vocabulary tokens in `known`")
+        toks = F.filter(toks, lambda t: t.isin(*known))
+    elif oov != "unk":
+        raise ValueError("oov must be 'unk' or 'drop'")
+    kept = df.select(*keys, cut(toks, max_len, truncate).alias("toks"))
     exploded = kept.select(*keys, F.col("toks").isNull().alias("is_null"), F.posexplode_outer("toks").alias("pos", "token"))
     joined = exploded.join(F.broadcast(vocab.select("token", "id")), "token", "left")
     entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unk_id)).alias("id")))

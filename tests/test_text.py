@@ -94,3 +94,10 @@ def test_parity_on_whole_fixture_texts(spark, table, col):
             continue
         assert r.k == py_tokens(r[col])
         assert r.c == py_clean(r[col])
+
+
+def test_token_ids_drop_oov_then_tail(spark):
+    df = spark.createDataFrame([(1, "zz a b zz c a")], "k INT, t STRING")
+    vocab = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "token STRING, id INT")
+    out = tx.token_ids(df, "k", "t", vocab, max_len=3, truncate="tail", oov="drop", known=["a", "b", "c"]).first()
+    assert out.ids == [2, 3, 1]      # zz dropped, last three known ids kept
