@@ -4,17 +4,16 @@ A series point travels as a one-key JSON map ``{"<timestamp text>": value}``
 keyed by the series name. Replay gaps are the time between consecutive points
 of a series divided by a speed factor.
 
-Gaps do not use one window over a whole series (a hot series would land in a
-single task). Points are windowed per (series, time bucket); the first point
-of each bucket takes its predecessor from the previous non-empty bucket, read
-from a small per-bucket aggregate. The offset since the series start is
+Gaps never window over a whole series (a hot series would land in one task,
+and so would a burst inside a fixed time bucket). Each series is cut into
+chunks at its own time quantiles (``percentile_approx`` per series: a mergeable
+partial aggregate, one small row per series), so a series holding a third of
+all points spans many chunks of similar size. A point's chunk is a function of
+its own timestamp, so every branch of the plan agrees on it. Gaps are windowed
+per (series, chunk); the first point of each chunk takes its predecessor from a
+small per-chunk aggregate. The offset since the series start is
 ``(ts - min(ts)) / speed`` — the running sum of gaps telescopes — so it needs
-only a grouped minimum.
-
-The per-bucket aggregate reads the input a second time (column pruning gives
-it its own narrower scan); it is a partial aggregate, so its shuffle holds one
-row per (series, bucket) per partition. That second pass is the price of never
-sorting a whole series in one task.
+only the per-chunk minimum.
 """
 
 from __future__ import annotations
@@ -67,29 +66,38 @@ def parse_series(env: DataFrame) -> DataFrame:
 
 
 def replay_gaps(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak: str = "offset",
-                speed: float = 10.0, bucket_seconds: int = 3600) -> DataFrame:
+                speed: float = 10.0, chunks: int | None = None) -> DataFrame:
     """Adds ``gap_s`` (seconds since the previous point of the series, / speed; 0 for
     the first point) and ``offset_s`` (seconds since the series' first point, / speed).
     Points with a null timestamp get null for both."""
+    spark = points.sparkSession
+    n = chunks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
-    base = points.withColumn("_us", micros)
-    base = base.withColumn("_b", F.floor(F.col("_us") / F.lit(bucket_seconds * 1_000_000)))  # null ts -> null bucket
-
-    per_bucket = base.filter(F.col("_us").isNotNull()).groupBy(key, "_b").agg(
+    pts = points.withColumn("_us", micros)
+    qs = [i / n for i in range(1, n)]
+    bounds = pts.groupBy(key).agg(
+        (F.percentile_approx("_us", qs, 10_000) if qs else F.array().cast("array<bigint>")).alias("_bounds"))
+    # one small row per series, used by both branches below: computed once and
+    # kept in the shared checkpoint folder rather than re-aggregated per branch
+    bounds = bounds.checkpoint()
+    # chunk = number of the series' quantile bounds below the point's time
+    chunk = F.when(F.col("_us").isNotNull(), F.size(F.filter("_bounds", lambda b: b < F.col("_us"))))
+    base = pts.join(bounds, key, "left").withColumn("_b", chunk).drop("_bounds")
+
+    per_chunk = base.filter(F.col("_us").isNotNull()).groupBy(key, "_b").agg(
         F.max("_us").alias("_last_us"), F.min("_us").alias("_first_us"))
-    # One row per non-empty (series, bucket): previous bucket's last point, series start.
-    w_b = Window.partitionBy(key).orderBy("_b")
-    carry = per_bucket.select(
+    w_b = Window.partitionBy(key).orderBy("_b")   # one row per (series, chunk): small
+    carry = per_chunk.select(
         key, "_b",
-        F.lag("_last_us").over(w_b).alias("_prev_bucket_us"),
+        F.lag("_last_us").over(w_b).alias("_prev_chunk_us"),
         F.min("_first_us").over(w_b.rowsBetween(Window.unboundedPreceding, Window.currentRow)).alias("_start_us"),
     )
     w = Window.partitionBy(key, "_b").orderBy("_us", tiebreak)
-    with_prev = base.withColumn("_prev_in_bucket", F.lag("_us").over(w))
+    with_prev = base.withColumn("_prev_in_chunk", F.lag("_us").over(w))
     joined = with_prev.join(carry, [key, "_b"], "left")
-    prev = F.coalesce(F.col("_prev_in_bucket"), F.col("_prev_bucket_us"))
+    prev = F.coalesce(F.col("_prev_in_chunk"), F.col("_prev_chunk_us"))
     gap = F.when(F.col("_us").isNull(), F.lit(None)).otherwise(
         F.coalesce((F.col("_us") - prev) / F.lit(1e6 * speed), F.lit(0.0)))
     offset = (F.col("_us") - F.col("_start_us")) / F.lit(1e6 * speed)
     return joined.withColumn("gap_s", gap).withColumn("offset_s", offset).drop(
-        "_us", "_b", "_prev_in_bucket", "_prev_bucket_us", "_start_us")
+        "_us", "_b", "_prev_in_chunk", "_prev_chunk_us", "_start_us")

@@ -22,7 +22,7 @@ def test_gap_edges(spark):
 def test_bucketed_equals_plain_window(spark):
     ev = spark.read.parquet(f"{SF001}/events.parquet")
     pts = ev.select(F.col("event_type").alias("series"), F.col("event_id").alias("offset"), "ts")
-    got = SR.replay_gaps(pts, bucket_seconds=420).select("offset", "gap_s", "offset_s")
+    got = SR.replay_gaps(pts, chunks=13).select("offset", "gap_s", "offset_s")
     us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
     w = Window.partitionBy("series").orderBy("ts", "offset")
     ref = pts.withColumn("u", us).select(
