@@ -77,9 +77,6 @@ def replay_gaps(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak
     qs = [i / n for i in range(1, n)]
     bounds = pts.groupBy(key).agg(
         (F.percentile_approx("_us", qs, 10_000) if qs else F.array().cast("array<bigint>")).alias("_bounds"))
-    # one small row per series, used by both branches below: computed once and
-    # kept in the shared checkpoint folder rather than re-aggregated per branch
-    bounds = bounds.checkpoint()
     # chunk = number of the series' quantile bounds below the point's time
     chunk = F.when(F.col("_us").isNotNull(), F.size(F.filter("_bounds", lambda b: b < F.col("_us"))))
     base = pts.join(bounds, key, "left").withColumn("_b", chunk).drop("_bounds")
