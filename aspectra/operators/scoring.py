@@ -14,10 +14,10 @@ null map; the row is kept.
 from __future__ import annotations
 
 import json
-from collections.abc import Iterator
-
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -202,6 +202,27 @@ def load_artefacts(vocab_path: str, weights_path: str) -> tuple[dict[str, int],
     return vocab, weights
 
 
+_INDEXES: dict[int, tuple] = {}
+
+
+def _resolve(value):
+    """Broadcast value -> (vocab, weights): either the artefacts or their paths."""
+    return load_artefacts(value[1], value[2]) if value[0] == "paths" else value
+
+
+def _vocab_index(vocab: dict[str, int]):
+    """pandas Index over the vocabulary tokens (built once per worker per vocabulary)."""
+    key = id(vocab)
+    hit = _INDEXES.get(key)
+    if hit is None or hit[0] is not vocab:
+        toks = list(vocab)
+        # the entry keeps a reference to `vocab`, so its id cannot be reused while cached
+        hit = (vocab, pd.Index(toks), np.array([vocab[t] for t in toks], np.int64),
+               vocab.get("<unk>", UNK_ID), vocab.get("<pad>", PAD_ID))
+        _INDEXES[key] = hit
+    return hit[1:]
+
+
 class CnnScorer(Scorer):
     """CNN inference: JVM tokenises and cuts to ``max_len`` tokens; one Arrow UDF
     maps tokens to ids (broadcast vocabulary) and runs the forward pass; argmax
@@ -243,23 +264,25 @@ class CnnScorer(Scorer):
     def probabilities(self, toks: Column) -> Column:
         bc, max_len = self._bc, self.max_len
 
-        @F.pandas_udf(T.ArrayType(T.ArrayType(T.FloatType())))
-        def cnn_probs(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-            value = bc.value
-            vocab, weights = load_artefacts(value[1], value[2]) if value[0] == "paths" else value
-            unk, pad_id = vocab.get("<unk>", UNK_ID), vocab.get("<pad>", PAD_ID)
-            for toks_batch in batches:
-                n = len(toks_batch)
-                ids = np.full((n, max_len), pad_id, np.int64)
-                valid = np.zeros(n, bool)
-                for i, tk in enumerate(toks_batch):
-                    if tk is None:
-                        continue
-                    valid[i] = True
-                    seq = [vocab.get(t, unk) for t in tk]
-                    ids[i, :len(seq)] = seq
-                probs = cnn_forward(ids, weights) if n else np.zeros((0, 1, 1), np.float32)
-                yield pd.Series([p.tolist() if v else None for p, v in zip(probs, valid)])
+        @F.arrow_udf(T.ArrayType(T.ArrayType(T.FloatType())))
+        def cnn_probs(batch: pa.Array) -> pa.Array:
+            vocab, weights = _resolve(bc.value)
+            index, ids_of, unk, pad_id = _vocab_index(vocab)
+            n = len(batch)
+            lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+            flat = batch.flatten().to_numpy(zero_copy_only=False)          # all tokens of the batch
+            pos = index.get_indexer(flat) if len(flat) else np.zeros(0, np.int64)   # vectorised hash lookup
+            flat_ids = np.where(pos >= 0, ids_of[np.maximum(pos, 0)], unk)
+            ids = np.full((n, max_len), pad_id, np.int64)
+            rows = np.repeat(np.arange(n), lengths)
+            cols = np.arange(len(flat_ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+            ids[rows, cols] = flat_ids
+            probs = cnn_forward(ids, weights) if n else np.zeros((0, 1, 1), np.float32)
+            a, c = probs.shape[1], probs.shape[2]
+            inner = pa.ListArray.from_arrays(pa.array(np.arange(0, n * a * c + 1, c, dtype=np.int32)),
+                                             pa.array(probs.reshape(-1), pa.float32()))
+            return pa.ListArray.from_arrays(pa.array(np.arange(0, n * a + 1, a, dtype=np.int32)), inner,
+                                            mask=batch.is_null())
 
         # Marked non-deterministic so a filter on the output never re-runs the model.
         return cnn_probs.asNondeterministic()(toks)
