@@ -207,30 +207,32 @@ def score_points(spark: SparkSession, forest: Forest, points: Column) -> Column:
     return forest_scores.asNondeterministic()(points)
 
 
-def threshold(scores: DataFrame, col: str, q: float = FOREST_CONTAMINATION, accuracy: int = 100_000) -> float:
+def threshold(scores: DataFrame, col: str, q: float = FOREST_CONTAMINATION, accuracy: int | None = None,
+              bracket_rows: int = 1_000_000) -> float:
     """Exact ``q`` quantile (linear interpolation, as ``percentile``/``quantile_cont``).
 
     Pass 1 finds an approximate bracket around rank ``q (N - 1)`` with
     ``approx_percentile`` (rank error <= N / accuracy); pass 2 counts rows below
     the bracket and takes the exact percentile of the rows inside it, which is
-    about ``4 N / accuracy`` rows instead of N. The bracket is widened until it
-    provably holds both order statistics needed.
+    about ``4 N / accuracy`` rows instead of N; by default the accuracy grows
+    with N so the bracket stays near ``bracket_rows`` rows. The bracket is
+    widened until it provably holds both order statistics needed.
     """
     s = F.col(col)
     scores = scores.select(col).filter(s.isNotNull()).persist()  # several passes over one column
     try:
-        return _threshold(scores, s, q, accuracy)
+        n = scores.count()
+        if n == 0:
+            return float("nan")
+        acc = accuracy or int(min(max(4 * n // bracket_rows, 10_000), 2_000_000_000))
+        return _threshold(scores, s, q, acc, n)
     finally:
         scores.unpersist()
 
 
-def _threshold(scores: DataFrame, s: Column, q: float, accuracy: int) -> float:
+def _threshold(scores: DataFrame, s: Column, q: float, accuracy: int, n: int) -> float:
     delta = 2.0 / accuracy
-    first = scores.agg(F.count(F.lit(1)).alias("n"),
-                       F.percentile_approx(s, [max(0.0, q - delta), min(1.0, q + delta)], accuracy).alias("b")).first()
-    n, (lo, hi) = first["n"], first["b"] or (None, None)
-    if n == 0:
-        return float("nan")
+    lo, hi = scores.agg(F.percentile_approx(s, [max(0.0, q - delta), min(1.0, q + delta)], accuracy)).first()[0]
     h = q * (n - 1)
     lo_rank, hi_rank = math.floor(h), math.ceil(h)
     while True:
