@@ -443,17 +443,17 @@ def q_anomaly_threshold(spark, sf):
     return scored.agg(F.count(F.lit(1)).alias("n_train")).select(F.round(F.lit(thr), 6).alias("threshold"), "n_train")
 
 
-@query("anomaly_alerts", f"""
+ANOMALY_ALERTS_SQL = f"""
     WITH s AS ({SCORES_SQL}), t AS (SELECT quantile_cont(score, {FOREST_CONTAMINATION}) AS thr FROM s)
     SELECT id, to_json({{'id': id, 'data': [[x, y]], 'current_time': current_time, 'score': [round(score, 3)]}})::VARCHAR AS value
-    FROM s, t WHERE score < thr""")
+    FROM s, t WHERE score < thr"""
+
+
+@query("anomaly_alerts", ANOMALY_ALERTS_SQL)
 def q_anomaly_alerts(spark, sf):
     scored = _scored_transactions(spark, sf)
     thr = AN.threshold(scored.select(F.col("scores")[0].alias("score")), "score", FOREST_CONTAMINATION)
-    flagged = scored.filter(AN.verdict(F.col("scores")[0], thr) == -1)
-    alerts = flagged.withColumn("score", F.transform("scores", lambda v: F.round(v, 3)))
-    from ..functions.json import encode_json
-    return alerts.select("id", encode_json("id", "data", "current_time", "score").alias("value"))
+    return alert_records(scored, thr)
 
 
 def _lineitem_points(spark, sf):
@@ -462,6 +462,30 @@ def _lineitem_points(spark, sf):
     return li.withColumn("k", F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
 
 
+def alert_records(scored: DataFrame, thr: float) -> DataFrame:
+    """Records whose first point scores below the threshold, as anomaly messages
+    (the transaction plus the rounded score of every point)."""
+    from ..functions.json import encode_json
+
+    flagged = scored.filter(AN.verdict(F.col("scores")[0], thr) == -1)
+    alerts = flagged.withColumn("score", F.transform("scores", lambda v: F.round(v, 3)))
+    return alerts.select("id", encode_json("id", "data", "current_time", "score").alias("value"))
+
+
+@query("anomaly_alerts_stream", ANOMALY_ALERTS_SQL)
+def q_anomaly_alerts_stream(spark, sf):
+    """Consume -> score -> filter -> produce as one streaming query (the alert
+    topic is the lake sink offline; ``kafka_stream_writer`` publishes it live).
+    The threshold comes from the training scores, computed before the stream."""
+    train = _scored_transactions(spark, sf).select(F.col("scores")[0].alias("score"))
+    thr = AN.threshold(train, "score", FOREST_CONTAMINATION)
+    path = ST.topic_files(spark, _transactions(spark, sf), "anomaly_alerts_stream")
+    stream = stream_envelope_files(spark, path, max_files_per_trigger=4)
+    good, _ = split_dead_letter(parse_envelope(stream, TRANSACTION_DDL))
+    scored = good.withColumn("scores", AN.score_points(spark, _fixed_forest(), F.col("data")))
+    return ST.drain_to_lake(spark, alert_records(scored, thr), "anomaly_alerts_stream")
+
+
 @query("forest_fit")
 def q_forest_fit(spark, sf):
     return AN.fit(_lineitem_points(spark, sf), FX.FEATURES, "k")

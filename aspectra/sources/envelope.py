@@ -81,6 +81,18 @@ def constant_messages(df: DataFrame, payload: bytes, topic: str = "items", posit
     return to_envelope(df, F.lit(bytearray(payload)), topic, pos)
 
 
+def number_stream(spark: SparkSession, rows_per_second: int = 2, topic: str = "numbers") -> DataFrame:
+    """Unbounded increasing numbers (the rate source), as ``{"number": n}`` messages."""
+    rate = spark.readStream.format("rate").option("rowsPerSecond", str(rows_per_second)).load()
+    value = F.format_string('{"number": %d}', F.col("value"))
+    return to_envelope(rate, value, topic, F.col("value"), timestamp=F.col("timestamp"))
+
+
+def number_sequence(spark: SparkSession, n: int, topic: str = "numbers") -> DataFrame:
+    """Bounded numbers 0..n-1 as ``{"number": n}`` messages."""
+    return number_messages(spark.range(n).select(F.col("id").alias("event_id"), F.current_timestamp().alias("ts")), topic)
+
+
 # ---------------------------------------------------------------- readers
 
 def kafka_options(servers: str, topic: str, starting: str = "earliest", **extra: str) -> dict[str, str]:

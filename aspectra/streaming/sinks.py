@@ -118,6 +118,16 @@ def topic_frame(df: DataFrame, value_cols: list[str], key_col: str | None = None
     return df.select(*cols)
 
 
+def kafka_batch_write(records: DataFrame, options: dict[str, str]) -> None:
+    """Publish (key?, value) records with the Kafka sink (needs the connector)."""
+    records.write.format("kafka").options(**options).save()
+
+
+def kafka_stream_writer(records: DataFrame, options: dict[str, str], checkpoint: str) -> DataStreamWriter:
+    """Streaming publish; the checkpoint records which offsets were produced."""
+    return records.writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint)
+
+
 def producer_options(servers: str, topic: str, durable: bool = True) -> dict[str, str]:
     """Kafka sink options. ``durable`` mirrors the idempotent producer settings
     (acks=all, lz4, 64 KB batches, 10 ms linger, 5 retries, 1 s delivery timeout);

@@ -113,3 +113,20 @@ def test_windowed_stream_with_watermark(spark, scratch):
     got = spark.read.parquet(out)
     # append mode withholds windows that the watermark has not passed yet
     assert 0 < got.count() <= ev.groupBy(F.window("ts", "1 hour"), "event_type").count().count()
+
+
+def test_rate_number_stream(spark):
+    import time
+
+    from aspectra.sources.envelope import number_sequence, number_stream
+
+    q = memory_writer(number_stream(spark, rows_per_second=20).select(F.col("value").cast("string").alias("v")),
+                      "rate_numbers_test").start()
+    try:
+        time.sleep(3)
+        q.processAllAvailable()
+        rows = [r.v for r in snapshot(spark, "rate_numbers_test").collect()]
+    finally:
+        q.stop()
+    assert rows and all(v.startswith('{"number": ') for v in rows)
+    assert number_sequence(spark, 1000).count() == 1000
