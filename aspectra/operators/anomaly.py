@@ -84,44 +84,53 @@ def _unit_hash(key: Column, tree: Column, seed: int) -> Column:
 
 
 def fit(points: DataFrame, features: list[str], key: str, trees: int = FOREST_TREES, psi: int = FOREST_SAMPLE,
-        seed: int = FOREST_SEED, oversample: float = 3.0) -> DataFrame:
-    """Grow ``trees`` isolation trees on ``psi``-row samples -> node table."""
+        seed: int = FOREST_SEED, oversample: float = 3.0, path: str | None = None) -> DataFrame:
+    """Grow ``trees`` isolation trees on ``psi``-row samples -> node table.
+
+    Passes over the input: one count (for the sampling rate) and one that
+    samples, shuffles only the candidates and grows the trees. The node table
+    (small) is written once to the shared folder and read back, so scoring
+    never re-runs the fit; a tree that drew fewer than ``psi`` candidates makes
+    the fit redraw at a higher rate.
+    """
+    from ..session import fresh_path
+
+    spark = points.sparkSession
     n = points.count()
     psi_eff = int(min(psi, n))
     max_depth = int(math.ceil(math.log2(max(psi_eff, 2))))
     rate = min(1.0, oversample * psi_eff / max(n, 1))
-    schema = f"tree INT, {', '.join(f'f{i} DOUBLE' for i in range(len(features)))}, u DOUBLE"
-    out_schema = NODE_DDL
+    names = [f"f{i}" for i in range(len(features))]
+    out_schema = NODE_DDL + ", n_sample INT"
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         t = int(pdf["tree"].iloc[0])
         pdf = pdf.nsmallest(psi_eff, "u")
-        x = pdf[[f"f{i}" for i in range(len(features))]].to_numpy(np.float64)
+        x = pdf[names].to_numpy(np.float64)
         rng = np.random.default_rng([seed, t])
         rows = grow_tree(x, rng, max_depth)
-        return pd.DataFrame([(t, *r) for r in rows],
-                            columns=["tree", "node", "feature", "threshold", "left", "right", "leaf_len"])
+        return pd.DataFrame([(t, *r, len(pdf)) for r in rows],
+                            columns=["tree", "node", "feature", "threshold", "left", "right", "leaf_len", "n_sample"])
 
-    feats = [F.col(f).cast("double").alias(f"f{i}") for i, f in enumerate(features)]
+    feats = [F.col(f).cast("double").alias(nm) for f, nm in zip(features, names)]
+    k = F.col(key).cast("string")
     for _ in range(6):
-        u_of = lambda t: _unit_hash(F.col(key).cast("string"), t, seed)
-        picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: u_of(t) < F.lit(rate))
-        cand = points.select(*feats, F.col(key).cast("string").alias("_k"), F.explode(picked).alias("tree"))
-        cand = cand.select(F.col("tree").cast("int").alias("tree"), *[f"f{i}" for i in range(len(features))],
+        picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: _unit_hash(k, t, seed) < F.lit(rate))
+        cand = points.select(*feats, k.alias("_k"), F.explode(picked).alias("tree"))
+        cand = cand.select(F.col("tree").cast("int").alias("tree"), *names,
                            _unit_hash(F.col("_k"), F.col("tree"), seed).alias("u"))
-        counts = {r.tree: r.n for r in cand.groupBy("tree").agg(F.count(F.lit(1)).alias("n")).collect()}
-        if len(counts) == trees and min(counts.values()) >= psi_eff:
-            return cand.select(*schema_cols(schema)).groupBy("tree").applyInPandas(grow, out_schema)
+        out = path or fresh_path(spark, "forest", "nodes")
+        cand.groupBy("tree").applyInPandas(grow, out_schema).write.mode("overwrite").parquet(out)
+        nodes = spark.read.parquet(out)
+        check = nodes.agg(F.countDistinct("tree").alias("t"), F.min("n_sample").alias("m")).first()
+        if check["t"] == trees and check["m"] >= psi_eff:
+            return nodes.drop("n_sample")
         if rate >= 1.0:
             raise ValueError("not enough distinct rows to sample every tree")
         rate = min(1.0, rate * 2)
     raise RuntimeError("sampling did not converge")
 
 
-def schema_cols(schema: str) -> list[str]:
-    return [part.strip().split()[0] for part in schema.split(",")]
-
-
 # ------------------------------------------------------------------ model I/O
 
 class Forest:
