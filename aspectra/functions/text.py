@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..config import HEAD_MAX_LEN, PAD_ID, TAIL_MAX_LEN, UNK_ID
+from ..config import HEAD_MAX_LEN, PAD_ID, UNK_ID
 
 # --- fixed values: character classes equal to Python's str-pattern classes ---
 WORD_CLASS = r"\p{L}\p{N}_"

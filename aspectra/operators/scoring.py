@@ -51,10 +51,6 @@ class Scorer:
         raise NotImplementedError
 
 
-def _in_list(x: Column, words: list[str]) -> Column:
-    return x.isin(*words)
-
-
 def _member_of(words: list[str]):
     """One-argument lambda for higher-order functions (a second argument would be read as the index)."""
     return lambda t: t.isin(*words)

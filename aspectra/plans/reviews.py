@@ -39,10 +39,6 @@ def flagship(spark: SparkSession, sf_dir: str, include_none: bool = False) -> Da
     return sentiment_counts(scored_reviews(spark, sf_dir), include_none=include_none)
 
 
-def review_id(df: DataFrame) -> DataFrame:
-    return df.withColumn("id", F.col("id").cast("string"))
-
-
 PRED_ORDER = ["Quality", "Price", "Shipping", "Shop_Service", "Size", "Outlook", "General", "Others"]
 
 
