@@ -337,7 +337,7 @@ def q_stream_two_queries(spark, sf):
 @query("stream_score", f"SELECT id, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()})")
 def q_stream_score(spark, sf):
     path = ST.topic_files(spark, review_messages(table(spark, sf, "documents")), "stream_score")
-    scored = ST.score_stream(stream_envelope_files(spark, path, max_files_per_trigger=2))
+    scored = ST.score_stream(stream_envelope_files(spark, path, max_files_per_trigger=4))
     return ST.drain_to_lake(spark, scored.select("id", *ASPECTS), "stream_score")
 
 
