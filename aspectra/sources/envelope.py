@@ -112,12 +112,17 @@ def stream_topic(
     topic: str,
     starting: str = "earliest",
     max_offsets_per_trigger: int | None = None,
+    min_partitions: int | None = None,
     **extra: str,
 ) -> DataFrame:
-    """Unbounded topic scan; the query's checkpoint replaces consumer-group commits."""
+    """Unbounded topic scan; the query's checkpoint replaces consumer-group commits.
+    ``min_partitions`` splits large topic partitions into more Spark tasks, so a
+    one-partition topic does not make scoring a one-task stage."""
     opts = kafka_options(servers, topic, starting, **extra)
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     return spark.readStream.format("kafka").options(**opts).load()
 
 

@@ -151,7 +151,7 @@ def producer_options(servers: str, topic: str, durable: bool = True) -> dict[str
 
 
 def consumer_options(servers: str, topic: str, starting: str = "earliest", committed_only: bool = False,
-                     max_offsets_per_trigger: int | None = None) -> dict[str, str]:
+                     max_offsets_per_trigger: int | None = None, min_partitions: int | None = None) -> dict[str, str]:
     """Kafka source options; the query checkpoint replaces group commits, and
     ``startingOffsets`` plays the role of the reset policy (smallest = earliest)."""
     starting = {"smallest": "earliest", "largest": "latest"}.get(starting, starting)
@@ -160,6 +160,8 @@ def consumer_options(servers: str, topic: str, starting: str = "earliest", commi
         opts["kafka.isolation.level"] = "read_committed"
     if max_offsets_per_trigger:
         opts["maxOffsetsPerTrigger"] = str(max_offsets_per_trigger)
+    if min_partitions:
+        opts["minPartitions"] = str(min_partitions)
     return opts
 
 
