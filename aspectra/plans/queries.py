@@ -14,15 +14,15 @@ from pyspark.sql import functions as F
 from ..config import ASPECTS, FOREST_CONTAMINATION, HEAD_MAX_LEN, TAIL_MAX_LEN
 from ..functions import arrays as arr
 from ..functions import text as tx
-from ..functions.json import NUMBER_DDL, REVIEW_DDL, TRANSACTION_DDL, parse_envelope, split_dead_letter
+from ..functions.json import NUMBER_DDL, REVIEW_DDL, TRANSACTION_DDL, encode_json, parse_envelope, split_dead_letter
 from ..operators import anomaly as AN
 from ..operators import metrics as M
 from ..operators import sampling as S
 from ..operators import series as SR
 from ..operators import trend as TR
+from ..operators.scoring import CnnScorer, widen
 from ..session import fresh_path
 from ..sources import files as FS
-from ..operators.scoring import CnnScorer, widen
 from ..sources.envelope import (labelled_messages, number_messages, payload_messages, review_messages,
                                 stream_envelope_files, to_envelope)
 from . import fixed_forest as FX
@@ -393,7 +393,6 @@ def _transactions(spark, sf):
         (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"),
         F.array(F.array(F.col("l_quantity"), F.col("l_extendedprice"))).alias("data"),
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("current_time"))
-    from ..functions.json import encode_json
     return to_envelope(rec, encode_json("id", "data", "current_time"), "transactions", F.col("id"))
 
 
@@ -465,8 +464,6 @@ def _lineitem_points(spark, sf):
 def alert_records(scored: DataFrame, thr: float) -> DataFrame:
     """Records whose first point scores below the threshold, as anomaly messages
     (the transaction plus the rounded score of every point)."""
-    from ..functions.json import encode_json
-
     flagged = scored.filter(AN.verdict(F.col("scores")[0], thr) == -1)
     alerts = flagged.withColumn("score", F.transform("scores", lambda v: F.round(v, 3)))
     return alerts.select("id", encode_json("id", "data", "current_time", "score").alias("value"))
