@@ -373,6 +373,22 @@ def q_events_tumbling(spark, sf):
     return TR.tumbling(table(spark, sf, "events"), "ts", "1 hour", ["event_type"], "value")
 
 
+@query("events_tumbling_stream", """
+    SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR AS window_end,
+           event_type, count(*) AS n, round(sum(value), 6) AS total
+    FROM events GROUP BY 1, 2, 3""")
+def q_events_tumbling_stream(spark, sf):
+    """Hourly counts as a streaming aggregate with a 2-hour watermark. Complete
+    output (state = windows x event types, bounded by the time span) gives the
+    whole answer; append output would withhold windows the watermark has not
+    passed."""
+    ev = ST.table_stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    agg = TR.stream_tumbling(ev, "ts", "1 hour", "2 hours", ["event_type"], "value")
+    res = ST.complete_to_table(spark, agg, "events_tumbling_stream")
+    return res.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n", "total")
+
+
 @query("sentiment_trend", f"""
     WITH sc AS ({O.lexicon_scored_sql()}),
     j AS (SELECT time_bucket(INTERVAL 1 HOUR, e.ts) AS window_start, sc.* FROM sc JOIN events e ON CAST(sc.id AS BIGINT) = e.event_id),

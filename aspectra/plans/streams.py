@@ -101,3 +101,26 @@ def two_queries(spark: SparkSession, env: DataFrame, name: str) -> tuple[DataFra
         if q.exception():
             raise RuntimeError(str(q.exception()))
     return spark.read.parquet(outs[0]), spark.read.parquet(outs[1])
+
+
+def table_stream(spark: SparkSession, sf_dir: str, name: str, max_files_per_trigger: int | None = None) -> DataFrame:
+    """A driver table read as a file stream (directory + file-name filter)."""
+    schema = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").schema
+    reader = spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet")
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.parquet(sf_dir)
+
+
+def complete_to_table(spark: SparkSession, agg: DataFrame, name: str) -> DataFrame:
+    """Drain a streaming aggregate in complete mode; each batch overwrites the
+    result folder, so the folder always holds the whole current result."""
+    out = fresh_path(spark, name, "result")
+
+    def write(batch_df, batch_id):
+        batch_df.write.mode("overwrite").parquet(out)
+
+    w = agg.writeStream.outputMode("complete").foreachBatch(write) \
+        .option("checkpointLocation", fresh_path(spark, name, "checkpoint"))
+    runner.run_available(w)
+    return spark.read.parquet(out)
