@@ -13,7 +13,8 @@ UNKNOWN_LABEL = -99
 PAD_ID = 0
 UNK_ID = 1
 HEAD_MAX_LEN = 64       # streaming scorer: keep the first 64 ids
-TAIL_MAX_LEN = 100      # notebook scorer: keep the last 100 ids
+TAIL_MAX_LEN = 100      # tokenizer-style scorer: keep the last 100 ids
+RESULT_TABLE = "absa_results"   # relational result table read by dashboards
 # --- end of fixed values ---
 
 # Isolation forest settings of the anomaly application.

@@ -12,7 +12,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ASPECTS
+from ..config import ASPECTS, RESULT_TABLE
 from ..functions.json import REVIEW_DDL, parse_envelope, split_dead_letter
 from ..operators.scoring import LexiconScorer, widen
 from ..session import fresh_path
@@ -57,7 +57,7 @@ def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches:
     between the write and the commit; the idempotent sink must store it once."""
     path = topic_files(spark, env, name)
     url = derby_url(spark, name)
-    sink = jdbc_batch_sink(url, "absa_results", RESULT_COLUMNS, DERBY_PROPS, rename=RESULT_RENAME,
+    sink = jdbc_batch_sink(url, RESULT_TABLE, RESULT_COLUMNS, DERBY_PROPS, rename=RESULT_RENAME,
                            column_types=RESULT_TYPES)
 
     def batch(df, batch_id):
@@ -68,7 +68,7 @@ def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches:
     scored = with_source_key(score_stream(stream_envelope_files(spark, path, max_files_per_trigger=4)))
     runner.run_available(runner.foreach_batch(scored, batch, fresh_path(spark, name, "checkpoint"),
                                               trigger="available", name=f"{name}_{uuid.uuid4().hex[:8]}"))
-    return jdbc_reader(spark, url, "absa_results", DERBY_PROPS)
+    return jdbc_reader(spark, url, RESULT_TABLE, DERBY_PROPS)
 
 
 def document_stream(spark: SparkSession, env: DataFrame, name: str, ddl: str) -> DataFrame:

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from aspectra.config import ASPECTS
+from aspectra.config import ASPECTS, RESULT_TABLE
 from aspectra.plans import streams as ST
 from aspectra.plans.reviews import scored_reviews
 from aspectra.sources.envelope import review_messages, stream_envelope_files, write_envelope_files
@@ -68,13 +68,13 @@ def test_memory_sink_snapshot_across_batches(spark, scratch):
 
 def test_jdbc_sink_is_idempotent_per_batch(spark):
     url = ST.derby_url(spark, "unit")
-    sink = jdbc_batch_sink(url, "absa_results", ["review", *ASPECTS], ST.DERBY_PROPS,
+    sink = jdbc_batch_sink(url, RESULT_TABLE, ["review", *ASPECTS], ST.DERBY_PROPS,
                            rename={"review": "ReviewText"}, column_types=ST.RESULT_TYPES)
     batch = with_source_key(scored_reviews(spark, SF0001))
     sink(batch, 0)
     sink(batch, 0)      # replay of the same batch
     sink(batch.limit(0), 1)  # empty batch is skipped
-    back = jdbc_reader(spark, url, "absa_results", ST.DERBY_PROPS)
+    back = jdbc_reader(spark, url, RESULT_TABLE, ST.DERBY_PROPS)
     assert back.count() == batch.count()
     assert back.select("src_offset").distinct().count() == batch.count()
 
