@@ -29,6 +29,32 @@ def build_session(master: str | None = None, app: str = "aspectra", partitions:
     return spark
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``aspectra`` importable in every Python worker (UDFs refer to its
+    functions by module): the package is zipped once per application and added
+    with ``addPyFile``, Spark's own way to distribute Python code (--py-files)."""
+    import zipfile
+
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    fd, zpath = tempfile.mkstemp(prefix="aspectra-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for root, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(root, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(app)
+
+
 def pin_utc(spark: SparkSession) -> None:
     """All event times are UTC wall clock; NTZ <-> LTZ casts must be identities."""
     if spark.conf.get("spark.sql.session.timeZone", None) != "UTC":
