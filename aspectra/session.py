@@ -93,7 +93,9 @@ def spread(df, min_partitions: int | None = None):
     than slots, so at scale this adds no shuffle."""
     if df.isStreaming:
         return df
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()  # planning only, no job
+    except Exception:  # sessions without RDD access: leave the plan as it is  # noqa: BLE001
+        return df
+    return df.repartition(target) if current < target else df
