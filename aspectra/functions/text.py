@@ -90,7 +90,7 @@ def token_ids(
     unk_id: int = UNK_ID,
     oov: str = "unk",
     known: list[str] | None = None,
-    max_vocab: int = 2_000_000,
+    max_vocab: int | None = 2_000_000,
 ) -> DataFrame:
     """(key, ids) with ids = vocabulary ids of the tokens, cut then padded to ``max_len``.
 
@@ -105,7 +105,9 @@ def token_ids(
     vocabulary's token list (bounded), tested as a hash-set membership.
     """
     keys = [key] if isinstance(key, str) else list(key)
-    if vocab.limit(max_vocab + 1).count() > max_vocab:  # bounded check before the broadcast
+    # A vocabulary from build_vocabulary is bounded by construction (pass
+    # max_vocab=None); any other is counted (at most max_vocab + 1 rows) first.
+    if max_vocab is not None and vocab.limit(max_vocab + 1).count() > max_vocab:
         raise ValueError(f"vocabulary larger than {max_vocab} entries; refusing to broadcast it")
     toks = tokens(text_col)
     if oov == "drop":

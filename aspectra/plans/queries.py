@@ -94,7 +94,7 @@ def q_text_clean(spark, sf):
 def q_text_to_ids(spark, sf):
     docs = table(spark, sf, "documents")
     vocab = tx.build_vocabulary(docs, "text", size=5000)
-    ids = tx.token_ids(docs, "doc_id", "text", vocab, max_len=HEAD_MAX_LEN, truncate="head")
+    ids = tx.token_ids(docs, "doc_id", "text", vocab, max_len=HEAD_MAX_LEN, truncate="head", max_vocab=None)
     return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
@@ -102,7 +102,7 @@ def q_text_to_ids(spark, sf):
 def q_text_to_ids_tail(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("clean"))
     vocab = tx.build_vocabulary(docs, "clean", size=5000)
-    ids = tx.token_ids(docs, "doc_id", "clean", vocab, max_len=TAIL_MAX_LEN, truncate="tail")
+    ids = tx.token_ids(docs, "doc_id", "clean", vocab, max_len=TAIL_MAX_LEN, truncate="tail", max_vocab=None)
     return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
