@@ -24,6 +24,8 @@ def sentiment_counts(df: DataFrame, aspects: list[str] = ASPECTS, include_none:
     sents = _sentiment_list(include_none)
     present = [a for a in aspects if a in df.columns]
     cells = [(a, s) for a in present for s in sents]
+    if not cells:  # no aspect column at all: an empty table with the same schema
+        return df.sparkSession.createDataFrame([], "Aspect STRING, Sentiment STRING, Count BIGINT")
     one_row = df.agg(*[
         F.count_if(F.coalesce(F.col(a), F.lit("NONE")) == F.lit(s)).alias(f"c{i}")
         for i, (a, s) in enumerate(cells)

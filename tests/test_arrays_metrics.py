@@ -73,3 +73,9 @@ def test_lexicon_scorer_rules(spark):
     assert out[1].Price == "NEG" and out[1].Shipping == "NEG" and out[1].General == "NEG"
     assert out[2].Size == "POS" and out[2].Price == "NONE"
     assert all(getattr(out[3], a) is None for a in ASPECTS)
+
+
+def test_counts_without_aspect_columns(spark):
+    df = spark.createDataFrame([("x",)], "other STRING")
+    out = M.sentiment_counts(df)
+    assert out.columns == ["Aspect", "Sentiment", "Count"] and out.count() == 0
