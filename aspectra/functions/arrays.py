@@ -50,3 +50,9 @@ def sentiment_to_label(sent: Column) -> Column:
 def aspect_map(values: Column, aspects: list[str] = ASPECTS) -> Column:
     """Aspect names zipped with per-aspect values -> ``MAP<STRING, value>``."""
     return F.map_from_arrays(F.array(*[F.lit(a) for a in aspects]), values)
+
+
+def nullable_label(value: Column) -> Column:
+    """A label read as a number -> INT; NaN (a missing CSV cell) -> null."""
+    d = value.cast("double")
+    return F.when(F.isnan(d), F.lit(None)).otherwise(d.cast("int")).cast("int")

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import ASPECTS, ENVELOPE_DDL
+from ..functions.arrays import nullable_label
 from ..functions.json import encode_json
 
 ENVELOPE_COLUMNS = ["key", "value", "topic", "partition", "offset", "timestamp"]
@@ -65,7 +66,7 @@ def labelled_messages(documents: DataFrame, labels: DataFrame, topic: str = "lab
     }
     joined = documents.filter(F.col("text").isNotNull()).join(labels, "doc_id", "left")
     fields = [F.col("text").alias("review_text")] + [
-        truth.get(a, F.lit(None)).cast("int").alias(a) for a in ASPECTS
+        nullable_label(truth[a]).alias(a) if a in truth else F.lit(None).cast("int").alias(a) for a in ASPECTS
     ]
     return to_envelope(joined, encode_json(*fields, keep_nulls=True), topic, F.col("doc_id"))
 

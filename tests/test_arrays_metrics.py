@@ -79,3 +79,8 @@ def test_counts_without_aspect_columns(spark):
     df = spark.createDataFrame([("x",)], "other STRING")
     out = M.sentiment_counts(df)
     assert out.columns == ["Aspect", "Sentiment", "Count"] and out.count() == 0
+
+
+def test_nullable_label(spark):
+    df = spark.createDataFrame([(2.0,), (float("nan"),), (None,), (-1.0,)], "v DOUBLE")
+    assert [r.l for r in df.select(arr.nullable_label(F.col("v")).alias("l")).collect()] == [2, None, None, -1]
