@@ -38,3 +38,30 @@ def test_series_message_round_trip(spark):
     back = SR.parse_series(env).select("series", "offset", "ts", "value")
     ref = ev.select(F.col("event_type").alias("series"), F.col("event_id").alias("offset"), "ts", "value")
     assert back.exceptAll(ref).count() == 0 and back.count() == ref.count()
+
+
+def test_hot_series_with_ties_split_into_chunks(spark):
+    """One series holds most points (and a burst of equal timestamps): chunks
+    stay balanced and the gaps equal the single-window answer."""
+    import datetime as dt
+    import random
+
+    rnd = random.Random(5)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(3000):
+        series = "hot" if i < 2400 else f"s{i % 3}"
+        if series == "hot" and i < 600:
+            ts = t0 + dt.timedelta(seconds=100)            # burst: 600 equal timestamps
+        else:
+            ts = t0 + dt.timedelta(seconds=rnd.randint(0, 86_400), microseconds=rnd.randint(0, 999_999))
+        rows.append((series, i, ts))
+    pts = spark.createDataFrame(rows, "series STRING, offset BIGINT, ts TIMESTAMP_NTZ")
+    got = SR.replay_gaps(pts, chunks=16)
+    us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
+    w = Window.partitionBy("series").orderBy("ts", "offset")
+    ref = pts.withColumn("u", us).select(
+        "series", "offset", "ts",
+        F.coalesce((F.col("u") - F.lag("u").over(w)) / 1e7, F.lit(0.0)).alias("gap_s"),
+        ((F.col("u") - F.min("u").over(Window.partitionBy("series"))) / 1e7).alias("offset_s"))
+    assert got.exceptAll(ref).count() == 0 and ref.exceptAll(got).count() == 0
