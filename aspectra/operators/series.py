@@ -8,8 +8,10 @@ Gaps never window over a whole series (a hot series would land in one task,
 and so would a burst inside a fixed time bucket). Each series is cut into
 chunks at its own time quantiles (``percentile_approx`` per series: a mergeable
 partial aggregate, one small row per series), so a series holding a third of
-all points spans many chunks of similar size. A point's chunk is a function of
-its own timestamp, so every branch of the plan agrees on it. Gaps are windowed
+all points spans many chunks of similar size; a heavy timestamp value (a burst
+of equal times) is split again at quantiles of the tie-break column. A point's
+chunk is a function of its own values, so every branch of the plan agrees on
+it. The small per-series tables are broadcast only after their size is counted. Gaps are windowed
 per (series, chunk); the first point of each chunk takes its predecessor from a
 small per-chunk aggregate. The offset since the series start is
 ``(ts - min(ts)) / speed`` — the running sum of gaps telescopes — so it needs
@@ -65,23 +67,53 @@ def parse_series(env: DataFrame) -> DataFrame:
     ).select("series", "offset", parse_timestamp(F.col("ts_text")).alias("ts"), "ts_text", "value")
 
 
-def replay_gaps(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak: str = "offset",
-                speed: float = 10.0, chunks: int | None = None) -> DataFrame:
-    """Adds ``gap_s`` (seconds since the previous point of the series, / speed; 0 for
-    the first point) and ``offset_s`` (seconds since the series' first point, / speed).
-    Points with a null timestamp get null for both."""
+def _lookup(df: DataFrame, small: DataFrame, keys: list[str], row_bytes: int, limit_bytes: int) -> DataFrame:
+    """Left join of a per-key lookup table. Broadcast when its measured size is
+    under ``limit_bytes``; otherwise a shuffle join (AQE splits skewed keys)."""
+    rows = small.count()
+    side = F.broadcast(small) if rows * row_bytes <= limit_bytes else small
+    return df.join(side, keys, "left")
+
+
+def chunked(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak: str = "offset",
+            chunks: int | None = None, broadcast_limit: int = 64 << 20) -> DataFrame:
+    """Points + ``_us`` (event time in microseconds) + ``_b`` (chunk id).
+
+    Chunk = (number of the series' time quantiles below the point's time) * n +
+    sub-chunk; the sub-chunk splits a heavy time value (one that is itself a
+    quantile bound, i.e. holds over 1/n of its series) at quantiles of the
+    tie-break column. Chunks therefore hold about 1/n of a series each, even
+    for a burst of equal timestamps, and chunk order is (time, tie-break) order.
+    A chunk id depends only on the row's values, so every plan branch agrees."""
     spark = points.sparkSession
     n = chunks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
     pts = points.withColumn("_us", micros)
     qs = [i / n for i in range(1, n)]
-    bounds = pts.groupBy(key).agg(
-        (F.percentile_approx("_us", qs, 10_000) if qs else F.array().cast("array<bigint>")).alias("_bounds"))
-    # chunk = number of the series' quantile bounds below the point's time
-    chunk = F.when(F.col("_us").isNotNull(), F.size(F.filter("_bounds", lambda b: b < F.col("_us"))))
-    base = pts.join(bounds, key, "left").withColumn("_b", chunk).drop("_bounds")
+    empty = F.array().cast("array<bigint>")
+    bounds = pts.groupBy(key).agg((F.percentile_approx("_us", qs, 10_000) if qs else empty).alias("_bounds"))
+    based = _lookup(pts, bounds, [key], 8 * n + 64, broadcast_limit)
+    us = F.col("_us")
+    lo = F.size(F.filter("_bounds", lambda b: b < us))
+    heavy = F.size(F.filter("_bounds", lambda b: b == us)) > 0
+    based = based.withColumn("_lo", lo).withColumn("_heavy", us.isNotNull() & heavy).drop("_bounds")
+    # tie-break quantiles for heavy (series, time) values only: at most n - 1 per series
+    ties = based.filter("_heavy").groupBy(key, "_us").agg(
+        (F.percentile_approx(F.col(tiebreak), qs, 10_000) if qs else empty).alias("_tb"))
+    based = _lookup(based, ties, [key, "_us"], 8 * n + 72, broadcast_limit)
+    sub = F.when(F.col("_heavy"), F.size(F.filter("_tb", lambda b: b < F.col(tiebreak)))).otherwise(F.lit(0))
+    return based.withColumn("_b", F.when(us.isNotNull(), F.col("_lo").cast("long") * n + sub)) \
+        .drop("_lo", "_heavy", "_tb")
+
 
-    per_chunk = base.filter(F.col("_us").isNotNull()).groupBy(key, "_b").agg(
+def replay_gaps(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak: str = "offset",
+                speed: float = 10.0, chunks: int | None = None, broadcast_limit: int = 64 << 20) -> DataFrame:
+    """Adds ``gap_s`` (seconds since the previous point of the series, / speed; 0 for
+    the first point) and ``offset_s`` (seconds since the series' first point, / speed).
+    Points with a null timestamp get null for both."""
+    base = chunked(points, key, ts, tiebreak, chunks, broadcast_limit)
+    us = F.col("_us")
+    per_chunk = base.filter(us.isNotNull()).groupBy(key, "_b").agg(
         F.max("_us").alias("_last_us"), F.min("_us").alias("_first_us"))
     w_b = Window.partitionBy(key).orderBy("_b")   # one row per (series, chunk): small
     carry = per_chunk.select(
@@ -93,8 +125,8 @@ def replay_gaps(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak
     with_prev = base.withColumn("_prev_in_chunk", F.lag("_us").over(w))
     joined = with_prev.join(carry, [key, "_b"], "left")
     prev = F.coalesce(F.col("_prev_in_chunk"), F.col("_prev_chunk_us"))
-    gap = F.when(F.col("_us").isNull(), F.lit(None)).otherwise(
-        F.coalesce((F.col("_us") - prev) / F.lit(1e6 * speed), F.lit(0.0)))
-    offset = (F.col("_us") - F.col("_start_us")) / F.lit(1e6 * speed)
+    gap = F.when(us.isNull(), F.lit(None)).otherwise(
+        F.coalesce((us - prev) / F.lit(1e6 * speed), F.lit(0.0)))
+    offset = (us - F.col("_start_us")) / F.lit(1e6 * speed)
     return joined.withColumn("gap_s", gap).withColumn("offset_s", offset).drop(
         "_us", "_b", "_prev_in_chunk", "_prev_chunk_us", "_start_us")

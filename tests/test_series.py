@@ -57,6 +57,8 @@ def test_hot_series_with_ties_split_into_chunks(spark):
             ts = t0 + dt.timedelta(seconds=rnd.randint(0, 86_400), microseconds=rnd.randint(0, 999_999))
         rows.append((series, i, ts))
     pts = spark.createDataFrame(rows, "series STRING, offset BIGINT, ts TIMESTAMP_NTZ")
+    sizes = [r.c for r in SR.chunked(pts, chunks=16).groupBy("series", "_b").count().withColumnRenamed("count", "c").collect()]
+    assert max(sizes) <= 2400 / 16 * 1.5          # the 600-point burst is split too
     got = SR.replay_gaps(pts, chunks=16)
     us = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01").cast("timestamp_ntz"), F.col("ts"))
     w = Window.partitionBy("series").orderBy("ts", "offset")
