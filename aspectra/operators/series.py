@@ -67,11 +67,20 @@ def parse_series(env: DataFrame) -> DataFrame:
     ).select("series", "offset", parse_timestamp(F.col("ts_text")).alias("ts"), "ts_text", "value")
 
 
-def _lookup(df: DataFrame, small: DataFrame, keys: list[str], row_bytes: int, limit_bytes: int) -> DataFrame:
-    """Left join of a per-key lookup table. Broadcast when its measured size is
-    under ``limit_bytes``; otherwise a shuffle join (AQE splits skewed keys)."""
-    rows = small.count()
-    side = F.broadcast(small) if rows * row_bytes <= limit_bytes else small
+def _small_table(df: DataFrame, name: str) -> DataFrame:
+    """Write a small derived table once to the shared folder and read it back,
+    so size checks and later plan branches do not recompute it."""
+    from ..session import fresh_path
+
+    path = fresh_path(df.sparkSession, "series", name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _lookup(df: DataFrame, table: DataFrame, keys: list[str], rows: int, row_bytes: int, limit_bytes: int) -> DataFrame:
+    """Left join of a per-key lookup table: broadcast when its measured size is
+    under ``limit_bytes``, otherwise a shuffle join (AQE splits skewed keys)."""
+    side = F.broadcast(table) if rows * row_bytes <= limit_bytes else table
     return df.join(side, keys, "left")
 
 
@@ -80,27 +89,33 @@ def chunked(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak: st
     """Points + ``_us`` (event time in microseconds) + ``_b`` (chunk id).
 
     Chunk = (number of the series' time quantiles below the point's time) * n +
-    sub-chunk; the sub-chunk splits a heavy time value (one that is itself a
-    quantile bound, i.e. holds over 1/n of its series) at quantiles of the
-    tie-break column. Chunks therefore hold about 1/n of a series each, even
-    for a burst of equal timestamps, and chunk order is (time, tie-break) order.
-    A chunk id depends only on the row's values, so every plan branch agrees."""
+    sub-chunk. A heavy time value — one that fills two or more quantile slots,
+    i.e. holds over 1/n of its series — is split again at quantiles of the
+    tie-break column (only computed when such a value exists). Chunks therefore
+    hold about 1/n of a series each, even for a burst of equal timestamps, and
+    chunk order is (time, tie-break) order. A chunk id depends only on the
+    row's values, so every plan branch agrees on it."""
     spark = points.sparkSession
     n = chunks or max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
     micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"), F.col(ts))
     pts = points.withColumn("_us", micros)
     qs = [i / n for i in range(1, n)]
     empty = F.array().cast("array<bigint>")
-    bounds = pts.groupBy(key).agg((F.percentile_approx("_us", qs, 10_000) if qs else empty).alias("_bounds"))
-    based = _lookup(pts, bounds, [key], 8 * n + 64, broadcast_limit)
+    bounds = _small_table(
+        pts.groupBy(key).agg((F.percentile_approx("_us", qs, 10_000) if qs else empty).alias("_bounds")), "time_bounds")
+    info = bounds.agg(F.count(F.lit(1)).alias("rows"),
+                      F.max(F.size("_bounds") - F.size(F.array_distinct("_bounds"))).alias("dups")).first()
+    based = _lookup(pts, bounds, [key], info["rows"], 8 * n + 64, broadcast_limit)
     us = F.col("_us")
     lo = F.size(F.filter("_bounds", lambda b: b < us))
-    heavy = F.size(F.filter("_bounds", lambda b: b == us)) > 0
-    based = based.withColumn("_lo", lo).withColumn("_heavy", us.isNotNull() & heavy).drop("_bounds")
-    # tie-break quantiles for heavy (series, time) values only: at most n - 1 per series
-    ties = based.filter("_heavy").groupBy(key, "_us").agg(
-        (F.percentile_approx(F.col(tiebreak), qs, 10_000) if qs else empty).alias("_tb"))
-    based = _lookup(based, ties, [key, "_us"], 8 * n + 72, broadcast_limit)
+    if not info["dups"]:
+        return based.withColumn("_b", F.when(us.isNotNull(), lo.cast("long") * n)).drop("_bounds")
+
+    heavy = us.isNotNull() & (F.size(F.filter("_bounds", lambda b: b == us)) >= 2)
+    based = based.withColumn("_lo", lo).withColumn("_heavy", heavy).drop("_bounds")
+    ties = _small_table(based.filter("_heavy").groupBy(key, "_us").agg(
+        F.percentile_approx(F.col(tiebreak), qs, 10_000).alias("_tb")), "tie_bounds")
+    based = _lookup(based, ties, [key, "_us"], ties.count(), 8 * n + 72, broadcast_limit)
     sub = F.when(F.col("_heavy"), F.size(F.filter("_tb", lambda b: b < F.col(tiebreak)))).otherwise(F.lit(0))
     return based.withColumn("_b", F.when(us.isNotNull(), F.col("_lo").cast("long") * n + sub)) \
         .drop("_lo", "_heavy", "_tb")
