@@ -356,6 +356,17 @@ def q_jdbc_retry_dedup(spark, sf):
     return back.select("src_offset", F.col("ReviewText").cast("string").alias("ReviewText"), *[F.col(a).cast("string").alias(a) for a in ASPECTS])
 
 
+@query("stream_cnn_to_table")
+def q_stream_cnn_to_table(spark, sf):
+    """The model pipeline end to end: review topic -> parse -> CNN (artefacts by
+    path, cached per worker) -> relational table (idempotent per batch) -> read back."""
+    docs = table(spark, sf, "documents")
+    scorer = ST.cnn_artefacts(spark, docs)
+    back = ST.jdbc_stream(spark, review_messages(docs), "stream_cnn_to_table", replay_batches=False, scorer=scorer)
+    return back.select("src_offset", F.col("ReviewText").cast("string").alias("ReviewText"),
+                       *[F.col(a).cast("string").alias(a) for a in ASPECTS])
+
+
 @query("document_sink", 'SELECT event_id AS number, CAST(0 AS INTEGER) AS partition, event_id AS "offset" FROM events')
 def q_document_sink(spark, sf):
     docs = ST.document_stream(spark, _numbers(spark, sf), "document_sink", NUMBER_DDL)

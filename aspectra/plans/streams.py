@@ -31,10 +31,35 @@ def drain_to_lake(spark: SparkSession, stream: DataFrame, name: str) -> DataFram
     return spark.read.parquet(out)
 
 
-def score_stream(stream_env: DataFrame) -> DataFrame:
+def score_stream(stream_env: DataFrame, scorer=None) -> DataFrame:
     """Stateless scoring: parse -> drop dead letters -> score -> one column per aspect."""
     good, _ = split_dead_letter(parse_envelope(stream_env, REVIEW_DDL))
-    return widen(LexiconScorer().score(good, "review"))
+    return widen((scorer or LexiconScorer()).score(good, "review"))
+
+
+def cnn_artefacts(spark: SparkSession, docs: DataFrame, size: int = 5000, seed: int = 42):
+    """A CNN scorer whose vocabulary (top ``size`` tokens of ``docs``) and seeded
+    weights are written as artefact files in the shared folder; executors load
+    them by path. Where the shared folder is not a local path, the artefacts
+    are broadcast instead."""
+    import json
+    import os
+
+    from ..functions.text import build_vocabulary
+    from ..operators.scoring import CnnScorer, random_cnn_weights, save_weights
+
+    vocab_df = build_vocabulary(docs, "text", size=size)
+    base = fresh_path(spark, "cnn", "artefacts")
+    if "://" in base:
+        return CnnScorer.from_vocabulary_df(spark, vocab_df, seed=seed)
+    vocab = {r.token: int(r.id) for r in vocab_df.collect()}  # bounded by `size`
+    vocab.update({"<pad>": 0, "<unk>": 1})
+    os.makedirs(base, exist_ok=True)
+    vp, wp = os.path.join(base, "vocab.json"), os.path.join(base, "cnn.npz")
+    with open(vp, "w", encoding="utf-8") as fh:
+        json.dump(vocab, fh, ensure_ascii=False)
+    save_weights(random_cnn_weights(max(vocab.values()) + 1, seed), wp)
+    return CnnScorer.from_files(spark, vp, wp)
 
 
 def derby_url(spark: SparkSession, name: str) -> str:
@@ -51,7 +76,7 @@ RESULT_RENAME = {"review": "ReviewText"}
 RESULT_TYPES = ", ".join([f"{a} VARCHAR(8)" for a in ASPECTS] + ["src_topic VARCHAR(256)"])
 
 
-def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches: bool) -> DataFrame:
+def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches: bool, scorer=None) -> DataFrame:
     """Stream scored reviews into a relational table, then read the table back.
     With ``replay_batches`` every batch is written twice, as after a crash
     between the write and the commit; the idempotent sink must store it once."""
@@ -65,7 +90,7 @@ def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches:
         if replay_batches:
             sink(df, batch_id)
 
-    scored = with_source_key(score_stream(stream_envelope_files(spark, path, max_files_per_trigger=4)))
+    scored = with_source_key(score_stream(stream_envelope_files(spark, path, max_files_per_trigger=4), scorer))
     runner.run_available(runner.foreach_batch(scored, batch, fresh_path(spark, name, "checkpoint"),
                                               trigger="available", name=f"{name}_{uuid.uuid4().hex[:8]}"))
     return jdbc_reader(spark, url, RESULT_TABLE, DERBY_PROPS)

@@ -55,3 +55,13 @@ def test_hash_sample_is_uniform_without_replacement(spark):
     # root of each tree splits inside the sampled data range of the 1000 points
     roots = nodes.filter("node = 0").collect()
     assert len(roots) == 5 and all(r.feature in (0, 1) for r in roots)
+
+
+def test_stream_cnn_to_table_equals_batch_cnn(spark):
+    import __spark_entry__ as E
+
+    qs = E.queries()
+    stream = qs["stream_cnn_to_table"](spark, SF0001).select(F.col("src_offset").alias("doc_id"), *ASPECTS)
+    batch = qs["cnn_probabilities"](spark, SF0001)
+    assert stream.count() == batch.count()
+    assert stream.exceptAll(batch.select("doc_id", *ASPECTS)).count() == 0
