@@ -93,7 +93,21 @@ def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches:
     scored = with_source_key(score_stream(stream_envelope_files(spark, path, max_files_per_trigger=4), scorer))
     runner.run_available(runner.foreach_batch(scored, batch, fresh_path(spark, name, "checkpoint"),
                                               trigger="available", name=f"{name}_{uuid.uuid4().hex[:8]}"))
-    return jdbc_reader(spark, url, RESULT_TABLE, DERBY_PROPS)
+    # Read the table back, keep the copy in the shared folder, and drop the
+    # in-memory database so repeated runs do not hold every copy in the JVM.
+    copy = fresh_path(spark, name, "table_copy")
+    jdbc_reader(spark, url, RESULT_TABLE, DERBY_PROPS).write.parquet(copy)
+    drop_derby(spark, url)
+    return spark.read.parquet(copy)
+
+
+def drop_derby(spark: SparkSession, url: str) -> None:
+    """Release an in-memory Derby database (Derby signals success with an error)."""
+    target = url.split(";")[0] + ";drop=true"
+    try:
+        spark.sparkContext._jvm.java.sql.DriverManager.getConnection(target)
+    except Exception:  # noqa: BLE001 - "Database ... dropped" is raised on success
+        pass
 
 
 def document_stream(spark: SparkSession, env: DataFrame, name: str, ddl: str) -> DataFrame:

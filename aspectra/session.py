@@ -9,9 +9,12 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def build_session(master: str | None = None, app: str = "aspectra", partitions: int = 8) -> SparkSession:
-    """Session with the settings every job here assumes (AQE on, UTC, no UI)."""
-    builder = SparkSession.builder.appName(app)
+def build_session(master: str | None = None, app: str = "aspectra", partitions: int = 8,
+                  driver_memory: str = "16g") -> SparkSession:
+    """Session with the settings every job here assumes (AQE on, UTC, no UI).
+    In local mode the driver JVM is the only executor, so its heap is sized
+    here (it only applies when this call starts the JVM)."""
+    builder = SparkSession.builder.appName(app).config("spark.driver.memory", driver_memory)
     if master:
         builder = builder.master(master)
     spark = (
