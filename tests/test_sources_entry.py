@@ -150,3 +150,16 @@ def test_bounded_run_and_console(spark, scratch):
         return runner.with_trigger(console_writer(src).option("checkpointLocation", scratch + "/c2"), "available").start()
 
     assert runner.retrying(start, attempts=3, limit_s=60) == 2
+
+
+def test_spread_only_when_scan_is_narrow(spark, scratch):
+    from aspectra.session import spread
+
+    def exchanges(df):
+        return df._jdf.queryExecution().executedPlan().toString().count("RoundRobinPartitioning")
+
+    narrow = spark.read.parquet(f"{SF0001}/documents.parquet")      # one row group -> one task
+    assert exchanges(spread(narrow, 4)) == 1
+    spark.range(4000).repartition(8).write.parquet(scratch + "/wide")
+    wide = spark.read.parquet(scratch + "/wide")
+    assert wide.rdd.getNumPartitions() >= 4 and exchanges(spread(wide, 4)) == 0
