@@ -56,14 +56,15 @@ def hash_share(*cols: Column | str) -> Column:
 
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int,
-                    max_chars: int, features) -> list[tuple[int, float, np.ndarray]]:
+                    max_chars: int, features) -> tuple[list[tuple[int, float, np.ndarray]], dict[int, int]]:
     """Features of a bounded sample of labelled documents: at most about
     ``per_class`` documents of each class (drawn by a hash of the id), each of
     at most ``max_chars`` characters, so at most ``2 * per_class`` short texts
     are ever joined, and only their feature arrays reach the driver.
 
     Ids labelled both ways, null ids and null labels are not learned from;
-    repeated rows of one id count once. Returns (label, hash share, features).
+    repeated rows of one id count once. Returns the rows (label, hash share,
+    features) and how many ids each class has in all.
     """
     marks = (labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("_y"))
              .where(F.col("_id").isNotNull() & F.col("_y").isin(0, 1))
@@ -87,7 +88,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
 
     rows = texts.mapInPandas(extract, "y int, share double, f binary").collect()
     out = [(r["y"], r["share"], np.frombuffer(bytes(r["f"]), np.int32)) for r in rows]
-    return sorted(out, key=lambda r: r[1])
+    return sorted(out, key=lambda r: r[1]), counts
 
 
 _POWERS: dict[str, np.ndarray] = {}

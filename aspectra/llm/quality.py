@@ -140,7 +140,11 @@ def fit(sample: list[tuple[int, float, np.ndarray]], smooth: float = 1.0, cost:
 def learn(docs: DataFrame, labels: DataFrame, rows: Column, per_class: int = PER_CLASS,
           max_chars: int = MAX_CHARS) -> NbsvmModel:
     """Fit on a bounded sample (see `labelled_sample`) of the ids where `rows`, over `_id`, holds."""
-    return fit(labelled_sample(docs, labels, "quality", rows, per_class, max_chars, ngrams))
+    sample, counts = labelled_sample(docs, labels, "quality", rows, per_class, max_chars, ngrams)
+    model = fit(sample)
+    if counts.get(0) and counts.get(1) and model.curve[0] > 0:  # the sample is balanced, the labels are not
+        model.curve = (model.curve[0], model.curve[1] + float(np.log(counts[1] / counts[0])))
+    return model
 
 
 def score(docs: DataFrame, model: NbsvmModel) -> DataFrame:

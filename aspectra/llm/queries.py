@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, quality, toxicity
+from . import decontaminate, langid, neardup, quality, toxicity
 from .common import read_table
 
 
@@ -20,6 +20,10 @@ def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
 
 
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.report(read_table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -28,5 +32,6 @@ REGISTRY = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
     "op3_decontamination": op3_decontamination,
+    "op5_near_duplicates": op5_near_duplicates,
     "op9_toxicity": op9_toxicity,
 }

@@ -1,7 +1,6 @@
 """Toxicity: a logistic classifier over words, regularised by counterfactuals.
 
-Features are hashed indicators of words and of neighbouring word pairs (letters only,
-lower-cased). For every labelled text that names an identity term, each term found
+Features are hashed indicators of words (letters only, lower-cased). For every labelled text that names an identity term, each term found
 is swapped for another of its group, and the squared change of the text's score under the swap
 is added to the loss, so a group mention alone moves no score. A term that no labelled
 text names has no weight. Fitted by gradient steps on a bounded sample.
@@ -21,10 +20,11 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import labelled_sample, mix, remainder, word_hashes, word_spans
+from .common import labelled_sample, remainder, word_hashes, word_spans
 
 BITS = 18
-PER_CLASS = 2000
+#: Bounds of the learning sample: documents per class, characters per document.
+PER_CLASS = 4000
 MAX_CHARS = 20_000
 
 # Identity terms by group; a term is swapped within its group.
@@ -50,12 +50,11 @@ def _words(text: str | None) -> np.ndarray:
 
 
 def _indices(words: np.ndarray) -> np.ndarray:
-    pairs = mix(words[1:] * np.uint64(5) + words[:-1])
-    return (np.concatenate([words, pairs]) & np.uint64((1 << BITS) - 1)).astype(np.int64)
+    return (words & np.uint64((1 << BITS) - 1)).astype(np.int64)
 
 
 def features(text: str | None) -> np.ndarray:
-    """Distinct hashed words and word pairs of a whole text."""
+    """Distinct hashed words of a whole text."""
     return np.unique(_indices(_words(text)))
 
 
@@ -99,9 +98,10 @@ class ToxicityModel:
         return float(1 / (1 + np.exp(-np.clip(z, -30, 30))))
 
 
-def fit(sample: list[tuple[int, float, np.ndarray]], epochs: int = 400, ridge: float = 2e-4,
-        invariance: float = 1.0) -> ToxicityModel:
-    """Adam steps on class-balanced logistic loss + ridge + the swap penalty, over all rows at once."""
+def fit(sample: list[tuple[int, float, np.ndarray]], epochs: int = 200, ridge: float = 1e-3,
+        invariance: float = 1.0, toxic_weight: float = 3.0) -> ToxicityModel:
+    """Adam steps on class-balanced logistic loss + ridge + the swap penalty, over all rows
+    at once; a missed toxic text costs `toxic_weight` times a false alarm."""
     y = np.array([float(r[0]) for r in sample])
     if not len(y) or y.min() == y.max():
         return ToxicityModel(bias=0.0 if not len(y) else (4.0 if y[0] else -4.0))
@@ -124,7 +124,7 @@ def fit(sample: list[tuple[int, float, np.ndarray]], epochs: int = 400, ridge: f
     swap = [i for i, p in enumerate(pairs) if p is not None]
     r2, c2 = matrix([plain[i] for i in swap])
     r3, c3 = matrix([pairs[i] for i in swap])
-    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (1 - y).sum())
+    share = np.where(y == 1, toxic_weight / y.sum(), 1.0 / (1 - y).sum()) / (1 + toxic_weight)
     w, b = np.zeros(n_feat), 0.0
     m, v, t = np.zeros(n_feat + 1), np.zeros(n_feat + 1), 0
     for _ in range(epochs):
@@ -149,7 +149,7 @@ def fit(sample: list[tuple[int, float, np.ndarray]], epochs: int = 400, ridge: f
 def learn(docs: DataFrame, labels: DataFrame, rows: Column, per_class: int = PER_CLASS,
           max_chars: int = MAX_CHARS) -> ToxicityModel:
     """Fit on a bounded sample (see `labelled_sample`) of the ids where `rows`, over `_id`, holds."""
-    return fit(labelled_sample(docs, labels, "toxic", rows, per_class, max_chars, both))
+    return fit(labelled_sample(docs, labels, "toxic", rows, per_class, max_chars, both)[0])
 
 
 def score(docs: DataFrame, model: ToxicityModel) -> DataFrame:
