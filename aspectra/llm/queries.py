@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, langid, neardup, quality, toxicity
+from . import decontaminate, langid, neardup, packing, quality, toxicity
 from .common import read_table
 
 
@@ -24,6 +24,17 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.report(read_table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file of the installed public tokenizers."""
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
@@ -33,5 +44,32 @@ REGISTRY = {
     "op2_quality": op2_quality,
     "op3_decontamination": op3_decontamination,
     "op5_near_duplicates": op5_near_duplicates,
+    "op7_packing": op7_packing,
     "op9_toxicity": op9_toxicity,
 }
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORD = r"'[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'"
+
+ORACLE = {
+    "op3_decontamination": f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id,
+                  regexp_extract_all(coalesce({_LOWER}, ''), {_WORD}) AS w FROM documents),
+b AS (SELECT cast(item_id AS VARCHAR) AS item,
+             regexp_extract_all(coalesce({_LOWER}, ''), {_WORD}) AS w
+      FROM benchmark WHERE item_id IS NOT NULL),
+bl AS (SELECT item, w, least(len(w), 10) AS n FROM b WHERE len(w) > 0),
+win AS (SELECT DISTINCT item, n, array_to_string(w[i:i + n - 1], ' ') AS t
+        FROM (SELECT item, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM bl)),
+lens AS (SELECT DISTINCT n FROM win),
+dw AS (SELECT rid, n, i, array_to_string(w[i:i + n - 1], ' ') AS t
+       FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, lens WHERE len(w) >= n)),
+hit AS (SELECT rid, i, n, item FROM dw JOIN win USING (n, t)),
+words AS (SELECT rid, count(DISTINCT p) AS n_hit
+          FROM (SELECT rid, unnest(range(i, i + n)) AS p FROM hit) GROUP BY rid),
+items AS (SELECT rid, count(DISTINCT item) AS n_items,
+                 array_to_string(list_sort(list(DISTINCT item)), ',') AS ids FROM hit GROUP BY rid)
+SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)""",
+}
