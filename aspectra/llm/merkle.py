@@ -94,14 +94,16 @@ def successors(docs: DataFrame) -> DataFrame:
 
 def report(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    order = stored(successors(own), "order")
-    heads = own.groupBy("doc_id").agg(F.min("text").alias("next_text"))
-    nexts = (heads.join(order.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")))
-             .select("prev_id", "next_text"))
+    # the key has no nulls; both uses of `own` share one exchange, and texts move once more, to the id before
+    key = F.coalesce(F.concat(F.lit("#"), F.col("doc_id")), F.lit(""))
+    own = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), key.alias("k")).repartition("k")
+    before = F.coalesce(F.concat(F.lit("#"), F.col("prev_id")), F.lit(""))
+    order = stored(successors(docs).select(key.alias("k"), before.alias("prev_k")), "order")
+    heads = own.groupBy("k").agg(F.min(F.struct("text", "doc_id")).alias("head"))
+    nexts = heads.join(order, "k").select(F.col("prev_k").alias("k"), F.col("head.text").alias("next_text"))
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
-    both = (own.join(nexts, F.col("doc_id").eqNullSafe(F.col("prev_id")))
+    both = (own.join(nexts, "k")
             .withColumn("edited", F.concat(F.substring("text", F.lit(1), n - half),
                                            F.substring("next_text", F.lit(1), half)))
             .select("doc_id", n.cast("long").alias("n_chars"),
