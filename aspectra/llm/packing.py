@@ -67,20 +67,19 @@ def encoder(path: str):
     def encode(texts: list[str]) -> Iterator[np.ndarray]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
         halves = {}
-        for w in {w for ws in split for w in ws}.difference(known):
+        for w in set().union(*split).difference(known):
             core = w.rstrip(".,")
             halves[w] = (core.lower(), w[len(core):]) if core.isascii() and core.isalpha() else (w, "")
         learn([p for p in {p for pair in halves.values() for p in pair} if p not in base])
         fresh = {w: base[core] + base[tail] for w, (core, tail) in halves.items()}
-        if len(known) < CACHE_WORDS:  # the first words to come are the most frequent
-            known.update(fresh)
-            at_hand = known
-        else:
-            at_hand = {w: known[w] for ws in split for w in ws if w in known} | fresh
-            for p in [p for pair in halves.values() for p in pair if p]:
-                base.pop(p, None)
+        known.update(fresh)
         for ws in split:
-            yield np.frombuffer(b"".join([at_hand[w] for w in ws]), "<u4")
+            yield np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4")
+        if len(known) > CACHE_WORDS:  # the words that came first are the most frequent and stay
+            for w, pair in halves.items():
+                del known[w]
+                for p in filter(None, pair):
+                    base.pop(p, None)
 
     return encode
 
