@@ -132,8 +132,8 @@ def remove_spans(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW) ->
     sep = r"[\x00-\x2F\x3A-\x60\x7B-\x7F&&[^A-Z]]"
     parts = F.regexp_extract_all("row.text", F.lit(f"[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+{sep}*"), F.lit(0))
     lead = F.regexp_extract("row.text", f"^{sep}+", 0)
-    gone = F.array_except(F.sequence(F.lit(0), F.col("n_words").cast("int") - 1), F.col("covered"))
-    kept = F.concat(lead, F.array_join(F.transform(gone, lambda i: F.get(parts, i)), ""))
+    kept_places = F.array_except(F.sequence(F.lit(0), F.col("n_words").cast("int") - 1), F.col("covered"))
+    kept = F.concat(lead, let(parts, lambda p: F.array_join(F.transform(kept_places, lambda i: F.get(p, i)), "")))
     text = F.when(F.size("covered") > 0, kept).otherwise(F.col("row.text"))
     names = docs.columns
     return (out.withColumn("_clean", text)

@@ -6,8 +6,8 @@ winnowed over `WINDOW` neighbours on both sides, so any common run of GRAM + WIN
 in the index. Each document's hits vote for (template, diagonal); around every diagonal
 a banded alignment (match 2, mismatch -1, gap -1) finds the best local alignment in the band.
 
-Rules: null and empty texts have no match; a template of fewer than GRAM words is one gram and is found
-where it stands whole; overlapping finds of one template are reported once, the best covered
+Rules: null and empty texts have no match; a template needs GRAM + WINDOW - 1 words to be sure to be found
+whole; overlapping finds of one template are reported once, the best covered
 first; ties go to the earlier span. Rows with equal ids are reported each.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from .common import shingle_hashes, word_hashes, word_spans
 
-GRAM = 3
+GRAM = 2
 WINDOW = 2
 BAND = 4
 MIN_COVERAGE = 0.8
