@@ -91,7 +91,9 @@ def automaton(codes: np.ndarray, size: int) -> np.ndarray:
         for c, to in out.items():
             table[s, c] = to
     root = np.where(table[0] >= 0, table[0], 0)
-    return np.where(table >= 0, 2 * table, 2 * root[None, :] + 1).astype(np.int32).ravel()
+    full = np.where(table >= 0, 2 * table, 2 * root[None, :] + 1)
+    full[0] = 2 * root + 1  # whatever leaves the root starts a phrase; an unseen letter is one of its own
+    return full.astype(np.int32).ravel()
 
 
 class LanguageModel:
@@ -123,7 +125,7 @@ class _Scorer:
         live = np.searchsorted(-sizes, -np.arange(rows.shape[0]), side="left")
         for k, table in enumerate(self.model.tables):
             state = np.zeros(rows.shape[1], np.int64)
-            count = np.ones(rows.shape[1], np.int64)
+            count = np.zeros(rows.shape[1], np.int64)
             for i in range(rows.shape[0]):
                 n = live[i]
                 step = table[state[:n] * width + rows[i, :n]]
