@@ -161,7 +161,7 @@ class Forest:
         total = np.zeros(len(x))
         for feature, thr, left, right, leaf_len in self.trees:
             node = np.zeros(len(x), np.int64)
-            for _ in range(64):
+            while True:
                 f = feature[node]
                 inner = f >= 0
                 if not inner.any():
@@ -202,14 +202,16 @@ def score_points(spark: SparkSession, forest: Forest, points: Column) -> Column:
     def forest_scores(recs: pa.Array) -> pa.Array:
         model = bc.value
         pts = recs.flatten()                       # one list per point
-        vals = pts.flatten().to_numpy(zero_copy_only=False)
-        dims = pc.list_value_length(pts).to_numpy(zero_copy_only=False)
-        if len(dims) and (dims != dims[0]).any():
-            raise ValueError("points of different dimension in one batch")
-        d = int(dims[0]) if len(dims) else 1
-        s = model.scores(vals.reshape(-1, d)) if len(vals) else np.zeros(0)
+        vals = pts.values.to_numpy(zero_copy_only=False).astype(float)
+        start = pts.offsets.to_numpy()
+        need = 1 + max([int(t[0].max()) for t in model.trees if len(t[0])] + [-1])
+        usable = ~pts.is_null().to_numpy(zero_copy_only=False) & (np.diff(start) >= need)
+        x = vals[start[:-1][usable][:, None] + np.arange(need)[None, :]]
+        s = np.full(len(pts), np.nan)
+        if len(x):
+            s[usable] = np.where(np.isnan(x).any(axis=1), np.nan, model.scores(x))
         off = pc.subtract(recs.offsets, recs.offsets[0])
-        return pa.ListArray.from_arrays(off, pa.array(s, pa.float64()), mask=recs.is_null())
+        return pa.ListArray.from_arrays(off, pa.array(s, pa.float64(), mask=np.isnan(s)), mask=recs.is_null())
 
     # Non-deterministic for the optimizer only: a filter on the scores (the
     # verdict) must not be pushed through the projection and re-run the model.
@@ -260,8 +262,8 @@ def _threshold(scores: DataFrame, s: Column, q: float, accuracy: int, n: int) ->
 
 
 def verdict(first_score: Column, thr: float) -> Column:
-    """1 = normal, -1 = abnormal (score below the contamination threshold)."""
-    return F.when(first_score < F.lit(thr), F.lit(-1)).otherwise(F.lit(1))
+    """1 = normal, -1 = abnormal (score below the contamination threshold), null without a score."""
+    return F.when(first_score < F.lit(thr), F.lit(-1)).when(first_score.isNotNull(), F.lit(1))
 
 
 # ------------------------------------------------------------------ generators

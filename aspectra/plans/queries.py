@@ -201,28 +201,37 @@ def q_binary_payload_profile(spark, sf):
 # ------------------------------------------------------------ model outputs
 
 def _decoded(spark, sf):
+    """A 64-value vector holds two model outputs of 8 heads x 4 classes: one row per (vec_id, half)."""
     emb = table(spark, sf, "embeddings")
-    probs = emb.select("vec_id", "label", arr.group_flat("embedding").alias("probs"))
-    return probs.select("vec_id", "label", *[arr.argmax(arr.head("probs", i)).alias(f"idx_{a}") for i, a in enumerate(ASPECTS)])
+    size = len(ASPECTS) * 4
+    each = emb.select("vec_id", "label", "embedding", F.explode(F.expr(
+        f"transform(sequence(1, cast(size(embedding) / {size} as int)), i -> cast(i - 1 as int))")).alias("half"))
+    probs = each.select("vec_id", "label", "half", arr.group_flat(
+        F.slice("embedding", F.col("half") * size + 1, size)).alias("probs"))
+    return probs.select("vec_id", "label", "half",
+                        *[arr.argmax(arr.head("probs", i)).alias(f"idx_{a}") for i, a in enumerate(ASPECTS)])
+
+
+_HALVES = "(SELECT *, CAST(unnest(range(len(embedding) // 32)) AS INTEGER) AS half FROM embeddings)"
 
 
 def _idx_sql(i: int) -> str:
-    g = f"embedding[{4 * i + 1}:{4 * i + 4}]"
+    g = f"embedding[half * 32 + {4 * i + 1}:half * 32 + {4 * i + 4}]"
     return f"CAST(list_position({g}, list_max({g})) - 1 AS INTEGER)"
 
 
-@query("argmax_decode", f"SELECT vec_id, label, {', '.join(f'{_idx_sql(i)} AS idx_{a}' for i, a in enumerate(ASPECTS))} FROM embeddings")
+@query("argmax_decode", f"SELECT vec_id, label, half, {', '.join(f'{_idx_sql(i)} AS idx_{a}' for i, a in enumerate(ASPECTS))} FROM {_HALVES}")
 def q_argmax_decode(spark, sf):
     return _decoded(spark, sf)
 
 
-@query("labels_decode", f"""SELECT vec_id, label, {', '.join(
+@query("labels_decode", f"""SELECT vec_id, label, half, {', '.join(
     f"CAST(CASE {_idx_sql(ASPECTS.index(a))} WHEN 0 THEN -1 WHEN 1 THEN 0 WHEN 2 THEN 1 WHEN 3 THEN 2 ELSE -99 END AS INTEGER) AS pred_{a}"
-    for a in PRED_ORDER)} FROM embeddings""")
+    for a in PRED_ORDER)} FROM {_HALVES}""")
 def q_labels_decode(spark, sf):
     dec = _decoded(spark, sf)
     dec = dec.withColumns({f"pred_{a}": arr.index_to_label(F.col(f"idx_{a}")) for a in ASPECTS})
-    return dec.drop(*[f"idx_{a}" for a in ASPECTS]).select("vec_id", "label", *[f"pred_{a}" for a in PRED_ORDER])
+    return dec.select("vec_id", "label", "half", *[f"pred_{a}" for a in PRED_ORDER])
 
 
 # ------------------------------------------------------------ evaluation
@@ -322,7 +331,7 @@ def q_csv_scan_typed(spark, sf):
 @query("stream_envelope_scan", NUMBER_TOPIC_SQL)
 def q_stream_envelope_scan(spark, sf):
     path = ST.topic_files(spark, _numbers(spark, sf), "stream_envelope_scan")
-    src = stream_envelope_files(spark, path, max_files_per_trigger=1)
+    src = stream_envelope_files(spark, path)
     proj = src.select("topic", "partition", "offset", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
                       F.col("value").cast("string").alias("value"))
     return ST.drain_to_lake(spark, proj, "stream_envelope_scan")
@@ -337,7 +346,7 @@ def q_stream_two_queries(spark, sf):
 @query("stream_score", f"SELECT id, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()})")
 def q_stream_score(spark, sf):
     path = ST.topic_files(spark, review_messages(table(spark, sf, "documents")), "stream_score")
-    scored = ST.score_stream(stream_envelope_files(spark, path, max_files_per_trigger=4))
+    scored = ST.score_stream(stream_envelope_files(spark, path))
     return ST.drain_to_lake(spark, scored.select("id", *ASPECTS), "stream_score")
 
 
@@ -458,13 +467,13 @@ SCORES_SQL = f"""
 
 @query("anomaly_scores", f"SELECT id, round(score, 6) AS score, round(score, 3) AS score_3 FROM ({SCORES_SQL})")
 def q_anomaly_scores(spark, sf):
-    s = F.col("scores")[0]
+    s = F.get("scores", F.lit(0))
     return _scored_transactions(spark, sf).select("id", F.round(s, 6).alias("score"), F.round(s, 3).alias("score_3"))
 
 
 @query("anomaly_threshold", f"SELECT round(quantile_cont(score, {FOREST_CONTAMINATION}), 6) AS threshold, count(*) AS n_train FROM ({SCORES_SQL})")
 def q_anomaly_threshold(spark, sf):
-    scored = _scored_transactions(spark, sf).select(F.col("scores")[0].alias("score"))
+    scored = _scored_transactions(spark, sf).select(F.get("scores", F.lit(0)).alias("score"))
     thr = AN.threshold(scored, "score", FOREST_CONTAMINATION)
     return scored.agg(F.count(F.lit(1)).alias("n_train")).select(F.round(F.lit(thr), 6).alias("threshold"), "n_train")
 
@@ -478,7 +487,7 @@ ANOMALY_ALERTS_SQL = f"""
 @query("anomaly_alerts", ANOMALY_ALERTS_SQL)
 def q_anomaly_alerts(spark, sf):
     scored = _scored_transactions(spark, sf)
-    thr = AN.threshold(scored.select(F.col("scores")[0].alias("score")), "score", FOREST_CONTAMINATION)
+    thr = AN.threshold(scored.select(F.get("scores", F.lit(0)).alias("score")), "score", FOREST_CONTAMINATION)
     return alert_records(scored, thr)
 
 
@@ -491,7 +500,7 @@ def _lineitem_points(spark, sf):
 def alert_records(scored: DataFrame, thr: float) -> DataFrame:
     """Records whose first point scores below the threshold, as anomaly messages
     (the transaction plus the rounded score of every point)."""
-    flagged = scored.filter(AN.verdict(F.col("scores")[0], thr) == -1)
+    flagged = scored.filter(AN.verdict(F.get("scores", F.lit(0)), thr) == -1)
     alerts = flagged.withColumn("score", F.transform("scores", lambda v: F.round(v, 3)))
     return alerts.select("id", encode_json("id", "data", "current_time", "score").alias("value"))
 
@@ -501,10 +510,10 @@ def q_anomaly_alerts_stream(spark, sf):
     """Consume -> score -> filter -> produce as one streaming query (the alert
     topic is the lake sink offline; ``kafka_stream_writer`` publishes it live).
     The threshold comes from the training scores, computed before the stream."""
-    train = _scored_transactions(spark, sf).select(F.col("scores")[0].alias("score"))
+    train = _scored_transactions(spark, sf).select(F.get("scores", F.lit(0)).alias("score"))
     thr = AN.threshold(train, "score", FOREST_CONTAMINATION)
     path = ST.topic_files(spark, _transactions(spark, sf), "anomaly_alerts_stream")
-    stream = stream_envelope_files(spark, path, max_files_per_trigger=4)
+    stream = stream_envelope_files(spark, path)
     good, _ = split_dead_letter(parse_envelope(stream, TRANSACTION_DDL))
     scored = good.withColumn("scores", AN.score_points(spark, _fixed_forest(), F.col("data")))
     return ST.drain_to_lake(spark, alert_records(scored, thr), "anomaly_alerts_stream")

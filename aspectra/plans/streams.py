@@ -90,7 +90,7 @@ def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches:
         if replay_batches:
             sink(df, batch_id)
 
-    scored = with_source_key(score_stream(stream_envelope_files(spark, path, max_files_per_trigger=4), scorer))
+    scored = with_source_key(score_stream(stream_envelope_files(spark, path), scorer))
     runner.run_available(runner.foreach_batch(scored, batch, fresh_path(spark, name, "checkpoint"),
                                               trigger="available", name=f"{name}_{uuid.uuid4().hex[:8]}"))
     # Read the table back, keep the copy in the shared folder, and drop the
@@ -133,12 +133,15 @@ def two_queries(spark: SparkSession, env: DataFrame, name: str) -> tuple[DataFra
         w = runner.with_trigger(lake_writer(df, out, ckpt), "available")
         queries.append(w.start())
         outs.append(out)
-    for q in queries:
-        if not q.awaitTermination(600):
-            q.stop()
-            raise TimeoutError("stream did not drain")
-        if q.exception():
-            raise RuntimeError(str(q.exception()))
+    try:
+        for q in queries:
+            q.awaitTermination()
+            if q.exception():
+                raise RuntimeError(str(q.exception()))
+    finally:  # a failure of one leaves none running
+        for q in queries:
+            if q.isActive:
+                q.stop()
     return spark.read.parquet(outs[0]), spark.read.parquet(outs[1])
 
 

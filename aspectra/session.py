@@ -76,6 +76,8 @@ def shared_dir(spark: SparkSession) -> str:
         return current.rstrip("/")
     conf = sc.getConf().get("spark.checkpoint.dir", None) or spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         conf = tempfile.mkdtemp(prefix="aspectra-ckpt-")
     sc.setCheckpointDir(conf)
     return (sc.getCheckpointDir() or conf).rstrip("/")
