@@ -17,6 +17,7 @@ sequence's offsets run without gaps from 0.
 
 from __future__ import annotations
 
+import functools
 import os
 import zlib
 from collections.abc import Iterator
@@ -35,31 +36,53 @@ BINS = 256
 CACHE_WORDS = 400_000
 
 
+#: ASCII marks that may close a word; the pre-tokeniser never joins them to letters.
+CLOSING = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
+
+
+@functools.lru_cache(maxsize=1)
 def encoder(path: str):
     """text -> ids, equal to `Tokenizer.encode(text, add_special_tokens=False).ids`. The vocabulary's
     pre-tokeniser drops blanks and line ends, joins nothing across them, ignores case, and keeps letters apart
-    from marks; so each word, without its closing stops, is encoded once and remembered."""
+    from marks; so each word, without its closing marks, is encoded once and remembered. One encoder, with
+    its bounded memory of words, serves all tasks of a worker."""
     from tokenizers import Tokenizer
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     tok = Tokenizer.from_file(path)
+    vocabulary = tok.get_vocab(with_added_tokens=True)
     mark = "<|endoftext|>"
-    stop = tok.token_to_id(mark)
+    stop = vocabulary.get(mark, -1)
+    closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters or of marks
+    closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
     known: dict[str, bytes] = {}
     base: dict[str, bytes] = {"": b""}
 
+    def together(parts: list[str], glue: str, cuts_of) -> None:
+        """Encode many words in one call; `cuts_of(ids)` gives where each begins and ends. A
+        call in which they do not come out as one stretch a word is left to single calls."""
+        groups = [parts[s:s + 2000] for s in range(0, len(parts), 2000)]
+        got = tok.encode_batch_fast([glue.join(g) for g in groups], add_special_tokens=False)
+        for some, one in zip(groups, got, strict=True):
+            ids = np.array(one.ids, "<u4")
+            begins, ends = cuts_of(ids)
+            if len(begins) == len(some):
+                raw = ids.tobytes()
+                base.update((p, raw[4 * a:4 * b]) for p, a, b in zip(some, begins.tolist(), ends.tolist(), strict=True))
+
+    def by_closing(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        ends = np.flatnonzero(closes[ids]) + 1
+        return np.append(0, ends[:-1])[:len(ends)], ends
+
+    def by_mark(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        at = np.flatnonzero(ids == stop)
+        return np.append(0, at + 1), np.append(at, len(ids))
+
     def learn(parts: list[str]) -> None:
-        """Encode words, many in one call with the vocabulary's end mark between them."""
-        plain = [p for p in parts if stop is not None and mark[:2] not in p]
-        groups = [plain[s:s + 2000] for s in range(0, len(plain), 2000)]
-        joined = tok.encode_batch_fast([f" {mark} ".join(g) for g in groups], add_special_tokens=False)
-        for some, got in zip(groups, joined, strict=True):
-            ids = np.array(got.ids, "<u4")
-            cuts = np.flatnonzero(ids == stop)
-            if len(cuts) != len(some) - 1:
-                continue
-            for p, a, b in zip(some, [0, *(cuts + 1).tolist()], [*cuts.tolist(), len(ids)], strict=True):
-                base[p] = ids[a:b].tobytes()
+        # every run of letters gives one closing id at least, so equal counts mean one each
+        together([p for p in parts if p.isalpha()], " ", by_closing)
+        if stop >= 0:
+            together([p for p in parts if p not in base and mark[:2] not in p], f" {mark} ", by_mark)
         for p in parts:
             if p not in base:
                 base[p] = np.array(tok.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
@@ -68,11 +91,10 @@ def encoder(path: str):
         split = [t.replace("\n", " ").split(" ") for t in texts]
         halves = {}
         for w in set().union(*split).difference(known):
-            core = w.rstrip(".,")
-            halves[w] = (core.lower(), w[len(core):]) if core.isascii() and core.isalpha() else (w, "")
+            core = w.rstrip(CLOSING)
+            halves[w] = (core.lower() if core.isascii() else core, w[len(core):]) if core.isalpha() else (w, "")
         learn([p for p in {p for pair in halves.values() for p in pair} if p not in base])
-        fresh = {w: base[core] + base[tail] for w, (core, tail) in halves.items()}
-        known.update(fresh)
+        known.update((w, base[core] + base[tail]) for w, (core, tail) in halves.items())
         for ws in split:
             yield np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4")
         if len(known) > CACHE_WORDS:  # the words that came first are the most frequent and stay
