@@ -8,6 +8,10 @@ engine gives the same answer as Python.
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -89,40 +93,79 @@ def token_ids(
     truncate: str = "head",
     unk_id: int = UNK_ID,
     oov: str = "unk",
-    known: list[str] | None = None,
-    max_vocab: int | None = 2_000_000,
+    max_vocab: int = 2_000_000,
 ) -> DataFrame:
-    """(key, ids) with ids = vocabulary ids of the tokens, cut then padded to ``max_len``.
-
-    Tokens are cut *before* the explode, so at most ``max_len`` rows per text
-    reach the join. The vocabulary side is broadcast: it is an artefact whose
-    size is bounded when it is built (``build_vocabulary``'s ``size``) or loaded
-    (``load_vocabulary`` checks the entry count).
-    Null text gives null ids.
+    """(key, ids) per row of ``df`` with ids = vocabulary ids of the tokens, cut
+    then padded to ``max_len``; rows that share a key stay apart. Null text gives
+    null ids. A token's id is the least one that ``vocab`` (token, id) gives it.
 
     ``oov="drop"`` removes tokens outside the vocabulary *before* the cut (a
-    Keras-style tokenizer without an OOV token); ``known`` is then the
-    vocabulary's token list (bounded), tested as a hash-set membership.
+    Keras-style tokenizer without an OOV token).
+
+    A vocabulary of at most ``max_vocab`` entries (counted) is broadcast and
+    looked up inside the row, so nothing is shuffled; a larger one is joined by
+    shuffle on the token and the rows are put together again, with equal results.
     """
+    if truncate not in ("head", "tail"):
+        raise ValueError("truncate must be 'head' or 'tail'")
+    if oov not in ("unk", "drop"):
+        raise ValueError("oov must be 'unk' or 'drop'")
     keys = [key] if isinstance(key, str) else list(key)
-    # A vocabulary from build_vocabulary is bounded by construction (pass
-    # max_vocab=None); any other is counted (at most max_vocab + 1 rows) first.
-    if max_vocab is not None and vocab.limit(max_vocab + 1).count() > max_vocab:
-        raise ValueError(f"vocabulary larger than {max_vocab} entries; refusing to broadcast it")
     toks = tokens(text_col)
-    if oov == "drop":
-        if known is None:
-            raise ValueError("oov='drop' needs the vocabulary tokens in `known`")
-        toks = F.filter(toks, lambda t: t.isin(*known))
-    elif oov != "unk":
-        raise ValueError("oov must be 'unk' or 'drop'")
-    kept = df.select(*keys, cut(toks, max_len, truncate).alias("toks"))
-    exploded = kept.select(*keys, F.col("toks").isNull().alias("is_null"), F.posexplode_outer("toks").alias("pos", "token"))
-    joined = exploded.join(F.broadcast(vocab.select("token", "id")), "token", "left")
-    entry = F.when(F.col("pos").isNotNull(), F.struct("pos", F.coalesce("id", F.lit(unk_id)).alias("id")))
-    grouped = joined.groupBy(*keys).agg(
-        F.max("is_null").alias("is_null"),
-        F.array_sort(F.collect_list(entry)).alias("entries"),
-    )
-    ids = pad(F.transform("entries", lambda e: e["id"]), max_len)
-    return grouped.select(*keys, F.when(F.col("is_null"), F.lit(None)).otherwise(ids).alias("ids"))
+    if oov == "unk":
+        toks = cut(toks, max_len, truncate)
+    rows = vocab.select("token", "id").limit(max_vocab + 1).collect()
+    if len(rows) > max_vocab:
+        return _joined_ids(df.select(*keys, toks.alias("toks")), keys, vocab, max_len, truncate, unk_id, oov)
+    return df.select(*keys, _looked_up(df, rows, max_len, truncate, unk_id, oov)(toks).alias("ids"))
+
+
+def _looked_up(df: DataFrame, rows: list, max_len: int, truncate: str, unk_id: int, oov: str):
+    """Arrow UDF: array of tokens -> array of ``max_len`` ids."""
+    ids: dict[str, int] = {}
+    for r in rows:
+        ids[r["token"]] = min(int(r["id"]), ids.get(r["token"], int(r["id"])))
+    held = df.sparkSession.sparkContext.broadcast(ids)
+    indexes: list[tuple[pd.Index, np.ndarray]] = []
+
+    @F.arrow_udf("array<int>")
+    def lookup(batch: pa.Array) -> pa.Array:
+        if not indexes:  # once per task
+            known = held.value
+            indexes.append((pd.Index(list(known), dtype=object), np.array([*known.values(), unk_id], np.int64)))
+        index, id_of = indexes[0]
+        n = len(batch)
+        lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = batch.flatten().to_numpy(zero_copy_only=False)
+        pos = index.get_indexer(flat) if len(flat) else np.zeros(0, np.int64)
+        row = np.repeat(np.arange(n), lengths)
+        if oov == "drop":
+            row, pos = row[pos >= 0], pos[pos >= 0]
+        have = np.bincount(row, minlength=n)
+        place = np.arange(len(row)) - np.repeat(np.cumsum(have) - have, have)
+        if truncate == "tail":
+            place -= np.repeat(np.maximum(have - max_len, 0), have)
+        inside = (place >= 0) & (place < max_len)
+        out = np.full((n, max_len), PAD_ID, np.int32)
+        out[row[inside], place[inside]] = id_of[pos[inside]]  # -1, a token unknown, takes the last entry
+        return pa.ListArray.from_arrays(pa.array(np.arange(n + 1) * max_len, pa.int32()), pa.array(out.ravel()),
+                                        mask=batch.is_null())
+
+    return lookup
+
+
+def _joined_ids(kept: DataFrame, keys: list[str], vocab: DataFrame, max_len: int, truncate: str, unk_id: int,
+                oov: str) -> DataFrame:
+    """The same for a vocabulary that is too large to hold: a shuffle join on the token."""
+    from ..session import fresh_path
+
+    path = fresh_path(kept.sparkSession, "token_ids", "rows")
+    kept.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)  # row numbers that stay
+    rows = kept.sparkSession.read.parquet(path)
+    least = vocab.groupBy("token").agg(F.min("id").cast("int").alias("id"))
+    each = rows.select("_row", F.posexplode("toks").alias("pos", "token")).join(least, "token", "left")
+    each = each.where("id is not null") if oov == "drop" else each.withColumn("id", F.coalesce("id", F.lit(unk_id)))
+    found = each.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("entries"))
+    ids = F.transform(F.coalesce("entries", F.array().cast("array<struct<pos:int,id:int>>")), lambda e: e["id"])
+    whole = pad(cut(ids, max_len, truncate), max_len)
+    return rows.join(found, "_row", "left").select(*keys, F.when(F.col("toks").isNotNull(), whole).alias("ids"))

@@ -14,8 +14,8 @@
 * Score: ``-2 ** (-mean path length / c(psi))``; the node table is broadcast
   (its size bound follows from trees and psi) and traversed vectorised in
   NumPy inside an Arrow UDF.
-* Threshold: the ``contamination`` quantile of training scores, exact, using an
-  approximate bracket and an exact pass over the rows inside the bracket only.
+* Threshold: the ``contamination`` quantile of training scores, exact, by counts
+  on a grid that is refined around the rank; saved with the model.
 """
 
 from __future__ import annotations
@@ -114,7 +114,7 @@ def fit(points: DataFrame, features: list[str], key: str, trees: int = FOREST_TR
 
     feats = [F.col(f).cast("double").alias(nm) for f, nm in zip(features, names)]
     k = F.col(key).cast("string")
-    for _ in range(6):
+    while True:
         picked = F.filter(F.sequence(F.lit(0), F.lit(trees - 1)), lambda t: _unit_hash(k, t, seed) < F.lit(rate))
         cand = points.select(*feats, k.alias("_k"), F.explode(picked).alias("tree"))
         cand = cand.select(F.col("tree").cast("int").alias("tree"), *names,
@@ -128,7 +128,6 @@ def fit(points: DataFrame, features: list[str], key: str, trees: int = FOREST_TR
         if rate >= 1.0:
             raise ValueError("not enough distinct rows to sample every tree")
         rate = min(1.0, rate * 2)
-    raise RuntimeError("sampling did not converge")
 
 
 # ------------------------------------------------------------------ model I/O
@@ -176,9 +175,11 @@ class Forest:
         return -np.power(2.0, -self.path_lengths(x) / c_factor(self.psi))
 
 
-def save(nodes: DataFrame, path: str, psi: int, features: list[str]) -> None:
+def save(nodes: DataFrame, path: str, psi: int, features: list[str], threshold: float | None = None) -> None:
+    """Node table and metadata; ``threshold`` is the score below which a point is
+    abnormal, fixed on the training scores."""
     nodes.write.mode("overwrite").parquet(os.path.join(path, "nodes"))
-    meta = {"psi": psi, "features": features, "format": "isolation-forest-nodes-v1"}
+    meta = {"psi": psi, "features": features, "threshold": threshold, "format": "isolation-forest-nodes-v1"}
     nodes.sparkSession.createDataFrame([(json.dumps(meta),)], "meta STRING").coalesce(1) \
         .write.mode("overwrite").text(os.path.join(path, "meta"))
 
@@ -218,47 +219,40 @@ def score_points(spark: SparkSession, forest: Forest, points: Column) -> Column:
     return forest_scores.asNondeterministic()(points)
 
 
-def threshold(scores: DataFrame, col: str, q: float = FOREST_CONTAMINATION, accuracy: int | None = None,
-              bracket_rows: int = 1_000_000) -> float:
-    """Exact ``q`` quantile (linear interpolation, as ``percentile``/``quantile_cont``).
+def threshold(scores: DataFrame, col: str, q: float = FOREST_CONTAMINATION, cells: int = 4096) -> float:
+    """Exact ``q`` quantile (linear interpolation, as ``quantile_cont``); NaN without scores.
 
-    Pass 1 finds an approximate bracket around rank ``q (N - 1)`` with
-    ``approx_percentile`` (rank error <= N / accuracy); pass 2 counts rows below
-    the bracket and takes the exact percentile of the rows inside it, which is
-    about ``4 N / accuracy`` rows instead of N; by default the accuracy grows
-    with N so the bracket stays near ``bracket_rows`` rows. The bracket is
-    widened until it provably holds both order statistics needed.
+    Scores are counted into a grid of ``cells`` cells between their least and
+    greatest value (a partial aggregate: at most ``cells + 1`` rows per task
+    and on the driver), and the one cell that holds the rank is cut into a
+    finer grid until it holds a single value or ends at the rank. Least and
+    greatest value of a cell never share the next grid's cell, so it ends.
+    The input is read once per grid (about three times); give it stored scores.
     """
-    s = F.col(col)
-    scores = scores.select(col).filter(s.isNotNull()).persist()  # several passes over one column
-    try:
-        n = scores.count()
-        if n == 0:
-            return float("nan")
-        acc = accuracy or int(min(max(4 * n // bracket_rows, 10_000), 2_000_000_000))
-        return _threshold(scores, s, q, acc, n)
-    finally:
-        scores.unpersist()
-
-
-def _threshold(scores: DataFrame, s: Column, q: float, accuracy: int, n: int) -> float:
-    delta = 2.0 / accuracy
-    lo, hi = scores.agg(F.percentile_approx(s, [max(0.0, q - delta), min(1.0, q + delta)], accuracy)).first()[0]
-    h = q * (n - 1)
-    lo_rank, hi_rank = math.floor(h), math.ceil(h)
-    while True:
-        row = scores.agg(F.count_if(s < lo).alias("below"), F.count_if((s >= lo) & (s <= hi)).alias("inside")).first()
-        below, inside = row["below"], row["inside"]
-        if below <= lo_rank and below + inside - 1 >= hi_rank:
-            break
-        if delta >= 1.0:
-            below, inside, lo, hi = 0, n, None, None
-            break
-        delta *= 4
-        lo, hi = scores.agg(F.percentile_approx(s, [max(0.0, q - delta), min(1.0, q + delta)], accuracy)).first()[0]
-    sub = scores if lo is None else scores.filter((s >= lo) & (s <= hi))
-    local = (h - below) / (inside - 1) if inside > 1 else 0.0
-    return float(sub.agg(F.percentile(s, F.lit(local)).alias("p")).first()["p"])
+    s = F.col(col).cast("double")
+    scores = scores.select(s.alias("s")).where(s.isNotNull() & ~F.isnan(s))
+    row = scores.agg(F.count(F.lit(1)).alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).first()
+    if not row["n"]:
+        return float("nan")
+    h = q * (row["n"] - 1)
+    rank = math.floor(h)  # wanted: the values at this rank and the next, counted from 0
+    lo, hi, below = row["lo"], row["hi"], 0
+    while lo < hi:
+        inside = scores.where((F.col("s") >= lo) & (F.col("s") <= hi))
+        cell = F.floor((F.col("s") - lo) / (hi - lo) * cells)
+        counts = inside.groupBy(cell.alias("cell")).agg(
+            F.count(F.lit(1)).alias("n"), F.min("s").alias("lo"), F.max("s").alias("hi")).collect()
+        counts.sort(key=lambda r: r["cell"])
+        at = 0
+        while below + counts[at]["n"] <= rank:
+            below += counts[at]["n"]
+            at += 1
+        found = counts[at]
+        if below + found["n"] == rank + 1:  # the last of its cell: the next value opens the next cell
+            after = counts[at + 1]["lo"] if at + 1 < len(counts) else found["hi"]
+            return found["hi"] + (after - found["hi"]) * (h - rank)
+        lo, hi = found["lo"], found["hi"]
+    return float(lo)
 
 
 def verdict(first_score: Column, thr: float) -> Column:

@@ -180,11 +180,16 @@ def file_digest(path: str) -> str:
     return h.hexdigest()
 
 
-def load_artefacts(vocab_path: str, weights_path: str) -> tuple[dict[str, int], dict[str, np.ndarray]]:
+def artefact_key(vocab_path: str, weights_path: str) -> str:
+    return file_digest(vocab_path) + ":" + file_digest(weights_path)
+
+
+def load_artefacts(vocab_path: str, weights_path: str,
+                   key: str | None = None) -> tuple[dict[str, int], dict[str, np.ndarray]]:
     """Vocabulary + weights, loaded once per worker process and cached by file
-    digest. The cache entry is assigned only after both files loaded completely,
+    digest (`key`, where the caller has computed it). The cache entry is assigned only after both files loaded completely,
     so a failed load raises every time instead of leaving a half-built model."""
-    key = file_digest(vocab_path) + ":" + file_digest(weights_path)
+    key = key or artefact_key(vocab_path, weights_path)
     hit = _ARTEFACTS.get(key)
     if hit is not None:
         return hit
@@ -203,7 +208,7 @@ _INDEXES: dict[int, tuple] = {}
 
 def _resolve(value):
     """Broadcast value -> (vocab, weights): either the artefacts or their paths."""
-    return load_artefacts(value[1], value[2]) if value[0] == "paths" else value
+    return load_artefacts(*value[1:]) if value[0] == "paths" else value
 
 
 def _vocab_index(vocab: dict[str, int]):
@@ -234,13 +239,15 @@ class CnnScorer(Scorer):
         self._bc = spark.sparkContext.broadcast((vocab, weights))
 
     @classmethod
-    def from_files(cls, spark: SparkSession, vocab_path: str, weights_path: str, **kw) -> CnnScorer:
+    def from_files(cls, spark: SparkSession, vocab_path: str, weights_path: str, max_len: int = HEAD_MAX_LEN,
+                   truncate: str = "head") -> CnnScorer:
         """Artefacts on a path every executor can read: only the paths are
-        broadcast; each worker loads (and caches) the files itself."""
+        broadcast, with the files' digests; each worker loads the files itself, once."""
         self = cls.__new__(cls)
-        self.max_len, self.truncate = kw.get("max_len", HEAD_MAX_LEN), kw.get("truncate", "head")
-        load_artefacts(vocab_path, weights_path)  # fail fast on the driver
-        self._bc = spark.sparkContext.broadcast(("paths", vocab_path, weights_path))
+        self.max_len, self.truncate = max_len, truncate
+        key = artefact_key(vocab_path, weights_path)
+        load_artefacts(vocab_path, weights_path, key)  # fail fast on the driver
+        self._bc = spark.sparkContext.broadcast(("paths", vocab_path, weights_path, key))
         return self
 
     @classmethod

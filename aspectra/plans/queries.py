@@ -29,7 +29,8 @@ from . import fixed_forest as FX
 from . import oracle as O
 from . import streams as ST
 from .catalog import table
-from .reviews import PRED_ORDER, flagship, labelled_predictions, parsed_labelled, parsed_reviews, scored_reviews
+from .reviews import (PRED_ORDER, flagship, labelled_predictions, parsed_labelled, parsed_reviews, score_parsed,
+                      scored_reviews)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -94,7 +95,7 @@ def q_text_clean(spark, sf):
 def q_text_to_ids(spark, sf):
     docs = table(spark, sf, "documents")
     vocab = tx.build_vocabulary(docs, "text", size=5000)
-    ids = tx.token_ids(docs, "doc_id", "text", vocab, max_len=HEAD_MAX_LEN, truncate="head", max_vocab=None)
+    ids = tx.token_ids(docs, "doc_id", "text", vocab, max_len=HEAD_MAX_LEN, truncate="head")
     return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
@@ -102,7 +103,7 @@ def q_text_to_ids(spark, sf):
 def q_text_to_ids_tail(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("clean"))
     vocab = tx.build_vocabulary(docs, "clean", size=5000)
-    ids = tx.token_ids(docs, "doc_id", "clean", vocab, max_len=TAIL_MAX_LEN, truncate="tail", max_vocab=None)
+    ids = tx.token_ids(docs, "doc_id", "clean", vocab, max_len=TAIL_MAX_LEN, truncate="tail")
     return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
@@ -253,7 +254,8 @@ def q_eval_macro(spark, sf):
 
 @query("sample_top_n", f"SELECT id, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()}) ORDER BY md5(id) LIMIT 300")
 def q_sample_top_n(spark, sf):
-    return S.sample_rows(scored_reviews(spark, sf), 300, ["id"]).select("id", *ASPECTS)
+    drawn = S.sample_rows(parsed_reviews(spark, sf), 300, ["id"])
+    return score_parsed(drawn).select("id", *ASPECTS)
 
 
 @query("batch_preview", f"""
@@ -261,13 +263,15 @@ def q_sample_top_n(spark, sf):
            to_json({{'review': review, {', '.join(f"'{a}': {a}" for a in ASPECTS)}}})::VARCHAR AS preview_json
     FROM ({O.lexicon_scored_sql()}) ORDER BY CAST(id AS BIGINT) LIMIT 5""")
 def q_batch_preview(spark, sf):
-    return S.preview(scored_reviews(spark, sf), 5, [F.col("offset")], ["offset", "review", *ASPECTS],
+    first = parsed_reviews(spark, sf).orderBy("offset").limit(5)
+    return S.preview(score_parsed(first), 5, [F.col("offset")], ["offset", "review", *ASPECTS],
                      json_cols=["review", *ASPECTS])
 
 
 @query("latest_rows", f"SELECT CAST(id AS BIGINT) AS offset, id, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()}) ORDER BY CAST(id AS BIGINT) DESC LIMIT 10")
 def q_latest_rows(spark, sf):
-    return S.latest_rows(scored_reviews(spark, sf), 10, [F.desc("offset")]).select("offset", "id", *ASPECTS)
+    last = S.latest_rows(parsed_reviews(spark, sf), 10, [F.desc("offset")])
+    return score_parsed(last).select("offset", "id", *ASPECTS)
 
 
 @query("batch_metrics", """
@@ -458,6 +462,15 @@ def _scored_transactions(spark, sf):
     return tx_.withColumn("scores", AN.score_points(spark, _fixed_forest(), F.col("data")))
 
 
+def _scored_once(spark, sf):
+    """The scored transactions, written to the shared folder: the threshold and the
+    alerts read the same scores."""
+    scored = _scored_transactions(spark, sf)
+    path = fresh_path(spark, "transactions", "scored")
+    scored.write.parquet(path)
+    return spark.read.schema(scored.schema).parquet(path)
+
+
 SCORES_SQL = f"""
     WITH p AS (SELECT *, row_number() OVER () AS rid FROM ({TX_SQL})),
     h AS (SELECT p.rid, avg(l.path_len) AS e_h FROM p JOIN {FX.leaves_values_sql()}
@@ -473,7 +486,7 @@ def q_anomaly_scores(spark, sf):
 
 @query("anomaly_threshold", f"SELECT round(quantile_cont(score, {FOREST_CONTAMINATION}), 6) AS threshold, count(*) AS n_train FROM ({SCORES_SQL})")
 def q_anomaly_threshold(spark, sf):
-    scored = _scored_transactions(spark, sf).select(F.get("scores", F.lit(0)).alias("score"))
+    scored = _scored_once(spark, sf).select(F.get("scores", F.lit(0)).alias("score"))
     thr = AN.threshold(scored, "score", FOREST_CONTAMINATION)
     return scored.agg(F.count(F.lit(1)).alias("n_train")).select(F.round(F.lit(thr), 6).alias("threshold"), "n_train")
 
@@ -486,11 +499,26 @@ ANOMALY_ALERTS_SQL = f"""
 
 @query("anomaly_alerts", ANOMALY_ALERTS_SQL)
 def q_anomaly_alerts(spark, sf):
-    scored = _scored_transactions(spark, sf)
+    scored = _scored_once(spark, sf)
     thr = AN.threshold(scored.select(F.get("scores", F.lit(0)).alias("score")), "score", FOREST_CONTAMINATION)
     return alert_records(scored, thr)
 
 
+@query("anomaly_predict_saved", f"""
+    WITH s AS ({SCORES_SQL}), t AS (SELECT quantile_cont(score, {FOREST_CONTAMINATION}) AS thr FROM s)
+    SELECT id, CAST(CASE WHEN score < thr THEN -1 ELSE 1 END AS INTEGER) AS verdict FROM s, t""")
+def q_anomaly_predict_saved(spark, sf):
+    """Fix the threshold on the training scores, save it with the nodes, load the model, predict."""
+    train = _scored_once(spark, sf).select(F.get("scores", F.lit(0)).alias("score"))
+    path = fresh_path(spark, "forest", "model")
+    AN.save(spark.createDataFrame(FX.nodes_frame()), path, FX.PSI, FX.FEATURES,
+            AN.threshold(train, "score", FOREST_CONTAMINATION))
+    nodes, meta = AN.load(spark, path)
+    scores = AN.score_points(spark, AN.Forest.from_frame(nodes, meta["psi"]), F.col("data"))
+    scored = _parsed_transactions(spark, sf).withColumn("scores", scores)
+    return scored.select("id", AN.verdict(F.get("scores", F.lit(0)), meta["threshold"]).alias("verdict"))
+
+
 def _lineitem_points(spark, sf):
     """lineitem with a row key (order, line, part, supplier) for per-tree hash sampling."""
     li = table(spark, sf, "lineitem")
@@ -510,7 +538,7 @@ def q_anomaly_alerts_stream(spark, sf):
     """Consume -> score -> filter -> produce as one streaming query (the alert
     topic is the lake sink offline; ``kafka_stream_writer`` publishes it live).
     The threshold comes from the training scores, computed before the stream."""
-    train = _scored_transactions(spark, sf).select(F.get("scores", F.lit(0)).alias("score"))
+    train = _scored_once(spark, sf).select(F.get("scores", F.lit(0)).alias("score"))
     thr = AN.threshold(train, "score", FOREST_CONTAMINATION)
     path = ST.topic_files(spark, _transactions(spark, sf), "anomaly_alerts_stream")
     stream = stream_envelope_files(spark, path)

@@ -27,10 +27,14 @@ def parsed_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
     return good
 
 
+def score_parsed(parsed: DataFrame, scorer: Scorer | None = None) -> DataFrame:
+    """One sentiment column per aspect beside parsed reviews."""
+    return widen((scorer or LexiconScorer()).score(parsed, "review"))
+
+
 def scored_reviews(spark: SparkSession, sf_dir: str, scorer: Scorer | None = None) -> DataFrame:
     """Parsed reviews with one sentiment column per aspect."""
-    scorer = scorer or LexiconScorer()
-    return widen(scorer.score(parsed_reviews(spark, sf_dir), "review"))
+    return score_parsed(parsed_reviews(spark, sf_dir), scorer)
 
 
 def flagship(spark: SparkSession, sf_dir: str, include_none: bool = False) -> DataFrame:

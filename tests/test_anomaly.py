@@ -26,7 +26,7 @@ def test_each_point_in_exactly_one_leaf_per_tree():
 def test_threshold_exact(spark, n, q):
     vals = np.random.default_rng(n).normal(size=n).round(3)  # many ties
     df = spark.createDataFrame([(float(v),) for v in vals], "s DOUBLE")
-    assert AN.threshold(df, "s", q, accuracy=200) == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
+    assert AN.threshold(df, "s", q, cells=7) == pytest.approx(float(np.quantile(vals, q)), abs=1e-12)
 
 
 def test_fit_and_score(spark):

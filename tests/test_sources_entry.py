@@ -113,9 +113,9 @@ def test_forest_save_load(spark, scratch):
 
     pts = AN.training_points(spark, 200).withColumn("k", F.col("id").cast("string"))
     nodes = AN.fit(pts, ["x", "y"], "k", trees=4, psi=64)
-    AN.save(nodes, scratch + "/forest", 64, ["x", "y"])
+    AN.save(nodes, scratch + "/forest", 64, ["x", "y"], -0.625)
     back, meta = AN.load(spark, scratch + "/forest")
-    assert meta["psi"] == 64 and back.count() == nodes.count()
+    assert meta["psi"] == 64 and meta["threshold"] == -0.625 and back.count() == nodes.count()
     x = np.array([[2.0, 2.0], [-4.0, 4.0]])
     assert np.allclose(AN.Forest.from_frame(back, 64).scores(x), AN.Forest.from_frame(nodes, 64).scores(x))
 

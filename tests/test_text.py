@@ -99,5 +99,17 @@ def test_parity_on_whole_fixture_texts(spark, table, col):
 def test_token_ids_drop_oov_then_tail(spark):
     df = spark.createDataFrame([(1, "zz a b zz c a")], "k INT, t STRING")
     vocab = spark.createDataFrame([("a", 1), ("b", 2), ("c", 3)], "token STRING, id INT")
-    out = tx.token_ids(df, "k", "t", vocab, max_len=3, truncate="tail", oov="drop", known=["a", "b", "c"]).first()
+    out = tx.token_ids(df, "k", "t", vocab, max_len=3, truncate="tail", oov="drop").first()
     assert out.ids == [2, 3, 1]      # zz dropped, last three known ids kept
+
+
+def test_token_ids_keep_repeated_keys_and_agree_beyond_the_broadcast(spark):
+    df = spark.createDataFrame([(1, "a b"), (1, "c zz a"), (2, None), (None, ""), (3, "zz b c a")], "k INT, t STRING")
+    vocab = spark.createDataFrame([("a", 2), ("b", 3), ("c", 4)], "token STRING, id INT")
+    for oov in ("unk", "drop"):
+        for side in ("head", "tail"):
+            held = tx.token_ids(df, "k", "t", vocab, max_len=2, truncate=side, oov=oov)
+            joined = tx.token_ids(df, "k", "t", vocab, max_len=2, truncate=side, oov=oov, max_vocab=2)
+            rows = sorted(map(str, held.collect()))
+            assert len(rows) == 5 and rows == sorted(map(str, joined.collect()))
+            assert "Exchange" not in held._jdf.queryExecution().executedPlan().toString()
