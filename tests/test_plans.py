@@ -29,5 +29,19 @@ def test_model_udf_runs_once(spark):
 
 
 def test_vocabulary_bounded_before_broadcast(spark):
+    from aspectra.functions import text as tx
+    from aspectra.plans.catalog import table
+
+    docs = table(spark, SF0001, "documents")
+    assert "TakeOrderedAndProject" in plan(tx.build_vocabulary(docs, "text", size=5000))
+
+
+def test_token_ids_are_not_shuffled(spark):
     p = plan(E.queries()["text_to_ids"](spark, SF0001))
-    assert "TakeOrderedAndProject" in p and "BroadcastExchange" in p
+    assert "Exchange hashpartitioning" not in p and "Join" not in p and p.count("ArrowEvalPython") == 1
+
+
+def test_top_rows_need_no_sort_of_the_table(spark):
+    for name in ("sample_top_n", "latest_rows", "batch_preview"):
+        p = plan(E.queries()[name](spark, SF0001))
+        assert "TakeOrderedAndProject" in p and "rangepartitioning" not in p
