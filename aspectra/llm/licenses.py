@@ -5,14 +5,17 @@ Templates and texts are cut into lower-cased alphanumeric words. Hashes of `GRAM
 winnowed over `WINDOW` neighbours on both sides, so any common run of GRAM + WINDOW - 1 words meets
 in the index. Each document's hits vote for (template, diagonal); around every diagonal
 a banded alignment (match 2, mismatch -1, gap -1) finds the best local alignment in the band.
+Coverage is the matched words over the template's words and those that the text puts in between.
 
 Rules: null and empty texts have no match; a template needs GRAM + WINDOW - 1 words to be sure to be found
-whole; overlapping finds of one template are reported once, the best covered
-first; ties go to the earlier span. Rows with equal ids are reported each.
+whole; the words that tell a licence from its kin (`identity`) must be the same in the span and in the
+template; of overlapping finds only the one with most words in common is reported, then the best covered, then the
+earlier. Rows with equal ids are reported each.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -45,6 +48,14 @@ TEMPLATES = (
     ("all-rights-reserved", "All rights reserved"),
 )
 
+# Words that tell licences of one family apart, and words that a version number follows.
+MARKS = {"nc": "nc", "noncommercial": "nc", "non commercial": "nc", "sa": "sa", "sharealike": "sa", "share alike": "sa", "nd": "nd",
+         "noderivatives": "nd", "noderivs": "nd", "no derivatives": "nd", "no derivs": "nd", "lesser": "lesser", "lgpl": "lesser",
+         "lgplv2": "lesser", "lgplv3": "lesser", "library": "library", "affero": "affero", "agpl": "affero", "agplv3": "affero"}
+BEFORE_NUMBER = {"version", "v", "license", "licence", "by", "nc", "sa", "nd", "cc0", "gpl", "lgpl", "agpl", "mpl", "attribution",
+                 "noncommercial", "commercial", "sharealike", "alike", "noderivatives", "noderivs", "derivatives", "derivs",
+                 "apache", "artistic", "bsl", "boost", "gfdl", "eupl", "epl"}
+
 NOT_WORD = np.array([b < 128 and not chr(b).isalnum() for b in range(256)])
 
 
@@ -56,31 +67,56 @@ def winnow(grams: np.ndarray, window: int = WINDOW) -> np.ndarray:
     return np.unique(np.arange(len(views)) + window - 1 - views.argmin(axis=1))
 
 
-def align(a: np.ndarray, b: np.ndarray, shift: int, band: int = BAND) -> tuple[int, int, int]:
+def align(a: list[int], b: list[int], shift: int, band: int = BAND) -> tuple[int, int, int, int]:
     """Best local alignment of words a (template) with b, within `band` of the diagonal
-    b = a + shift: (matched words, first, last + 1 place in b)."""
-    best, cells = (0, 0, 0, 0), {}
-    for i in range(len(a)):
+    b = a + shift: (matched words, words of b put in between, first, last + 1 place in b)."""
+    best, last = (0, 0, 0, 0, 0), {}
+    for i, word in enumerate(a):
+        row: dict[int, tuple[int, int, int, int]] = {}  # place in b -> score, matched, put in, first
         for j in range(max(0, i + shift - band), min(len(b), i + shift + band + 1)):
-            score, hits, start = 0, 0, j
-            for (pi, pj), gain, hit in (((i - 1, j - 1), 2 if a[i] == b[j] else -1, int(a[i] == b[j])),
-                                        ((i - 1, j), -1, 0), ((i, j - 1), -1, 0)):
-                s, h, f = cells.get((pi, pj), (0, 0, j))
-                if s + gain > score:
-                    score, hits, start = s + gain, h + hit, f if s else j
-            cells[i, j] = (score, hits, start)
-            if score > best[0]:
-                best = (score, hits, start, j + 1)
-    return best[1], best[2], best[3]
+            same = int(word == b[j])
+            cell = (0, 0, 0, j)
+            for (s, h, e, f), gain, hit, put in ((last.get(j - 1, (0, 0, 0, j)), 3 * same - 1, same, 0),
+                                                 (last.get(j, cell), -1, 0, 0), (row.get(j - 1, cell), -1, 0, 1)):
+                if s + gain > cell[0]:
+                    cell = (s + gain, h + hit, e + put, f)
+            row[j] = cell
+            if cell[0] > best[0]:
+                best = (*cell[:3], cell[3], j + 1)
+        last = row
+    return best[1], best[2], best[3], best[4]
+
+
+def identity(words: list[str]) -> frozenset[str]:
+    """The words that tell one licence from its kin: NC, SA, ND, Lesser, Library, Affero and version
+    numbers, with a trailing .0 left out."""
+    out, number = set(), ""
+    for at, word in enumerate(words):
+        before = words[at - 1] if at else ""
+        mark = MARKS.get(word) or MARKS.get(f"{before} {word}")
+        digits = re.fullmatch(r"v?(\d{1,2})|(?:[al]?gpl|mpl|lgplv|agplv|gplv)(\d)", word)
+        if digits and number and word.isdigit():  # the minor number
+            out.discard(number)
+            number = number if int(word) == 0 else f"{number}.{int(word)}"
+            out.add(number)
+        elif digits and (not word.isdigit() or before in BEFORE_NUMBER):
+            number = str(int(digits[1] or digits[2]))
+            out.add(number)
+        else:
+            number = ""
+        if mark:
+            out.add(mark)
+    return frozenset(out)
 
 
 class Index:
     def __init__(self, templates=TEMPLATES):
         self.names = [t[0] for t in templates]
-        self.words, posts = [], {}
+        self.words, self.marks, posts = [], [], {}
         for k, (_, text) in enumerate(templates):
-            words, _, _ = _cut(text)
-            self.words.append(words)
+            words, starts, ends = _cut(text)
+            self.words.append(words.tolist())
+            self.marks.append(identity(_spelled(text, starts, ends)))
             grams = shingle_hashes(words, GRAM)
             for p in range(len(grams)):  # templates keep every gram: a text's winnowed gram then always meets its place
                 posts.setdefault(int(grams[p]), []).append((k, p))
@@ -95,27 +131,50 @@ class Index:
         grams = shingle_hashes(words, GRAM)
         at = winnow(grams)
         at = at[np.isin(grams[at], self.keys)]
-        seeds = {(k, int(p) - q) for p in at for k, q in self.posts[int(grams[p])]}
+        found = self._notices(text, words, starts, ends, sorted((k, int(p), q) for p in at for k, q in self.posts[int(grams[p])]), least)
+        out: list[tuple[str, float, int, int]] = []
+        taken: list[tuple[int, int]] = []
+        for _, cover, a, b, k in sorted(found):  # of overlapping finds the one with most words in common stays
+            if not any(x < b and a < y for x, y in taken):
+                taken.append((a, b))
+                out.append((self.names[k], -cover, int(starts[a]), int(ends[b - 1])))
+        return sorted(out, key=lambda r: (r[2], r[0]))
+
+    def _notices(self, text, words, starts, ends, seeds, least) -> list[tuple[int, float, int, int, int]]:
+        """(minus words in common, minus coverage, first, last + 1 word, template) of what aligns well enough."""
         found = []
-        done: dict[int, list[int]] = {}
-        for k, shift in sorted(seeds):
-            if any(abs(shift - s) <= BAND // 2 for s in done.get(k, [])[-1:]):
+        of, end, tried = -1, 0, set()
+        for k, p, q in seeds:
+            if k != of:
+                of, end, tried = k, 0, set()
+            own, shift = self.words[k], p - q
+            if p < end or shift in tried:
                 continue
-            done.setdefault(k, []).append(shift)
-            own = self.words[k]
-            lo = max(0, shift - BAND)
-            part = words[lo:shift + len(own) + BAND + 1]
-            hits, a, b = align(own, part, shift - lo)
-            if hits >= least * len(own):
-                found.append((-hits / len(own), lo + a, lo + b, k))
-        out: list[tuple[str, float, int, int]] = []
-        taken: list[tuple[int, int, int]] = []
-        for cover, a, b, k in sorted(found):
-            if any(x < b and a < y and z == k for x, y, z in taken):
+            tried.add(shift)
+            band = max(BAND, len(own) // 4)  # more words than these put in between cost the coverage too much
+            lo = max(end, shift - band)
+            part = words[lo:shift + len(own) + band + 1].tolist()
+            have = set(part)
+            if sum(w in have for w in own) < least * len(own):
                 continue
-            taken.append((a, b, k))
-            out.append((self.names[k], -cover, int(starts[a]), int(ends[b - 1])))
-        return sorted(out, key=lambda r: (r[2], r[0]))
+            hits, put, a, b = align(own, part, shift - lo, band)
+            cover = hits / (len(own) + put)
+            if cover < least or self.marks[k] != identity(_spelled(text, starts[lo + a:], ends[lo + a:], b - a)):
+                continue
+            end, tried = lo + b, set()  # the next one begins behind this one
+            found.append((put - hits, -cover, lo + a, lo + b, k))
+        return found
+
+
+def _spelled(text: str, starts: np.ndarray, ends: np.ndarray, n: int | None = None) -> list[str]:
+    """The first `n` words, and a minor number that a full stop ties to the last of them."""
+    raw = text.encode("utf-8", "surrogatepass").lower()
+    n = len(starts) if n is None else n
+    out = [raw[x:y].decode("utf-8", "replace") for x, y in zip(starts[:n], ends[:n], strict=True)]
+    if len(starts) > n > 0 and out[-1][-1:].isdigit() and raw[ends[n - 1]:starts[n]] == b".":
+        minor = raw[starts[n]:ends[n]].decode("utf-8", "replace")
+        out += [minor] if minor.isdigit() else []
+    return out
 
 
 def _cut(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

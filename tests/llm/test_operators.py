@@ -211,6 +211,22 @@ def test_licenses(spark):
     assert any(x[0] == "GPL-3.0" for x in got[3]) and 4 not in got and 1 not in got
 
 
+def test_a_notice_is_one_licence_and_no_other():
+    index = licenses.Index()
+    found = lambda text: [(r[0], text.encode()[r[2]:r[3]].decode()) for r in index.scan(text)]
+    for name, text in (("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0"), ("CC-BY-4.0", "licensed under CC BY 4.0"),
+                       ("CC-BY-SA-4.0", "Licensed under CC BY-SA 4.0"),
+                       ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3"),
+                       ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2"),
+                       ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3")):
+        assert found(f"Before. {text}. After.") == [(name, text)]
+    assert found("Licensed under CC BY 2.1") == found("Licensed under CC BY 2.1.") == []
+    assert found("Licensed some time ago under some other rules and CC of BY 4.0") == []
+    assert found("All rights reserved. All rights reserved.") == [("all-rights-reserved", "All rights reserved")] * 2
+    assert index.scan("Released under the old MIT License")[0][1] == pytest.approx(5 / 6)
+    assert found("Released under the very, very old MIT License") == []
+
+
 def test_classifiers_on_small_tables(spark):
     texts = ["good plain words number %d in a row" % i if i % 2 else "BAD!! idiot JUNK!! %d" % i for i in range(60)] + [None, ""]
     docs = documents(spark, texts)
