@@ -223,10 +223,37 @@ def test_a_notice_is_one_licence_and_no_other():
     assert found("Licensed under CC BY 2.1") == found("Licensed under CC BY 2.1.") == []
     assert found("Licensed some time ago under some other rules and CC of BY 4.0") == []
     assert found("All rights reserved. All rights reserved.") == [("all-rights-reserved", "All rights reserved")] * 2
+    index = licenses.Index([("MIT", "Released under the MIT License")])
     assert index.scan("Released under the old MIT License")[0][1] == pytest.approx(5 / 6)
     assert found("Released under the very, very old MIT License") == []
 
 
+def test_whole_licences_headers_and_names(spark):
+    entries = licenses.library()
+    whole = {i: t for i, t, kind in entries if kind == "text"}
+    headers = [(i, t) for i, t, kind in entries if kind == "header"]
+    index = licenses.Index()
+    for i in ("Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-3.0", "ISC", "MIT", "MPL-2.0", "Unlicense"):
+        assert [r[0::4] + (r[1],) for r in index.scan(f"Ours. {whole[i]} Here it ends.")] == [(i, "text", 1.0)]
+    for i, t in headers:
+        assert [(r[0], r[4]) for r in index.scan(f"x = 1\n{t}\nimport y")] == [(i, "header")]
+    assert {"GPL-3.0", "AGPL-3.0", "MPL-2.0"} <= {i for i, _ in headers}
+    for i, t in (("GPL-3.0", "GNU GENERAL PUBLIC LICENSE Version 3, 29 June 2007"), ("ISC", "The ISC License"),
+                 ("Apache-2.0", "Apache License Version 2.0, January 2004"), ("AGPL-3.0", "GNU Affero General Public License v3"),
+                 ("CC-BY-NC-SA-3.0", "Creative Commons Attribution-NonCommercial-ShareAlike 3.0 Unported"),
+                 ("MPL-2.0", "SPDX-License-Identifier: MPL-2.0")):
+        assert [r[0] for r in index.scan(t)] == [i]
+    assert index.scan("SPDX-License-Identifier: ECL-2.0") == index.scan("Acme License, Version 2.0") == []
+    clause = " ".join(whole["MIT"].split()[:40])
+    rows = licenses.scan(documents(spark, [clause, whole["MIT"], f"{whole['MIT']}\n{whole['MIT']}",
+                                           whole["MIT"].replace("THE SOFTWARE IS", "one two three four five THE SOFTWARE IS")])).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r["doc_id"], []).append((r["license"], round(r["coverage"], 2)))
+    n = len(licenses._cut(whole["MIT"])[0])
+    assert got == {0: [("MIT", round(40 / n, 2))], 1: [("MIT", 1.0)], 2: [("MIT", 1.0)] * 2, 3: [("MIT", round(n / (n + 5), 2))]}
+
+
 def test_classifiers_on_small_tables(spark):
     texts = ["good plain words number %d in a row" % i if i % 2 else "BAD!! idiot JUNK!! %d" % i for i in range(60)] + [None, ""]
     docs = documents(spark, texts)
