@@ -27,3 +27,4 @@ FOREST_SEED = 42
 ENVELOPE_DDL = (
     "key BINARY, value BINARY, topic STRING, partition INT, offset BIGINT, timestamp TIMESTAMP"
 )
+HELD_VOCAB = 200_000  # vocabulary entries that one Python worker holds; a larger vocabulary is joined

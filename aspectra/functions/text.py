@@ -68,22 +68,43 @@ def pad(ids: Column, max_len: int, pad_id: int = PAD_ID) -> Column:
 
 # ------------------------------------------------------------ vocabulary
 
-def build_vocabulary(df: DataFrame, text_col: str, size: int = 5000, first_id: int = 2) -> DataFrame:
-    """Top ``size`` tokens by (count desc, token asc) -> (token, id), ids from ``first_id``.
+def build_vocabulary(df: DataFrame, text_col: str, size: int | None = None, first_id: int = 2) -> DataFrame:
+    """All tokens, or the top ``size``, by (count desc, token asc) -> (token, id), ids from ``first_id``.
 
     Token counts use a partial (map-side) aggregate, so a very frequent token
-    costs one row per partition in the shuffle. The result is bounded by ``size``.
+    costs one row per partition in the shuffle. The whole vocabulary is sorted
+    by range and stored in the shared folder; a row's id is its place in its part
+    plus the sizes of the parts before, so no task sees all tokens.
     """
     counts = (
         df.select(F.explode(tokens(text_col)).alias("token"))
         .groupBy("token")
         .agg(F.count(F.lit(1)).alias("n"))
     )
+    if size is None:
+        return _numbered(counts.orderBy(F.desc("n"), F.asc("token")).select("token"), first_id)
     top = counts.orderBy(F.desc("n"), F.asc("token")).limit(size)  # TakeOrderedAndProject
     order = Window.orderBy(F.desc("n"), F.asc("token"))  # over at most `size` rows
     return top.select("token", (F.row_number().over(order) + (first_id - 1)).cast("int").alias("id"))
 
 
+def _numbered(ordered: DataFrame, first_id: int) -> DataFrame:
+    """The rows of a sorted frame with ``id`` counted from ``first_id`` in that order."""
+    from ..session import fresh_path
+
+    path = fresh_path(ordered.sparkSession, "vocabulary", "tokens")
+    ordered.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)  # part << 33 | place in the part
+    rows = ordered.sparkSession.read.parquet(path)
+    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
+    sizes = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per part
+    before, first = [], first_id
+    for r in sorted(sizes, key=lambda r: r["part"]):
+        before += [F.lit(r["part"]), F.lit(first)]
+        first += r["n"]
+    start = F.create_map(*before)[part] if before else F.lit(first_id)
+    return rows.select("token", (start + place).cast("int").alias("id"))
+
+
 def token_ids(
     df: DataFrame,
     key: str | list[str],

@@ -22,9 +22,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..config import ASPECTS, HEAD_MAX_LEN, PAD_ID, SENTIMENTS, UNK_ID
+from ..config import ASPECTS, HEAD_MAX_LEN, HELD_VOCAB, PAD_ID, SENTIMENTS, UNK_ID
 from ..functions.arrays import argmax, aspect_map, index_to_sentiment
-from ..functions.text import cut, tokens
+from ..functions.text import cut, token_ids, tokens
 
 # --- fixed values: default cue-word lexicon (our own; en, fr, de, es) ---
 DEFAULT_ASPECT_WORDS = {
@@ -127,6 +127,28 @@ def random_cnn_weights(vocab_size: int, seed: int = 42, n_aspects: int = len(ASP
     }
 
 
+class SeededEmbedding:
+    """Embedding rows of a seeded model without a table: the row of an id is drawn from (seed, id) when it is
+    asked for, so a vocabulary of any size needs no memory. Indexed like the array that it stands for."""
+
+    def __init__(self, seed: int = 42):
+        self.seed = seed
+
+    def __getitem__(self, ids) -> np.ndarray:
+        own, back = np.unique(np.asarray(ids, np.int64), return_inverse=True)
+        with np.errstate(over="ignore"):
+            h = (own.astype(np.uint64)[:, None] * np.uint64(0x9E3779B97F4A7C15) + np.uint64(self.seed)) * np.uint64(0xD6E8FEB86659FD93)
+            h = h + np.arange(1, EMBED_DIM // 2 + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F)
+            for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):  # a 64-bit finaliser
+                h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+            h = h ^ (h >> np.uint64(31))
+        far = np.sqrt(-2.0 * np.log(((h >> np.uint64(32)).astype(np.float64) + 1.0) / 2.0**32))  # Box-Muller
+        turn = (h & np.uint64(0xFFFFFFFF)).astype(np.float64) * (2.0 * np.pi / 2.0**32)
+        rows = (0.1 * np.concatenate([far * np.cos(turn), far * np.sin(turn)], axis=1)).astype(np.float32)
+        rows[own == PAD_ID] = 0.0  # padding row is zero
+        return rows[back].reshape(*np.shape(ids), EMBED_DIM)
+
+
 def save_weights(weights: dict[str, np.ndarray], path: str) -> None:
     np.savez(path, **weights)
 
@@ -224,6 +246,14 @@ def _vocab_index(vocab: dict[str, int]):
     return hit[1:]
 
 
+def _as_lists(probs: np.ndarray, batch: pa.Array) -> pa.Array:
+    """Probabilities [rows, aspects, classes] as nested lists, null where the batch is."""
+    n, a, c = probs.shape
+    inner = pa.ListArray.from_arrays(pa.array(np.arange(0, n * a * c + 1, c, dtype=np.int32)),
+                                     pa.array(probs.reshape(-1), pa.float32()))
+    return pa.ListArray.from_arrays(pa.array(np.arange(0, n * a + 1, a, dtype=np.int32)), inner, mask=batch.is_null())
+
+
 class CnnScorer(Scorer):
     """CNN inference: JVM tokenises and cuts to ``max_len`` tokens; one Arrow UDF
     maps tokens to ids (broadcast vocabulary) and runs the forward pass; argmax
@@ -280,20 +310,46 @@ class CnnScorer(Scorer):
             rows = np.repeat(np.arange(n), lengths)
             cols = np.arange(len(flat_ids)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
             ids[rows, cols] = flat_ids
-            probs = cnn_forward(ids, weights) if n else np.zeros((0, 1, 1), np.float32)
-            a, c = probs.shape[1], probs.shape[2]
-            inner = pa.ListArray.from_arrays(pa.array(np.arange(0, n * a * c + 1, c, dtype=np.int32)),
-                                             pa.array(probs.reshape(-1), pa.float32()))
-            return pa.ListArray.from_arrays(pa.array(np.arange(0, n * a + 1, a, dtype=np.int32)), inner,
-                                            mask=batch.is_null())
+            return _as_lists(cnn_forward(ids, weights) if n else np.zeros((0, 1, 1), np.float32), batch)
 
         # Marked non-deterministic so a filter on the output never re-runs the model.
         return cnn_probs.asNondeterministic()(toks)
 
     def score(self, df: DataFrame, text_col: str, keep_probs: bool = False) -> DataFrame:
         with_toks = df.withColumn("_toks", cut(tokens(text_col), self.max_len, self.truncate))
-        scored = with_toks.withColumn(self.probs_output, self.probabilities(F.col("_toks"))).drop("_toks")
+        return self.decided(with_toks.withColumn(self.probs_output, self.probabilities(F.col("_toks"))).drop("_toks"), keep_probs)
+
+    def decided(self, scored: DataFrame, keep_probs: bool) -> DataFrame:
         p = F.col(self.probs_output)
         sent = F.array(*[index_to_sentiment(argmax(p[i])) for i in range(len(ASPECTS))])
         out = scored.withColumn(self.output, F.when(p.isNull(), F.lit(None)).otherwise(aspect_map(sent)))
         return out if keep_probs else out.drop(self.probs_output)
+
+
+class WholeVocabularyCnn(CnnScorer):
+    """The same model with seeded weights for a vocabulary table (token, id) of any size: ids come from
+    ``token_ids`` (looked up in the row, or joined beyond ``HELD_VOCAB`` entries). Batch frames only."""
+
+    def __init__(self, spark: SparkSession, vocab_df: DataFrame, seed: int = 42, max_len: int = HEAD_MAX_LEN,
+                 truncate: str = "head", max_vocab: int = HELD_VOCAB):
+        self.vocab, self.max_len, self.truncate, self.max_vocab = vocab_df, max_len, truncate, max_vocab
+        weights = random_cnn_weights(2, seed) | {"embedding": SeededEmbedding(seed)}
+        self._bc = spark.sparkContext.broadcast(weights)
+
+    def probabilities(self, ids: Column) -> Column:
+        bc, max_len = self._bc, self.max_len
+
+        @F.arrow_udf(T.ArrayType(T.ArrayType(T.FloatType())))
+        def cnn_probs(batch: pa.Array) -> pa.Array:
+            n = len(batch)
+            own = np.full((n, max_len), PAD_ID, np.int64)
+            own[batch.is_valid().to_numpy(zero_copy_only=False)] = \
+                batch.flatten().to_numpy(zero_copy_only=False).reshape(-1, max_len)
+            return _as_lists(cnn_forward(own, bc.value) if n else np.zeros((0, 1, 1), np.float32), batch)
+
+        return cnn_probs.asNondeterministic()(ids)
+
+    def score(self, df: DataFrame, text_col: str, keep_probs: bool = False) -> DataFrame:
+        ids = token_ids(df.withColumn("_text", F.col(text_col)), df.columns, "_text", self.vocab, self.max_len, self.truncate,
+                        max_vocab=self.max_vocab).withColumnRenamed("ids", "_ids")
+        return self.decided(ids.withColumn(self.probs_output, self.probabilities(F.col("_ids"))).drop("_ids"), keep_probs)

@@ -143,12 +143,11 @@ def eval_macro_sql() -> str:
     """
 
 
-def vocab_sql(tok_expr: str, size: int = 5000) -> str:
+def vocab_sql(tok_expr: str) -> str:
     return f"""
     SELECT tok, CAST(rn + 1 AS INTEGER) AS id FROM (
       SELECT tok, row_number() OVER (ORDER BY n DESC, tok) AS rn FROM (
         SELECT tok, count(*) AS n FROM (SELECT unnest({tok_expr}) AS tok FROM documents) GROUP BY tok))
-    WHERE rn <= {size}
     """
 
 

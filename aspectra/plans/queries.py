@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import ASPECTS, FOREST_CONTAMINATION, HEAD_MAX_LEN, TAIL_MAX_LEN
+from ..config import ASPECTS, FOREST_CONTAMINATION, HEAD_MAX_LEN, HELD_VOCAB, TAIL_MAX_LEN
 from ..functions import arrays as arr
 from ..functions import text as tx
 from ..functions.json import NUMBER_DDL, REVIEW_DDL, TRANSACTION_DDL, encode_json, parse_envelope, split_dead_letter
@@ -20,7 +20,7 @@ from ..operators import metrics as M
 from ..operators import sampling as S
 from ..operators import series as SR
 from ..operators import trend as TR
-from ..operators.scoring import CnnScorer, widen
+from ..operators.scoring import WholeVocabularyCnn, widen
 from ..session import fresh_path
 from ..sources import files as FS
 from ..sources.envelope import (labelled_messages, number_messages, payload_messages, review_messages,
@@ -93,16 +93,16 @@ def q_text_clean(spark, sf):
 @query("text_to_ids", f"SELECT * FROM ({O.token_ids_sql(O.tokens_sql(), 64, tail=False)})")
 def q_text_to_ids(spark, sf):
     docs = table(spark, sf, "documents")
-    vocab = tx.build_vocabulary(docs, "text", size=5000)
-    ids = tx.token_ids(docs, "doc_id", "text", vocab, max_len=HEAD_MAX_LEN, truncate="head")
+    vocab = tx.build_vocabulary(docs, "text")
+    ids = tx.token_ids(docs, "doc_id", "text", vocab, max_len=HEAD_MAX_LEN, truncate="head", max_vocab=HELD_VOCAB)
     return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
 @query("text_to_ids_tail", f"SELECT * FROM ({O.token_ids_sql(O.tokens_sql(O.clean_sql()), 100, tail=True)})")
 def q_text_to_ids_tail(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("clean"))
-    vocab = tx.build_vocabulary(docs, "clean", size=5000)
-    ids = tx.token_ids(docs, "doc_id", "clean", vocab, max_len=TAIL_MAX_LEN, truncate="tail")
+    vocab = tx.build_vocabulary(docs, "clean")
+    ids = tx.token_ids(docs, "doc_id", "clean", vocab, max_len=TAIL_MAX_LEN, truncate="tail", max_vocab=HELD_VOCAB)
     return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
@@ -367,8 +367,8 @@ def q_jdbc_retry_dedup(spark, sf):
 
 @query("stream_cnn_to_table")
 def q_stream_cnn_to_table(spark, sf):
-    """The model pipeline end to end: review topic -> parse -> CNN (artefacts by
-    path, cached per worker) -> relational table (idempotent per batch) -> read back."""
+    """The model pipeline end to end: review topic -> parse -> CNN over the whole
+    vocabulary -> relational table (idempotent per batch) -> read back."""
     docs = table(spark, sf, "documents")
     scorer = ST.cnn_artefacts(spark, docs)
     back = ST.jdbc_stream(spark, review_messages(docs), "stream_cnn_to_table", replay_batches=False, scorer=scorer)
@@ -568,7 +568,6 @@ def q_transactions_generate(spark, sf):
 @query("cnn_probabilities")
 def q_cnn_probabilities(spark, sf):
     docs = table(spark, sf, "documents")
-    vocab = tx.build_vocabulary(docs, "text", size=5000)
-    scorer = CnnScorer.from_vocabulary_df(spark, vocab, seed=42)
+    scorer = WholeVocabularyCnn(spark, tx.build_vocabulary(docs, "text"), seed=42)
     out = widen(scorer.score(docs.select("doc_id", "text"), "text"))
     return out.select("doc_id", *ASPECTS)

@@ -37,29 +37,13 @@ def score_stream(stream_env: DataFrame, scorer=None) -> DataFrame:
     return widen((scorer or LexiconScorer()).score(good, "review"))
 
 
-def cnn_artefacts(spark: SparkSession, docs: DataFrame, size: int = 5000, seed: int = 42):
-    """A CNN scorer whose vocabulary (top ``size`` tokens of ``docs``) and seeded
-    weights are written as artefact files in the shared folder; executors load
-    them by path. Where the shared folder is not a local path, the artefacts
-    are broadcast instead."""
-    import json
-    import os
-
+def cnn_artefacts(spark: SparkSession, docs: DataFrame, seed: int = 42):
+    """A CNN scorer with seeded weights; its vocabulary, all tokens of ``docs``, is
+    stored in the shared folder."""
     from ..functions.text import build_vocabulary
-    from ..operators.scoring import CnnScorer, random_cnn_weights, save_weights
-
-    vocab_df = build_vocabulary(docs, "text", size=size)
-    base = fresh_path(spark, "cnn", "artefacts")
-    if "://" in base:
-        return CnnScorer.from_vocabulary_df(spark, vocab_df, seed=seed)
-    vocab = {r.token: int(r.id) for r in vocab_df.collect()}  # bounded by `size`
-    vocab.update({"<pad>": 0, "<unk>": 1})
-    os.makedirs(base, exist_ok=True)
-    vp, wp = os.path.join(base, "vocab.json"), os.path.join(base, "cnn.npz")
-    with open(vp, "w", encoding="utf-8") as fh:
-        json.dump(vocab, fh, ensure_ascii=False)
-    save_weights(random_cnn_weights(max(vocab.values()) + 1, seed), wp)
-    return CnnScorer.from_files(spark, vp, wp)
+    from ..operators.scoring import WholeVocabularyCnn
+
+    return WholeVocabularyCnn(spark, build_vocabulary(docs, "text"), seed=seed)
 
 
 def derby_url(spark: SparkSession, name: str) -> str:
@@ -86,12 +70,12 @@ def jdbc_stream(spark: SparkSession, env: DataFrame, name: str, replay_batches:
                            column_types=RESULT_TYPES)
 
     def batch(df, batch_id):
+        df = with_source_key(score_stream(df, scorer))  # per batch: a large vocabulary is joined by shuffle
         sink(df, batch_id)
         if replay_batches:
             sink(df, batch_id)
 
-    scored = with_source_key(score_stream(stream_envelope_files(spark, path), scorer))
-    runner.run_available(runner.foreach_batch(scored, batch, fresh_path(spark, name, "checkpoint"),
+    runner.run_available(runner.foreach_batch(stream_envelope_files(spark, path), batch, fresh_path(spark, name, "checkpoint"),
                                               trigger="available", name=f"{name}_{uuid.uuid4().hex[:8]}"))
     # Read the table back, keep the copy in the shared folder, and drop the
     # in-memory database so repeated runs do not hold every copy in the JVM.

@@ -113,3 +113,43 @@ def test_token_ids_keep_repeated_keys_and_agree_beyond_the_broadcast(spark):
             rows = sorted(map(str, held.collect()))
             assert len(rows) == 5 and rows == sorted(map(str, joined.collect()))
             assert "Exchange" not in held._jdf.queryExecution().executedPlan().toString()
+
+
+def test_whole_vocabulary_is_numbered_in_order(spark):
+    n = 6000
+    df = spark.range(n).selectExpr("concat('w', id, ' w', id % 7) AS t").repartition(5)
+    counts = {}
+    for i in range(n):
+        for w in (f"w{i}", f"w{i % 7}"):
+            counts[w] = counts.get(w, 0) + 1
+    want = {w: k + 2 for k, w in enumerate(sorted(counts, key=lambda w: (-counts[w], w)))}
+    assert {r.token: r.id for r in tx.build_vocabulary(df, "t").collect()} == want
+    assert tx.build_vocabulary(df.limit(0), "t").collect() == []
+
+
+def test_registered_ids_know_every_word(spark):
+    import __spark_entry__ as E
+
+    for name in ("text_to_ids", "text_to_ids_tail"):
+        rows = E.queries()[name](spark, "/root/testdata/sf0.001").collect()
+        assert rows and not any("1" in r.ids.split(",") for r in rows if r.ids is not None)
+
+
+def test_cnn_over_a_joined_vocabulary_equals_numpy(spark):
+    import numpy as np
+
+    from aspectra.operators.scoring import SeededEmbedding, WholeVocabularyCnn, cnn_forward, random_cnn_weights
+
+    texts = ["a b c", None, "", "c " * 90, "zz a"]
+    df = spark.createDataFrame(list(enumerate(texts)), "k INT, t STRING")
+    vocab = tx.build_vocabulary(df.where("k < 4"), "t")
+    ids = {r.token: r.id for r in vocab.collect()}
+    weights = random_cnn_weights(2, 7) | {"embedding": SeededEmbedding(7)[np.arange(9)]}
+    for held in (100, 1):
+        got = {r.k: r.probs for r in WholeVocabularyCnn(spark, vocab, seed=7, max_vocab=held).score(df, "t", True).collect()}
+        assert got[1] is None and len(got) == 5
+        for k in (0, 2, 3, 4):
+            own = np.zeros((1, 64), np.int64)
+            seq = [ids.get(w, 1) for w in texts[k].split()][:64]
+            own[0, :len(seq)] = seq
+            assert np.allclose(got[k], cnn_forward(own, weights)[0], atol=1e-5)
