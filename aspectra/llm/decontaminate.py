@@ -39,10 +39,16 @@ def words_of(text: Column) -> Column:
     return F.array_remove(F.split(blanked, " "), "")
 
 
+def coarse_lower(text: Column) -> Column:
+    """Every letter lower-cased. The final sigma, which lower() chooses by the letters around it,
+    becomes the common one, so that a word is the same whatever stands between it and the next."""
+    return F.replace(F.lower(text), F.lit("ς"), F.lit("σ"))
+
+
 def coarse_words(text: Column) -> Column:
     """The same words with every letter lower-cased: as many, at the same places,
     and equal wherever the normalised words are. Cheaper, for the look-up."""
-    return F.array_remove(F.split(F.lower(text), SEPARATORS), "")
+    return F.array_remove(F.split(coarse_lower(text), SEPARATORS), "")
 
 
 def chunk_hash(words: Column, place: Column, length: int | Column) -> Column:
@@ -67,7 +73,7 @@ def chunk_table(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
         lambda i: F.array_join(F.slice(F.col("w"), i, F.col("length")), " "))).alias("window"))
         .groupBy("length", "window").agg(F.sort_array(F.collect_set("item")).alias("items"))
         .withColumn("chunk", F.floor((F.col("length") + 1) / 2).cast("int"))
-        .withColumn("lw", F.split(F.lower("window"), " ")))
+        .withColumn("lw", F.split(coarse_lower(F.col("window")), " ")))
     at = windows.select("*", F.explode(F.sequence(F.lit(0), F.col("chunk") - 1)).alias("off"))
     return (at.withColumn("h", chunk_hash(F.col("lw"), F.col("off") + 1, F.col("chunk")))
             .groupBy("h", "chunk").agg(F.collect_list(F.struct("off", "length", "window", "items")).alias("windows")))

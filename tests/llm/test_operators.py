@@ -68,6 +68,15 @@ def test_decontamination_equals_brute_force(spark):
     assert len(none) == len(TEXTS) and not any(r["contaminated"] for r in none)
 
 
+def test_decontamination_meets_greek_capitals(spark):
+    text = "ΟΔΟΣ.ΑΒΓ ΛΟΓΟΣ:ΔΕΖ ΝΟΜΟΣ'ΗΘΙ ΦΩΣ^ΚΛΜ ΠΑΣ`ΝΞΟ"
+    items = [(1, text)]
+    texts = [text, "ΟΔΟΣ ΑΒΓ ΛΟΓΟΣ ΔΕΖ ΝΟΜΟΣ ΗΘΙ ΦΩΣ ΚΛΜ ΠΑΣ ΝΞΟ", "οδος αβγ λογος δεζ νομος ηθι φως κλμ πας νξο"]
+    got = {r["doc_id"]: tuple(r)[1:] for r in decontaminate.report(
+        documents(spark, texts), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == brute_hits(texts, items) and got[0][-1] and got[1][-1] and not got[2][-1]
+
+
 def shingles(text, k=4):
     w = (text or "").encode().lower().split()
     return {tuple(w[j:j + k]) for j in range(max(1, len(w) - k + 1))} if w else set()
