@@ -17,118 +17,47 @@ sequence's offsets run without gaps from 0.
 
 from __future__ import annotations
 
-import functools
-import os
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from .common import stored
+from .tokens import checksums, closed, encoder
 
 MAX_LEN = 2048
 BINS = 256
-#: Words whose ids a worker keeps between batches.
-CACHE_WORDS = 400_000
-
-
-#: ASCII marks that may close a word; the pre-tokeniser never joins them to letters.
-CLOSING = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
-
-
-@functools.lru_cache(maxsize=1)
-def encoder(path: str):
-    """text -> ids, equal to `Tokenizer.encode(text, add_special_tokens=False).ids`. The vocabulary's
-    pre-tokeniser drops blanks and line ends, joins nothing across them, ignores case, and keeps letters apart
-    from marks; so each word, without its closing marks, is encoded once and remembered. One encoder, with
-    its bounded memory of words, serves all tasks of a worker."""
-    from tokenizers import Tokenizer
-
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tok = Tokenizer.from_file(path)
-    vocabulary = tok.get_vocab(with_added_tokens=True)
-    mark = "<|endoftext|>"
-    stop = vocabulary.get(mark, -1)
-    closes = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters or of marks
-    closes[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
-    known: dict[str, bytes] = {}
-    base: dict[str, bytes] = {"": b""}
-
-    def together(parts: list[str], glue: str, cuts_of) -> None:
-        """Encode many words in one call; `cuts_of(ids)` gives where each begins and ends. A
-        call in which they do not come out as one stretch a word is left to single calls."""
-        groups = [parts[s:s + 2000] for s in range(0, len(parts), 2000)]
-        got = tok.encode_batch_fast([glue.join(g) for g in groups], add_special_tokens=False)
-        for some, one in zip(groups, got, strict=True):
-            ids = np.array(one.ids, "<u4")
-            begins, ends = cuts_of(ids)
-            if len(begins) == len(some):
-                raw = ids.tobytes()
-                base.update((p, raw[4 * a:4 * b]) for p, a, b in zip(some, begins.tolist(), ends.tolist(), strict=True))
-
-    def by_closing(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        ends = np.flatnonzero(closes[ids]) + 1
-        return np.append(0, ends[:-1])[:len(ends)], ends
-
-    def by_mark(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        at = np.flatnonzero(ids == stop)
-        return np.append(0, at + 1), np.append(at, len(ids))
-
-    def learn(parts: list[str]) -> None:
-        # every run of letters gives one closing id at least, so equal counts mean one each
-        together([p for p in parts if p.isalpha()], " ", by_closing)
-        if stop >= 0:
-            together([p for p in parts if p not in base and mark[:2] not in p], f" {mark} ", by_mark)
-        for p in parts:
-            if p not in base:
-                base[p] = np.array(tok.encode(p, add_special_tokens=False).ids, "<u4").tobytes()
-
-    def encode(texts: list[str]) -> Iterator[np.ndarray]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        halves = {}
-        for w in set().union(*split).difference(known):
-            core = w.rstrip(CLOSING)
-            halves[w] = (core.lower() if core.isascii() else core, w[len(core):]) if core.isalpha() else (w, "")
-        learn([p for p in {p for pair in halves.values() for p in pair} if p not in base])
-        known.update((w, base[core] + base[tail]) for w, (core, tail) in halves.items())
-        for ws in split:
-            yield np.frombuffer(b"".join(map(known.__getitem__, ws)), "<u4")
-        if len(known) > CACHE_WORDS:  # the words that came first are the most frequent and stay
-            for w, pair in halves.items():
-                del known[w]
-                for p in filter(None, pair):
-                    base.pop(p, None)
-
-    return encode
 
 
 def pieces(docs: DataFrame, tokenizer_path: str, max_len: int = MAX_LEN, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32 (and ids, little-endian uint32 bytes) per piece."""
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        encode = encoder(tokenizer_path)
-        for whole in batches:
-            for at in range(0, len(whole), 256):
-                pdf = whole.iloc[at:at + 256]
-                out: dict[str, list] = {c: [] for c in ("doc_id", "piece", "start", "length", "ids_crc32", "ids")}
-                texts = [t if isinstance(t, str) else "" for t in pdf["text"]]
-                for doc_id, ids in zip(pdf["doc_id"].astype(object), encode(texts), strict=True):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    for i, s in enumerate(range(0, len(ids), max_len)):
-                        raw = ids[s:s + max_len].tobytes()
-                        for c, v in (("doc_id", doc_id), ("piece", i), ("start", s), ("length", len(raw) // 4),
-                                     ("ids_crc32", zlib.crc32(raw)), ("ids", raw if with_ids else None)):
-                            out[c].append(v)
-                frame = pd.DataFrame(out)
-                frame["doc_id"] = frame["doc_id"].astype("Int64")
-                yield frame
-
-    got = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInPandas(
-        cut, "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary")
-    return got if with_ids else got.drop("ids")
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encode = encoder(tokenizer_path).encode
+        for batch in batches:
+            for at, ids, size in encode(batch.column("text")):
+                ids, first, size = closed(ids, size, end_id)
+                many = -(-size // max_len)
+                doc = np.repeat(np.arange(len(size)), many)
+                piece = np.arange(len(doc)) - np.repeat(np.cumsum(many) - many, many)
+                start = piece * max_len
+                length = np.minimum(max_len, size[doc] - start)
+                begin = first[doc] + start
+                columns = [batch.column("doc_id").take(pa.array(at + doc)), pa.array(piece, pa.int32()), pa.array(start),
+                           pa.array(length), pa.array(checksums(ids, begin, length), pa.int64())]
+                names = ["doc_id", "piece", "start", "length", "ids_crc32"]
+                if with_ids:
+                    raw = ids.tobytes()
+                    columns.append(pa.array([raw[4 * a:4 * (a + n)] for a, n in zip(begin.tolist(), length.tolist(), strict=True)],
+                                            pa.binary()))
+                    names.append("ids")
+                yield pa.RecordBatch.from_arrays(columns, names)
+
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(cut, schema)
 
 
 def patterns(bins: int) -> list[tuple[int, ...]]:

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, decontaminate, langid, licenses, merkle, neardup, packing, quality, toxicity, warc
+from . import (chat, clustering, decontaminate, langid, licenses, merkle, neardup, packing, quality, retrieval_packing,
+               toxicity, warc)
 from .common import read_table
 
 
@@ -55,6 +56,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(read_table(spark, sf_dir, "pages"))
 
 
+def op12_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retrieval_packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op13_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.cluster(read_table(spark, sf_dir, "embeddings"))
+
+
 REGISTRY = {
     "op1_language_id": op1_language_id,
     "op2_quality": op2_quality,
@@ -66,6 +75,8 @@ REGISTRY = {
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op12_retrieval_packing": op12_retrieval_packing,
+    "op13_clustering": op13_clustering,
 }
 
 _SPLIT = r"""list_transform(string_split({0}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
@@ -126,3 +137,28 @@ SELECT doc_id, cast(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)""",
 }
+
+
+def _clusters_sql(rounds: int = 5) -> str:
+    """Rounds as a chain of materialised steps: nearest centroid, then componentwise floors of the means."""
+    dist = "list_sum(list_transform(list_zip(v.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2])))"
+    steps = ["""v AS MATERIALIZED (SELECT row_number() OVER () AS rid, vec_id,
+    list_transform(embedding, lambda e: cast(floor(256 * cast(e AS DOUBLE)) AS BIGINT)) AS x FROM embeddings
+    WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda e: e IS NOT NULL AND isfinite(e))) = 64),
+c0 AS MATERIALIZED (SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), x) - 1 AS k, x FROM v
+    WHERE vec_id IS NOT NULL ORDER BY k LIMIT 40)"""]
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT v.rid, min(struct_pack(d := {dist}, k := c.k)) AS b FROM v, c{i} c GROUP BY v.rid)""")
+        if i < rounds:
+            steps.append(f"""m{i} AS MATERIALIZED (SELECT k, list(f ORDER BY i) AS x FROM (
+    SELECT a.b.k AS k, i, cast((sum(v.x[i]) - (sum(v.x[i]) % count(*) + count(*)) % count(*)) // count(*) AS BIGINT) AS f
+    FROM a{i} a JOIN v USING (rid), range(1, 65) t(i) GROUP BY ALL) GROUP BY k),
+c{i + 1} AS MATERIALIZED (SELECT k, coalesce(m{i}.x, c{i}.x) AS x FROM c{i} LEFT JOIN m{i} USING (k))""")
+    return f"""WITH {", ".join(steps)}
+SELECT vec_id, cast(a.b.k AS INTEGER) AS cluster, cast(a.b.d AS BIGINT) AS distance,
+       cast(sum(a.b.d) OVER (PARTITION BY a.b.k) AS BIGINT) AS cluster_inertia, cast(sum(a.b.d) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c.x, ',')) AS centroid_sha256
+FROM a{rounds} a JOIN v USING (rid) JOIN c{rounds} c ON c.k = a.b.k"""
+
+
+ORACLE["op13_clustering"] = _clusters_sql()

@@ -337,14 +337,16 @@ def test_pipeline_stages(spark):
 def test_word_encoder_equals_the_tokenizer():
     """Words encoded once and remembered give the ids of the whole text, also for marks,
     control strings, joined letters, other scripts and white space other than blanks."""
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
-    from aspectra.llm import packing
     from aspectra.llm.queries import tokenizer_path
+    from aspectra.llm.tokens import Encoder
 
     texts = ["Σίσυφος ΟΔΟΣ. İstanbul, áb abc̸= é. <| <|endoftext|> x<|endoftext|>y don't DON'T. 12ab. a-b-c!! ~~ '' 's,",
              "", "  ", "ªʰ ﬁn ẞ ß, 漢字. ไทย नमस्ते हिन्दी", ".,;'", "a'b's 'tis. we're' x'", " a\tb\r\nc d.", "퟿ \U0001F600ok. ͅ ͅa"]
     tok = Tokenizer.from_file(tokenizer_path())
-    encode = packing.encoder(tokenizer_path())
-    for _ in range(2):
-        assert [i.tolist() for i in encode(texts)] == [tok.encode(t, add_special_tokens=False).ids for t in texts]
+    for encoder in (Encoder(tokenizer_path()), Encoder(tokenizer_path(), cache_words=5)):
+        for _ in range(2):
+            got = [part.tolist() for _, ids, size in encoder.encode(pa.array(texts + [None])) for part in np.split(ids, np.cumsum(size)[:-1])]
+            assert got == [tok.encode(t, add_special_tokens=False).ids for t in texts] + [[]]
