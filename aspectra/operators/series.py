@@ -109,7 +109,7 @@ def chunked(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak: st
     us = F.col("_us")
     lo = F.size(F.filter("_bounds", lambda b: b < us))
     if not info["dups"]:
-        return based.withColumn("_b", F.when(us.isNotNull(), lo.cast("long") * n)).drop("_bounds")
+        return based.withColumn("_b", F.when(us.isNotNull(), lo.cast("long") * n).otherwise(_apart(tiebreak))).drop("_bounds")
 
     heavy = us.isNotNull() & (F.size(F.filter("_bounds", lambda b: b == us)) >= 2)
     based = based.withColumn("_lo", lo).withColumn("_heavy", heavy).drop("_bounds")
@@ -117,10 +117,15 @@ def chunked(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak: st
         F.percentile_approx(F.col(tiebreak), qs, 10_000).alias("_tb")), "tie_bounds")
     based = _lookup(based, ties, [key, "_us"], ties.count(), 8 * n + 72, broadcast_limit)
     sub = F.when(F.col("_heavy"), F.size(F.filter("_tb", lambda b: b < F.col(tiebreak)))).otherwise(F.lit(0))
-    return based.withColumn("_b", F.when(us.isNotNull(), F.col("_lo").cast("long") * n + sub)) \
+    return based.withColumn("_b", F.when(us.isNotNull(), F.col("_lo").cast("long") * n + sub).otherwise(_apart(tiebreak))) \
         .drop("_lo", "_heavy", "_tb")
 
 
+def _apart(tiebreak: str) -> Column:
+    """Points without a time have no order: negative chunks spread them over the tasks."""
+    return -1 - F.pmod(F.xxhash64(tiebreak), F.lit(1 << 20))
+
+
 def replay_gaps(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak: str = "offset",
                 speed: float = 10.0, chunks: int | None = None, broadcast_limit: int = 64 << 20) -> DataFrame:
     """Adds ``gap_s`` (seconds since the previous point of the series, / speed; 0 for
@@ -145,3 +150,72 @@ def replay_gaps(points: DataFrame, key: str = "series", ts: str = "ts", tiebreak
     offset = (us - F.col("_start_us")) / F.lit(1e6 * speed)
     return joined.withColumn("gap_s", gap).withColumn("offset_s", offset).drop(
         "_us", "_b", "_prev_in_chunk", "_prev_chunk_us", "_start_us")
+
+
+# ------------------------------------------------------------ the same gaps as a stream
+
+STREAM_STATE = "us BINARY, tie BINARY, value BINARY"
+
+
+def stream_gaps(points: DataFrame, delay: str, bucket: str = "6 hours", key: str = "series", ts: str = "ts",
+                tiebreak: str = "offset", value: str = "value") -> DataFrame:
+    """Gaps within time buckets from a stream of points in any order of arrival (append mode).
+
+    State is kept per (series, bucket), so a series that holds most points is many groups: the points of a
+    bucket wait there until a timer fires, that is when the watermark (``delay`` behind the newest event time)
+    has passed the bucket's end; then they leave in order with the gap to the point before, and the
+    state goes. Points behind the watermark are dropped. Points without a time pass through without state.
+    Event time is a TIMESTAMP column. Gives series, offset, value, us, bucket, gap_us (null for a bucket's first point);
+    ``stitched_gaps`` joins the buckets."""
+    width = F.expr(f"(unix_micros(timestamp'1970-01-01 00:00:00' + INTERVAL {bucket}))")
+    us = F.unix_micros(ts)
+    timed = (points.where(F.col(ts).isNotNull()).withWatermark(ts, delay)
+             .select(F.col(key).alias("series"), F.floor(us / width).cast("long").alias("bucket"),
+                     ((F.floor(us / width) + 1) * width / 1000).cast("long").alias("end_ms"),
+                     us.alias("us"), F.col(tiebreak).cast("long").alias("tie"), F.col(value).cast("double").alias("value"), ts))
+    schema = "series STRING, bucket LONG, offset LONG, us LONG, value DOUBLE, gap_us LONG"
+    out = timed.groupBy("series", "bucket", "end_ms").applyInPandasWithState(
+        _bucket_points, schema, STREAM_STATE, "append", "EventTimeTimeout")
+    untimed = points.where(F.col(ts).isNull()).select(
+        F.col(key).alias("series"), F.lit(None).cast("long").alias("bucket"), F.col(tiebreak).cast("long").alias("offset"),
+        F.lit(None).cast("long").alias("us"), F.col(value).cast("double").alias("value"), F.lit(None).cast("long").alias("gap_us"))
+    return out.unionByName(untimed)
+
+
+def _bucket_points(key, frames, state):
+    """One bucket of one series: keep what comes, and give it in order when its timer fires."""
+    import numpy as np
+    import pandas as pd
+
+    kinds = (np.int64, np.int64, np.float64)
+    held = [np.frombuffer(bytes(b), k) for b, k in zip(state.get, kinds, strict=True)] if state.exists else None
+    if state.hasTimedOut:
+        us, tie, value = held
+        order = np.lexsort((tie, us))
+        us = us[order]
+        gap = pd.array(np.diff(us, prepend=us[:1]), dtype="Int64")
+        gap[0] = pd.NA
+        state.remove()
+        yield pd.DataFrame({"series": key[0], "bucket": key[1], "offset": tie[order], "us": us, "value": value[order], "gap_us": gap})
+        return
+    parts = [held] if held else []
+    for pdf in frames:
+        parts.append([pdf[c].to_numpy(k) for c, k in zip(("us", "tie", "value"), kinds, strict=True)])
+    state.update(tuple(np.concatenate(column).tobytes() for column in zip(*parts, strict=True)))
+    state.setTimeoutTimestamp(max(int(key[2]), state.getCurrentWatermarkMs() + 1))
+
+
+def stitched_gaps(rows: DataFrame, speed: float = 10.0) -> DataFrame:
+    """Rows of ``stream_gaps`` -> series, offset, ts, value, gap_s, offset_s as ``replay_gaps`` gives them. A bucket's
+    first point takes its gap from a table with one row per (series, bucket)."""
+    ends = rows.where("us is not null").groupBy("series", "bucket").agg(F.min("us").alias("_first"), F.max("us").alias("_last"))
+    w = Window.partitionBy("series").orderBy("bucket")
+    carry = ends.select("series", "bucket", "_first", F.lag("_last").over(w).alias("_before"),
+                        F.min("_first").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("_start"))
+    # the first point of a bucket is the one without a gap of its own
+    joined = rows.join(carry, ["series", "bucket"], "left")
+    gap = F.coalesce(F.col("gap_us"), F.col("_first") - F.col("_before"), F.lit(0))
+    timed = F.col("us").isNotNull()
+    return joined.select("series", "offset", F.timestamp_micros("us").cast("timestamp_ntz").alias("ts"), "value",
+                         F.when(timed, gap / F.lit(1e6 * speed)).alias("gap_s"),
+                         F.when(timed, (F.col("us") - F.col("_start")) / F.lit(1e6 * speed)).alias("offset_s"))

@@ -27,6 +27,7 @@ from ..sources.envelope import (labelled_messages, number_messages, payload_mess
                                 stream_envelope_files, to_envelope)
 from . import fixed_forest as FX
 from . import oracle as O
+from . import stateful as SF
 from . import streams as ST
 from .catalog import table
 from .reviews import PRED_ORDER, flagship, labelled_predictions, parsed_labelled, parsed_reviews, scored_reviews
@@ -299,11 +300,14 @@ def q_series_parse(spark, sf):
     return SR.parse_series(_series_env(spark, sf)).select("series", "offset", "ts", "value")
 
 
-@query("replay_gaps", """
+REPLAY_GAPS_SQL = """
     SELECT event_type AS series, event_id AS "offset", ts,
            coalesce(date_diff('microsecond', lag(ts) OVER w, ts) / 1e7, 0.0) AS gap_s,
            date_diff('microsecond', min(ts) OVER (PARTITION BY event_type), ts) / 1e7 AS offset_s
-    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)""")
+    FROM events WINDOW w AS (PARTITION BY event_type ORDER BY ts, event_id)"""
+
+
+@query("replay_gaps", REPLAY_GAPS_SQL)
 def q_replay_gaps(spark, sf):
     pts = SR.parse_series(_series_env(spark, sf))
     out = SR.replay_gaps(pts, key="series", ts="ts", tiebreak="offset", speed=10.0)
@@ -409,6 +413,21 @@ def q_events_tumbling_stream(spark, sf):
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n", "total")
 
 
+@query("events_windows_late", SF.WINDOWS_LATE_SQL)
+def q_events_windows_late(spark, sf):
+    return SF.windows_with_late_rows(spark, sf)
+
+
+@query("replay_gaps_stream", REPLAY_GAPS_SQL)
+def q_replay_gaps_stream(spark, sf):
+    return SF.gaps_from_stream(spark, sf)
+
+
+@query("stream_dedup", NUMBER_TOPIC_SQL)
+def q_stream_dedup(spark, sf):
+    return SF.redelivered_numbers(spark, sf)
+
+
 @query("sentiment_trend", f"""
     WITH sc AS ({O.lexicon_scored_sql()}),
     j AS (SELECT time_bucket(INTERVAL 1 HOUR, e.ts) AS window_start, sc.* FROM sc JOIN events e ON CAST(sc.id AS BIGINT) = e.event_id),

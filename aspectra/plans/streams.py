@@ -110,22 +110,9 @@ def two_queries(spark: SparkSession, env: DataFrame, name: str) -> tuple[DataFra
     src = stream_envelope_files(spark, path)
     numbers = src.select("topic", "offset", F.col("value").cast("string").substr(12, 1).alias("rand_number"))
     parity = numbers.withColumn("Is_Even", F.expr("try_cast(rand_number AS INT)") % 2 == 0)
-    outs = []
-    queries = []
-    for label, df in (("numbers", numbers), ("parity", parity)):
-        out, ckpt = fresh_path(spark, name, label), fresh_path(spark, name, label + "_ckpt")
-        w = runner.with_trigger(lake_writer(df, out, ckpt), "available")
-        queries.append(w.start())
-        outs.append(out)
-    try:
-        for q in queries:
-            q.awaitTermination()
-            if q.exception():
-                raise RuntimeError(str(q.exception()))
-    finally:  # a failure of one leaves none running
-        for q in queries:
-            if q.isActive:
-                q.stop()
+    outs = [fresh_path(spark, name, label) for label in ("numbers", "parity")]
+    runner.run_all([runner.with_trigger(lake_writer(df, out, fresh_path(spark, name, "checkpoint")), "available")
+                    for df, out in zip((numbers, parity), outs, strict=True)])
     return spark.read.parquet(outs[0]), spark.read.parquet(outs[1])
 
 

@@ -133,9 +133,22 @@ def write_envelope_files(env: DataFrame, path: str) -> str:
     return path
 
 
-def stream_envelope_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """Offline stand-in for a topic stream: envelope parquet files under ``path``."""
-    reader = spark.readStream.schema(ENVELOPE_DDL).format("parquet")
+def stream_envelope_files(spark: SparkSession, path: str, max_files_per_trigger: int | None = None,
+                          max_bytes_per_trigger: int | None = None) -> DataFrame:
+    """Offline stand-in for a topic stream: envelope parquet files under ``path`` and its folders, oldest first.
+    A limit on files or bytes (one of them) cuts a backlog into batches."""
+    reader = spark.readStream.schema(ENVELOPE_DDL).format("parquet").option("recursiveFileLookup", "true")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    if max_bytes_per_trigger:
+        reader = reader.option("maxBytesPerTrigger", str(max_bytes_per_trigger))
     return reader.load(path)
+
+
+def write_in_turn(env: DataFrame, path: str, turn: Column, turns: range, files: int = 4) -> str:
+    """Write the envelope as it arrives: the rows of each of ``turns`` after those of the one before, each as ``files`` files (as
+    far as it has rows), so that a stream limited to ``files`` a batch reads one turn a batch."""
+    numbered = env.withColumn("_turn", turn)
+    for i in turns:
+        numbered.where(F.col("_turn") == i).select(*ENVELOPE_COLUMNS).repartition(files).write.parquet(f"{path}/turn{i:04d}")
+    return path

@@ -40,6 +40,20 @@ def run_available(writer: DataStreamWriter) -> StreamingQuery:
     return q
 
 
+def run_all(writers: list[DataStreamWriter]) -> None:
+    """Start several writers (triggers set) and wait for all; a failure of one stops the others."""
+    started = [w.start() for w in writers]
+    try:
+        for q in started:
+            q.awaitTermination()
+            if q.exception():
+                raise RuntimeError(f"stream failed: {q.exception()}")
+    finally:
+        for q in started:
+            if q.isActive:
+                q.stop()
+
+
 def bounded_run(q: StreamingQuery, limit_s: float) -> bool:
     """Let a running query work for at most ``limit_s`` seconds, then stop it.
     Returns True when it ended by itself. Checkpoints are never deleted here:
