@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat, clustering, decontaminate, langid, licenses, merkle, neardup, packing, quality, retrieval_packing,
+from . import (chat, clustering, collocations, decontaminate, langid, licenses, merkle, neardup, packing, quality, retrieval_packing,
                toxicity, warc)
 from .common import read_table
 
@@ -56,6 +56,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.report(read_table(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 def op12_retrieval_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return retrieval_packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -75,6 +79,7 @@ REGISTRY = {
     "op8_licenses": op8_licenses,
     "op9_toxicity": op9_toxicity,
     "op10_warc": op10_warc,
+    "op11_collocations": op11_collocations,
     "op12_retrieval_packing": op12_retrieval_packing,
     "op13_clustering": op13_clustering,
 }
@@ -162,3 +167,24 @@ FROM a{rounds} a JOIN v USING (rid) JOIN c{rounds} c ON c.k = a.b.k"""
 
 
 ORACLE["op13_clustering"] = _clusters_sql()
+
+ORACLE["op11_collocations"] = f"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM p),
+n AS (SELECT lang, sum(len(w)) AS n FROM w GROUP BY lang),
+g AS (SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS phrase
+      FROM w, (VALUES (1), (2), (3), (4)) t(k) WHERE len(w) >= k),
+f AS MATERIALIZED (SELECT lang, phrase, k, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 30),
+c AS (SELECT lang, phrase, k, f AS a, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+cut AS (SELECT lang, phrase, k, a, w, unnest(range(1, k)) AS cp FROM c),
+s AS (SELECT cut.lang, cut.phrase, a, cp, x.f AS l, y.f AS r, (2000000::HUGEINT * a) // (x.f + y.f) AS score
+      FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:cp], ' ')
+      JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[cp + 1:], ' ')),
+m AS (SELECT lang, phrase, a, min(struct_pack(score := score, cp := cp, l := l, r := r)) AS m FROM s GROUP BY ALL),
+i AS (SELECT lang, a, unnest(flatten(list_transform(range(2, k), lambda z: list_transform(range(1, k - z + 2),
+      lambda b: array_to_string(w[b:b + z - 1], ' '))))) AS phrase FROM c WHERE k >= 3),
+o AS (SELECT lang, phrase, max(a) AS longer FROM i GROUP BY ALL),
+r AS (SELECT m.*, row_number() OVER (PARTITION BY lang ORDER BY m.score DESC, a DESC, phrase) AS rank
+      FROM m LEFT JOIN o USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
+SELECT lang, rank, phrase, a, m.l AS l, m.r AS r, cast(n AS BIGINT) AS n, cast(m.score AS BIGINT) AS score
+FROM r JOIN n USING (lang) WHERE rank <= 2000"""

@@ -66,8 +66,9 @@ def _texts(ids: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def _terms(ids: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(document, term, repeats) of every distinct term of every document, by document then term."""
     width = int(ids.max()) + 1 if len(ids) else 1
-    key, repeats = np.unique(np.repeat(np.arange(len(size)), size) * width + ids, return_counts=True)
-    return key // width, key % width, repeats
+    kind = np.uint32 if len(size) * width < 1 << 32 else np.uint64  # short keys sort faster
+    key, repeats = np.unique(np.repeat(np.arange(len(size), dtype=kind) * kind(width), size) + ids.astype(kind), return_counts=True)
+    return (key // kind(width)).astype(np.int64), (key % kind(width)).astype(np.int64), repeats
 
 
 def frequencies(tokens: DataFrame) -> DataFrame:
@@ -95,16 +96,27 @@ class Index:
         self.bounds = np.append(0, np.cumsum(np.bincount(doc, minlength=len(size))))  # a document's own terms
         self.terms = term
         order = np.argsort(term, kind="stable")
-        self.docs, self.weights = doc[order], weight[order]
-        many = np.bincount(term, minlength=len(idf))
-        self.first, self.many = np.cumsum(many) - many, many
-        self.documents = len(size)
+        self.documents, self.vocabulary = len(size), len(idf)
+        self._post(term[order], doc[order], weight[order])
+
+    def _post(self, term: np.ndarray, doc: np.ndarray, weight: np.ndarray) -> None:
+        """Postings in order of their terms."""
+        self.posted, self.docs, self.weights = term, doc, weight
+        self.many = np.bincount(term, minlength=self.vocabulary)
+        self.first = np.cumsum(self.many) - self.many
+
+    def keep(self, wanted: np.ndarray) -> None:
+        """Drop the postings of the documents that are not wanted any more."""
+        stay = wanted[self.docs]
+        self._post(self.posted[stay], self.docs[stay], self.weights[stay])
 
     def scores(self, seed: int) -> np.ndarray:
         """BM25 of every document of the shard for all terms of the seed."""
         asked = self.terms[self.bounds[seed]:self.bounds[seed + 1]]
         first, many = self.first[asked], self.many[asked]
-        return np.bincount(gather(self.docs, first, many), gather(self.weights, first, many), self.documents)
+        ends = np.cumsum(many)
+        at = np.arange(ends[-1] if len(ends) else 0) + np.repeat(first - (ends - many), many)
+        return np.bincount(self.docs[at], self.weights[at], self.documents)
 
 
 def fill(size: np.ndarray, index: Index, window: int = WINDOW) -> list[list[tuple[int, int, int]]]:
@@ -116,7 +128,12 @@ def fill(size: np.ndarray, index: Index, window: int = WINDOW) -> list[list[tupl
     left = size - used
     open_docs = left > 0
     seed, earliest = -1, 0
+    indexed = int(open_docs.sum())
     while True:
+        unused = int(open_docs.sum())
+        if unused < indexed // 2:  # searches then cost what the unused documents cost
+            index.keep(open_docs)
+            indexed = unused
         if seed < 0:
             while earliest < len(size) and not open_docs[earliest]:
                 earliest += 1

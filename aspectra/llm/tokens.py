@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 #: Words that a worker remembers between batches.
 CACHE_WORDS = 600_000
 #: UTF-8 bytes of text that are encoded together (one text may be longer).
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 8 << 20
 #: ASCII marks that may close a word; the pre-tokeniser never joins them to letters.
 CLOSING = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -70,7 +70,7 @@ class Encoder:
         at = np.flatnonzero(ids == self.stop)
         return np.append(0, at + 1), np.append(at, len(ids))
 
-    def _together(self, parts: list[str], glue: str, cuts) -> list[str]:
+    def _together(self, parts: list[str], glue: str, cuts, place: dict[str, int]) -> list[str]:
         """Encode many words in one call; `cuts(ids)` gives where each begins and ends. The words of
         a call in which they do not come out as one stretch a word are given back."""
         groups = [parts[s:s + 2000] for s in range(0, len(parts), 2000)]
@@ -84,20 +84,25 @@ class Encoder:
             else:
                 left += some
         if found:
-            self._add(pa.array([p for f in found for p in f[0]], pa.large_string()),
-                      np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found]))
+            words = [p for f in found for p in f[0]]
+            place.update(zip(words, range(len(self.size), len(self.size) + len(words))))
+            self._add(pa.array(words, pa.large_string()), np.concatenate([f[1] for f in found]), np.concatenate([f[2] for f in found]))
         return left
 
-    def _learn_parts(self, parts: list[str], letters: list[bool]) -> None:
+    def _learn_parts(self, parts: list[str], letters: list[bool]) -> np.ndarray:
+        """Encode the words; their places."""
+        place: dict[str, int] = {}
         # every run of letters gives one closing id at least, so equal counts mean one each
-        left = self._together([p for p, a in zip(parts, letters) if a], " ", self._by_closing)
+        left = self._together([p for p, a in zip(parts, letters) if a], " ", self._by_closing, place)
         left += [p for p, a in zip(parts, letters) if not a]
         if self.stop >= 0:
             safe = [p for p in left if self.mark[:2] not in p]
-            left = [p for p in left if self.mark[:2] in p] + self._together(safe, f" {self.mark} ", self._by_mark)
+            left = [p for p in left if self.mark[:2] in p] + self._together(safe, f" {self.mark} ", self._by_mark, place)
         for p in left:
             ids = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, np.uint32)
+            place[p] = len(self.size)
             self._add(pa.array([p], pa.large_string()), ids, np.array([len(ids)], np.int64))
+        return np.array([place[p] for p in parts], np.int64)
 
     def _learn(self, words: pa.Array) -> np.ndarray:
         """Places for words not met before: letters without their closing marks are encoded
@@ -111,17 +116,21 @@ class Encoder:
         tails = pa.LargeStringArray.from_buffers(
             len(words), pa.py_buffer(np.append(0, np.cumsum(tail)).astype(np.int64)),
             pa.py_buffer(np.ascontiguousarray(gather(text, ends - tail, tail))))
-        parts = pc.unique(pa.concat_arrays([core, tails]))
-        parts = parts.filter(pa.array(self._places(parts) < 0))
-        self._learn_parts(parts.to_pylist(), pc.utf8_is_alpha(parts).to_pylist())
-        place = self._places(core)
+        both = pa.concat_arrays([core, tails]).dictionary_encode()
+        place = self._places(both.dictionary)
+        unmet = np.flatnonzero(place < 0)
+        if len(unmet):
+            parts = both.dictionary.take(pa.array(unmet))
+            place[unmet] = self._learn_parts(parts.to_pylist(), pc.utf8_is_alpha(parts).to_pylist())
+        pairs = place[np.asarray(both.indices)].reshape(2, -1).T
+        out = pairs[:, 0].copy()
         other = np.flatnonzero((tail > 0) | pc.not_equal(core, words).to_numpy(zero_copy_only=False))
         if len(other):
-            pairs = np.stack([place[other], self._places(tails.take(pa.array(other)))], axis=1)
+            pairs = pairs[other]
             ids = gather(self.flat, self.start[pairs].ravel(), self.size[pairs].ravel())
-            place[other] = np.arange(len(self.size), len(self.size) + len(other))
+            out[other] = np.arange(len(self.size), len(self.size) + len(other))
             self._add(words.take(pa.array(other)), ids, self.size[pairs].sum(axis=1))
-        return place
+        return out
 
     def _stretch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts, one after the other, and how many each has."""

@@ -133,3 +133,70 @@ def test_bm25_weights_equal_the_formula():
     got = retrieval_packing.Index(np.array([t for d in docs for t in d]), size, idf, size.mean()).scores(0)
     want = [sum(idf[t] * d.count(t) * 2.2 / (d.count(t) + 1.2 * (.25 + .75 * len(d) / size.mean())) for t in {1, 2} if t in d) for d in docs]
     assert np.allclose(got, want)
+
+
+# ------------------------------------------------------------ collocations
+
+def brute_collocations(rows, support, top):
+    f, n = defaultdict(Counter), Counter()
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        low = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", low):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            n[lang] += len(w)
+            f[lang].update(tuple(w[i:i + k]) for k in (1, 2, 3, 4) for i in range(len(w) - k + 1))
+    out = []
+    for lang, counts in f.items():
+        found = {p: a for p, a in counts.items() if len(p) > 1 and a >= support}
+        rows_ = []
+        for p, a in found.items():
+            if any(len(q) > len(p) and 100 * b >= 80 * a and any(q[i:i + len(p)] == p for i in range(len(q) - len(p) + 1))
+                   for q, b in found.items()):
+                continue
+            score, _, left, right = min((2000000 * a // (counts[p[:k]] + counts[p[k:]]), k, counts[p[:k]], counts[p[k:]])
+                                        for k in range(1, len(p)))
+            rows_.append((-score, -a, " ".join(p).encode(), left, right))
+        out += [(lang, i + 1, p.decode(), -a, left, right, n[lang], -s) for i, (s, a, p, left, right) in enumerate(sorted(rows_)[:top])]
+    return sorted(out)
+
+
+def collocation_rows(seed=11, many=400):
+    rng = np.random.default_rng(seed)
+    words = ["the", "of", "New", "York", "San", "José", "city", "a\x00b", "ß", "naïve", "一", "x" * 300, "to", "be", "or", "not"]
+    rows = []
+    for i in range(many):
+        text = " ".join(rng.choice(words, rng.integers(1, 40), p=[.2] + [.8 / 15] * 15))
+        rows.append((["en", "de", None, "und", ""][i % 5], text.replace("city", "city" + " ,;\n\t"[i % 5]) + " in New  York\tcity hall."))
+    return rows + [("en", None), ("en", ""), ("xx", "only once here"), (None, " ., \n"), ("en", "to be or not " * 3000)] + [rows[0]] * 150
+
+
+@pytest.mark.parametrize(("support", "top", "shards"), [(30, 2000, 8), (7, 12, 3), (2, 2000, 40), (1, 5, 1)])
+def test_collocations_equal_full_counts(spark, support, top, shards):
+    from aspectra.llm.collocations import collocations
+
+    rows = collocation_rows(many=400 if support > 2 else 60)
+    df = spark.createDataFrame([(i % 7 or None, t, lang, 1, "a", 2) for i, (lang, t) in enumerate(rows)],
+                               "doc_id long, text string, lang string, shard int, phrase string, k int").repartition(5)
+    got = sorted(tuple(r) for r in collocations(df, support, top, shards).collect())
+    assert got == brute_collocations(rows, support, top)
+
+
+def test_collocations_of_nothing(spark):
+    from aspectra.llm.collocations import collocations
+
+    for rows in ([], [(None, None, None)], [(1, ". , ;", "en")]):
+        df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+        assert collocations(df, 1).collect() == []
+
+
+def test_the_bit_map_has_its_stated_size(spark, monkeypatch):
+    """Its parts come from Spark; only FILTER_BITS bits reach the driver."""
+    from aspectra.llm import collocations as C
+
+    monkeypatch.setattr(C, "FILTER_BITS", 1 << 15)
+    rows = collocation_rows(12, 100)
+    short = C.union_filter(C.mined(spark.createDataFrame([("en", 0, t) for _, t in rows], "lang string, shard int, text string")
+                                   .where("text is not null"), (1, 2)),
+                           spark.createDataFrame([("en", 0, 10, 10)], "lang string, shard int, n long, total long"), 1)
+    assert len(short) == 4096 and any(short)
