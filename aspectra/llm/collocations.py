@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from ..operators.skew import heavy_keys, split_join
 from .common import mix, stored, word_hashes, word_spans
+from .tokens import gather
 
 SUPPORT = 30
 TOP = 2000
@@ -39,10 +40,10 @@ FILTER_BITS = 1 << 27
 PIECE = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 #: Bytes of text that are taken together (one text may be longer).
-BLOCK = 16 << 20
+BLOCK = 6 << 20
 
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_BREAK = np.zeros(256, np.int32)
+_BREAK = np.zeros(256, np.int8)
 _BREAK[list(PIECE)] = 1
 _OUTSIDE = np.zeros(256, bool)
 _OUTSIDE[list(PIECE + BLANKS)] = True
@@ -58,13 +59,13 @@ class Block:
         size = pc.binary_length(text).to_numpy().astype(np.int64) + 1
         start, end = word_spans(raw, _OUTSIDE)
         self.piece = np.append(0, np.cumsum(_BREAK[raw], dtype=np.int32))[start]
-        self.group = group[np.searchsorted(np.cumsum(size), start, side="right")]
+        self.group = group[np.searchsorted(np.cumsum(size), start, side="right")].astype(np.int32)
         length = end - start
         ends = np.cumsum(length)
-        letters = raw[np.arange(ends[-1] if len(ends) else 0) + np.repeat(start - (ends - length), length)]
+        letters = gather(raw, start, length)
         coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(start), [
             None, pa.py_buffer(np.append(0, ends).astype(np.int64)), pa.py_buffer(np.ascontiguousarray(letters))]).dictionary_encode()
-        self.word, self.texts = np.asarray(coded.indices).astype(np.int64), coded.dictionary
+        self.word, self.texts = np.asarray(coded.indices), coded.dictionary
         joined = np.frombuffer(b"".join(coded.dictionary.to_pylist()), np.uint8)
         stop = np.cumsum(pc.binary_length(coded.dictionary).to_numpy().astype(np.int64))
         self.hash = word_hashes(joined, np.append(0, stop[:-1])[:len(stop)], stop)
@@ -86,7 +87,7 @@ class Block:
 
     def phrases(self, k: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Of the exact phrases (with their group) at these places: a place and the number of each."""
-        key = self.group[at]
+        key = self.group[at].astype(np.int64)
         for i in range(k):
             key = pd.factorize(key * len(self.texts) + self.word[at + i])[0]
         many = np.bincount(key)
@@ -110,6 +111,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[t
             stop = np.cumsum([len(n) for n in names])
             language = word_hashes(np.frombuffer(b"".join(names), np.uint8), np.append(0, stop[:-1]), stop)
             yield Block(part.column("text"), number), groups, language
+            pa.default_memory_pool().release_unused()
             at = end
 
 

@@ -18,9 +18,9 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words that a worker remembers between batches.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 200_000
 #: UTF-8 bytes of text that are encoded together (one text may be longer).
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 #: ASCII marks that may close a word; the pre-tokeniser never joins them to letters.
 CLOSING = "".join(chr(c) for c in range(33, 127) if not chr(c).isalnum())
 
@@ -30,7 +30,10 @@ def gather(flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     if not len(size):
         return flat[:0]
     ends = np.cumsum(size)
-    return flat[np.arange(ends[-1]) + np.repeat(start - (ends - size), size)]
+    kind = np.int32 if max(len(flat), ends[-1]) < 1 << 31 else np.int64
+    at = np.repeat((start - (ends - size)).astype(kind), size)
+    at += np.arange(ends[-1], dtype=kind)
+    return flat[at]
 
 
 class Encoder:
@@ -73,11 +76,10 @@ class Encoder:
     def _together(self, parts: list[str], glue: str, cuts, place: dict[str, int]) -> list[str]:
         """Encode many words in one call; `cuts(ids)` gives where each begins and ends. The words of
         a call in which they do not come out as one stretch a word are given back."""
-        groups = [parts[s:s + 2000] for s in range(0, len(parts), 2000)]
         found, left = [], []
-        for some, one in zip(groups, self.tokenizer.encode_batch_fast(
-                [glue.join(g) for g in groups], add_special_tokens=False), strict=True):
-            ids = np.array(one.ids, np.uint32)
+        for at in range(0, len(parts), 2000):
+            some = parts[at:at + 2000]
+            ids = np.array(self.tokenizer.encode_batch_fast([glue.join(some)], add_special_tokens=False)[0].ids, np.uint32)
             begin, end = cuts(ids)
             if len(begin) == len(some):
                 found.append((some, gather(ids, begin, end - begin), end - begin))
@@ -153,12 +155,12 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first text, ids, how many ids each text has) for stretches of the texts; a null text is empty."""
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        before = np.append(0, np.cumsum(np.asarray(pc.binary_length(texts)).astype(np.int64)))
+        before = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
         at = 0
         while at < len(texts):
             end = max(at + 1, int(np.searchsorted(before, before[at] + BATCH_BYTES, side="right")) - 1)
-            ids, size = self._stretch(texts.slice(at, end - at))
+            ids, size = self._stretch(pc.fill_null(texts.slice(at, end - at).cast(pa.large_string()), ""))
+            pa.default_memory_pool().release_unused()
             yield at, ids, size
             at = end
 
