@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import HEAD_MAX_LEN, PAD_ID, UNK_ID
+from ..operators.skew import heavy_keys, split_join
 
 # --- fixed values: character classes equal to Python's str-pattern classes ---
 WORD_CLASS = r"\p{L}\p{N}_"
@@ -95,14 +96,19 @@ def _numbered(ordered: DataFrame, first_id: int) -> DataFrame:
     path = fresh_path(ordered.sparkSession, "vocabulary", "tokens")
     ordered.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)  # part << 33 | place in the part
     rows = ordered.sparkSession.read.parquet(path)
-    part, place = F.shiftright("_at", 33), F.col("_at").bitwiseAND((1 << 33) - 1)
-    sizes = rows.groupBy(part.alias("part")).agg(F.count(F.lit(1)).alias("n")).collect()  # one row per part
-    before, first = [], first_id
-    for r in sorted(sizes, key=lambda r: r["part"]):
-        before += [F.lit(r["part"]), F.lit(first)]
-        first += r["n"]
-    start = F.create_map(*before)[part] if before else F.lit(first_id)
-    return rows.select("token", (start + place).cast("int").alias("id"))
+    # where each part's ids begin: a table with one row per part, added up by stretches of parts
+    sizes = rows.groupBy(F.shiftright("_at", 33).alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    sizes = sizes.withColumn("_stretch", F.shiftright("_part", 10))
+    until = Window.unboundedPreceding, -1
+    inside = F.coalesce(F.sum("_n").over(Window.partitionBy("_stretch").orderBy("_part").rowsBetween(*until)), F.lit(0))
+    stretches = sizes.groupBy("_stretch").agg(F.sum("_n").alias("_n"))
+    # a window without a key: over one row per 1,024 parts
+    earlier = F.coalesce(F.sum("_n").over(Window.orderBy("_stretch").rowsBetween(*until)), F.lit(0))
+    begins = stretches.select("_stretch", earlier.alias("_earlier"))
+    first = sizes.select("_stretch", "_part", inside.alias("_inside")).join(begins, "_stretch").select(
+        "_part", (F.col("_earlier") + F.col("_inside") + first_id).alias("_first"))
+    own = rows.withColumn("_part", F.shiftright("_at", 33)).join(first, "_part")
+    return own.select("token", (F.col("_first") + F.col("_at").bitwiseAND((1 << 33) - 1)).cast("int").alias("id"))
 
 
 def token_ids(
@@ -177,14 +183,19 @@ def _looked_up(df: DataFrame, rows: list, max_len: int, truncate: str, unk_id: i
 
 def _joined_ids(kept: DataFrame, keys: list[str], vocab: DataFrame, max_len: int, truncate: str, unk_id: int,
                 oov: str) -> DataFrame:
-    """The same for a vocabulary that is too large to hold: a shuffle join on the token."""
+    """The same for a vocabulary that is too large to hold: a shuffle join on the token, in which
+    tokens that are more than a thousandth of all are looked up by broadcast and scattered."""
     from ..session import fresh_path
 
     path = fresh_path(kept.sparkSession, "token_ids", "rows")
     kept.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)  # row numbers that stay
     rows = kept.sparkSession.read.parquet(path)
     least = vocab.groupBy("token").agg(F.min("id").cast("int").alias("id"))
-    each = rows.select("_row", F.posexplode("toks").alias("pos", "token")).join(least, "token", "left")
+    each = rows.select("_row", F.posexplode("toks").alias("pos", "token"))
+    counts_path = fresh_path(kept.sparkSession, "token_ids", "counts")  # one row per token, counted once
+    each.groupBy("token").agg(F.count(F.lit(1)).alias("n")).write.parquet(counts_path)
+    heavy = heavy_keys(kept.sparkSession.read.parquet(counts_path), ["token"], "n")
+    each = split_join(each, least, ["token"], heavy, ["id"], ["_row", "pos"])
     each = each.where("id is not null") if oov == "drop" else each.withColumn("id", F.coalesce("id", F.lit(unk_id)))
     found = each.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("entries"))
     ids = F.transform(F.coalesce("entries", F.array().cast("array<struct<pos:int,id:int>>")), lambda e: e["id"])

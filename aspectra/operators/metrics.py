@@ -62,43 +62,38 @@ def confusion_counts(df: DataFrame, pairs: list[tuple[str, str, str]]) -> DataFr
     return long.groupBy("Aspect", "label", "prediction").agg(F.count(F.lit(1)).alias("n"))
 
 
-def eval_metrics(df: DataFrame, pairs: list[tuple[str, str, str]], digits: int = 6) -> DataFrame:
+def eval_metrics(df: DataFrame, pairs: list[tuple[str, str, str]], digits: int | None = 6) -> DataFrame:
+    """``metrics_of`` the confusion counts of a frame with truth and prediction columns."""
+    return metrics_of(confusion_counts(df, pairs), [a for a, _, _ in pairs], digits)
+
+
+def metrics_of(confusion: DataFrame, aspects: list[str], digits: int | None = 6) -> DataFrame:
     """Per aspect: n, accuracy and support-weighted F1 (the ``f1`` of Spark's
-    multiclass evaluator: sum over true classes k of n_k/N * 2 tp_k / (n_k + m_k)).
-    Aspects without labelled rows are reported with n = 0 and null metrics.
+    multiclass evaluator: sum over true classes k of n_k/N * 2 tp_k / (n_k + m_k)),
+    from counts (Aspect, label, prediction, n). Aspects without labelled rows are
+    reported with n = 0 and null metrics; ``digits=None`` leaves the values unrounded.
 
-    Each labelled (label, prediction) pair adds to two class cells: the true
-    class (n_k, tp_k) and the predicted class (m_k). One partial aggregate over
-    (aspect, class) and one over aspect give every metric: two small shuffles,
-    no joins."""
-    rows = F.array(*[
-        F.struct(F.lit(a).alias("Aspect"), F.col(t).cast("double").alias("label"), F.col(p).cast("double").alias("prediction"))
-        for a, t, p in pairs
-    ])
-    long = df.select(F.inline(rows)).na.drop(subset=["label", "prediction"])
-    hit = (F.col("label") == F.col("prediction")).cast("long")
+    Each cell adds to two classes: the true one (n_k, tp_k) and the predicted one (m_k)."""
+    hit = F.when(F.col("label") == F.col("prediction"), F.col("n")).otherwise(0)
+    none = F.lit(0).cast("long")
     cells = F.array(
-        F.struct(F.col("label").alias("k"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("m"), hit.alias("tp")),
-        F.struct(F.col("prediction").alias("k"), F.lit(0).cast("long").alias("n"), F.lit(1).cast("long").alias("m"), F.lit(0).cast("long").alias("tp")),
+        F.struct(F.col("label").alias("k"), F.col("n").alias("n"), none.alias("m"), hit.alias("tp")),
+        F.struct(F.col("prediction").alias("k"), none.alias("n"), F.col("n").alias("m"), none.alias("tp")),
     )
-    spark = df.sparkSession
     # every aspect appears once with no class, so aspects without labels are kept
-    names = spark.createDataFrame([(a, None, 0, 0, 0) for a, _, _ in pairs], "Aspect STRING, k DOUBLE, n LONG, m LONG, tp LONG")
-    per_class = long.select("Aspect", F.inline(cells)).unionByName(names).groupBy("Aspect", "k").agg(
+    names = confusion.sparkSession.createDataFrame([(a, None, 0, 0, 0) for a in aspects], "Aspect STRING, k DOUBLE, n LONG, m LONG, tp LONG")
+    per_class = confusion.select("Aspect", F.inline(cells)).unionByName(names).groupBy("Aspect", "k").agg(
         F.sum("n").alias("n_k"), F.sum("m").alias("m_k"), F.sum("tp").alias("tp_k"))
     f1_k = F.when(F.col("tp_k") > 0, 2.0 * F.col("tp_k") / (F.col("n_k") + F.col("m_k"))).otherwise(F.lit(0.0))
     per_aspect = per_class.groupBy("Aspect").agg(
         F.sum("n_k").alias("n"), F.sum("tp_k").alias("tp"), F.sum(F.col("n_k") * f1_k).alias("wf1"))
-    return per_aspect.select(
-        "Aspect",
-        F.col("n").cast("bigint").alias("n"),
-        F.round(F.when(F.col("n") > 0, F.col("tp") / F.col("n")), digits).alias("accuracy"),
-        F.round(F.when(F.col("n") > 0, F.col("wf1") / F.col("n")), digits).alias("f1"),
-    )
+    ratios = {"accuracy": F.when(F.col("n") > 0, F.col("tp") / F.col("n")), "f1": F.when(F.col("n") > 0, F.col("wf1") / F.col("n"))}
+    return per_aspect.select("Aspect", F.col("n").cast("bigint").alias("n"),
+                             *[(v if digits is None else F.round(v, digits)).alias(name) for name, v in ratios.items()])
 
 
 def eval_macro(per_aspect: DataFrame, digits: int = 6) -> DataFrame:
-    """Mean accuracy and mean F1 over the aspects that have labelled rows."""
+    """Mean accuracy and mean F1 over the aspects that have labelled rows; rounded here only, so give it unrounded metrics."""
     has = F.col("n") > 0
     return per_aspect.agg(
         F.count_if(has).cast("bigint").alias("n_aspects"),

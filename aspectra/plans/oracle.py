@@ -113,7 +113,8 @@ def labelled_predictions_sql() -> str:
     """
 
 
-def eval_metrics_sql() -> str:
+def eval_metrics_sql(digits: int | None = 6) -> str:
+    accuracy, f1 = (f"round({e}, {digits})" if digits is not None else e for e in ("tot.tp / tot.n", "f.wf1 / tot.n"))
     longs = " UNION ALL ".join(
         f"SELECT {_q(a)} AS Aspect, CAST({a} AS DOUBLE) AS label, CAST(pred_{a} AS DOUBLE) AS prediction FROM lp"
         for a in ASPECTS)
@@ -128,14 +129,14 @@ def eval_metrics_sql() -> str:
           FROM nk LEFT JOIN mk ON nk.Aspect = mk.Aspect AND nk.label = mk.label GROUP BY 1),
     a AS ({names})
     SELECT a.Aspect, CAST(coalesce(tot.n, 0) AS BIGINT) AS n,
-           round(tot.tp / tot.n, 6) AS accuracy, round(f.wf1 / tot.n, 6) AS f1
+           {accuracy} AS accuracy, {f1} AS f1
     FROM a LEFT JOIN tot ON a.Aspect = tot.Aspect LEFT JOIN f ON a.Aspect = f.Aspect
     """
 
 
 def eval_macro_sql() -> str:
     return f"""
-    WITH m AS ({eval_metrics_sql()})
+    WITH m AS ({eval_metrics_sql(None)})
     SELECT CAST(count(*) FILTER (WHERE n > 0) AS BIGINT) AS n_aspects,
            round(avg(accuracy) FILTER (WHERE n > 0), 6) AS avg_accuracy,
            round(avg(f1) FILTER (WHERE n > 0), 6) AS avg_f1
@@ -167,6 +168,23 @@ def token_ids_sql(tok_expr: str, max_len: int, tail: bool) -> str:
     """
 
 
+def known_ids_sql(tok_expr: str, max_len: int) -> str:
+    """Ids by a vocabulary of the labelled documents; unknown words go before the last ``max_len`` are kept."""
+    return f"""
+    WITH vocab AS (
+      SELECT tok, CAST(row_number() OVER (ORDER BY n DESC, tok) + 1 AS INTEGER) AS id FROM (
+        SELECT tok, count(*) AS n FROM (SELECT unnest({tok_expr}) AS tok FROM documents
+          WHERE doc_id IN (SELECT doc_id FROM labels)) GROUP BY tok)),
+    d AS (SELECT doc_id, {tok_expr} AS t FROM documents),
+    ex AS (SELECT doc_id, unnest(t) AS tok, unnest(range(1, len(t) + 1)) AS pos FROM d),
+    ids AS (SELECT ex.doc_id, list(v.id ORDER BY ex.pos) AS ids FROM ex JOIN vocab v ON ex.tok = v.tok GROUP BY ex.doc_id)
+    SELECT d.doc_id, CASE WHEN d.t IS NULL THEN NULL ELSE array_to_string(list_resize(
+             CASE WHEN len(i.ids) > {max_len} THEN i.ids[len(i.ids) - {max_len - 1}:len(i.ids)] ELSE coalesce(i.ids, []) END,
+             {max_len}, 0), ',') END AS ids
+    FROM d LEFT JOIN ids i ON d.doc_id = i.doc_id
+    """
+
+
 def clean_sql(text: str = "text") -> str:
     return (f"regexp_replace(regexp_replace(regexp_replace(lower({text}), "
             f"'[^\\p{{L}}\\p{{N}}_{SPACE_RE}]', '', 'g'), '\\p{{Nd}}+', '', 'g'), "

@@ -25,12 +25,13 @@ from ..session import fresh_path
 from ..sources import files as FS
 from ..sources.envelope import (labelled_messages, number_messages, payload_messages, review_messages,
                                 stream_envelope_files, to_envelope)
+from ..streaming.results import null_totals
 from . import fixed_forest as FX
 from . import oracle as O
 from . import stateful as SF
 from . import streams as ST
 from .catalog import table
-from .reviews import PRED_ORDER, flagship, labelled_predictions, parsed_labelled, parsed_reviews, scored_reviews
+from .reviews import PRED_ORDER, labelled_predictions, parsed_labelled, parsed_reviews, scored_reviews
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, tuple[QueryFn, str | None]] = {}
@@ -55,24 +56,29 @@ def q_aspect_widen(spark, sf):
     return scored_reviews(spark, sf).select("id", *ASPECTS)
 
 
+def _dashboard(spark, sf):
+    """Scored reviews as the dashboards find them: stored once, read by every query."""
+    return ST.kept_reviews(spark, sf).read(spark)
+
+
 @query("sentiment_counts", O.sentiment_counts_sql(False))
 def q_sentiment_counts(spark, sf):
-    return flagship(spark, sf, include_none=False)
+    return M.sentiment_counts(_dashboard(spark, sf))
 
 
 @query("sentiment_counts_with_none", O.sentiment_counts_sql(True))
 def q_sentiment_counts_with_none(spark, sf):
-    return flagship(spark, sf, include_none=True)
+    return M.sentiment_counts(_dashboard(spark, sf), include_none=True)
 
 
 @query("sentiment_totals", O.sentiment_totals_sql())
 def q_sentiment_totals(spark, sf):
-    return M.sentiment_totals(flagship(spark, sf))
+    return M.sentiment_totals(M.sentiment_counts(_dashboard(spark, sf)))
 
 
 @query("sentiment_share", O.sentiment_share_sql())
 def q_sentiment_share(spark, sf):
-    return M.sentiment_share(M.sentiment_totals(flagship(spark, sf)))
+    return M.sentiment_share(M.sentiment_totals(M.sentiment_counts(_dashboard(spark, sf))))
 
 
 # ------------------------------------------------------------ text functions
@@ -107,6 +113,25 @@ def q_text_to_ids_tail(spark, sf):
     return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
 
 
+@query("text_to_ids_split", f"SELECT * FROM ({O.token_ids_sql(O.tokens_sql(), 64, tail=False)})")
+def q_text_to_ids_split(spark, sf):
+    """The same ids when a worker may hold 1,000 words only: looked up by a join that splits off heavy words."""
+    docs = table(spark, sf, "documents")
+    ids = tx.token_ids(docs, "doc_id", "text", tx.build_vocabulary(docs, "text"), max_len=HEAD_MAX_LEN, truncate="head", max_vocab=1000)
+    return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
+
+
+@query("text_to_ids_known", O.known_ids_sql(O.tokens_sql(O.clean_sql()), 100))
+def q_text_to_ids_known(spark, sf):
+    """A tokenizer fitted on the labelled documents, applied to all: words it does not know are dropped
+    before the last 100 are kept."""
+    docs = table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("clean"))
+    labelled = docs.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    ids = tx.token_ids(docs, "doc_id", "clean", tx.build_vocabulary(labelled, "clean"), max_len=TAIL_MAX_LEN, truncate="tail",
+                       oov="drop", max_vocab=HELD_VOCAB)
+    return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
+
+
 # ------------------------------------------------------------ number topic
 
 def _numbers(spark, sf):
@@ -247,14 +272,21 @@ def q_eval_metrics(spark, sf):
 
 @query("eval_macro", O.eval_macro_sql())
 def q_eval_macro(spark, sf):
-    return M.eval_macro(M.eval_metrics(labelled_predictions(spark, sf), EVAL_PAIRS))
+    return M.eval_macro(M.eval_metrics(labelled_predictions(spark, sf), EVAL_PAIRS, digits=None))
+
+
+@query("eval_metrics_stream", O.eval_metrics_sql())
+def q_eval_metrics_stream(spark, sf):
+    """The evaluation kept up to date by a stream: confusion counts are its state, metrics are derived from them."""
+    env = labelled_messages(table(spark, sf, "documents"), table(spark, sf, "labels"))
+    return M.metrics_of(ST.confusion_stream(spark, env, "eval_metrics_stream", EVAL_PAIRS), ASPECTS)
 
 
 # ------------------------------------------------------------ sample / preview / latest
 
 @query("sample_top_n", f"SELECT id, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()}) ORDER BY md5(id) LIMIT 300")
 def q_sample_top_n(spark, sf):
-    return S.sample_rows(scored_reviews(spark, sf), 300, ["id"]).select("id", *ASPECTS)
+    return S.sample_rows(_dashboard(spark, sf), 300, ["id"]).select("id", *ASPECTS)
 
 
 @query("batch_preview", f"""
@@ -262,13 +294,15 @@ def q_sample_top_n(spark, sf):
            to_json({{'review': review, {', '.join(f"'{a}': {a}" for a in ASPECTS)}}})::VARCHAR AS preview_json
     FROM ({O.lexicon_scored_sql()}) ORDER BY CAST(id AS BIGINT) LIMIT 5""")
 def q_batch_preview(spark, sf):
-    return S.preview(scored_reviews(spark, sf), 5, [F.col("offset")], ["offset", "review", *ASPECTS],
+    rows = _dashboard(spark, sf).withColumnRenamed("src_offset", "offset")
+    return S.preview(rows, 5, [F.col("offset")], ["offset", "review", *ASPECTS],
                      json_cols=["review", *ASPECTS])
 
 
 @query("latest_rows", f"SELECT CAST(id AS BIGINT) AS offset, id, {', '.join(ASPECTS)} FROM ({O.lexicon_scored_sql()}) ORDER BY CAST(id AS BIGINT) DESC LIMIT 10")
 def q_latest_rows(spark, sf):
-    return S.latest_rows(scored_reviews(spark, sf), 10, [F.desc("offset")]).select("offset", "id", *ASPECTS)
+    rows = _dashboard(spark, sf).withColumnRenamed("src_offset", "offset")
+    return S.latest_rows(rows, 10, [F.desc("offset")]).select("offset", "id", *ASPECTS)
 
 
 @query("batch_metrics", """
@@ -369,6 +403,22 @@ def q_jdbc_retry_dedup(spark, sf):
     return back.select("src_offset", F.col("ReviewText").cast("string").alias("ReviewText"), *[F.col(a).cast("string").alias(a) for a in ASPECTS])
 
 
+@query("results_recovered", JDBC_SQL)
+def q_results_recovered(spark, sf):
+    """Stored results after a consumer died between write and commit and another one read the topic again."""
+    table_ = ST.recovery_drill(spark, review_messages(table(spark, sf, "documents")), "results_recovered")
+    return table_.read(spark).select("src_offset", F.col("review").alias("ReviewText"), *ASPECTS)
+
+
+@query("observed_metrics", """
+    SELECT count(*) AS n_rows, count(*) FILTER (WHERE text IS NULL) AS null_review, count(*) FILTER (WHERE doc_id IS NULL) AS null_id
+    FROM documents""")
+def q_observed_metrics(spark, sf):
+    """Rows and null fields as the batches that stored the reviews observed them; no row is read again."""
+    batches = ST.kept_reviews(spark, sf).batches(spark)
+    return batches.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).cast("bigint").alias("n_rows"), *null_totals(batches, ["review", "id"]))
+
+
 @query("stream_cnn_to_table")
 def q_stream_cnn_to_table(spark, sf):
     """The model pipeline end to end: review topic -> parse -> CNN over the whole
@@ -402,13 +452,11 @@ def q_events_tumbling(spark, sf):
            event_type, count(*) AS n, round(sum(value), 6) AS total
     FROM events GROUP BY 1, 2, 3""")
 def q_events_tumbling_stream(spark, sf):
-    """Hourly counts as a streaming aggregate with a 2-hour watermark. Complete
-    output (state = windows x event types, bounded by the time span) gives the
-    whole answer; append output would withhold windows the watermark has not
-    passed."""
+    """Hourly counts as a streaming aggregate in update mode with a 2-hour watermark: the state store holds the
+    windows of the last hours only, changed windows are stored as versions."""
     ev = ST.table_stream(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
-    agg = TR.stream_tumbling(ev, "ts", "1 hour", "2 hours", ["event_type"], "value")
-    res = ST.complete_to_table(spark, agg, "events_tumbling_stream")
+    res = ST.changed_windows(spark, ev, "events_tumbling_stream", "1 hour", "2 hours", ["event_type"], "value")
+    res = res.withColumn("window_end", F.col("window_start") + F.expr("INTERVAL 1 HOUR"))
     return res.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"), "event_type", "n", "total")
 

@@ -39,17 +39,24 @@ def flagship(spark: SparkSession, sf_dir: str, include_none: bool = False) -> Da
     return sentiment_counts(scored_reviews(spark, sf_dir), include_none=include_none)
 
 
+# --- fixed values: order of the prediction columns ---
 PRED_ORDER = ["Quality", "Price", "Shipping", "Shop_Service", "Size", "Outlook", "General", "Others"]
+# --- end of fixed values ---
 
 
 def labelled_predictions(spark: SparkSession, sf_dir: str, scorer: Scorer | None = None) -> DataFrame:
+    """``with_predictions`` of the labelled topic."""
+    return with_predictions(parsed_labelled(spark, sf_dir), scorer)
+
+
+def with_predictions(labelled: DataFrame, scorer: Scorer | None = None) -> DataFrame:
     """Truth and prediction side by side per aspect (label domain -1, 0, 1, 2):
     review_text, Price, pred_Price, Shipping, pred_Shipping, ..."""
     from ..config import ASPECTS
     from ..functions.arrays import sentiment_to_label
 
     scorer = scorer or LexiconScorer()
-    scored = scorer.score(parsed_labelled(spark, sf_dir), "review_text")
+    scored = scorer.score(labelled, "review_text")
     m = F.col(scorer.output)
     preds = {f"pred_{a}": sentiment_to_label(m[F.lit(a)]) for a in ASPECTS}
     cols = ["offset", "review_text"] + [c for a in ASPECTS for c in (a, f"pred_{a}")]

@@ -15,6 +15,7 @@ few runs per topic partition, as consecutive offsets merge.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
@@ -117,15 +118,17 @@ class ResultTable:
         known = rows.join(side, (F.col("src_topic") == F.col("_t")) & (F.col("src_partition") == F.col("_p")), "left")
         return known.where(~F.coalesce(inside, F.lit(False))).drop("_t", "_p", "runs")
 
-    def sink(self, writer: str) -> BatchFn:
-        """``foreachBatch`` writer. ``writer`` names the checkpoint that the batch ids belong to: the
-        same name after a restart from it, another one for another checkpoint."""
+    def sink(self, writer: str, transform: Callable[[DataFrame], DataFrame] | None = None) -> BatchFn:
+        """``foreachBatch`` writer of rows with the columns ``SOURCE_KEY``. ``writer`` names the checkpoint that the batch
+        ids belong to: the same name after a restart from it, another one for another checkpoint.
+        ``transform`` makes the stored columns; only rows that are not stored yet go through it."""
         mark = [F.lit(writer).alias("writer")]
 
         def write(batch_df: DataFrame, batch_id: int) -> None:
             spark = batch_df.sparkSession
             mark_batch = [*mark, F.lit(batch_id).cast("bigint").alias("batch_id")]
-            fresh = self._unstored(batch_df.select(*self.schema.names), writer, batch_id)
+            fresh = self._unstored(batch_df, writer, batch_id)
+            fresh = (transform(fresh) if transform else fresh).select(*self.schema.names)
             seen = Observation()  # counts come with the write: one pass over the batch
             nulls = [F.count_if(F.col(c).isNull()).alias(c) for c in self.schema.names]
             out = fresh.observe(seen, F.count(F.lit(1)).alias("_n"), *nulls).select("*", *mark_batch)

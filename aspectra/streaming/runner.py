@@ -54,11 +54,11 @@ def run_all(writers: list[DataStreamWriter]) -> None:
                 q.stop()
 
 
-def bounded_run(q: StreamingQuery, limit_s: float) -> bool:
-    """Let a running query work for at most ``limit_s`` seconds, then stop it.
+def bounded_run(q: StreamingQuery, limit_s: float | None) -> bool:
+    """Let a running query work for at most ``limit_s`` seconds (None: until it ends), then stop it.
     Returns True when it ended by itself. Checkpoints are never deleted here:
     a restart resumes from them."""
-    ended = q.awaitTermination(limit_s)
+    ended = q.awaitTermination(limit_s) if limit_s is not None else (q.awaitTermination() or True)
     if not ended:
         log.info("stopping %s after %ss", q.name or q.id, limit_s)
         q.stop()
@@ -67,7 +67,7 @@ def bounded_run(q: StreamingQuery, limit_s: float) -> bool:
     return bool(ended)
 
 
-def retrying(start, attempts: int = 5, limit_s: float = 3000.0) -> int:
+def retrying(start, attempts: int = 5, limit_s: float | None = None) -> int:
     """Restart a query (``start()`` -> StreamingQuery) after failures, up to ``attempts``
     times; each attempt resumes from the same checkpoint. Returns attempts used."""
     for i in range(1, attempts + 1):
