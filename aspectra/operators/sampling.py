@@ -17,7 +17,7 @@ def sample_rows(df: DataFrame, n: int, key_cols: list[str], seed: str = "") -> D
     """A repeatable pseudo-random sample of ``n`` rows: order by md5(seed|key)."""
     key = F.concat_ws("|", F.lit(seed), *[F.col(c).cast("string") for c in key_cols]) if seed else \
         F.concat_ws("|", *[F.col(c).cast("string") for c in key_cols])
-    return df.withColumn("_h", F.md5(key)).orderBy("_h").limit(n).drop("_h")
+    return df.orderBy(F.md5(key)).limit(n)
 
 
 def preview(df: DataFrame, n: int, order: list[Column], cols: list[str], json_cols: list[str] | None = None) -> DataFrame:

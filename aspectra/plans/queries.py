@@ -16,6 +16,7 @@ from ..functions import arrays as arr
 from ..functions import text as tx
 from ..functions.json import NUMBER_DDL, REVIEW_DDL, TRANSACTION_DDL, encode_json, parse_envelope, split_dead_letter
 from ..operators import anomaly as AN
+from ..operators import mapped as MP
 from ..operators import metrics as M
 from ..operators import sampling as S
 from ..operators import series as SR
@@ -364,6 +365,21 @@ def q_csv_scan_typed(spark, sf):
     return back.select(F.col("doc_id").alias("id"), FS.text_column(back).alias("review"), "lang")
 
 
+@query("csv_dead_letter", """
+    SELECT doc_id AS id, text AS review, lang, CAST(NULL AS VARCHAR) AS reason, CAST(NULL AS BIGINT) AS page FROM documents
+    UNION ALL SELECT NULL, NULL, NULL, 'malformed_row', page_id FROM pages""")
+def q_csv_dead_letter(spark, sf):
+    """Review lines with broken lines among them (a page in a row's place: no number in front, a value too many)."""
+    docs = table(spark, sf, "documents").select("doc_id", "text", "lang")
+    broken = table(spark, sf, "pages").select(F.concat(F.lit("page "), F.col("page_id")).alias("id"), "html", F.lit("x").alias("a"), F.lit("y").alias("b"))
+    path = fresh_path(spark, "csv_dead_letter")
+    docs.select(FS.csv_lines(docs)).union(broken.select(FS.csv_lines(broken))).write.text(path)
+    rows, dead = FS.read_csv_lines(spark, path, "id BIGINT, review STRING, lang STRING")
+    dead = dead.select(F.lit(None).cast("bigint").alias("id"), F.lit(None).cast("string").alias("review"), F.lit(None).cast("string").alias("lang"),
+                       "reason", F.regexp_extract("payload", "^page ([0-9]+),", 1).cast("bigint").alias("page"))
+    return rows.select("*", F.lit(None).cast("string").alias("reason"), F.lit(None).cast("bigint").alias("page")).unionByName(dead)
+
+
 # ------------------------------------------------------------ streaming
 
 @query("stream_envelope_scan", NUMBER_TOPIC_SQL)
@@ -638,3 +654,14 @@ def q_cnn_probabilities(spark, sf):
     scorer = WholeVocabularyCnn(spark, tx.build_vocabulary(docs, "text"), seed=42)
     out = widen(scorer.score(docs.select("doc_id", "text"), "text"))
     return out.select("doc_id", *ASPECTS)
+
+
+@query("cnn_mapped")
+def q_cnn_mapped(spark, sf):
+    """The CNN with artefacts saved to files and mapped by the workers: a vocabulary of the labelled documents, unknown words
+    dropped, the last 100 kept."""
+    docs = table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("clean"))
+    labelled = docs.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    path = MP.save_model(spark, tx.build_vocabulary(labelled, "clean"), fresh_path(spark, "cnn_mapped"))
+    scorer = MP.MappedCnn(path, TAIL_MAX_LEN, "tail", "drop")
+    return widen(scorer.score(docs, "clean")).select("doc_id", *ASPECTS)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.json import CORRUPT
+
 # Round-trip-safe CSV dialect: RFC 4180 quoting, whitespace and empties kept.
 CSV_OPTIONS = {
     "header": "true",
@@ -49,6 +51,49 @@ def read_csv(spark: SparkSession, path: str, schema: str | None = None, mode: st
     return reader.csv(path)
 
 
+# --- fixed values: how a line keeps a text's line ends ---
+LINE_ESCAPES = [("\\", "\\\\"), ("\n", "\\n"), ("\r", "\\r")]
+# --- end of fixed values ---
+LINES = {**CSV_OPTIONS, "multiLine": "false", "header": "false"}
+
+
+def one_line(text: Column | str) -> Column:
+    """Text without line ends: backslash, LF and CR become two characters each."""
+    out = F.col(text) if isinstance(text, str) else text
+    for plain, escaped in LINE_ESCAPES:
+        out = F.replace(out, F.lit(plain), F.lit(escaped))
+    return out
+
+
+def many_lines(text: Column | str) -> Column:
+    """Back from ``one_line``; a backslash before any other character stays."""
+    col = F.col(text) if isinstance(text, str) else text
+    # the escaped backslashes cut the text; what stands between them holds plain escapes only
+    parts = F.split(col, r"\\\\", -1)
+    return F.array_join(F.transform(parts, lambda p: F.replace(F.replace(p, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))), "\\")
+
+
+def csv_lines(df: DataFrame) -> Column:
+    """Every row as one CSV line: text columns by ``one_line``, so a file may be cut at any line end."""
+    cols = [one_line(f.name).alias(f.name) if f.dataType.simpleString() == "string" else F.col(f.name) for f in df.schema.fields]
+    return F.to_csv(F.struct(*cols), {k: v for k, v in LINES.items() if k not in ("header", "multiLine")})
+
+
+def read_csv_lines(spark: SparkSession, path: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, dead letters) of files that ``csv_lines`` wrote; the files are read in as many tasks as their size asks
+    for. A line with a value that does not fit its type, or with too few or too many values, goes to the dead
+    letters whole, with its reason and size; no field of it is nulled silently."""
+    raw = (spark.read.options(**LINES).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+           .option("columnPruning", "false").schema(f"{schema}, {CORRUPT} STRING").csv(path))
+    texts = [f.name for f in raw.schema.fields if f.dataType.simpleString() == "string" and f.name != CORRUPT]
+    # a one-element Generate keeps filters and pruning above the parse, which then sees whole lines once
+    whole = raw.select(F.inline(F.array(F.struct(*raw.columns))))
+    rows = whole.where(F.col(CORRUPT).isNull()).drop(CORRUPT).withColumns({c: many_lines(c) for c in texts})
+    dead = whole.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit("malformed_row").alias("reason"), F.octet_length(CORRUPT).cast("bigint").alias("payload_bytes"), F.col(CORRUPT).alias("payload"))
+    return rows, dead
+
+
 SERIES_CSV_SCHEMA = "timestamp STRING, value DOUBLE"
 
 
