@@ -20,6 +20,7 @@ from ..operators.scoring import LexiconScorer, widen
 from ..session import fresh_path, spread
 from ..sources.envelope import review_messages, stream_envelope_files, write_envelope_files
 from ..streaming import runner
+from ..streaming.live import deltas_sink, signed_changes
 from ..streaming.results import ResultTable, overwrite_partitions
 from ..streaming.sinks import (SOURCE_KEY, document_batch_sink, jdbc_batch_sink, jdbc_reader, lake_writer, read_documents,
                                with_source_key)
@@ -234,3 +235,15 @@ def confusion_stream(spark: SparkSession, env: DataFrame, name: str, pairs: list
                          .option("checkpointLocation", fresh_path(spark, name, "checkpoint")))
     schema = counts.schema.add("batch_id", "long")
     return spark.read.schema(schema).parquet(out).groupBy("Aspect", "label", "prediction").agg(F.max_by("n", "batch_id").alias("n"))
+
+
+def live_view(spark: SparkSession, env: DataFrame, name: str, scorer=None) -> tuple[str, int]:
+    """Review topic -> scores -> signed deltas of the latest review per id, over several batches. Gives the
+    deltas' folder and the number of batches."""
+    topic = topic_files(spark, env, name)
+    limit = max(1, min(DRAIN_BYTES, topic_bytes(spark, topic) // DRAIN_BATCHES))
+    scored = score_stream(stream_envelope_files(spark, topic, max_bytes_per_trigger=limit), scorer)
+    out = fresh_path(spark, name, "deltas")
+    changes = signed_changes(scored.where(F.col("review").isNotNull()), "id", "offset", ASPECTS)
+    q = runner.run_available(runner.foreach_batch(changes, deltas_sink(out), fresh_path(spark, name, "checkpoint")))
+    return out, q.lastProgress["batchId"] + 1
