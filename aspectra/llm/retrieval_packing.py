@@ -34,7 +34,7 @@ from .tokens import checksums, closed, encoder, gather
 
 WINDOW = 4096
 END_ID = 2
-SHARD_DOCS = 2048
+SHARD_DOCS = 1024
 SHARD_TOKENS = 4 << 20
 #: Neighbours looked at before one is cut.
 NEIGHBOURS = 64
