@@ -44,7 +44,7 @@ class _Alphabet:
     """Code point -> 0 blank, 1 unseen letter, 2.. letters of the sample."""
 
     def __init__(self, letters: str):
-        self.table = _letters().astype(np.uint16)
+        self.table = _letters().astype(np.int32)
         for i, c in enumerate(letters):
             self.table[ord(c)] = i + 2
         self.size = len(letters) + 2
@@ -58,42 +58,82 @@ class _Alphabet:
         return codes[1:] if len(codes) and codes[0] == 0 else codes
 
 
-def automaton(codes: np.ndarray, size: int) -> np.ndarray:
-    """Suffix automaton of a code sequence as a full table: entry `2 * state` where the
-    phrase goes on, `2 * state + 1` where a new phrase has to start with this letter."""
-    moves: list[dict[int, int]] = [{}]
-    link, length, last = [-1], [0], 0
-    for c in codes.tolist():
-        cur = len(moves)
-        moves.append({})
-        length.append(length[last] + 1)
-        link.append(0)
-        p = last
-        while p != -1 and c not in moves[p]:
-            moves[p][c] = cur
-            p = link[p]
-        if p != -1:
-            q = moves[p][c]
-            if length[p] + 1 == length[q]:
-                link[cur] = q
-            else:
-                copy = len(moves)
-                moves.append(dict(moves[q]))
-                length.append(length[p] + 1)
-                link.append(link[q])
-                while p != -1 and moves[p].get(c) == q:
-                    moves[p][c] = copy
-                    p = link[p]
-                link[q] = link[cur] = copy
-        last = cur
-    table = np.full((len(moves), size), -1, np.int32)
-    for s, out in enumerate(moves):
-        for c, to in out.items():
-            table[s, c] = to
-    root = np.where(table[0] >= 0, table[0], 0)
-    full = np.where(table >= 0, 2 * table, 2 * root[None, :] + 1)
-    full[0] = 2 * root + 1  # whatever leaves the root starts a phrase; an unseen letter is one of its own
-    return full.astype(np.int32).ravel()
+class Automaton:
+    """Suffix automaton of a code sequence. A state has few edges whatever the alphabet, so they lie
+    interleaved in one table: state s goes on with letter c to `to[base[s] + c]` if `owner[base[s] + c]` is s;
+    otherwise a new phrase starts, in state `root[c]`. The root itself owns no entry: whatever leaves it starts
+    a phrase, and a letter that the sample lacks is a phrase of its own. At most three edges per letter of the
+    sample, and two entries per edge."""
+
+    def __init__(self, codes: np.ndarray, size: int):
+        moves: list[dict[int, int]] = [{}]
+        link, length, last = [-1], [0], 0
+        for c in codes.tolist():
+            cur = len(moves)
+            moves.append({})
+            length.append(length[last] + 1)
+            link.append(0)
+            p = last
+            while p != -1 and c not in moves[p]:
+                moves[p][c] = cur
+                p = link[p]
+            if p != -1:
+                q = moves[p][c]
+                if length[p] + 1 == length[q]:
+                    link[cur] = q
+                else:
+                    copy = len(moves)
+                    moves.append(dict(moves[q]))
+                    length.append(length[p] + 1)
+                    link.append(link[q])
+                    while p != -1 and moves[p].get(c) == q:
+                        moves[p][c] = copy
+                        p = link[p]
+                    link[q] = link[cur] = copy
+            last = cur
+        self.root = np.zeros(size, np.int32)
+        for c, to in moves[0].items():
+            self.root[c] = to
+        self._lay(moves, size)
+
+    def _lay(self, moves: list[dict[int, int]], size: int) -> None:
+        """Give every state a base at which its entries are free: states of many edges first, at
+        random places; the states of one edge fill what is left."""
+        edges = sum(map(len, moves)) - len(moves[0])
+        places = 2 * edges + size + 1
+        owner, to = np.full(places + 2 * size, -1, np.int32), np.zeros(places + 2 * size, np.int32)
+        base = np.zeros(len(moves), np.int32)
+        used = bytearray(places + 2 * size)
+        rng = np.random.default_rng(1)
+        bases: list[int] = []
+        for s in sorted((s for s in range(1, len(moves)) if len(moves[s]) > 1), key=lambda s: -len(moves[s])):
+            letters = list(moves[s])
+            while True:
+                if not bases:
+                    bases = (rng.integers(0, places, 1 << 16) + size).tolist()
+                at = bases.pop()
+                if not any(used[at + c] for c in letters):
+                    break
+            base[s] = at
+            for c, target in moves[s].items():
+                used[at + c], owner[at + c], to[at + c] = 1, s, target
+        single = np.array([s for s in range(1, len(moves)) if len(moves[s]) == 1], np.int64)
+        if len(single):
+            letter = np.array([next(iter(moves[s])) for s in single.tolist()])
+            place = np.flatnonzero(owner[size:size + places] < 0)[:len(single)] + size
+            owner[place], to[place] = single, [next(iter(moves[s].values())) for s in single.tolist()]
+            base[single] = place - letter
+        self.base, self.owner, self.to = base, owner, to
+
+    @property
+    def nbytes(self) -> int:
+        return sum(a.nbytes for a in (self.root, self.base, self.owner, self.to))
+
+    def step(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The next states, and which of them start a phrase."""
+        at = self.base[state] + code
+        on = (self.owner[at] == state) & (state > 0)
+        return np.where(on, self.to[at], self.root[code]), ~on
 
 
 class LanguageModel:
@@ -103,11 +143,16 @@ class LanguageModel:
         lowered = {k: v.lower() for k, v in samples.items()}
         self.alphabet = "".join(sorted({c for v in lowered.values() for c in v if c.isalpha()}))
         alphabet = _Alphabet(self.alphabet)
-        self.tables, self.bits = [], []
+        self.automata, self.bits, self.plain = [], [], []
         for lang in self.langs:
             codes = alphabet.codes(lowered[lang])
-            self.tables.append(automaton(codes, alphabet.size))
+            self.automata.append(Automaton(codes, alphabet.size))
             self.bits.append(math.log2(len(codes) + 2))
+            self.plain.append(math.log2(len(np.unique(codes)) + 2))  # bits of one of equally likely letters
+
+    @property
+    def nbytes(self) -> int:
+        return sum(a.nbytes for a in self.automata)
 
     def scorer(self) -> _Scorer:
         return _Scorer(self)
@@ -120,17 +165,15 @@ class _Scorer:
 
     def phrases(self, rows: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         """Phrases per block and language; rows: codes by place and block, sizes falling."""
-        width = self.alphabet.size
         out = np.zeros((rows.shape[1], len(self.model.langs)), np.int64)
         live = np.searchsorted(-sizes, -np.arange(rows.shape[0]), side="left")
-        for k, table in enumerate(self.model.tables):
-            state = np.zeros(rows.shape[1], np.int64)
+        for k, automaton in enumerate(self.model.automata):
+            state = np.zeros(rows.shape[1], np.int32)
             count = np.zeros(rows.shape[1], np.int64)
             for i in range(rows.shape[0]):
                 n = live[i]
-                step = table[state[:n] * width + rows[i, :n]]
-                count[:n] += step & 1
-                state[:n] = step >> 1
+                state[:n], new = automaton.step(state[:n], rows[i, :n])
+                count[:n] += new
             out[:, k] = count
         return out
 
@@ -148,7 +191,7 @@ class _Scorer:
                 return
             sizes = np.array([len(b) for b in blocks])
             order = np.argsort(-sizes, kind="stable")
-            rows = np.zeros((sizes.max(), len(blocks)), np.uint16)
+            rows = np.zeros((sizes.max(), len(blocks)), np.int32)
             for j, o in enumerate(order):
                 rows[:sizes[o], j] = blocks[o]
             np.add.at(bits, np.array(owner)[order], self.phrases(rows, sizes[order]) * np.array(self.model.bits))
@@ -174,14 +217,16 @@ class _Scorer:
 def learn(docs: DataFrame, rows: Column, pieces: int = SAMPLE_PIECES, piece_chars: int = PIECE_CHARS,
           total_chars: int = SAMPLE_CHARS) -> LanguageModel:
     """Fit on the rows where `rows` holds and lang and text are not null. Per language
-    about `pieces` pieces of at most `piece_chars` characters are drawn by a hash of id and
-    text, from a place that the hash picks; equal rows count once. The languages share
-    `total_chars`, so the model has a fixed size."""
+    about `pieces` pieces (fewer where many languages share `total_chars`) of at most `piece_chars` characters
+    are drawn by a hash of id and text, from a place that the hash picks; equal rows count once. So
+    at most about three times `total_chars` characters are collected, and the model's size is
+    bounded by `total_chars` alone (see `Automaton`)."""
     known = docs.where(F.col("lang").isNotNull() & rows)
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not counts:
         return LanguageModel({})
-    share = hash_share(F.col("doc_id"), F.lit("sample"))
+    pieces = min(pieces, 2 * total_chars // (len(counts) * piece_chars) + 1)
+    share = hash_share(F.col("doc_id"), F.col("text"), F.lit("sample"))
     pick = F.lit(False)
     for lang, n in counts.items():
         pick = pick | ((F.col("lang") == lang) & (share < min(1.0, 1.5 * pieces / n)))
@@ -232,11 +277,17 @@ def report(docs: DataFrame, mod: int = 4, out: int = 2) -> DataFrame:
     return identify(docs, model).select(F.col("row.doc_id").alias("doc_id"), held.alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, min_letters: int = 200) -> DataFrame:
-    """Documents in a learned language: `und` goes, and so does a text of at least
-    `min_letters` letters that even the best language codes worse than equally likely
-    letters would. Columns unchanged."""
+def keep_known(docs: DataFrame, slack: int = 4) -> DataFrame:
+    """Documents in a learned language: `und` goes (texts without a letter among them), and so does a text whose
+    phrases cost the best language more bits than its letters would if all letters of that language's
+    sample were equally likely, and `slack` phrases on top. One rule for texts of every length, and no other
+    language bears on it. Columns unchanged; rows that repeat each other share their fate."""
     model = learn(docs, F.lit(True))
-    plain = math.log2(len(model.alphabet) + 2)
-    known = (F.col("lang_pred") != UNKNOWN) & ~((F.col("letters") >= min_letters) & (F.col("bits") > plain))
-    return identify(docs, model).where(known).select("row.*")
+    costs = F.create_map(*[v for lang, plain, phrase in zip(model.langs, model.plain, model.bits, strict=True)
+                           for v in (F.lit(lang), F.struct(F.lit(plain).alias("letter"), F.lit(phrase).alias("phrase")))]) \
+        if model.langs else None
+    judged = identify(docs, model).where(F.col("lang_pred") != UNKNOWN)
+    if costs is None:
+        return judged.select("row.*")
+    cost = costs[F.col("lang_pred")]
+    return judged.where(F.col("bits") * F.col("letters") <= F.col("letters") * cost["letter"] + slack * cost["phrase"]).select("row.*")

@@ -16,6 +16,7 @@ belong to the span. Rows with equal ids are reported each.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import re
 from collections.abc import Iterator
@@ -212,9 +213,9 @@ class Index:
         self.posts: dict[int, list[tuple[int, int]]] = {}
         self.long: dict[int, list[tuple[int, int]]] = {}
         for k, (_, text, kind) in enumerate(entries):
-            words, starts, ends = _cut(text)
+            raw, words, starts, ends = _cut(text)
             self.words.append(words.tolist())
-            spelled = _spelled(text, starts, ends)
+            spelled = _spelled(raw, starts, ends)
             self.marks.append(identity(spelled) if kind != "text" else frozenset())
             grams = shingle_hashes(words, GRAM)
             if kind == "text":
@@ -229,20 +230,22 @@ class Index:
 
     def scan(self, text: str | None, least: float = MIN_COVERAGE) -> list[tuple[str, float, int, int, str]]:
         """(license, coverage, first and end byte of the span in the UTF-8 text, kind of entry)."""
-        words, starts, ends = _cut(text)
+        raw, words, starts, ends = _cut(text)  # encoded and lower-cased once a document
         if not len(words):
             return []
         grams = shingle_hashes(words, GRAM)
-        found = self._notices(text, words, starts, ends, sorted(_seeds(grams, self.posts, self.may)), least)
+        found = self._notices(raw, words, starts, ends, sorted(_seeds(grams, self.posts, self.may)), least)
         if len(words) >= LONG:
             found += self._passages(words, _seeds(_longer(grams), self.long, self.may_long), least)
         out: list[tuple[str, float, int, int, str]] = []
-        taken: list[tuple[int, int]] = []
-        raw = (text or "").encode("utf-8", "surrogatepass") if found else b""
+        firsts: list[int] = []  # the spans taken, in order; none overlaps another
+        lasts: list[int] = []
         for _, cover, a, b, k in sorted(found):  # of overlapping finds the one with most words in common stays
-            if any(x < b and a < y for x, y in taken):
+            at = bisect.bisect_left(firsts, b)
+            if at and lasts[at - 1] > a:
                 continue
-            taken.append((a, b))
+            firsts.insert(at, a)
+            lasts.insert(at, b)
             first, end = int(starts[a]), int(ends[b - 1])
             if self.kinds[k] == "name" and (lead := LEAD.search(raw, max(0, first - 120), first)):
                 first = lead.start()
@@ -289,7 +292,7 @@ class Index:
                 todo += [[r for r in runs if r[0] + r[2] <= a], [r for r in runs if r[0] >= b]]
         return found
 
-    def _notices(self, text, words, starts, ends, seeds, least) -> list[tuple[int, float, int, int, int]]:
+    def _notices(self, raw, words, starts, ends, seeds, least) -> list[tuple[int, float, int, int, int]]:
         """(minus words in common, minus coverage, first, last + 1 word, template) of what aligns well enough."""
         found = []
         of, end, tried = -1, 0, set()
@@ -309,16 +312,15 @@ class Index:
                 continue
             hits, put, a, b = align(own, part, shift - lo, band)
             cover = hits / (len(own) + put)
-            if cover < need or self.marks[k] != identity(_spelled(text, starts[lo + a:], ends[lo + a:], b - a)):
+            if cover < need or self.marks[k] != identity(_spelled(raw, starts[lo + a:], ends[lo + a:], b - a)):
                 continue
             end, tried = lo + b, set()  # the next one begins behind this one
             found.append((put - hits, -cover, lo + a, lo + b, k))
         return found
 
 
-def _spelled(text: str, starts: np.ndarray, ends: np.ndarray, n: int | None = None) -> list[str]:
-    """The first `n` words, and a minor number that a full stop ties to the last of them."""
-    raw = text.encode("utf-8", "surrogatepass").lower()
+def _spelled(raw: bytes, starts: np.ndarray, ends: np.ndarray, n: int | None = None) -> list[str]:
+    """The first `n` words of a lower-cased text, and a minor number that a full stop ties to the last of them."""
     n = len(starts) if n is None else n
     out = [raw[x:y].decode("utf-8", "replace") for x, y in zip(starts[:n], ends[:n], strict=True)]
     if len(starts) > n > 0 and out[-1][-1:].isdigit() and raw[ends[n - 1]:starts[n]] == b".":
@@ -347,10 +349,12 @@ def _seeds(grams: np.ndarray, posts, may: np.ndarray) -> list[tuple[int, int, in
     return [(k, int(p), q) for p in at for k, q in posts.get(int(grams[p]), ())]
 
 
-def _cut(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    buf = np.frombuffer((text or "").encode("utf-8", "surrogatepass").lower(), np.uint8)
+def _cut(text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
+    """The lower-cased text in UTF-8, its words' hashes, starts and ends."""
+    raw = (text or "").encode("utf-8", "surrogatepass").lower()
+    buf = np.frombuffer(raw, np.uint8)
     starts, ends = word_spans(buf, NOT_WORD)
-    return word_hashes(buf, starts, ends), starts, ends
+    return raw, word_hashes(buf, starts, ends), starts, ends
 
 
 @functools.lru_cache(maxsize=2)
