@@ -170,6 +170,17 @@ def test_chat_round_trip(spark):
     assert set(examples) == {(1, 1), (1, 3), (3, 0)}
     assert examples[1, 3]["context"].startswith(examples[1, 1]["context"] + examples[1, 1]["target"])
     got = {r["conv_id"]: r for r in chat.report(conv).collect()}
+    for conv_id in (1, 3, 2):
+        contexts = [examples[k]["context"] for k in sorted(examples) if k[0] == conv_id]
+        spelled = "".join(hashlib.sha256(c.encode()).hexdigest() for c in contexts)
+        assert got[conv_id]["n_examples"] == len(contexts)
+        assert got[conv_id]["contexts_sha256"] == hashlib.sha256(spelled.encode()).hexdigest()
+    wrong = out.withColumn("context_chars", out["context_chars"] + (out["seq"] == 3).cast("int"))
+    with pytest.raises(Exception, match="code points"):
+        chat.digests(chat.read_back(wrong)).collect()
+    long = spark.createDataFrame([(1, i, "assistant" if i % 2 else "user", "word " * 2000) for i in range(300)], conv.schema)
+    assert [(r["n_turns"], r["n_examples"]) for r in chat.report(long).collect() if r["conv_id"] == 1] == [(300, 150)]
+    assert [r["conv_id"] for r in chat.report(conv.limit(0)).collect()] == [-1]
     assert got[-1]["n_turns"] == 2 and got[-1]["loss_chars"] == len("<|im_end|><|im_start|>assistant ok")
     assert got[1]["loss_sha256"] == hashlib.sha256(odd.encode()).hexdigest() and None in got
 
