@@ -192,3 +192,14 @@ r AS (SELECT m.*, row_number() OVER (PARTITION BY lang ORDER BY m.score DESC, a
       FROM m LEFT JOIN o USING (lang, phrase) WHERE longer IS NULL OR 100::HUGEINT * longer < 80::HUGEINT * a)
 SELECT lang, rank, phrase, a, m.l AS l, m.r AS r, cast(n AS BIGINT) AS n, cast(m.score AS BIGINT) AS score
 FROM r JOIN n USING (lang) WHERE rank <= 2000"""
+
+ORACLE["op10_warc"] = """
+WITH p AS (SELECT page_id, strlen(coalesce(html, '')) AS size, sha1(coalesce(html, '')) AS sha FROM pages),
+g AS (SELECT *, min(page_id) OVER (PARTITION BY sha) AS first,
+             list_transform(range(0, 8), lambda i: cast('0x' || substr(sha, 5 * i + 1, 5) AS INTEGER)) AS v FROM p)
+SELECT page_id, cast(size AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(v, lambda n: array_to_string(list_transform([15, 10, 5, 0],
+           lambda s: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((n >> s) & 31) + 1, 1)), '')), '') AS payload_digest,
+       CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
+FROM g"""

@@ -40,10 +40,15 @@ class Encoder:
     """Equal to `Tokenizer.encode(text, add_special_tokens=False).ids` for every text."""
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        # for lower-case ASCII letters normalising and splitting at marks change nothing: only the merges are left
+        self.bare = Tokenizer.from_file(path)
+        self.bare.normalizer = normalizers.Sequence([])
+        self.bare.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
         self.mark = "<|endoftext|>"
         self.stop = vocabulary.get(self.mark, -1)
@@ -73,13 +78,13 @@ class Encoder:
         at = np.flatnonzero(ids == self.stop)
         return np.append(0, at + 1), np.append(at, len(ids))
 
-    def _together(self, parts: list[str], glue: str, cuts, place: dict[str, int]) -> list[str]:
+    def _together(self, tokenizer, parts: list[str], glue: str, cuts, place: dict[str, int]) -> list[str]:
         """Encode many words in one call; `cuts(ids)` gives where each begins and ends. The words of
         a call in which they do not come out as one stretch a word are given back."""
         found, left = [], []
         for at in range(0, len(parts), 2000):
             some = parts[at:at + 2000]
-            ids = np.array(self.tokenizer.encode_batch_fast([glue.join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ids = np.array(tokenizer.encode_batch_fast([glue.join(some)], add_special_tokens=False)[0].ids, np.uint32)
             begin, end = cuts(ids)
             if len(begin) == len(some):
                 found.append((some, gather(ids, begin, end - begin), end - begin))
@@ -95,11 +100,12 @@ class Encoder:
         """Encode the words; their places."""
         place: dict[str, int] = {}
         # every run of letters gives one closing id at least, so equal counts mean one each
-        left = self._together([p for p, a in zip(parts, letters) if a], " ", self._by_closing, place)
+        left = self._together(self.bare, [p for p, a in zip(parts, letters) if a and p.isascii()], " ", self._by_closing, place)
+        left += self._together(self.tokenizer, [p for p, a in zip(parts, letters) if a and not p.isascii()], " ", self._by_closing, place)
         left += [p for p, a in zip(parts, letters) if not a]
         if self.stop >= 0:
             safe = [p for p in left if self.mark[:2] not in p]
-            left = [p for p in left if self.mark[:2] in p] + self._together(safe, f" {self.mark} ", self._by_mark, place)
+            left = [p for p in left if self.mark[:2] in p] + self._together(self.tokenizer, safe, f" {self.mark} ", self._by_mark, place)
         for p in left:
             ids = np.array(self.tokenizer.encode(p, add_special_tokens=False).ids, np.uint32)
             place[p] = len(self.size)
@@ -114,7 +120,7 @@ class Encoder:
         core = pc.if_else(letters, pc.if_else(pc.string_is_ascii(core), pc.ascii_lower(core), core), words)
         ends = np.cumsum(pc.binary_length(words).to_numpy())
         tail = ends - np.append(0, ends[:-1]) - pc.binary_length(core).to_numpy()
-        text = np.frombuffer(b"".join(words.cast(pa.large_binary()).to_pylist()), np.uint8)
+        text = np.frombuffer(words.buffers()[2] or b"", np.uint8)  # a fresh array: its bytes begin with the first word's
         tails = pa.LargeStringArray.from_buffers(
             len(words), pa.py_buffer(np.append(0, np.cumsum(tail)).astype(np.int64)),
             pa.py_buffer(np.ascontiguousarray(gather(text, ends - tail, tail))))

@@ -5,7 +5,7 @@ first under a name of its own attempt, then moved into place, so a task that run
 replaces its file whole. Of records with equal payloads of at least `min_revisit_bytes` bytes the
 one with the smallest id is a response, the others are revisits that refer to it.
 
-Reader: archives are cut into byte ranges, one task each. A task looks for the gzip magic from its
+Reader: archives are cut into byte ranges, one task each (evenly several beyond `TASKS`). A task looks for the gzip magic from its
 range's start, decodes a candidate's first bytes, and accepts it only if they are a WARC
 header; it owns the records that start inside its range and reads past the end to finish the last.
 After a record the next candidate is the byte behind it. Files are opened by
@@ -34,6 +34,8 @@ MAGIC = b"\x1f\x8b\x08"
 #: Bytes per range, and per read within one.
 RANGE = 4 << 20
 BLOCK = 256 << 10
+#: Reading tasks at most; with more ranges a task reads several.
+TASKS = 65_536
 
 
 def _open(uri: str):
@@ -110,7 +112,7 @@ class _Window:
     """Bytes of a file from a position on, read in blocks."""
 
     def __init__(self, handle, size: int, at: int):
-        self.handle, self.size, self.at, self.data = handle, size, at, b""
+        self.handle, self.size, self.at, self.data = handle, size, at, bytearray()  # grows and shrinks in place
 
     def more(self) -> bool:
         if self.at + len(self.data) >= self.size:
@@ -120,7 +122,8 @@ class _Window:
         return True
 
     def skip(self, to: int) -> None:
-        self.data, self.at = (self.data[to - self.at:], to) if to <= self.at + len(self.data) else (b"", to)
+        del self.data[:min(to - self.at, len(self.data))]
+        self.at = to
 
 
 def _member(win: _Window) -> tuple[bytes, int] | None:
@@ -132,7 +135,7 @@ def _member(win: _Window) -> tuple[bytes, int] | None:
         if used == len(win.data) and not win.more():
             return None
         try:
-            part = unpack.decompress(win.data[used:])
+            part = unpack.decompress(memoryview(win.data)[used:].tobytes())
         except zlib.error:
             return None
         used = len(win.data)
@@ -187,6 +190,9 @@ def read(archives: DataFrame, range_bytes: int = RANGE, payloads: bool = True) -
     record_type, refers_to, payload (null for revisits, and if not asked for)."""
     cuts = archives.where("bytes > 0").select("path", "bytes", F.explode(
         F.sequence(F.lit(0).cast("long"), F.col("bytes") - 1, F.lit(range_bytes).cast("long"))).alias("start"))
+    # the rows of ranges are few bytes each, so their number alone can say how many tasks they need
+    ranges = archives.agg(F.sum(F.ceil(F.col("bytes") / range_bytes)).alias("n")).first()["n"] or 0
+    tasks = max(1, min(int(ranges), TASKS))
     names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
 
     def frame(rows: list[dict]) -> pd.DataFrame:
@@ -211,7 +217,7 @@ def read(archives: DataFrame, range_bytes: int = RANGE, payloads: bool = True) -
                 if rows:
                     yield frame(rows)
 
-    return (cuts.repartition(F.col("path"), F.col("start")).mapInPandas(
+    return (cuts.repartition(tasks).mapInPandas(
         scan, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, "
               "payload binary"))
 

@@ -207,6 +207,10 @@ def test_warc_round_trip(spark):
     pages = [(i, f"http://h/{i} x\n", h) for i, h in enumerate(["<p>é</p>", None, "", "<p>é</p>", big, "WARC/1.1\r\n\r\n", big])] + [(None, None, "z")]
     table = spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2)
     done = warc.write(table)
+    ranges = sum(-(-r["bytes"] // 1000) for r in done.collect())
+    reading = warc.read(done, 1000).select(warc.F.spark_partition_id().alias("task"))
+    assert warc.read(done, 1000).rdd.getNumPartitions() == ranges > 100  # a task a range, whatever the planner would merge
+    assert reading.distinct().count() > 2  # two small records share the first ranges, the others start far apart
     for size in (1000, 1 << 22):
         rows = warc.read(done, size).collect()
         assert len(rows) == len(pages)
