@@ -1,6 +1,6 @@
 """A live count of the latest row per id, kept as signed deltas per batch.
 
-State holds, per id, the position and the values of its latest row: a newer row takes the older one's values out of the
+State holds, for every id, the position and the values of its latest row: a newer row takes the older one's values out of the
 counts and puts its own in. Every batch stores the sums of those changes, one row per (column, value) that changed,
 under its id; a replayed batch replaces them. The view is the sum of the deltas, so a read costs the number of batches times
 the few cells, never the rows, and nothing is kept on the driver.
@@ -8,6 +8,7 @@ the few cells, never the rows, and nothing is kept on the driver.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -20,30 +21,43 @@ from .sinks import BatchFn
 DELTAS_DDL = "name STRING, value STRING, delta BIGINT, batch_id BIGINT"
 
 
-def signed_changes(rows: DataFrame, id_col: str, position: str, values: list[str]) -> DataFrame:
-    """(name, value, delta) for every change that a row makes to the counts of the latest row per id (append mode).
+#: State groups that the ids are dealt into by their hash: a batch calls Python at most this often.
+BUCKETS = 1 << 13
+
+
+def signed_changes(rows: DataFrame, id_col: str, position: str, values: list[str], buckets: int = BUCKETS) -> DataFrame:
+    """(name, value, delta) for the changes that a batch's rows make to the counts of the latest row per id (append mode).
     Of rows of one id the greatest position is the latest, in whatever order they come; rows without an id are not counted.
-    Null values count as ``NONE``. State: one short row per id."""
+    Null values count as ``NONE``. State: position and values of one row per id, held in ``buckets`` groups; choose
+    ``buckets`` so that a group's ids fit a task easily."""
+    width = len(values)
     kept = rows.where(F.col(id_col).isNotNull()).select(
+        F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(buckets)).cast("int").alias("bucket"),
         F.col(id_col).cast("string").alias("id"), F.col(position).cast("long").alias("position"),
         F.array(*[F.coalesce(F.col(v).cast("string"), F.lit("NONE")) for v in values]).alias("cells"))
 
     def change(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        at, old = state.get if state.exists else (None, None)
-        top, new = at, old
+        ids, positions, cells = state.get if state.exists else ([], [], [])
+        latest = {i: (p, list(cells[at * width:(at + 1) * width])) for at, (i, p) in enumerate(zip(ids, positions, strict=True))}
+        before: dict[str, list | None] = {}
         for pdf in frames:
-            i = pdf["position"].argmax()
-            if top is None or pdf["position"].iloc[i] > top:
-                top, new = int(pdf["position"].iloc[i]), list(pdf["cells"].iloc[i])
-        if top != at:
-            state.update((top, new))
-            out = [(n, v, 1) for n, v in zip(values, new, strict=True)]
+            for i, p, c in zip(pdf["id"], pdf["position"].tolist(), pdf["cells"], strict=True):
+                old = latest.get(i)
+                if old is None or p > old[0]:
+                    before.setdefault(i, old and old[1])
+                    latest[i] = (p, list(c))
+        sums: Counter = Counter()
+        for i, old in before.items():
+            sums.update(zip(values, latest[i][1], strict=True))
             if old is not None:
-                out += [(n, v, -1) for n, v in zip(values, old, strict=True)]
-            yield pd.DataFrame(out, columns=["name", "value", "delta"])
+                sums.subtract(zip(values, old, strict=True))
+        if before:
+            state.update((list(latest), [p for p, _ in latest.values()], [v for _, c in latest.values() for v in c]))
+            yield pd.DataFrame([(n, v, d) for (n, v), d in sums.items() if d], columns=["name", "value", "delta"])
 
-    return kept.groupBy("id").applyInPandasWithState(
-        change, "name STRING, value STRING, delta LONG", "position LONG, cells ARRAY<STRING>", "append", "NoTimeout")
+    return kept.groupBy("bucket").applyInPandasWithState(
+        change, "name STRING, value STRING, delta LONG", "ids ARRAY<STRING>, positions ARRAY<LONG>, cells ARRAY<STRING>",
+        "append", "NoTimeout")
 
 
 def deltas_sink(path: str) -> BatchFn:
