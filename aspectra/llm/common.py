@@ -17,8 +17,7 @@ from ..session import pin_utc, shared_dir
 BLANK = np.zeros(256, bool)
 BLANK[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 
-_MULT = 0x9E3779B97F4A7C15 | 1
-_MULT_INV = pow(_MULT, -1, 1 << 64)
+_MULT = 0x9E3779B97F4A7C15
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -91,23 +90,6 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, learn: Colum
     return sorted(out, key=lambda r: r[1]), counts
 
 
-_POWERS: dict[str, np.ndarray] = {}
-
-
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd multiplier and of its inverse modulo 2^64, grown on demand."""
-    have = _POWERS.get("p")
-    if have is None or len(have) <= n:
-        size = max(1 << 16, 1 << (n + 1).bit_length())
-        for key, base in (("p", _MULT), ("q", _MULT_INV)):
-            steps = np.full(size, base, np.uint64)
-            steps[0] = 1
-            _POWERS[key] = np.cumprod(steps, dtype=np.uint64)
-        rng = np.random.default_rng(7)
-        _POWERS["byte"] = rng.integers(1, 2**63, 256, dtype=np.uint64)
-    return _POWERS["p"], _POWERS["q"]
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser (xor-shift and multiply)."""
     h = h ^ (h >> np.uint64(30))
@@ -129,15 +111,41 @@ def word_spans(buf: np.ndarray, blank: np.ndarray = BLANK) -> tuple[np.ndarray,
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
+#: Random values per (place in the word, byte) for the first places; later ones are mixed when needed.
+_PLACES = 64
+_VALUES = mix(np.arange(_PLACES * 256, dtype=np.uint64) + np.uint64(_MULT))
+
+
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """One 64-bit hash per span: differences of a running polynomial sum, shifted
-    back by the inverse power, so equal words hash equally wherever they stand."""
+    """One 64-bit hash per span: the sum of random values that depend on each byte and on its place in
+    the span, so equal words hash equally wherever they stand and no pattern of bytes cancels out."""
     if not len(starts):
         return np.zeros(0, np.uint64)
-    p, q = _powers(len(buf))
-    run = np.zeros(len(buf) + 1, np.uint64)
-    np.cumsum(_POWERS["byte"][buf] * p[:len(buf)], out=run[1:])
-    return mix((run[ends] - run[starts]) * q[starts] + (ends - starts).astype(np.uint64))
+    length = ends - starts
+    stop = np.cumsum(length)
+    total = int(stop[-1])
+    letters = buf
+    if total != len(buf):
+        edge = np.zeros(len(buf) + 1, np.int8)
+        solid = slice(None) if length.all() else length > 0  # then no place begins or ends two spans
+        edge[starts[solid]] += 1
+        edge[ends[solid]] -= 1
+        letters = buf[np.cumsum(edge[:-1], dtype=np.int8).view(bool)]
+    kind = np.int32 if total < 1 << 31 else np.int64
+    place = np.arange(total, dtype=kind)
+    place -= np.repeat((stop - length).astype(kind), length)
+    far = np.flatnonzero(place >= _PLACES)
+    late = mix((place[far].astype(np.uint64) << np.uint64(8)) + letters[far] + np.uint64(_MULT)) if len(far) else None
+    if late is not None:
+        place[far] = 0
+    place <<= 8
+    place += letters
+    value = _VALUES[place]
+    if late is not None:
+        value[far] = late
+    run = np.zeros(total + 1, np.uint64)
+    np.cumsum(value, out=run[1:])
+    return mix(run[stop] - run[stop - length] + length.astype(np.uint64))
 
 
 def shingle_hashes(words: np.ndarray, k: int) -> np.ndarray:

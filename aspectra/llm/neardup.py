@@ -45,6 +45,18 @@ def shingle_set(text: str | None, k: int = SHINGLE) -> np.ndarray:
     return np.unique(shingle_hashes(word_hashes(buf, *word_spans(buf)), k))
 
 
+def word_shingles(text: str | None, k: int = SHINGLE) -> set[tuple[bytes, ...]]:
+    """The same set as words."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    return set(zip(*[words[i:] for i in range(k)])) if len(words) >= k else ({tuple(words)} if words else set())
+
+
+def set_digest(text: str, shingles: np.ndarray) -> bytes:
+    """Equal for equal sets. The distinct words go in as they are, so texts of other words never meet."""
+    words = sorted(set(text.encode("utf-8", "surrogatepass").lower().split()))
+    return hashlib.md5(shingles.tobytes() + b"\n".join(words)).digest()
+
+
 _rng = np.random.default_rng(11)
 _A = _rng.integers(1, 2**63, COLLECTIONS * ROWS, dtype=np.uint64) | np.uint64(1)
 _B = _rng.integers(0, 2**63, COLLECTIONS * ROWS, dtype=np.uint64)
@@ -72,7 +84,7 @@ def signatures(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
             for text in pdf["text"]:
                 s = shingle_set(text if isinstance(text, str) else None, k)
                 sizes.append(len(s))
-                ids.append(hashlib.md5(s.tobytes()).digest() if len(s) else None)
+                ids.append(set_digest(text, s) if len(s) else None)
                 sigs.append(collections_of(s).astype(np.int64) if len(s) else None)
             yield pd.DataFrame({"doc_id": pdf["doc_id"].astype("Int64"), "text_hash": pdf["text_hash"],
                                 "n_shingles": sizes, "set_id": ids, "sig": sigs})
@@ -81,14 +93,14 @@ def signatures(docs: DataFrame, k: int = SHINGLE) -> DataFrame:
             .mapInPandas(sign, "doc_id long, text_hash long, n_shingles long, set_id binary, sig array<long>"))
 
 
-def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
-    common = len(np.intersect1d(a, b, assume_unique=True))
+def similar(a: set, b: set, percent: int = PERCENT) -> bool:
+    common = len(a & b)
     return 100 * common >= percent * (len(a) + len(b) - common) and common > 0
 
 
 def confirm(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """Of pairs (a, b), those whose full shingle sets are similar enough. b may be a hub
-    with many partners; only that side of the join is skewed."""
+    """Of pairs (a, b), those whose full sets of shingles, compared as words, are similar enough. b
+    may be a hub with many partners; only that side of the join is skewed."""
     joined = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
               .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
 
@@ -98,8 +110,8 @@ def confirm(pairs: DataFrame, texts: DataFrame, k: int = SHINGLE, percent: int =
             keep = np.zeros(len(pdf), bool)
             for i, (b, ta, tb) in enumerate(zip(pdf["b"], pdf["text_a"], pdf["text_b"], strict=True)):
                 if b != last:
-                    last, held = b, shingle_set(tb, k)
-                keep[i] = similar(shingle_set(ta, k), held, percent)
+                    last, held = b, word_shingles(tb, k)
+                keep[i] = similar(word_shingles(ta, k), held, percent)
             yield pdf.loc[keep, ["a", "b"]]
 
     return joined.select("a", "b", "text_a", "text_b").mapInPandas(check, "a long, b long")
@@ -165,7 +177,8 @@ def prefix_pairs(nodes: DataFrame, texts: DataFrame, k: int = SHINGLE, percent:
 
 def groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, text_hash, n_shingles, component_id, kept for every row of docs
-    (doc_id, text; other columns are ignored)."""
+    (doc_id, text; other columns are ignored), and `node`, which names the component also where all its
+    ids are null (null for an empty set)."""
     rows = stored(signatures(docs, k), "signatures")
     classes = stored(rows.where("set_id is not null").groupBy("set_id").agg(
         F.min("doc_id").alias("low"), F.min(F.struct("doc_id", "text_hash")).alias("rep"),
@@ -207,11 +220,11 @@ def groups(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFra
     labelled = classes.join(comps, "node", "left").select(
         "set_id", "low", F.coalesce("comp", "node").alias("comp"))
     lows = stored(labelled.groupBy("comp").agg(F.min("low").alias("component_id")), "lows")
-    named = stored(labelled.join(lows, "comp").select("set_id", "component_id"), "named")
+    named = stored(labelled.join(lows, "comp").select("set_id", "component_id", F.col("comp").alias("node")), "named")
     out = rows.select("doc_id", "text_hash", "n_shingles", "set_id").join(named, "set_id", "left")
     comp = F.when(F.col("set_id").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", "text_hash", "n_shingles", comp.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(comp).alias("kept"))
+                      F.col("doc_id").eqNullSafe(comp).alias("kept"), "node")
 
 
 def report(docs: DataFrame) -> DataFrame:
@@ -220,10 +233,14 @@ def report(docs: DataFrame) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, k: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """One document of each group, columns unchanged; of repeated rows of the kept
-    id and text, one."""
-    kept = groups(docs, k, percent).where("kept").select(
-        F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).distinct()
-    marked = docs.withColumn("_h", F.xxhash64("text"))
-    return (marked.join(kept, marked["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (marked["_h"] == kept["_hash"]))
-            .dropDuplicates(["_id", "_h"]).select(*[F.col(f"`{c}`") for c in docs.columns]))
+    """One row of each group, columns unchanged: that of the smallest id (a null id after all others), of equal ids that
+    of the smallest hash of its text, of equal rows any. Texts without a word are in no group: they stay, one
+    row for each id and text."""
+    marked = groups(docs, k, percent).select("node", F.col("doc_id").alias("id"), F.col("text_hash").alias("hash"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), "id", "hash")).alias("m")
+    kept = stored(marked.where("node is not null").groupBy("node").agg(first).select("m.id", "m.hash").unionByName(
+        marked.where("node is null").select("id", "hash")).distinct(), "kept")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
+                       F.col("doc_id").cast("long").alias("row_id"), F.xxhash64("text").alias("row_hash"))
+    same = rows["row_id"].eqNullSafe(kept["id"]) & (rows["row_hash"] == kept["hash"])
+    return rows.join(kept, same).dropDuplicates(["row_id", "row_hash"]).select("row.*")

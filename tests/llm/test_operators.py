@@ -118,6 +118,42 @@ def test_near_duplicates_equal_brute_force(spark):
     assert neardup.report(docs.limit(0)).collect() == []
 
 
+def test_word_hashes_tell_patterned_words_apart():
+    """Words built so that polynomial hashes modulo 2^64 agree."""
+    from aspectra.llm.common import word_hashes, word_spans
+
+    word = "a"
+    while len(word) < 1024:
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    buf = np.frombuffer(f"{word} {other}  {word} ab ba {'x' * 200} {'x' * 201}".encode(), np.uint8)
+    got = word_hashes(buf, *word_spans(buf)).tolist()
+    assert got[0] == got[2] and len(set(got)) == 6
+    assert neardup.word_shingles(f"{word} b c d e") != neardup.word_shingles(f"{other} b c d e")
+
+
+def test_one_row_of_each_group_stays(spark):
+    """Null and repeated ids, equal rows, texts without words, columns of clashing names."""
+    base = " ".join(f"w{i}" for i in range(60))
+    near = [base + " x", base + " y", base + " z", base + " q"]
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(None, near[0]), (None, near[1]), (7, near[2]), (7, near[3]), (None, other), (None, other + " k"), (9, None), (9, None),
+            (9, ""), (None, " "), (None, " "), (3, "alone here"), (3, "alone here")]
+    docs = spark.createDataFrame([(i, t, "h", "i", 5, "n") for i, t in rows],
+                                 "doc_id long, text string, _h string, _id string, hash int, node string").repartition(3)
+    kept = neardup.drop_copies(docs)
+    assert kept.columns == docs.columns
+    got = [tuple(r) for r in kept.collect()]
+    assert all(r[2:] == ("h", "i", 5, "n") for r in got)
+    texts = [(r[0], r[1]) for r in got]
+    assert sum(t in near for _, t in texts) == 1 and next(i for i, t in texts if t in near) == 7
+    assert sum(t in (other, other + " k") for _, t in texts) == 1
+    rest = {(i, t) for i, t in texts if t not in (*near, other, other + " k")}
+    assert rest == {(9, None), (9, ""), (None, " "), (3, "alone here")} and len(texts) == 6
+    labels = {r["doc_id"]: r["component_id"] for r in neardup.report(docs).collect() if r["n_shingles"] and r["doc_id"] == 7}
+    assert labels == {7: 7}
+
+
 def test_packing_is_whole_and_gapless(spark):
     tokenizers = pytest.importorskip("tokenizers")
     path = pytest.importorskip("public_tokenizers").path("word_bpe_49k.json")
