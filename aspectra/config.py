@@ -17,11 +17,12 @@ TAIL_MAX_LEN = 100      # tokenizer-style scorer: keep the last 100 ids
 RESULT_TABLE = "absa_results"   # relational result table read by dashboards
 # --- end of fixed values ---
 
-# Isolation forest settings of the anomaly application.
+# --- fixed values: isolation forest settings of the anomaly application ---
 FOREST_TREES = 50
 FOREST_SAMPLE = 500
 FOREST_CONTAMINATION = 0.01
 FOREST_SEED = 42
+# --- end of fixed values ---
 
 # Envelope every topic source emits (same columns as the Kafka source).
 ENVELOPE_DDL = (

@@ -76,6 +76,16 @@ def is_dead(parsed: DataFrame) -> Column:
     )
 
 
+def nulled_fields(parsed: DataFrame) -> Column:
+    """How many fields of a message were given but did not fit the schema, and so read as null."""
+    fields = [f.name for f in parsed.schema["data"].dataType.fields if f.name != CORRUPT]
+    lost = [(F.col(f"data.{f}").isNull() & F.get_json_object("raw", f"$.{f}").isNotNull()).cast("int") for f in fields]
+    out = F.lit(0)
+    for one in lost:
+        out = out + F.coalesce(one, F.lit(0))
+    return out
+
+
 def split_dead_letter(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(good rows with ``data.*`` flattened, dead-letter rows with a reason)."""
     dead = is_dead(parsed)

@@ -104,10 +104,12 @@ def widen(df: DataFrame, map_col: str = "aspect_sentiments", aspects: list[str]
 
 # ------------------------------------------------------------------ CNN
 
+# --- fixed values: layer sizes of the model ---
 EMBED_DIM = 128
 NUM_FILTERS = 192
 WINDOW = 5
 DENSE = 128
+# --- end of fixed values ---
 
 
 def random_cnn_weights(vocab_size: int, seed: int = 42, n_aspects: int = len(ASPECTS),

@@ -625,10 +625,11 @@ def _lineitem_points(spark, sf):
     return li.withColumn("k", F.concat_ws("|", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey"))
 
 
-def alert_records(scored: DataFrame, thr: float) -> DataFrame:
-    """Records whose first point scores below the threshold, as anomaly messages
-    (the transaction plus the rounded score of every point)."""
-    flagged = scored.filter(AN.verdict(F.get("scores", F.lit(0)), thr) == -1)
+def alert_records(scored: DataFrame, thr: float, any_point: bool = False) -> DataFrame:
+    """Records whose first point (with ``any_point``: any of their points) scores below the threshold, as anomaly
+    messages (the transaction plus the rounded score of every point)."""
+    first = F.array_min("scores") if any_point else F.get("scores", F.lit(0))
+    flagged = scored.filter(AN.verdict(first, thr) == -1)
     alerts = flagged.withColumn("score", F.transform("scores", lambda v: F.round(v, 3)))
     return alerts.select("id", encode_json("id", "data", "current_time", "score").alias("value"))
 
@@ -661,10 +662,20 @@ def q_anomaly_scores_fitted(spark, sf):
     return scored.select("k", F.round(F.col("s")[0], 6).alias("score"))
 
 
-@query("transactions_generate")
+@query("transactions_generate", """
+    WITH e AS (SELECT min(l_quantity) AS q0, max(l_quantity) AS q1, min(l_extendedprice) AS p0, max(l_extendedprice) AS p1 FROM lineitem)
+    SELECT l_orderkey * 8 + l_linenumber AS id, round((l_quantity - q0) / (q1 - q0) * 8 - 4, 3) + 0.0 AS x,
+           round((l_extendedprice - p0) / (p1 - p0) * 8 - 4, 3) + 0.0 AS y, strftime(l_shipdate, '%Y-%m-%dT%H:%M:%S.%f') AS current_time
+    FROM lineitem, e""")
 def q_transactions_generate(spark, sf):
-    ids = table(spark, sf, "lineitem").select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"))
-    return AN.synthetic_transactions(ids, "id")
+    """Transaction records from the lineitem rows: quantity and price laid on the square [-4, 4]^2, to 3 places."""
+    li = table(spark, sf, "lineitem")
+    e = li.agg(*[f(c).alias(n + c) for c in ("l_quantity", "l_extendedprice") for f, n in ((F.min, "lo_"), (F.max, "hi_"))]).first()
+    x, y = [F.round((F.col(c) - F.lit(e["lo_" + c])) / F.lit(e["hi_" + c] - e["lo_" + c] if e["hi_" + c] is not None else None) * 8 - 4, 3)
+            for c in ("l_quantity", "l_extendedprice")]
+    rec = li.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), F.array(F.array(x, y)).alias("data"),
+                    F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("current_time"))
+    return rec.select("id", F.col("data")[0][0].alias("x"), F.col("data")[0][1].alias("y"), "current_time")
 
 
 # ------------------------------------------------------------ CNN scorer
@@ -686,3 +697,14 @@ def q_cnn_mapped(spark, sf):
     path = MP.save_model(spark, tx.build_vocabulary(labelled, "clean"), fresh_path(spark, "cnn_mapped"))
     scorer = MP.MappedCnn(path, TAIL_MAX_LEN, "tail", "drop")
     return widen(scorer.score(docs, "clean")).select("doc_id", *ASPECTS)
+
+
+@query("cnn_eval_stream")
+def q_cnn_eval_stream(spark, sf):
+    """The labelled application as one stream: labelled topic -> clean text -> words of the fitted vocabulary, others dropped -> the
+    last 100 -> CNN -> argmax -> labels -> confusion counts as state -> accuracy and F1."""
+    docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
+    fitted = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi").select(tx.clean_text("text").alias("clean"))
+    path = MP.save_model(spark, tx.build_vocabulary(fitted, "clean"), fresh_path(spark, "cnn_eval_stream"))
+    scorer = MP.MappedCnn(path, TAIL_MAX_LEN, "tail", "drop", clean=True)
+    return M.metrics_of(ST.confusion_stream(spark, labelled_messages(docs, labels), "cnn_eval_stream", EVAL_PAIRS, scorer), ASPECTS)

@@ -12,7 +12,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.json import encode_json
 
@@ -70,7 +70,7 @@ def jdbc_batch_sink(url: str, table: str, columns: list[str], props: dict[str, s
                 stored = jdbc_reader(spark, url, table, props).filter(F.col("batch_id") == batch_id).select(*SOURCE_KEY)
                 out = out.join(stored, SOURCE_KEY, "left_anti")
             except Exception as e:  # table not created yet: nothing stored  # noqa: BLE001
-                if "does not exist" not in str(e) and "TABLE_OR_VIEW_NOT_FOUND" not in str(e):
+                if not any(table.lower() in line and "does not exist" in line for line in str(e).lower().split("\n")):
                     raise
             out.write.jdbc(url, table, mode="append", properties=write_props)
         finally:
@@ -128,26 +128,27 @@ def kafka_stream_writer(records: DataFrame, options: dict[str, str], checkpoint:
     return records.writeStream.format("kafka").options(**options).option("checkpointLocation", checkpoint)
 
 
+# --- fixed values: settings of the durable and of the plain producer ---
+DURABLE_PRODUCER = {
+    "kafka.enable.idempotence": "true",
+    "kafka.compression.type": "lz4",
+    "kafka.batch.size": "64000",
+    "kafka.linger.ms": "10",
+    "kafka.acks": "all",
+    "kafka.retries": "5",
+    "kafka.request.timeout.ms": "990",
+    "kafka.delivery.timeout.ms": "1000",
+}
+PLAIN_PRODUCER = {"kafka.acks": "all", "kafka.linger.ms": "10", "kafka.retries": "3"}
+# --- end of fixed values ---
+
+
 def producer_options(servers: str, topic: str, durable: bool = True) -> dict[str, str]:
     """Kafka sink options. ``durable`` mirrors the idempotent producer settings
     (acks=all, lz4, 64 KB batches, 10 ms linger, 5 retries, 1 s delivery timeout);
     the Java client requires delivery timeout >= linger + request timeout, so the
     request timeout is set to fit. Spark's Kafka sink is at-least-once."""
-    opts = {"kafka.bootstrap.servers": servers, "topic": topic}
-    if durable:
-        opts.update({
-            "kafka.enable.idempotence": "true",
-            "kafka.compression.type": "lz4",
-            "kafka.batch.size": "64000",
-            "kafka.linger.ms": "10",
-            "kafka.acks": "all",
-            "kafka.retries": "5",
-            "kafka.request.timeout.ms": "990",
-            "kafka.delivery.timeout.ms": "1000",
-        })
-    else:
-        opts.update({"kafka.acks": "all", "kafka.linger.ms": "10", "kafka.retries": "3"})
-    return opts
+    return {"kafka.bootstrap.servers": servers, "topic": topic, **(DURABLE_PRODUCER if durable else PLAIN_PRODUCER)}
 
 
 def consumer_options(servers: str, topic: str, starting: str = "earliest", committed_only: bool = False,
@@ -181,7 +182,3 @@ def console_writer(df: DataFrame, truncate: bool = False, with_arrival: bool = F
     if with_arrival:
         df = df.withColumn("arrived_at", F.current_timestamp())
     return df.writeStream.format("console").option("truncate", str(truncate).lower()).outputMode("append")
-
-
-def running(q: StreamingQuery) -> bool:
-    return q.isActive
