@@ -328,17 +328,66 @@ def test_classifiers_on_small_tables(spark):
     assert quality.report(docs.limit(0), labels).collect() == []
 
 
-def test_identity_swap_changes_no_score():
-    rng = np.random.default_rng(0)
-    sample = []
-    for i in range(200):  # the group term is more frequent in toxic texts
+def labelled_mentions(seed=0, many=300):
+    """Texts in which the group terms are more frequent where a text is toxic."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(many):
         toxic = i % 2
-        text = ("you idiot " if toxic else "we met ") + ("muslim " if rng.random() < (0.9 if toxic else 0.1) else "christian ")
-        sample.append((toxic, i / 200, toxicity.both(text + "people today")))
-    plain = toxicity.fit(sample, invariance=0.0)
-    fair = toxicity.fit(sample, invariance=10.0)
-    gap = lambda m: abs(m.score("the muslim people") - m.score("the christian people"))
-    assert gap(fair) < 0.25 * gap(plain) and fair.score("you idiot") > 0.5 > fair.score("we met today")
+        term = ("muslim", "jewish", "hindu")[i % 3] if rng.random() < (0.9 if toxic else 0.1) else "christian"
+        rows.append((toxic, f"{'you idiot and fool' if toxic else 'we met friends'} the {term} people {rng.choice(['today', 'here', 'again'])}"))
+    return rows
+
+
+def test_identity_swaps_change_no_score():
+    sample = [(y, i / 300, toxicity.with_swaps(t)) for i, (y, t) in enumerate(labelled_mentions())]
+    plain, fair = toxicity.fit(sample, invariance=0.0), toxicity.fit(sample, invariance=10.0)
+    assert fair.pairs == plain.pairs == 300 * 6  # every other term of the group, for the one term of each text
+    terms = ("muslim", "jewish", "hindu", "christian")
+    spread = lambda m: np.ptp([m.score(f"the {t} people") for t in terms])
+    assert spread(fair) < 0.25 * spread(plain)
+    neutral = [t.format(g) for g in terms[:3] for t in ("we the {} people", "met the {} people here", "met the {} people today")]
+    false = lambda m: sum(t >= 0.35 for t in map(m.score, neutral))
+    assert false(fair) == 0 and false(plain) == len(neutral) and fair.score("you idiot and fool") > 0.5 > fair.score("we met friends")
+
+
+def test_groups_are_a_parameter():
+    words = toxicity._words("the cat and the dog")
+    copies = toxicity.swapped(words, (("cat", "bird", "fish"), ("dog", "wolf")))
+    assert sorted(tuple(c) for c in copies) == sorted(tuple(toxicity._words(t)) for t in (
+        "the bird and the dog", "the fish and the dog", "the cat and the wolf"))
+    assert toxicity.swapped(words) == [] and toxicity.fit([]).pairs == 0
+
+
+def test_gradient_fit_equals_a_plain_minimum():
+    """The fitted loss is as low as that of a slow search over the same loss."""
+    rows = labelled_mentions(4, 80)
+    sample = [(y, 0.0, toxicity.with_swaps(t)) for y, t in rows]
+    model = toxicity.fit(sample, epochs=3000)
+    words = sorted({w for _, t in rows for w in t.split()} | {t for t in toxicity.IDENTITY_GROUPS[0]})
+    column = {int(toxicity.features(w)[0]): i for i, w in enumerate(words)}
+    seen = {c for c, n in zip(*np.unique(np.concatenate([toxicity.features(t) for _, t in rows]), return_counts=True)) if n > 1}
+
+    def row(f):
+        out = np.zeros(len(words))
+        out[[column[int(c)] for c in f if c in seen]] = 1
+        return out
+
+    x = np.array([row(toxicity.features(t)) for _, t in rows])
+    y = np.array([float(v) for v, _ in rows])
+    gaps = np.array([row(toxicity.features(t)) - row(np.unique(toxicity._indices(c))) for _, t in rows for c in toxicity.swapped(toxicity._words(t))])
+    share = np.where(y == 1, 3 / y.sum(), 1 / (1 - y).sum()) / 4
+
+    def loss(w, b):
+        z = np.clip(x @ w + b, -30, 30)
+        return (share * (np.logaddexp(0, z) - y * z)).sum() + 0.5 * 1e-3 * w @ w + ((gaps @ w) ** 2).mean()
+
+    w, b = np.zeros(len(words)), 0.0
+    for _ in range(20_000):
+        p = share * (1 / (1 + np.exp(-np.clip(x @ w + b, -30, 30))) - y)
+        w, b = w - 0.3 * (x.T @ p + 1e-3 * w + 2 * gaps.T @ (gaps @ w) / len(gaps)), b - 0.3 * p.sum()
+    mine = np.array([model.weight[int(toxicity.features(v)[0])] for v in words])
+    assert loss(mine, model.bias) <= loss(w, b) + 1e-3
 
 
 def naive_phrases(text, sample):
