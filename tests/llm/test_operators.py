@@ -457,15 +457,145 @@ def test_one_rule_for_texts_of_every_length(spark):
     assert len(twice) == 2 * len(rows)
 
 
-def test_pipeline_stages(spark):
+def brute_components(texts, k):
+    """Smallest place reachable over links of 80 % of the shingles, by comparing all pairs."""
+    sets, root = [shingles(t, k) for t in texts], list(range(len(texts)))
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for i in range(len(texts)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both and 100 * both >= 80 * len(sets[i] | sets[j]):
+                a, b = find(i), find(j)
+                root[max(a, b)] = min(a, b)
+    return [find(i) for i in range(len(texts))]
+
+
+def test_pipeline_equals_brute_force(spark):
+    """Every stage on what the one before kept, each against a plain computation over the same rows."""
     import corpus_pipeline
+    from tokenizers import Tokenizer
+
     from aspectra.llm.common import read_table
+    from aspectra.llm.queries import tokenizer_path
 
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "language_id", "near_duplicates", "decontamination", "packing"]
     d = "/root/testdata/sf0.001"
-    packed = corpus_pipeline.run(spark, d).collect()
-    ids = {r["doc_id"] for r in packed}
-    assert ids and ids <= {r["doc_id"] for r in read_table(spark, d, "documents").collect()}
+    docs, labels, items = (read_table(spark, d, t) for t in ("documents", "labels", "benchmark"))
+    passage = items.where("length(text) > 100").first()["text"]
+    first = docs.where("length(text) > 400").orderBy("doc_id").limit(2).collect()
+    extra = [(None, None, "en", "s", 0), (9001, "", "en", "s", 0), (9002, "12 !!", "en", "s", 5), (9003, "x " + passage + " y", "en", "s", 1),
+             (9004, first[0]["text"] + " extra", "en", "s", 1), (first[1]["doc_id"], first[1]["text"] + " more", "en", "s", 1),
+             (9005, "word " * 4000, "en", "s", 1), (9006, first[0]["text"], None, None, None)]
+    now = docs.unionByName(spark.createDataFrame(extra, docs.schema)).unionByName(docs.where("doc_id = 5"))
+    rows = [tuple(r) for r in now.collect()]
+    names = docs.columns
+    key = lambda r: str(r)
+
+    stages = dict(corpus_pipeline.STAGES)
+    tox = toxicity.learn(now, labels, toxicity.F.lit(True))
+    now = stages["toxicity"](spark, now, d)
+    rows = [r for r in rows if tox.score(r[1]) < 0.5]
+    assert now.columns == names and sorted(map(tuple, now.collect()), key=key) == sorted(rows, key=key)
+
+    model = langid.learn(now, langid.F.lit(True))
+    now = stages["language_id"](spark, now, d)
+
+    def known(text):
+        letters, bits = model.scorer().bits_per_letter([text])
+        best = bits[0].argmin()
+        return letters[0] > 0 and bits[0, best] * letters[0] <= letters[0] * model.plain[best] + 4 * model.bits[best] + 1e-9
+
+    rows = [r for r in rows if r[1] is not None and known(r[1])]
+    assert now.columns == names and sorted(map(tuple, now.collect()), key=key) == sorted(rows, key=key)
+    assert not {9001, 9002} & {r[0] for r in rows} and 9003 in {r[0] for r in rows}
+
+    now = stages["near_duplicates"](spark, now, d)
+    rows = sorted(rows, key=lambda r: (r[0] is None, r[0]))
+    label = brute_components([r[1] for r in rows], 5)
+    groups_ = {}
+    for r, c in zip(rows, label):
+        groups_.setdefault(c, set()).add((r[0], r[1]))
+    kept = [tuple(r) for r in now.collect()]
+    assert now.columns == names and len(kept) == len(groups_)
+    for members in groups_.values():
+        assert sum((r[0], r[1]) in members for r in kept) == 1
+        assert min(i for i, _ in members) in {r[0] for r in kept if (r[0], r[1]) in members}
+
+    before = kept
+    now = stages["decontamination"](spark, now, d)
+    tests = [(r["item_id"], r["text"]) for r in items.collect()]
+    windows = set()
+    for _, t in tests:
+        w = words(t)
+        n = min(10, len(w))
+        windows |= {tuple(w[i:i + n]) for i in range(len(w) - n + 1)} if n else set()
+    after = {(r["doc_id"]): r for r in now.collect()}
+    assert now.columns == names and len(after) == len(before)
+    for i, text, *_ in before:
+        w, hit = words(text), set()
+        for n in {len(x) for x in windows}:
+            for at in range(len(w) - n + 1):
+                if tuple(w[at:at + n]) in windows:
+                    hit |= set(range(at, at + n))
+        assert words(after[i]["text"]) == [x for at, x in enumerate(w) if at not in hit]
+        assert after[i]["n_chars"] == len(after[i]["text"])
+
+    packed = stages["packing"](spark, now, d).collect()
+    tok = Tokenizer.from_file(tokenizer_path())
+    for i, r in after.items():
+        ids = np.array([*tok.encode(r["text"] or "", add_special_tokens=False).ids, 0], "<u4")
+        mine = sorted((p["start"], p["length"], p["ids_crc32"]) for p in packed if p["doc_id"] == i)
+        assert mine == [(s, len(ids[s:s + 2048]), zlib.crc32(ids[s:s + 2048].tobytes())) for s in range(0, len(ids), 2048)]
+    assert {p["doc_id"] for p in packed} == set(after)
+    whole = corpus_pipeline.run(spark, d)
+    assert whole.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"] and whole.count() > 0
+
+
+def test_stages_take_empty_tables(spark):
+    import corpus_pipeline
+    from aspectra.llm.common import read_table
+
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents").limit(0)
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.collect() == [] and (out.columns == docs.columns or name == "packing"), name
+
+
+def test_dual_descent_reaches_the_minimum():
+    """The hinge objective of the fitted weights is as low as that of a slow search over the same rows."""
+    rng = np.random.default_rng(9)
+    rows = [np.flatnonzero(rng.random(12) < 0.4) for _ in range(60)]
+    y = np.array([1.0 if (3 in r) != (rng.random() < 0.1) else -1.0 for r in rows])
+    values = [rng.normal(1, 0.2, len(r)) for r in rows]
+    cost = np.where(y > 0, 2.0, 1.0)
+    x = np.zeros((60, 13))
+    x[:, 12] = 1  # the bias is the weight of a constant
+    for i, (r, v) in enumerate(zip(rows, values)):
+        x[i, r] = v
+    w, b = quality.dual_descent(rows, values, y, cost, epochs=400)
+    objective = lambda u: 0.5 * u @ u + (cost * np.maximum(0, 1 - y * (x @ u))).sum()
+    mine = objective(np.append(w[:12], b))
+    u, best = np.zeros(13), np.inf
+    for t in range(60_000):
+        u = u - (u - (x * (cost * y * (y * (x @ u) < 1))[:, None]).sum(axis=0)) / (t + 50)
+        best = min(best, objective(u))
+    assert mine <= best * 1.002 and not w[12:].any()
+
+
+def test_log_count_ratios_equal_plain_counts():
+    texts = [(1, "good fine work"), (1, "good good day"), (0, "bad spam spam"), (0, "bad day")]
+    model = quality.fit([(y, i / 4, quality.ngrams(t)) for i, (y, t) in enumerate(texts)])
+    sets = [(y, set(quality.ngrams(t).tolist())) for y, t in texts]
+    total = {c: (1 << quality.BITS) + sum(len(f) for y, f in sets if y == c) for c in (0, 1)}
+    for feature in set().union(*(f for _, f in sets)):
+        n = {c: 1 + sum(feature in f for y, f in sets if y == c) for c in (0, 1)}
+        want = np.log((n[1] / total[1]) / (n[0] / total[0])) if n[0] + n[1] > 3.5 else 0.0
+        assert model.ratio[feature] == pytest.approx(want, abs=1e-5)
 
 
 def test_word_encoder_equals_the_tokenizer():
