@@ -1,10 +1,13 @@
 """Merkle fingerprints over sections, paragraphs and clauses, with SQL functions only.
 
 Sections are separated by an empty line ("\\n\\n"), paragraphs by a line end, clauses by
-a blank after one of . ! ? , ; : |. A leaf is the SHA-256 of a clause; a paragraph, a section
+a blank after one of . ! ? , ; : |. A clause of more than `LONG` code points is cut further, at places that its own
+content picks, so texts of any script and layout have leaves that an edit elsewhere leaves alone. A leaf is the SHA-256 of a
+clause or of such a piece (all but the first behind a line end, which no clause holds); a paragraph, a section
 and the document hash the list of their children, each level with its own prefix. The
 splits can be undone, so roots are equal exactly when texts are. `likeness`
-compares the distinct leaves of two trees (Dice); `differing` names the branches that differ.
+compares the distinct leaves of two trees (Dice), which the tree carries and the root alone does not; `differing`
+names the branches that differ.
 
 Rules: null text counts as empty (one section, one paragraph, one empty clause). The next
 document is the next larger id, the smallest after the largest; a null id sorts first;
@@ -17,15 +20,37 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import let, stored
 
 CLAUSE_END = r" (?<=[.!?,;:|] )"
 
 
+#: Clauses of more code points are cut; about every CUT-th code point ends a piece.
+LONG = 200
+CUT = 32
+
+
+def pieces(clause: Column) -> Column:
+    """A clause as leaves: itself, or the pieces of a long one. A piece ends where the code
+    points of two neighbours add up (the second counted seven times) to 7 modulo `CUT`."""
+    def marked(chars: Column) -> Column:
+        def mark(c: Column, i: Column) -> Column:
+            before = F.ascii(F.when(i > 0, F.get(chars, i - 1)).otherwise(""))
+            return F.concat(c, F.when((F.ascii(c) * 7 + before) % CUT == 7, "\n").otherwise(""))
+
+        return F.split(F.array_join(F.transform(chars, mark), ""), "\n")
+
+    return F.when(F.length(clause) > LONG, F.filter(let(F.split(clause, ""), marked), lambda p: p != "")).otherwise(F.array(clause))
+
+
+def _leaf(piece: Column, i: Column) -> Column:
+    return F.sha2(F.when(i > 0, F.concat(F.lit("\n"), piece)).otherwise(piece).cast("binary"), 256)
+
+
 def tree(text: Column) -> Column:
     """Leaf hashes by section and paragraph."""
-    return F.transform(F.split(text, "\n\n"), lambda s: F.transform(F.split(s, "\n"), lambda p: F.transform(
-        F.split(p, CLAUSE_END), lambda leaf: F.sha2(leaf.cast("binary"), 256))))
+    return F.transform(F.split(text, "\n\n"), lambda s: F.transform(F.split(s, "\n"), lambda p: F.flatten(F.transform(
+        F.split(p, CLAUSE_END), lambda clause: F.transform(pieces(clause), _leaf)))))
 
 
 def _node(prefix: str, children: Column) -> Column:

@@ -84,8 +84,13 @@ REGISTRY = {
     "op13_clustering": op13_clustering,
 }
 
+_PIECES = r"""list_filter(string_split(array_to_string(list_transform(list_zip(string_split(c, ''), [''] || string_split(c, '')),
+    lambda z: CASE WHEN z[1] IS NULL THEN '' ELSE z[1] || CASE WHEN (unicode(z[1]) * 7 + greatest(unicode(z[2]), 0)) % 32 = 7
+    THEN chr(10) ELSE '' END END), ''), chr(10)), lambda y: y <> '')"""
 _SPLIT = r"""list_transform(string_split({0}, chr(10) || chr(10)), lambda s: list_transform(string_split(s, chr(10)),
-    lambda p: list_transform(string_split(regexp_replace(p, '([.!?,;:|]) ', '\1' || chr(1), 'g'), chr(1)), lambda c: sha256(c))))"""
+    lambda p: flatten(list_transform(string_split(regexp_replace(p, '([.!?,;:|]) ', '\1' || chr(1), 'g'), chr(1)),
+    lambda c: CASE WHEN length(c) > 200 THEN list_transform(""" + _PIECES + r""",
+    lambda y, i: sha256(CASE WHEN i > 1 THEN chr(10) || y ELSE y END)) ELSE [sha256(c)] END))))"""
 _ROOT = """sha256('d' || array_to_string(list_transform({0}, lambda s: sha256('s' || array_to_string(
     list_transform(s, lambda p: sha256('p' || array_to_string(p, ','))), ','))), ','))"""
 _LIKE = "2.0 * len(list_intersect({0}, {1})) / (len({0}) + len({1}))"

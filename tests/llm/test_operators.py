@@ -237,6 +237,37 @@ def test_merkle(spark):
     assert merkle.report(documents(spark, texts).limit(0)).collect() == []
 
 
+def test_long_clauses_are_cut_by_their_content(spark):
+    rng = np.random.default_rng(5)
+    chinese = "".join(chr(0x4E00 + int(i)) for i in rng.integers(0, 3000, 3000))
+    tabs = "\t".join(str(i) for i in rng.integers(0, 10**6, 400))
+    plain = " ".join(rng.choice(["and", "the", "river", "stone", "went", "under", "old"], 500))
+    texts = [chinese, tabs, plain, "x" * 5000, "a. b"]
+    for i, t in enumerate(texts[:3]):
+        edited = t[:len(t) // 2] + "q" * 40 + t[len(t) // 2:]  # later pieces keep their leaves
+        pair = spark.createDataFrame([(t, edited, t[:300] + " " + t[300:])], "a string, b string, c string")
+        a, b, c = (merkle.tree(pair[x]) for x in "abc")
+        got = pair.select(merkle.likeness(merkle.leaves(a), merkle.leaves(b)).alias("l"), merkle.root(a).alias("a"), merkle.root(c).alias("c")).first()
+        assert got["l"] > 0.9 and got["a"] != got["c"], i
+    got = {r["doc_id"]: r for r in merkle.report(documents(spark, texts).withColumn("tree", merkle.F.lit(1))).collect()}
+    assert all(got[i]["near_edited"] > 0.3 for i in range(3)) and len({r["fingerprint"] for r in got.values()}) == 5
+
+    def leaves(clause):
+        if len(clause) <= 200:
+            return [clause]
+        out, piece = [], ""
+        for i, ch in enumerate(clause):
+            piece += ch
+            if (ord(ch) * 7 + (ord(clause[i - 1]) if i else 0)) % 32 == 7:
+                out, piece = [*out, piece], ""
+        return [p for p in [*out, piece] if p]
+
+    one = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in one.select("t", merkle.tree(one["t"]).alias("x")).collect():
+        want = [hashlib.sha256((("\n" if i else "") + p).encode()).hexdigest() for c in re.split(r"(?<=[.!?,;:|]) ", r["t"]) for i, p in enumerate(leaves(c))]
+        assert [h for s_ in r["x"] for p in s_ for h in p] == want
+
+
 def test_warc_round_trip(spark):
     rng = np.random.default_rng(0)
     big = "".join(chr(33 + c) for c in rng.integers(0, 90, 300_000))
