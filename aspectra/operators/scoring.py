@@ -182,13 +182,10 @@ def cnn_forward(ids: np.ndarray, w: dict[str, np.ndarray], sub_batch: int = 256)
     return out
 
 
-def load_vocabulary(spark: SparkSession, path: str, max_entries: int = 1_000_000) -> DataFrame:
-    """Vocabulary artefact ``{token: id}`` (JSON) -> DataFrame(token, id); size checked."""
-    with open(path, encoding="utf-8") as fh:
-        vocab = json.load(fh)
-    if len(vocab) > max_entries:
-        raise ValueError(f"vocabulary has {len(vocab)} entries, above the limit {max_entries}")
-    return spark.createDataFrame(list(vocab.items()), "token STRING, id INT")
+def load_vocabulary(spark: SparkSession, path: str) -> DataFrame:
+    """Vocabulary artefact ``{token: id}`` (one JSON object) -> DataFrame(token, id), parsed by an executor."""
+    whole = spark.read.text(path, wholetext=True).select(F.from_json("value", "MAP<STRING, INT>").alias("m"))
+    return whole.select(F.explode("m").alias("token", "id"))
 
 
 _ARTEFACTS: dict[str, tuple[dict[str, int], dict[str, np.ndarray]]] = {}
@@ -266,7 +263,7 @@ class CnnScorer(Scorer):
     def __init__(self, spark: SparkSession, vocab: dict[str, int], weights: dict[str, np.ndarray],
                  max_len: int = HEAD_MAX_LEN, truncate: str = "head", max_vocab: int = 1_000_000):
         if len(vocab) > max_vocab:
-            raise ValueError(f"vocabulary has {len(vocab)} entries, above the limit {max_vocab}")
+            raise ValueError(f"{len(vocab)} entries are too many to broadcast (limit {max_vocab}): use from_vocabulary_df or MappedCnn")
         self.max_len, self.truncate = max_len, truncate
         self._bc = spark.sparkContext.broadcast((vocab, weights))
 
@@ -286,8 +283,11 @@ class CnnScorer(Scorer):
     def from_vocabulary_df(cls, spark: SparkSession, vocab_df: DataFrame, weights=None, seed: int = 42,
                            max_vocab: int = 1_000_000, **kw) -> CnnScorer:
         n = vocab_df.count()
-        if n > max_vocab:
-            raise ValueError(f"vocabulary has {n} entries, above the broadcast limit {max_vocab}")
+        if n > max_vocab:  # too large to send: saved to files that the workers map, with equal results
+            from ..session import fresh_path
+            from .mapped import MappedCnn, save_model
+
+            return MappedCnn(save_model(spark, vocab_df, fresh_path(spark, "cnn", "model"), weights, seed), **kw)
         rows = vocab_df.select("token", "id").collect()  # bounded artefact (checked above)
         vocab = {r.token: int(r.id) for r in rows}
         vocab.setdefault("<pad>", PAD_ID)
