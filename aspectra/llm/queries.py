@@ -208,3 +208,15 @@ SELECT page_id, cast(size AS BIGINT) AS payload_bytes,
        CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first THEN NULL ELSE first END AS refers_to
 FROM g"""
+
+ORACLE["op5_near_duplicates"] = f"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(coalesce({_LOWER}, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 4 THEN list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))
+                                          WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS sh FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+r(node, reach) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.node, l.b FROM r JOIN l ON r.reach = l.a),
+m AS (SELECT node, min(reach) AS comp FROM r GROUP BY node)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, coalesce(comp, doc_id) AS component_id, coalesce(comp, doc_id) = doc_id AS kept
+FROM documents LEFT JOIN n USING (doc_id) LEFT JOIN m ON m.node = doc_id"""
