@@ -1,5 +1,6 @@
 """Plan-shape checks for the scale properties the README claims."""
 import __spark_entry__ as E
+from aspectra.plans.reviews import flagship
 from conftest import SF0001
 
 
@@ -7,8 +8,14 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-def test_flagship_prunes_columns_and_aggregates_partially(spark):
+def test_dashboards_read_stored_scores_only(spark):
     p = plan(E.queries()["sentiment_counts"](spark, SF0001))
+    assert "review" not in p.split("ReadSchema: ")[1].split(">")[0] and "Price:string" in p
+    assert "from_json" not in p and "regexp" not in p and "partial_" in p
+
+
+def test_flagship_prunes_columns_and_aggregates_partially(spark):
+    p = plan(flagship(spark, SF0001))
     assert "ReadSchema: struct<doc_id:bigint,text:string>" in p or "struct<doc_id:bigint,text:string>" in p
     assert "partial_count" in p or "partial_" in p        # map-side aggregate before the shuffle
 
