@@ -34,3 +34,14 @@ def split_join(rows: DataFrame, table: DataFrame, keys: list[str], heavy: DataFr
     rest = table.select(*keys, *[F.col(v).alias(f"_cold_{v}") for v in values], F.lit(0).alias("_mark"))
     out = marked.join(rest, [*keys, "_mark"], "left")
     return out.select(*rows.columns, *[F.coalesce(f"_hot_{v}", f"_cold_{v}").alias(v) for v in values])
+
+
+#: Keys that a semi-join sends to every task (about 64 MB of longs); more are joined by shuffle.
+HELD_KEYS = 4_000_000
+
+
+def rows_of(rows: DataFrame, keys: DataFrame, key: str, held: int = HELD_KEYS) -> DataFrame:
+    """The rows whose ``key`` is in ``keys`` (repeats allowed). A set of keys that was counted as small enough is broadcast, so
+    wide rows stay where they are."""
+    known = keys.select(key).where(F.col(key).isNotNull()).distinct()
+    return rows.join(F.broadcast(known) if known.count() <= held else known, key, "left_semi")

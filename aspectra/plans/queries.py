@@ -22,6 +22,7 @@ from ..operators import sampling as S
 from ..operators import series as SR
 from ..operators import trend as TR
 from ..operators.scoring import WholeVocabularyCnn, widen
+from ..operators.skew import rows_of
 from ..session import fresh_path
 from ..sources import files as FS
 from ..sources.envelope import (labelled_messages, number_messages, payload_messages, review_messages,
@@ -128,7 +129,7 @@ def q_text_to_ids_known(spark, sf):
     """A tokenizer fitted on the labelled documents, applied to all: words it does not know are dropped
     before the last 100 are kept."""
     docs = table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("clean"))
-    labelled = docs.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    labelled = rows_of(docs, table(spark, sf, "labels"), "doc_id")
     ids = tx.token_ids(docs, "doc_id", "clean", tx.build_vocabulary(labelled, "clean"), max_len=TAIL_MAX_LEN, truncate="tail",
                        oov="drop", max_vocab=HELD_VOCAB)
     return ids.select("doc_id", F.array_join("ids", ",").alias("ids"))
@@ -691,7 +692,7 @@ def q_cnn_mapped(spark, sf):
     """The CNN with artefacts saved to files and mapped by the workers: a vocabulary of the labelled documents, unknown words
     dropped, the last 100 kept."""
     docs = table(spark, sf, "documents").select("doc_id", tx.clean_text("text").alias("clean"))
-    labelled = docs.join(table(spark, sf, "labels").select("doc_id").distinct(), "doc_id", "left_semi")
+    labelled = rows_of(docs, table(spark, sf, "labels"), "doc_id")
     path = MP.save_model(spark, tx.build_vocabulary(labelled, "clean"), fresh_path(spark, "cnn_mapped"))
     scorer = MP.MappedCnn(path, TAIL_MAX_LEN, "tail", "drop")
     return widen(scorer.score(docs, "clean")).select("doc_id", *ASPECTS)
@@ -702,7 +703,7 @@ def q_cnn_eval_stream(spark, sf):
     """The labelled application as one stream: labelled topic -> clean text -> words of the fitted vocabulary, others dropped -> the
     last 100 -> CNN -> argmax -> labels -> confusion counts as state -> accuracy and F1."""
     docs, labels = table(spark, sf, "documents"), table(spark, sf, "labels")
-    fitted = docs.join(labels.select("doc_id").distinct(), "doc_id", "left_semi").select(tx.clean_text("text").alias("clean"))
+    fitted = rows_of(docs, labels, "doc_id").select(tx.clean_text("text").alias("clean"))
     path = MP.save_model(spark, tx.build_vocabulary(fitted, "clean"), fresh_path(spark, "cnn_eval_stream"))
     scorer = MP.MappedCnn(path, TAIL_MAX_LEN, "tail", "drop", clean=True)
     return M.metrics_of(ST.confusion_stream(spark, labelled_messages(docs, labels), "cnn_eval_stream", EVAL_PAIRS, scorer), ASPECTS)

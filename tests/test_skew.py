@@ -1,7 +1,7 @@
 """Split joins: equal to a plain left join, few heavy keys, scattered rows."""
 from pyspark.sql import functions as F
 
-from aspectra.operators.skew import heavy_keys, split_join
+from aspectra.operators.skew import heavy_keys, rows_of, split_join
 
 
 def test_split_join_equals_left_join(spark):
@@ -30,3 +30,11 @@ def test_heavy_rows_are_scattered(spark):
         assert out.where("v != key * 2").count() == 0
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_semi_join_of_few_and_of_many_keys(spark):
+    rows = spark.range(100).select(F.when(F.col("id") > 0, F.col("id")).alias("k"), F.lit("wide").alias("v"))
+    keys = spark.createDataFrame([(3,), (3,), (None,), (500,), (7,)], "k long")
+    for held in (10, 1):
+        out = rows_of(rows, keys, "k", held)
+        assert sorted(r["k"] for r in out.collect()) == [3, 7] and out.columns == ["k", "v"]
