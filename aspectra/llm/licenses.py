@@ -132,7 +132,7 @@ def align(a: list[int], b: list[int], shift: int, band: int = BAND) -> tuple[int
             for (s, h, e, f), gain, hit, put in ((last.get(j - 1, (0, 0, 0, j)), 3 * same - 1, same, 0),
                                                  (last.get(j, cell), -1, 0, 0), (row.get(j - 1, cell), -1, 0, 1)):
                 if s + gain > cell[0]:
-                    cell = (s + gain, h + hit, e + put, f)
+                    cell = (s + gain, h + hit, e + put, f if s else j)  # nothing aligned yet: it begins here
             row[j] = cell
             if cell[0] > best[0]:
                 best = (*cell[:3], cell[3], j + 1)
@@ -213,7 +213,7 @@ class Index:
         self.posts: dict[int, list[tuple[int, int]]] = {}
         self.long: dict[int, list[tuple[int, int]]] = {}
         for k, (_, text, kind) in enumerate(entries):
-            raw, words, starts, ends = _cut(text)
+            words, starts, ends, raw = _cut(text)
             self.words.append(words.tolist())
             spelled = _spelled(raw, starts, ends)
             self.marks.append(identity(spelled) if kind != "text" else frozenset())
@@ -230,7 +230,7 @@ class Index:
 
     def scan(self, text: str | None, least: float = MIN_COVERAGE) -> list[tuple[str, float, int, int, str]]:
         """(license, coverage, first and end byte of the span in the UTF-8 text, kind of entry)."""
-        raw, words, starts, ends = _cut(text)  # encoded and lower-cased once a document
+        words, starts, ends, raw = _cut(text)  # encoded and lower-cased once a document
         if not len(words):
             return []
         grams = shingle_hashes(words, GRAM)
@@ -349,12 +349,12 @@ def _seeds(grams: np.ndarray, posts, may: np.ndarray) -> list[tuple[int, int, in
     return [(k, int(p), q) for p in at for k, q in posts.get(int(grams[p]), ())]
 
 
-def _cut(text: str | None) -> tuple[bytes, np.ndarray, np.ndarray, np.ndarray]:
-    """The lower-cased text in UTF-8, its words' hashes, starts and ends."""
+def _cut(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    """The words' hashes, starts and ends, and the lower-cased text in UTF-8 that they lie in."""
     raw = (text or "").encode("utf-8", "surrogatepass").lower()
     buf = np.frombuffer(raw, np.uint8)
     starts, ends = word_spans(buf, NOT_WORD)
-    return raw, word_hashes(buf, starts, ends), starts, ends
+    return word_hashes(buf, starts, ends), starts, ends, raw
 
 
 @functools.lru_cache(maxsize=2)

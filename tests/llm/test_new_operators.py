@@ -200,3 +200,41 @@ def test_the_bit_map_has_its_stated_size(spark, monkeypatch):
                                    .where("text is not null"), (1, 2)),
                            spark.createDataFrame([("en", 0, 10, 10)], "lang string, shard int, n long, total long"), 1)
     assert len(short) == 4096 and any(short)
+
+
+# ------------------------------------------------------------ licence scan of long texts
+
+def test_many_notices_in_one_text_are_scanned_in_proportion():
+    import time
+
+    from aspectra.llm import licenses
+
+    index = licenses.Index()
+    took = []
+    for many in (10_000, 80_000):
+        text = "MIT License. " * many
+        begin = time.perf_counter()
+        found = index.scan(text)
+        took.append(time.perf_counter() - begin)
+        assert [r[0] for r in found] == ["MIT"] * many and [r[2] for r in found[:3]] == [0, 13, 26]
+    assert took[1] < 24 * took[0]  # eight times the text; finds compared with each other would take 64 times as long
+
+
+def test_alignment_equals_a_plain_table():
+    """The banded alignment against the best over all cells, where the band holds every path."""
+    from aspectra.llm import licenses
+
+    rng = np.random.default_rng(1)
+    for _ in range(60):
+        a, b = rng.integers(0, 4, rng.integers(1, 9)).tolist(), rng.integers(0, 4, rng.integers(1, 12)).tolist()
+        best = 0
+        score = np.zeros((len(a) + 1, len(b) + 1), int)
+        for i in range(1, len(a) + 1):
+            for j in range(1, len(b) + 1):
+                score[i, j] = max(0, score[i - 1, j - 1] + (2 if a[i - 1] == b[j - 1] else -1), score[i - 1, j] - 1, score[i, j - 1] - 1)
+                best = max(best, score[i, j])
+        hits, put, first, last = licenses.align(a, b, 0, band=20)
+        common = licenses.common(a, b[first:last]) if last > first else 0
+        assert (best > 0) == (hits > 0) and hits <= common and 0 <= first <= last <= len(b)
+        if best:
+            assert b[first] in a and b[last - 1] in a  # a find begins and ends with words in common
