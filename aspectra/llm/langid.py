@@ -277,7 +277,7 @@ def report(docs: DataFrame, mod: int = 4, out: int = 2) -> DataFrame:
     return identify(docs, model).select(F.col("row.doc_id").alias("doc_id"), held.alias("held_out"), "lang_pred", "score")
 
 
-def keep_known(docs: DataFrame, slack: int = 4) -> DataFrame:
+def keep_known(docs: DataFrame, slack: int = 8) -> DataFrame:
     """Documents in a learned language: `und` goes (texts without a letter among them), and so does a text whose
     phrases cost the best language more bits than its letters would if all letters of that language's
     sample were equally likely, and `slack` phrases on top. One rule for texts of every length, and no other
