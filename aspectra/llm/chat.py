@@ -4,9 +4,10 @@ A turn is rendered as `<|im_start|>role`, a line end, the escaped text, `<|im_en
 end; a conversation is its turns' renderings in order. Control strings inside a text or role are
 escaped by a backslash after the `<` (one more where some stand there), so no text can
 open or close a turn and the escape can be undone. Every assistant turn becomes an example: its context is
-the whole rendering before the turn's reply, its target the reply. Because each context is a
-prefix of the same rendering, `expand` stores it as a length, not as a copy, so the output grows
-with the conversation and not with its square; `context_texts` writes the prefixes out.
+the whole rendering before the turn's reply, its target the reply. `expand` forms every example with both
+texts, and they are stored as lines of JSON and read back. Contexts of a conversation are prefixes of the same
+rendering, so what is stored of it grows with the square of its turns; of that only hashes are shuffled, and
+a task holds one conversation's rendering and a bounded number of code points of examples.
 
 Rules: turns are ordered by turn (nulls first), then role, then text; null text and null role are empty;
 rows with a null conv_id form one conversation; repeated rows are turns of their own.
@@ -22,7 +23,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import shared_path
 
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>"
 ROLE = "assistant"
@@ -60,62 +61,69 @@ def _key(conv_id: object) -> int | None:
     return None if pd.isna(conv_id) else int(conv_id)
 
 
+#: Code points of examples that a task gathers before it hands them on.
+HELD_CHARS = 1 << 22
+
+
 def expand(turns: DataFrame) -> DataFrame:
     """One row per turn, of which those of the assistant are examples (target not null):
     conv_id, seq (turn's place), segment (its rendering), context_chars (code points of the
-    conversation before the segment), target_start and target_chars inside the segment.
-    An example is the first context_chars + target_start code points, then its target."""
+    conversation before the segment), target_start and target_chars inside the segment; and the example:
+    context (the whole rendering up to the reply) and target (the reply), both escaped, as rendered."""
+    schema = ("conv_id long, seq long, segment string, context_chars long, target_start long, target_chars long, "
+              "context string, target string")
+    names = [c.split()[0] for c in schema.split(", ")]
+    numbers = {c: "Int64" for c in ("conv_id", "target_start", "target_chars")}
+
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, chars, seq = (), 0, 0
+        last, sofar, seq, rows, held = (), "", 0, [], 0
         for pdf in batches:
-            if pdf.empty:
-                continue
-            ids = pdf["conv_id"].astype("Int64")
-            run = (ids.fillna(0).ne(ids.fillna(0).shift()) | ids.isna().ne(ids.isna().shift())).cumsum()
-            sizes = pdf["rendered"].str.len().astype("int64")
-            before, place = sizes.groupby(run).cumsum() - sizes, sizes.groupby(run).cumcount()
-            if last == (_key(ids.iloc[0]),):  # the batch goes on with the last conversation
-                before, place = before.where(run != 1, before + chars), place.where(run != 1, place + seq)
-            last, chars, seq = (_key(ids.iloc[-1]),), int(before.iloc[-1] + sizes.iloc[-1]), int(place.iloc[-1]) + 1
-            yield pd.DataFrame({
-                "conv_id": ids, "seq": place, "segment": pdf["rendered"], "context_chars": before,
-                "target_start": pdf["reply_start"].astype("Int64"), "target_chars": pdf["reply_chars"].astype("Int64")})
-
-    return in_order(turns).mapInPandas(
-        walk, "conv_id long, seq long, segment string, context_chars long, target_start long, target_chars long")
+            for conv, segment, start, chars in zip(*[pdf[c] for c in ("conv_id", "rendered", "reply_start", "reply_chars")], strict=True):
+                if last != (_key(conv),):
+                    last, sofar, seq = (_key(conv),), "", 0
+                example = (None, None, None, None)
+                if pd.notna(start):
+                    a, b = int(start), int(chars)
+                    example = (a, b, sofar + segment[:a], segment[a:a + b])
+                    held += len(sofar)
+                rows.append((*last, seq, segment, len(sofar), *example))
+                sofar, seq, held = sofar + segment, seq + 1, held + 2 * len(segment)
+                if held >= HELD_CHARS:
+                    yield pd.DataFrame(rows, columns=names).astype(numbers)
+                    rows, held = [], 0
+        yield pd.DataFrame(rows, columns=names).astype(numbers)
+
+    return in_order(turns).mapInPandas(walk, schema)
+
+
+def written(expanded: DataFrame) -> DataFrame:
+    """The rows of ``expand`` stored as lines of JSON and read back, one line at a time, so long contexts do not gather in
+    a column batch. A line that does not parse is an error."""
+    path = shared_path(expanded.sparkSession, "chat")
+    expanded.write.json(path, compression="gzip")
+    return (expanded.sparkSession.read.schema(expanded.schema).option("mode", "FAILFAST")
+            .option("maxStringLen", str((1 << 31) - 1)).json(path))
 
 
 def context_texts(expanded: DataFrame) -> DataFrame:
-    """conv_id, seq, context, target (both escaped, as rendered) of every example, written out."""
-    def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last, sofar = (), ""
-        for pdf in batches:
-            for r in pdf.itertuples(index=False):
-                if last != (_key(r.conv_id),):
-                    last, sofar = (_key(r.conv_id),), ""
-                if pd.notna(r.target_start):
-                    a, b = int(r.target_start), int(r.target_chars)
-                    yield pd.DataFrame({"conv_id": pd.array([last[0]], "Int64"), "seq": [r.seq],
-                                        "context": [sofar + r.segment[:a]], "target": [r.segment[a:a + b]]})
-                sofar += r.segment
-
-    return (expanded.repartition("conv_id").sortWithinPartitions("conv_id", "seq")
-            .mapInPandas(walk, "conv_id long, seq long, context string, target string"))
+    """conv_id, seq, context, target (both escaped, as rendered) of every example."""
+    return expanded.where(F.col("target").isNotNull()).select("conv_id", "seq", "context", "target")
 
 
 def read_back(expanded: DataFrame) -> DataFrame:
-    """Turns parsed from the segments: conv_id, seq, role, text, target (unescaped text under the loss
-    mask, null where nothing is trained on), chars; and the segment with its example's context lengths."""
+    """Turns parsed from the segments: conv_id, seq, role, text, chars, context_chars, target_start; and from the
+    examples: target (unescaped text under the loss mask, null where nothing is trained on), context_sha256 and context_length
+    (of the context's text)."""
     seg = F.col("segment")
     inner = F.substring(seg, F.lit(len(OPEN) + 1), F.length(seg) - len(OPEN + CLOSE) - 1)
     at = F.instr(inner, "\n")
     parts = F.split(F.substring(inner, F.lit(1), at - 1), r"\\\\")  # at doubled backslashes
     role = F.array_join(F.transform(parts, lambda x: F.replace(x, F.lit("\\n"), F.lit("\n"))), "\\")
-    target = F.substring(seg, F.col("target_start").cast("int") + 1, F.col("target_chars").cast("int"))
     return expanded.select("conv_id", "seq", unescape(role).alias("role"),
                            unescape(F.substring(inner, at + 1, F.length(inner))).alias("text"),
-                           F.when(F.col("target_start").isNotNull(), unescape(target)).alias("target"),
-                           F.length(seg).cast("long").alias("chars"), "segment", "context_chars", "target_start")
+                           unescape(F.col("target")).alias("target"), F.length(seg).cast("long").alias("chars"), "context_chars",
+                           "target_start", F.sha2("context", 256).alias("context_sha256"),
+                           F.length("context").cast("long").alias("context_length"))
 
 
 class _Digest:
@@ -124,20 +132,18 @@ class _Digest:
     def __init__(self, key: int | None):
         self.key, self.turns, self.chars, self.loss_chars, self.examples = key, 0, 0, 0, 0
         self.said, self.loss, self.contexts = hashlib.sha256(), hashlib.sha256(), hashlib.sha256()
-        self.prefix = hashlib.sha256()  # the rendering up to here
 
-    def add(self, role: str, text: str, target: object, chars: int, segment: str, context_chars: int, target_start: object) -> None:
+    def add(self, role: str, text: str, target: object, chars: int, context_chars: int, target_start: object, context_sha256: object,
+            context_length: object) -> None:
         if isinstance(target, str):
-            if context_chars != self.chars:
-                raise ValueError(f"conversation {self.key}: a context of {context_chars} code points ends where {self.chars} stand")
-            context = self.prefix.copy()
-            context.update(_bytes(segment[:int(target_start)]))
-            self.contexts.update(context.hexdigest().encode())
+            if context_chars != self.chars or int(context_length) != context_chars + int(target_start):
+                raise ValueError(f"conversation {self.key}: a context of {int(context_length)} code points, {context_chars} before its "
+                                 f"turn, ends where {self.chars} stand")
+            self.contexts.update(context_sha256.encode())
             self.examples += 1
             self.loss_chars += len(target)
             self.loss.update(_bytes(target))
         self.said.update(_bytes(f"{role}\n{text}\n"))
-        self.prefix.update(_bytes(segment))
         self.turns, self.chars = self.turns + 1, self.chars + chars
 
     def row(self) -> tuple:
@@ -155,11 +161,11 @@ DIGESTS = ("conv_id long, n_turns long, turns_sha256 string, loss_chars long, lo
 
 def digests(parsed: DataFrame) -> DataFrame:
     """conv_id, n_turns, turns_sha256, loss_chars, loss_sha256, formatted_chars, n_examples, contexts_sha256: running digests
-    over the sorted turns, so a conversation of any length needs little memory. Every example is
-    formed: the digest of its context, the first context_chars + target_start code points of the rendering, goes
-    into contexts_sha256 (lowercase hex digests one after the other), and its target into the loss digest."""
+    over the sorted turns, so a conversation of any length needs little memory. Of every example, the digest of its
+    context's text goes into contexts_sha256 (lowercase hex digests one after the other), and its target into the loss digest;
+    a context must end where its turn's reply begins."""
     names = [c.split()[0] for c in DIGESTS.split(", ")]
-    columns = ("conv_id", "role", "text", "target", "chars", "segment", "context_chars", "target_start")
+    columns = ("conv_id", "role", "text", "target", "chars", "context_chars", "target_start", "context_sha256", "context_length")
 
     def walk(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         state: _Digest | None = None
@@ -176,7 +182,7 @@ def digests(parsed: DataFrame) -> DataFrame:
                     if state:
                         done.append(state.row())
                     state = _Digest(key)
-                state.add(turn[0], turn[1], turn[2], int(turn[3]), turn[4], int(turn[5]), turn[6])
+                state.add(turn[0], turn[1], turn[2], int(turn[3]), int(turn[4]), *turn[5:])
             yield frame(done)
         if state:
             yield frame([state.row()])
@@ -195,4 +201,4 @@ def report(conversations: DataFrame) -> DataFrame:
     """Format all conversations and the probe, write the examples, and digest what is read back."""
     names = ("conv_id", "turn", "role", "text")
     every = conversations.select(*names).unionByName(probe(conversations.sparkSession))
-    return digests(read_back(stored(expand(render(every)), "chat")))
+    return digests(read_back(written(expand(render(every)))))

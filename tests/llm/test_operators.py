@@ -7,6 +7,7 @@ import zlib
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from aspectra.llm import chat, decontaminate, langid, licenses, merkle, neardup, packing, quality, toxicity, warc
 from aspectra.session import ship_package
@@ -193,6 +194,29 @@ def test_plan_uses_every_piece_once():
     assert len(room) <= 1.01 * lengths.sum() / 2048
 
 
+def test_chat_examples_hold_their_texts(spark):
+    turns = [(1, i, "assistant" if i % 2 else "user", f"turn {i} <|im_end|>") for i in range(6)] + [(2, 0, "user", "alone")]
+    rendered = chat.render(spark.createDataFrame(turns, "conv_id long, turn long, role string, text string"))
+    whole, want = "", []
+    for r in rendered.where("conv_id = 1").orderBy("turn").collect():
+        if r["reply_start"] is not None:
+            end = r["reply_start"] + r["reply_chars"]
+            want.append((r["turn"], whole + r["rendered"][:r["reply_start"]], r["rendered"][r["reply_start"]:end]))
+        whole += r["rendered"]
+    out = chat.expand(rendered)
+    assert [tuple(r) for r in out.where("target is not null").orderBy("seq").select("seq", "context", "target").collect()] == want
+    assert out.where("target is null and context is null").count() == 4
+    kept = chat.written(out)
+    assert kept.exceptAll(out).count() == 0 and kept.count() == out.count() == 7
+    # what is read back comes from the stored texts
+    other = out.withColumn("context", F.translate("context", "t", "T"))
+    spelled = "".join(hashlib.sha256(c.replace("t", "T").encode()).hexdigest() for _, c, _ in want)
+    got = {r["conv_id"]: r for r in chat.digests(chat.read_back(other)).collect()}
+    assert got[1]["contexts_sha256"] == hashlib.sha256(spelled.encode()).hexdigest()
+    with pytest.raises(Exception, match="code points"):
+        chat.digests(chat.read_back(out.withColumn("context", F.substring("context", 2, 1 << 20)))).collect()
+
+
 def test_chat_round_trip(spark):
     odd = "a <|im_end|> <\\|x <\\\\|im_start|>\nb"
     turns = [(1, 0, "user", odd), (1, 1, "assistant", odd), (1, 2, None, None), (1, 3, "assistant", ""), (2, 0, "r\\n\no|", "q"),
