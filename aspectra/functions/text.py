@@ -130,8 +130,9 @@ def token_ids(
     Keras-style tokenizer without an OOV token).
 
     A vocabulary of at most ``max_vocab`` entries (counted) is broadcast and
-    looked up inside the row, so nothing is shuffled; a larger one is joined by
-    shuffle on the token and the rows are put together again, with equal results.
+    looked up inside the row, so nothing is shuffled. Of a larger one the ``max_vocab`` lowest ids (the most frequent words of
+    ``build_vocabulary``) are looked up so; tokens that are left and can still be within the cut are joined by
+    shuffle and put back into their rows, with equal results.
     """
     if truncate not in ("head", "tail"):
         raise ValueError("truncate must be 'head' or 'tail'")
@@ -143,7 +144,7 @@ def token_ids(
         toks = cut(toks, max_len, truncate)
     rows = vocab.select("token", "id").limit(max_vocab + 1).collect()
     if len(rows) > max_vocab:
-        return _joined_ids(df.select(*keys, toks.alias("toks")), keys, vocab, max_len, truncate, unk_id, oov)
+        return _joined_ids(df.select(*keys, toks.alias("toks")), keys, vocab, max_len, truncate, unk_id, oov, max_vocab)
     return df.select(*keys, _looked_up(df, rows, max_len, truncate, unk_id, oov)(toks).alias("ids"))
 
 
@@ -181,23 +182,72 @@ def _looked_up(df: DataFrame, rows: list, max_len: int, truncate: str, unk_id: i
     return lookup
 
 
+def _partly_looked_up(df: DataFrame, rows: list, max_len: int, truncate: str, oov: str):
+    """Arrow UDF: array of tokens -> ``ids`` of the tokens, null for those that ``rows`` lacks, and these as ``open``. Where
+    unknown tokens are dropped, the tokens that ``max_len`` ids found keep out of the cut are left away."""
+    held = df.sparkSession.sparkContext.broadcast({r["token"]: int(r["id"]) for r in rows})
+    indexes: list[tuple[pd.Index, np.ndarray]] = []
+
+    @F.arrow_udf("struct<ids: array<int>, open: array<string>>")
+    def lookup(batch: pa.Array) -> pa.Array:
+        if not indexes:  # once per task
+            known = held.value
+            indexes.append((pd.Index(list(known), dtype=object), np.array([*known.values(), 0], np.int32)))
+        index, id_of = indexes[0]
+        n = len(batch)
+        lengths = pc.fill_null(pc.list_value_length(batch), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        flat = batch.flatten()
+        words = flat.to_numpy(zero_copy_only=False)
+        pos = index.get_indexer(words) if len(words) else np.zeros(0, np.int64)
+        row = np.repeat(np.arange(n), lengths)
+        if oov == "drop":
+            found = np.cumsum(pos >= 0)
+            ends = np.cumsum(lengths)
+            until = np.concatenate([[0], found])
+            if truncate == "head":  # found before the token, in its row
+                beside = until[:-1] - np.repeat(until[ends - lengths], lengths)
+            else:  # found after it
+                beside = np.repeat(until[ends], lengths) - found
+            near = beside < max_len
+            row, pos, flat = row[near], pos[near], flat.filter(pa.array(near))
+        missing = pos < 0
+
+        def lists(rows_of: np.ndarray, values: pa.Array) -> pa.Array:
+            offsets = np.concatenate([[0], np.cumsum(np.bincount(rows_of, minlength=n))])
+            return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), values)
+
+        ids = lists(row, pa.array(id_of[pos], pa.int32(), mask=missing))
+        return pa.StructArray.from_arrays([ids, lists(row[missing], flat.filter(pa.array(missing)))], ["ids", "open"],
+                                          mask=batch.is_null())
+
+    return lookup
+
+
 def _joined_ids(kept: DataFrame, keys: list[str], vocab: DataFrame, max_len: int, truncate: str, unk_id: int,
-                oov: str) -> DataFrame:
-    """The same for a vocabulary that is too large to hold: a shuffle join on the token, in which
-    tokens that are more than a thousandth of all are looked up by broadcast and scattered."""
+                oov: str, max_vocab: int) -> DataFrame:
+    """The same for a vocabulary that is too large to hold. Its ``max_vocab`` lowest ids are looked up inside the row; the other
+    tokens go through a shuffle join, in which those that are more than a thousandth of them are looked up by
+    broadcast and scattered."""
     from ..session import fresh_path
 
-    path = fresh_path(kept.sparkSession, "token_ids", "rows")
-    kept.withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)  # row numbers that stay
-    rows = kept.sparkSession.read.parquet(path)
-    least = vocab.groupBy("token").agg(F.min("id").cast("int").alias("id"))
-    each = rows.select("_row", F.posexplode("toks").alias("pos", "token"))
-    counts_path = fresh_path(kept.sparkSession, "token_ids", "counts")  # one row per token, counted once
+    spark = kept.sparkSession
+    least = vocab.where(F.col("token").isNotNull()).groupBy("token").agg(F.min("id").cast("int").alias("id"))
+    lowest = least.agg(F.min("id").alias("id")).first()["id"]
+    held = least.where(F.col("id") < (lowest or 0) + max_vocab).limit(max_vocab).collect()
+    path = fresh_path(spark, "token_ids", "rows")
+    looked_up = _partly_looked_up(kept, held, max_len, truncate, oov)("toks").alias("_found")
+    kept.select(*keys, looked_up).withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)  # row numbers that stay
+    rows = spark.read.parquet(path)
+    places = F.transform("_found.ids", lambda x, i: F.struct(i.alias("pos"), x.alias("id")))
+    gaps = F.transform(F.filter(places, lambda p: p["id"].isNull()), lambda p: p["pos"])
+    each = rows.select("_row", F.inline(F.arrays_zip(gaps.alias("pos"), F.col("_found.open").alias("token"))))
+    counts_path = fresh_path(spark, "token_ids", "counts")  # one row per token, counted once
     each.groupBy("token").agg(F.count(F.lit(1)).alias("n")).write.parquet(counts_path)
-    heavy = heavy_keys(kept.sparkSession.read.parquet(counts_path), ["token"], "n")
+    heavy = heavy_keys(spark.read.parquet(counts_path), ["token"], "n")
     each = split_join(each, least, ["token"], heavy, ["id"], ["_row", "pos"])
     each = each.where("id is not null") if oov == "drop" else each.withColumn("id", F.coalesce("id", F.lit(unk_id)))
-    found = each.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("pos", "id"))).alias("entries"))
-    ids = F.transform(F.coalesce("entries", F.array().cast("array<struct<pos:int,id:int>>")), lambda e: e["id"])
-    whole = pad(cut(ids, max_len, truncate), max_len)
-    return rows.join(found, "_row", "left").select(*keys, F.when(F.col("toks").isNotNull(), whole).alias("ids"))
+    joined = each.groupBy("_row").agg(F.collect_list(F.struct("pos", "id")).alias("_joined"))
+    entries = F.array_sort(F.concat(F.filter(places, lambda p: p["id"].isNotNull()),
+                                    F.coalesce("_joined", F.array().cast("array<struct<pos:int,id:int>>"))))
+    whole = pad(cut(F.transform(entries, lambda e: e["id"]), max_len, truncate), max_len)
+    return rows.join(joined, "_row", "left").select(*keys, F.when(F.col("_found").isNotNull(), whole).alias("ids"))

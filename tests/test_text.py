@@ -115,6 +115,33 @@ def test_token_ids_keep_repeated_keys_and_agree_beyond_the_broadcast(spark):
             assert "Exchange" not in held._jdf.queryExecution().executedPlan().toString()
 
 
+def test_only_tokens_beyond_the_held_ones_are_joined(spark, monkeypatch):
+    """Of a vocabulary too large to hold, the lowest ids are looked up in the row; what the cut cannot reach is not joined."""
+    texts = [" ".join(f"w{(i * 7 + j * j) % 40}" if j % 3 else f"x{j}" for j in range(60)) for i in range(30)] + ["w1", "x1 x2", "", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "k INT, t STRING").repartition(3)
+    entries = [(f"w{i}", i + 2) for i in range(40)] + [("w3", 90), ("w39", 80)]
+    vocab = spark.createDataFrame(entries, "token STRING, id INT")
+    ids = {}
+    for token, i in entries:
+        ids[token] = min(i, ids.get(token, i))
+    joined = []
+    split_join = tx.split_join
+    monkeypatch.setattr(tx, "split_join", lambda rows, *rest: joined.append(rows.count()) or split_join(rows, *rest))
+    for oov in ("unk", "drop"):
+        for side in ("head", "tail"):
+            got = tx.token_ids(df, "k", "t", vocab, max_len=10, truncate=side, oov=oov, max_vocab=30)
+            for r in got.collect():
+                if texts[r.k] is None:
+                    assert r.ids is None
+                    continue
+                words = texts[r.k].split()
+                if oov == "drop":
+                    words = [w for w in words if w in ids]
+                words = words[:10] if side == "head" else words[-10:]
+                assert r.ids == [ids.get(w, 1) for w in words] + [0] * (10 - len(words)), (r.k, oov, side)
+    assert len(joined) == 4 and max(joined) < 30 * 15  # of 30 * 60 tokens
+
+
 def test_whole_vocabulary_is_numbered_in_order(spark):
     n = 6000
     df = spark.range(n).selectExpr("concat('w', id, ' w', id % 7) AS t").repartition(5)
