@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import ENVELOPE_DDL
 from ..operators import series as SR
 from ..session import fresh_path
-from ..sources.envelope import number_messages, stream_envelope_files, to_envelope, write_in_turn
+from ..sources.envelope import number_messages, stream_envelope_files, to_envelope, write_envelope_files, write_in_turn
 from ..streaming import runner
 from ..streaming import windows as W
 from ..streaming.sinks import lake_writer
@@ -105,6 +106,7 @@ def series_topic(spark: SparkSession, sf_dir: str, name: str) -> str:
     events = table(spark, sf_dir, "events")
     env = SR.series_messages(events, key="event_type", ts="ts", value="value", position="event_id")
     timed = env.withColumn("timestamp", SR.parse_timestamp(F.map_keys(F.from_json(F.col("value").cast("string"), "MAP<STRING, DOUBLE>"))[0]).cast("timestamp"))
+    timed = spark.read.schema(ENVELOPE_DDL).parquet(write_envelope_files(timed, fresh_path(spark, name, "timed")))  # parsed once
     path = write_in_turn(timed, fresh_path(spark, name, "topic"), arrival_turn(timed), range(TURNS), FILES)
     last = timed.agg((F.max("timestamp") + F.expr("INTERVAL 31 DAYS")).alias("timestamp"))
     beat = to_envelope(last, F.lit(None).cast("binary"), "series", F.lit(-1), timestamp=F.col("timestamp"))

@@ -7,6 +7,8 @@ a (partition, offset) position; stored envelope files replay as a stream.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -127,9 +129,13 @@ def stream_topic(
     return spark.readStream.format("kafka").options(**opts).load()
 
 
+#: Row groups of a stored topic: tasks read whole ones, so a batch of few files still keeps many tasks busy.
+TOPIC_FILES = {"parquet.block.size": 8 << 20}
+
+
 def write_envelope_files(env: DataFrame, path: str) -> str:
     """Persist envelope rows as parquet so a file stream can replay them."""
-    env.select(*ENVELOPE_COLUMNS).write.mode("overwrite").parquet(path)
+    env.select(*ENVELOPE_COLUMNS).write.mode("overwrite").options(**TOPIC_FILES).parquet(path)
     return path
 
 
@@ -147,8 +153,14 @@ def stream_envelope_files(spark: SparkSession, path: str, max_files_per_trigger:
 
 def write_in_turn(env: DataFrame, path: str, turn: Column, turns: range, files: int = 4) -> str:
     """Write the envelope as it arrives: the rows of each of ``turns`` after those of the one before, each as ``files`` files (as
-    far as it has rows), so that a stream limited to ``files`` a batch reads one turn a batch."""
-    numbered = env.withColumn("_turn", turn)
+    far as it has rows), so that a stream limited to ``files`` a batch reads one turn a batch. ``env`` is computed once: its rows
+    are first dealt into a folder per turn beside ``path``."""
+    numbered = env.select(*ENVELOPE_COLUMNS, turn.cast("int").alias("_turn"))
+    if len(turns) > 1:
+        dealt = f"{path.rstrip('/')}-dealt-{uuid.uuid4().hex}"
+        numbered.write.partitionBy("_turn").parquet(dealt)
+        numbered = env.sparkSession.read.schema(f"{ENVELOPE_DDL}, _turn INT").parquet(dealt)
     for i in turns:
-        numbered.where(F.col("_turn") == i).select(*ENVELOPE_COLUMNS).repartition(files).write.parquet(f"{path}/turn{i:04d}")
+        own = numbered.where(F.col("_turn") == i).select(*ENVELOPE_COLUMNS)
+        own.repartition(files).write.options(**TOPIC_FILES).parquet(f"{path}/turn{i:04d}")
     return path

@@ -83,6 +83,23 @@ def test_gaps_of_a_shuffled_stream(spark, scratch):
     assert got.count() == len(points) and got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
 
 
+def test_a_topic_is_computed_once_for_all_turns(spark, scratch):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("int")
+    def turn(offset):
+        seen.add(1)
+        return offset % 5 if offset < 50 else None
+
+    env = to_envelope(spark.range(60), F.col("id").cast("string"), "t", F.col("id"))
+    path = write_in_turn(env, os.path.join(scratch, "t"), turn.asNondeterministic()("offset"), range(1, 5), 1)
+    assert seen.value == 60
+    for i in range(1, 5):
+        got = sorted(r["offset"] for r in spark.read.parquet(f"{path}/turn{i:04d}").collect())
+        assert got == list(range(i, 50, 5))
+    assert not os.path.exists(f"{path}/turn0000")
+
+
 def test_points_without_a_time_spread(spark):
     df = spark.range(4000).select(F.lit("s").alias("series"), F.col("id").alias("offset"),
                                   F.lit(None).cast("timestamp_ntz").alias("ts"), F.lit(1.0).alias("value"))
