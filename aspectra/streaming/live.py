@@ -8,6 +8,7 @@ the few cells, never the rows, and nothing is kept on the driver.
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
 
@@ -28,36 +29,37 @@ BUCKETS = 1 << 13
 def signed_changes(rows: DataFrame, id_col: str, position: str, values: list[str], buckets: int = BUCKETS) -> DataFrame:
     """(name, value, delta) for the changes that a batch's rows make to the counts of the latest row per id (append mode).
     Of rows of one id the greatest position is the latest, in whatever order they come; rows without an id are not counted.
-    Null values count as ``NONE``. State: position and values of one row per id, held in ``buckets`` groups; choose
-    ``buckets`` so that a group's ids fit a task easily."""
-    width = len(values)
+    Null values count as ``NONE``. State: position and values of one row per id, held in ``buckets`` groups, each as one
+    JSON text that names every combination of values once; choose ``buckets`` so that a group's ids fit a task easily."""
     kept = rows.where(F.col(id_col).isNotNull()).select(
         F.pmod(F.xxhash64(F.col(id_col).cast("string")), F.lit(buckets)).cast("int").alias("bucket"),
         F.col(id_col).cast("string").alias("id"), F.col(position).cast("long").alias("position"),
         F.array(*[F.coalesce(F.col(v).cast("string"), F.lit("NONE")) for v in values]).alias("cells"))
 
     def change(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        ids, positions, cells = state.get if state.exists else ([], [], [])
-        latest = {i: (p, list(cells[at * width:(at + 1) * width])) for at, (i, p) in enumerate(zip(ids, positions, strict=True))}
-        before: dict[str, list | None] = {}
+        ids, positions, kinds, cells = json.loads(state.get[0]) if state.exists else ([], [], [], [])
+        cells = [tuple(c) for c in cells]
+        latest = dict(zip(ids, zip(positions, [cells[k] for k in kinds], strict=True), strict=True))
+        before: dict[str, tuple | None] = {}
         for pdf in frames:
             for i, p, c in zip(pdf["id"], pdf["position"].tolist(), pdf["cells"], strict=True):
                 old = latest.get(i)
                 if old is None or p > old[0]:
                     before.setdefault(i, old and old[1])
-                    latest[i] = (p, list(c))
+                    latest[i] = (p, tuple(c))
         sums: Counter = Counter()
         for i, old in before.items():
             sums.update(zip(values, latest[i][1], strict=True))
             if old is not None:
                 sums.subtract(zip(values, old, strict=True))
         if before:
-            state.update((list(latest), [p for p, _ in latest.values()], [v for _, c in latest.values() for v in c]))
+            place: dict[tuple, int] = {}
+            kinds = [place.setdefault(c, len(place)) for _, c in latest.values()]
+            state.update((json.dumps([list(latest), [p for p, _ in latest.values()], kinds, list(place)], separators=(",", ":")),))
             yield pd.DataFrame([(n, v, d) for (n, v), d in sums.items() if d], columns=["name", "value", "delta"])
 
     return kept.groupBy("bucket").applyInPandasWithState(
-        change, "name STRING, value STRING, delta LONG", "ids ARRAY<STRING>, positions ARRAY<LONG>, cells ARRAY<STRING>",
-        "append", "NoTimeout")
+        change, "name STRING, value STRING, delta LONG", "held STRING", "append", "NoTimeout")
 
 
 def deltas_sink(path: str) -> BatchFn:

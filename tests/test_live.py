@@ -4,7 +4,7 @@ from collections import Counter
 
 from pyspark.sql import functions as F
 
-from aspectra.sources.envelope import stream_envelope_files, to_envelope, write_in_turn
+from aspectra.sources.envelope import stream_envelope_files, to_envelope, write_envelope_files, write_in_turn
 from aspectra.streaming import live, runner
 
 
@@ -42,3 +42,33 @@ def test_a_replayed_batch_counts_once(spark, scratch):
         sink(batch, batch_id)
     got = {(r["name"], r["value"]): r["count"] for r in live.live_counts(spark, os.path.join(scratch, "d")).collect()}
     assert got == {("a", "x"): 4, ("a", "y"): -2}
+
+
+def test_state_names_every_combination_once(spark, scratch):
+    columns = [f"c{i}" for i in range(8)]
+    df = spark.range(4000).select(F.col("id").alias("position"), F.concat(F.lit("id "), F.col("id")).alias("id"),
+                                  *[F.lit("NONE").alias(c) for c in columns])
+    path = os.path.join(scratch, "rows")
+    df.repartition(2).write.parquet(path)
+    src = spark.readStream.schema(df.schema).option("maxFilesPerTrigger", "1").parquet(path)
+    out = os.path.join(scratch, "deltas")
+    q = runner.run_available(runner.foreach_batch(live.signed_changes(src, "id", "position", columns, buckets=4), live.deltas_sink(out),
+                                                  os.path.join(scratch, "c")))
+    assert {(r["name"], r["value"]): r["count"] for r in live.live_counts(spark, out).collect()} == {(c, "NONE"): 4000 for c in columns}
+    # of the last version, and of the one before, about 20 bytes an id; 8 values and an id as an array take over 150
+    assert max(p["stateOperators"][0]["memoryUsedBytes"] for p in q.recentProgress) < 4000 * 100
+
+
+def test_a_stored_topic_has_small_row_groups(spark, scratch):
+    """A batch of few files keeps many tasks busy only if the files can be split."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    text = F.concat(*[F.sha2(F.concat_ws("-", "id", F.lit(i)), 256) for i in range(16)])
+    env = to_envelope(spark.range(30_000), text, "t", F.col("id")).coalesce(1)
+    path = write_envelope_files(env, os.path.join(scratch, "topic"))
+    write_in_turn(env, os.path.join(scratch, "turns"), F.lit(0), range(1), 1)
+    for file in glob.glob(f"{path}/*.parquet") + glob.glob(f"{scratch}/turns/*/*.parquet"):
+        meta = pq.ParquetFile(file).metadata
+        assert meta.num_rows == 30_000 and meta.num_row_groups >= 3
