@@ -163,3 +163,20 @@ def test_spread_only_when_scan_is_narrow(spark, scratch):
     spark.range(4000).repartition(8).write.parquet(scratch + "/wide")
     wide = spark.read.parquet(scratch + "/wide")
     assert wide.rdd.getNumPartitions() >= 4 and exchanges(spread(wide, 4)) == 0
+
+
+def test_a_stored_topic_is_cut_into_small_row_groups(spark, scratch):
+    """Short messages first, long ones after: however the sizes change, a task gets a few of the messages."""
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from aspectra.sources.envelope import to_envelope, write_envelope_files
+
+    words = F.array_join(F.transform(F.sequence(F.lit(1), F.when(F.col("id") < 300, 1).otherwise(120)),
+                                     lambda i: F.sha2(F.concat_ws(" ", F.col("id"), i), 256)), " ")
+    write_envelope_files(to_envelope(spark.range(0, 2500, 1, 1), words, "t", F.col("id")), scratch)
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{scratch}/*.parquet")]
+    groups = [m.row_group(i) for m in files for i in range(m.num_row_groups)]
+    assert sum(g.num_rows for g in groups) == 2500
+    assert max(g.total_byte_size for g in groups) < 4 << 20

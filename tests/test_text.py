@@ -180,3 +180,16 @@ def test_cnn_over_a_joined_vocabulary_equals_numpy(spark):
             seq = [ids.get(w, 1) for w in texts[k].split()][:64]
             own[0, :len(seq)] = seq
             assert np.allclose(got[k], cnn_forward(own, weights)[0], atol=1e-5)
+
+
+def test_patterns_class_every_code_point_as_the_plain_ones(spark):
+    """The classes are written for speed; they hold what WORD_CLASS, SPACE_CLASS and DIGIT_CLASS say."""
+    points = spark.range(0x110000).where("id not between 55296 and 57343").select(
+        F.decode(F.unhex(F.lpad(F.hex("id"), 8, "0")), "UTF-32").alias("c"))
+    text = F.concat(F.lit("a"), "c", F.lit("b"))
+    low = F.lower(text)
+    plain = F.trim(F.regexp_replace(low, f"(?:[^{tx.WORD_CLASS}{tx.SPACE_CLASS}]|{tx.DIGIT_CLASS})+", ""), F.lit(tx.SPACE_CHARS))
+    words = F.regexp_extract_all(low, F.lit(f"([{tx.WORD_CLASS}]+)"), 1)
+    found = points.agg(F.count(F.lit(1)).alias("n"), F.count_if(plain != tx.clean_text(text)).alias("clean"),
+                       F.count_if(words != tx.tokens(text)).alias("words")).first()
+    assert found.asDict() == {"n": 0x110000 - 2048, "clean": 0, "words": 0}
