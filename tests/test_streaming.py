@@ -79,6 +79,16 @@ def test_jdbc_sink_is_idempotent_per_batch(spark):
     assert back.select("src_offset").distinct().count() == batch.count()
 
 
+@pytest.mark.parametrize("replay", [False, True])
+def test_jdbc_stream_stores_reviews_without_text(spark, replay):
+    docs = spark.createDataFrame([(1, "great quality"), (2, None), (3, ""), (4, "x" * 40000)], "doc_id long, text string")
+    rows = ST.jdbc_stream(spark, review_messages(docs), "no_text", replay_batches=replay).collect()
+    back = {r.src_offset: r.asDict() for r in rows}
+    assert len(rows) == 4 and {k: r["ReviewText"] for k, r in back.items()} == {1: "great quality", 2: None, 3: "", 4: "x" * 40000}
+    assert {back[2][a] for a in ASPECTS} == {None} and back[1]["Quality"] == "POS"
+    assert {back[k][a] for k in (3, 4) for a in ASPECTS} == {"NONE"}
+
+
 def test_sink_error_is_raised_so_batch_is_replayed(spark, scratch):
     topic = write_envelope_files(review_messages(_docs(spark)), os.path.join(scratch, "topic"))
     ckpt, out = os.path.join(scratch, "ckpt"), os.path.join(scratch, "docs")
