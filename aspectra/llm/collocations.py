@@ -54,8 +54,9 @@ class Block:
     and the group (language, or language and shard) of each occurrence."""
 
     def __init__(self, texts: pa.Array, group: np.ndarray):
-        text = pc.ascii_lower(pc.fill_null(texts.cast(pa.large_string()), "")).cast(pa.large_binary())
-        raw = np.frombuffer(b"\n".join(text.to_pylist()), np.uint8)
+        # lowered as bytes: Arrow's ascii_lower reads a cast slice, whose offsets begin above 0, at wrong places
+        text = pc.fill_null(texts.cast(pa.large_binary()), b"")
+        raw = np.frombuffer(b"\n".join(text.to_pylist()).lower(), np.uint8)
         size = pc.binary_length(text).to_numpy().astype(np.int64) + 1
         start, end = word_spans(raw, _OUTSIDE)
         self.piece = np.append(0, np.cumsum(_BREAK[raw], dtype=np.int32))[start]

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from aspectra.llm import clustering, retrieval_packing
@@ -182,6 +183,28 @@ def test_collocations_equal_full_counts(spark, support, top, shards):
     assert got == brute_collocations(rows, support, top)
 
 
+def test_collocations_of_a_batch_of_several_blocks(spark):
+    from aspectra.llm.collocations import BLOCK, collocations
+
+    long = "New York City " + "Ab" * (BLOCK // 80)
+    rows = [("en", long)] * 100 + collocation_rows()[:200] + [("en", long)] * 50 + [("de", "São Paulo, " * 40)]
+    df = spark.createDataFrame([(i, t, lang) for i, (lang, t) in enumerate(rows)], "doc_id long, text string, lang string").coalesce(1)
+    assert sorted(tuple(r) for r in collocations(df, 30).collect()) == brute_collocations(rows, 30, 2000)
+
+
+@pytest.mark.parametrize("nulls", [False, True])
+def test_blocks_of_a_batch_hold_its_words(monkeypatch, nulls):
+    from aspectra.llm import collocations as C
+
+    monkeypatch.setattr(C, "BLOCK", 40)
+    texts = [f"Éa {i} HAT, Straße" for i in range(50)] + [None] * nulls + ["", "Z" * 90, "last ONE"]
+    batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts}).slice(3)
+    blocks = [block for block, _, _ in C._blocks([batch], ["lang"])]
+    assert len(blocks) > 20
+    got = [block.texts[int(w)].as_py().decode() for block in blocks for w in block.word]
+    assert got == [w for t in texts[3:] for w in (t or "").replace(",", "").encode().lower().decode().split()]
+
+
 def test_collocations_of_nothing(spark):
     from aspectra.llm.collocations import collocations
 
