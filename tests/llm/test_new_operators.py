@@ -201,7 +201,7 @@ def test_blocks_of_a_batch_hold_its_words(monkeypatch, nulls):
     batch = pa.RecordBatch.from_pydict({"lang": ["en"] * len(texts), "text": texts}).slice(3)
     blocks = [block for block, _, _ in C._blocks([batch], ["lang"])]
     assert len(blocks) > 20
-    got = [block.texts[int(w)].as_py().decode() for block in blocks for w in block.word]
+    got = [block.raw[i:j].tobytes().decode() for block in blocks for i, j in zip(block.start, block.end, strict=True)]
     assert got == [w for t in texts[3:] for w in (t or "").replace(",", "").encode().lower().decode().split()]
 
 
@@ -225,6 +225,44 @@ def test_the_bit_map_has_its_stated_size(spark, monkeypatch):
     assert len(short) == 4096 and any(short)
 
 
+def test_the_bit_map_is_the_same_in_any_parts_and_loses_nothing(spark, monkeypatch):
+    from aspectra.llm import collocations as C
+
+    monkeypatch.setattr(C, "FILTER_BITS", 1 << 18)
+    rows = [(lang or "und", i % 3, t) for i, (lang, t) in enumerate(collocation_rows(13, 150)) if t]
+    docs = spark.createDataFrame(rows, "lang string, shard int, text string").repartition(3).persist()
+    f, n = defaultdict(Counter), Counter()
+    batch = pa.RecordBatch.from_pydict({"lang": [r[0] for r in rows], "shard": [r[1] for r in rows], "text": [r[2] for r in rows]})
+    for block, groups, language in C._blocks([batch], ["lang", "shard"]):
+        n.update(groups[g] for g in block.group)
+        for k in (1, 2):
+            at = block.inside(k)
+            for g, h in zip(block.group[at], block.hashes(k, at, language), strict=True):
+                f[groups[g]][int(h)] += 1
+    total = Counter()
+    for (lang, _), many in n.items():
+        total[lang] += many
+    shares = spark.createDataFrame([(*g, many, total[g[0]]) for g, many in n.items()], "lang string, shard int, n long, total long")
+    want = {h % C.FILTER_BITS for g, counts in f.items() for h, many in counts.items() if many >= -(-20 * n[g] // total[g[0]])}
+    seen = {h % C.FILTER_BITS for counts in f.values() for h in counts}
+
+    def bits(parts):
+        made = C.union_filter(C.mined(docs, (1, 2), parts=parts), shares, 20, parts)
+        return set(np.flatnonzero(np.unpackbits(np.frombuffer(made, np.uint8), bitorder="little")).tolist())
+
+    assert 0 < len(want) < len(seen) and bits(1) == bits(64) == want
+    monkeypatch.setattr(C, "KNOWN", 2)
+    assert want < bits(16) <= seen
+
+
+def test_parts_grow_with_the_words():
+    from aspectra.llm import collocations as C
+
+    assert C.parts_for(0) == C.parts_for(16 * C.ENTRIES) == C.PARTS
+    assert [C.parts_for(x * C.ENTRIES) for x in (17, 32, 33)] == [32, 32, 64]
+    assert C.parts_for(1 << 60) == C.FILTER_BITS // 8
+
+
 # ------------------------------------------------------------ licence scan of long texts
 
 def test_many_notices_in_one_text_are_scanned_in_proportion():
